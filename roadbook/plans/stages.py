@@ -29,3 +29,22 @@ def crash_geographic(spark: SparkSession, sf_dir: str, drop_outside: bool = True
 def crash_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Geographic stage then weather stage: the weather-integrated CRASH table."""
     return integrate_weather(crash_geographic(spark, sf_dir), weather_table(spark, sf_dir))
+
+
+def cyclist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1 from the fixtures."""
+    from roadbook.operators.datasets import cyclist_dataset
+    return cyclist_dataset(crash_weather(spark, sf_dir), fx.cycle(spark, sf_dir), fx.person(spark, sf_dir),
+                           fx.vehicle(spark, sf_dir))
+
+
+def pedestrian(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D2 from the fixtures."""
+    from roadbook.operators.datasets import pedestrian_dataset
+    return pedestrian_dataset(crash_weather(spark, sf_dir), fx.person(spark, sf_dir), fx.vehicle(spark, sf_dir))
+
+
+def full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D3 from the fixtures."""
+    from roadbook.operators.datasets import full_integrated
+    return full_integrated(crash_weather(spark, sf_dir), fx.roadway(spark, sf_dir))
