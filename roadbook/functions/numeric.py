@@ -10,13 +10,14 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def to_number(c) -> Column:
+def to_number(c, already_double: bool = False) -> Column:
     """``pd.to_numeric(errors='coerce')``: bad text -> NULL, and NaN -> NULL.
 
     ``try_cast('nan' as double)`` yields NaN, which Spark does not treat as
-    missing, so NaN is mapped to NULL explicitly.
+    missing, so NaN is mapped to NULL explicitly. ``already_double`` skips
+    the cast when the column is known to be double.
     """
-    x = _c(c).try_cast("double")
+    x = _c(c) if already_double else _c(c).try_cast("double")
     return F.when(F.isnan(x), F.lit(None).cast("double")).otherwise(x)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from roadbook.constants import (BOUNDARY, BOUNDS, COORD_DECIMALS, FLAG_COUNTY, FLAG_INVALID, FLAG_OUTSIDE,
                                 HOME_COUNTY, LAT_COL, LON_COL)
-from roadbook.functions.coords import in_box, point_in_polygon, point_struct, point_wkt
+from roadbook.functions.coords import in_box, in_box_rounded, point_in_polygon, point_struct, point_wkt
 from roadbook.functions.numeric import is_true, not_equal_or_missing, to_number
 
 
@@ -17,7 +17,7 @@ def _ensure_flag(df: DataFrame, name: str) -> DataFrame:
 
 def coerce_coords(df: DataFrame, lat: str = LAT_COL, lon: str = LON_COL) -> DataFrame:
     """G1: coordinates to double; unparseable text and NaN become NULL."""
-    return df.withColumns({lat: to_number(lat), lon: to_number(lon)})
+    return df.withColumns({c: to_number(c, already_double=dict(df.dtypes)[c] == "double") for c in (lat, lon)})
 
 
 def invalid_coord_expr(lat: str = LAT_COL, lon: str = LON_COL):
@@ -127,13 +127,18 @@ def geo_pipeline(df: DataFrame, lat: str = LAT_COL, lon: str = LON_COL, county:
     """Coerce, flag invalid, round, flag county, flag outside, then filter.
 
     ``drop_outside=False`` is the flag-only mode: every row is kept and the
-    outside points carry ``OUTSIDE_PHILLY``.
+    outside points carry ``OUTSIDE_PHILLY``. In the default mode the box
+    filter is applied right after coercion (on the rounded-equivalent test
+    of :func:`in_box_rounded`), so the scan-level predicate stays small and
+    the flags and rounding are computed only for kept rows; an outside flag
+    can never survive the filter, so it is not computed there.
     """
     if lat not in df.columns or lon not in df.columns:
         return _ensure_flag(_ensure_flag(df, "COORD_QUALITY_FLAG"), "COUNTY_QUALITY_FLAG")
     out = coerce_coords(df, lat, lon)
+    if drop_outside:
+        out = out.filter(is_true(in_box_rounded(lat, lon, bounds)) | F.col(lat).isNull())
     out = flag_invalid_coords(out, lat, lon)
     out = round_coords(out, lat, lon)
     out = flag_county(_ensure_flag(out, "COUNTY_QUALITY_FLAG"), county, home)
-    out = flag_outside(out, lat, lon, bounds)
-    return filter_box(out, lat, lon, bounds) if drop_outside else out
+    return out if drop_outside else flag_outside(out, lat, lon, bounds)

@@ -21,7 +21,9 @@ def get_spark(app: str = "roadbook", cpus: int | str = "*", shuffle_partitions:
 
     On a cluster, build the session with the cluster's own settings instead;
     the operators only rely on defaults that Spark 4 already has (AQE on,
-    ANSI on) plus a UTC session time zone for the date logic.
+    ANSI on). Recommended on clusters too: ``spark.sql.codegen.hugeMethodLimit
+    = 8000`` (wide CASE chains otherwise compile to methods the JVM will not
+    JIT-compile).
     """
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -34,6 +36,9 @@ def get_spark(app: str = "roadbook", cpus: int | str = "*", shuffle_partitions:
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
         .config("spark.driver.memory", os.environ.get("ROADBOOK_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # a generated method above the JIT's 8000-byte limit runs interpreted;
+        # past this limit Spark falls back to per-operator code instead
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)

@@ -10,6 +10,7 @@ with its checkpoint in the folder the session names.
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,8 +37,13 @@ def crash_weather_stream(spark: SparkSession, source_dir: str, schema: StructTyp
 
 
 def start(df: DataFrame, out_dir: str, name: str = "crash_weather", available_now: bool = True) -> StreamingQuery:
-    """Append the stream to Parquet; checkpoint under the session's checkpoint folder."""
-    ckpt = os.path.join(checkpoint_dir(df.sparkSession), f"stream-{name}")
+    """Append the stream to Parquet; checkpoint under the session's checkpoint folder.
+
+    The checkpoint is keyed by the sink path, so restarting the same sink
+    resumes exactly once, and a different sink never inherits its state.
+    """
+    key = hashlib.sha1(os.path.abspath(out_dir).encode()).hexdigest()[:16]
+    ckpt = os.path.join(checkpoint_dir(df.sparkSession), f"stream-{name}-{key}")
     w = df.writeStream.format("parquet").option("checkpointLocation", ckpt).outputMode("append")
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start(out_dir)
