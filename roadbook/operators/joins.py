@@ -36,46 +36,82 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "left", max_rows
     return big.join(side, on=_keys(on), how=how)
 
 
-def fanout_left_join(left: DataFrame, right: DataFrame, on) -> DataFrame:
-    """LEFT JOIN that stays balanced when one right-side key holds a huge share.
+def _row_hash(df: DataFrame) -> "F.Column":
+    """Deterministic per-row hash (same value on a task retry, unlike rand())."""
+    cols = [F.col(f"`{f.name}`") for f in df.schema.fields
+            if not f.dataType.simpleString().startswith("map")]
+    return F.xxhash64(*cols) if cols else F.lit(0).cast("bigint")
 
-    Spark's adaptive skew handling cannot split the non-preserved side of an
-    outer join, so a hot key on the right of a plain left join would land in
-    one task. This is the same result built from parts that can be split:
 
-    * matched rows: an inner join (AQE splits skewed partitions on both sides);
-    * unmatched rows: a left-anti join against the right's *distinct* keys
-      (hot keys collapse in the map-side partial aggregate);
-    * left rows with a NULL key pass through without any shuffle (they can
-      never match, and hashing them would pile them into one partition).
+def hot_keys(right: DataFrame, on, hot_rows: int) -> DataFrame:
+    """Keys with at least ``hot_rows`` rows (count is partially aggregated map-side).
 
-    The left side is shuffled once by key and the exchange is reused by both
-    joins. NULL keys never match (SQL semantics).
+    The result has at most ``rows(right) / hot_rows`` entries.
     """
     keys = _keys(on)
-    not_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    lk = left.filter(not_null)
-    ln = left.filter(~not_null)
-    r = right.filter(not_null)
-    extra = [c for c in right.columns if c not in keys]
-    out_cols = left.columns + extra
+    return (right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+            .filter(F.col("_n") >= hot_rows).select(*keys, F.lit(True).alias("_hot")))
+
 
-    def pad(d: DataFrame) -> DataFrame:
-        return d.select(*left.columns, *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in extra])
+def fanout_left_join(left: DataFrame, right: DataFrame, on, hot_rows: int = 1_000_000, salts: int = 64,
+                     right_unique: bool = False, max_hot_keys: int = 100_000) -> DataFrame:
+    """LEFT JOIN that stays balanced when one key holds a huge share of either side.
 
-    matched = lk.join(r, keys, "inner").select(*out_cols)
-    unmatched = pad(lk.join(r.select(*keys).distinct(), keys, "left_anti"))
-    return matched.unionByName(unmatched).unionByName(pad(ln))
+    Spark's adaptive skew handling cannot split the non-preserved side of an
+    outer join, so a hot key on the right would land in one task. Here:
+
+    * right-side keys with at least ``hot_rows`` rows are found first (a
+      partially aggregated count; the set is size-checked, then broadcast);
+    * a hot key's right rows are spread over ``salts`` buckets by a row hash,
+      and the matching left row is replicated once per bucket, so the key is
+      joined by ``salts`` tasks;
+    * replicas that found nothing in their bucket are dropped (a hot key has
+      right rows by definition, so such NULL-extended rows are spurious);
+    * left rows with a NULL key (which can never match) get a row-hash salt
+      instead of all hashing to one partition.
+
+    The left side is read once; the salts are deterministic, so a retried
+    task reproduces the same partitioning. NULL keys never match (SQL
+    semantics). ``right_unique=True`` skips the hot-key search (a right side
+    with one row per key cannot be skewed).
+    """
+    keys = _keys(on)
+    key_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    r = right.filter(~key_null).withColumn("_rmatch", F.lit(True))
+    hot = None
+    if not right_unique:
+        hk = hot_keys(r, keys, hot_rows)
+        n_hot = hk.limit(max_hot_keys + 1).count()
+        if n_hot > max_hot_keys:
+            raise ValueError(f"more than {max_hot_keys} keys with >= {hot_rows} rows; raise hot_rows")
+        if n_hot > 0:
+            hot = F.broadcast(hk)
+    null_salt = F.pmod(_row_hash(left), F.lit(salts)).cast("int")
+    if hot is None:
+        ls = left.withColumn("_salt", F.when(key_null, null_salt).otherwise(F.lit(0)))
+        rs = r.withColumn("_salt", F.lit(0))
+        out = ls.join(rs, keys + ["_salt"], "left")
+        return out.select(*left.columns, *[c for c in right.columns if c not in keys])
+    ls = left.join(hot, keys, "left")
+    ls = ls.withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
+                                          .otherwise(F.array(F.when(key_null, null_salt).otherwise(F.lit(0))))))
+    rs = r.join(hot, keys, "left")
+    rs = rs.withColumn("_salt", F.when(F.col("_hot"), F.pmod(_row_hash(right), F.lit(salts)).cast("int"))
+                       .otherwise(F.lit(0))).drop("_hot")
+    out = ls.join(rs, keys + ["_salt"], "left")
+    out = out.filter(~(F.coalesce(F.col("_hot"), F.lit(False)) & F.col("_rmatch").isNull()))
+    return out.select(*left.columns, *[c for c in right.columns if c not in keys])
 
 
 def join_suffixed(left: DataFrame, right: DataFrame, on, how: str, suffix: str,
-                  fanout_safe: bool = True) -> DataFrame:
+                  fanout_safe: bool = True, **fanout) -> DataFrame:
     """Equi-join with right-side name clashes suffixed.
 
-    Left joins go through :func:`fanout_left_join` unless ``fanout_safe`` is
-    off; inner joins are plain (AQE splits skew on both sides of those).
+    Left joins go through :func:`fanout_left_join` (``fanout_safe=False``
+    marks a right side with one row per key: only NULL-key spreading is
+    kept); inner joins are plain (AQE splits skew on both sides of those).
     """
     right = suffix_clashes(left.columns, right, on, suffix)
-    if how == "left" and fanout_safe:
-        return fanout_left_join(left, right, on)
+    if how == "left":
+        return fanout_left_join(left, right, on, right_unique=not fanout_safe, **fanout)
     return left.join(right, on=_keys(on), how=how)

@@ -2,15 +2,21 @@
 
 Counts are per row by default (the full dataset has one row per crash and
 road segment); ``per="crash"`` counts distinct crash numbers instead.
+
+Every report section is a list of aggregates plus expressions over their
+results, so a single section is one ``agg`` and the whole report (V10) is
+also one ``agg``: one pass over the dataset however many sections it has.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadbook.constants import METHOD_EXACT, METHOD_FALLBACK, METHOD_MID_ONLY, METHOD_WEEKDAY
 
+METHODS = (METHOD_EXACT, METHOD_WEEKDAY, METHOD_FALLBACK, METHOD_MID_ONLY)
+
 
 def _per(df: DataFrame, per: str, key: str = "CRN", cols: list[str] | None = None) -> DataFrame:
     """Rows as they are, or one row per crash (distinct on key + the needed columns)."""
@@ -25,31 +31,85 @@ def _pct(n, total):
     return F.round(F.when(total > 0, n.cast("double") * 100.0 / total), 2)
 
 
+Section = tuple[list[Column], list[Column]]   # (aggregates, final expressions over them)
+
+
+def _a(p: str, name: str) -> Column:
+    return F.col(f"{p}{name}")
+
+
+def date_methods_section(p: str = "") -> Section:
+    m = F.col("date_approximation_method")
+    aggs = [F.count(F.lit(1)).alias(f"{p}total_records")] + [F.count_if(m == x).alias(f"{p}{x}") for x in METHODS]
+    fin = [_a(p, "total_records").alias("total_records")]
+    for x in METHODS:
+        fin += [_a(p, x).alias(x), _pct(_a(p, x), _a(p, "total_records")).alias(f"{x}_pct")]
+    return aggs, fin
+
+
+def temporal_section(p: str = "", date_col: str = "crash_date") -> Section:
+    dt = F.col(date_col)
+    aggs = [F.min(F.year(dt)).alias(f"{p}first_year"), F.max(F.year(dt)).alias(f"{p}last_year"),
+            F.count_distinct(F.year(dt)).alias(f"{p}total_years"), F.count(dt).alias(f"{p}dated"),
+            F.count(F.lit(1)).alias(f"{p}total_records"), F.count_if(F.dayofmonth(dt) == 1).alias(f"{p}day_1_crashes"),
+            F.count_distinct(F.dayofmonth(dt)).alias(f"{p}days_with_crashes")]
+    # the mean of the yearly counts is dated rows / distinct years, so no second level is needed
+    fin = [_a(p, "first_year").alias("first_year"), _a(p, "last_year").alias("last_year"),
+           _a(p, "total_years").alias("total_years"),
+           F.round(_a(p, "dated") / _a(p, "total_years"), 1).alias("crashes_per_year_avg"),
+           _a(p, "total_records").alias("total_records"), _a(p, "day_1_crashes").alias("day_1_crashes"),
+           _pct(_a(p, "day_1_crashes"), _a(p, "total_records")).alias("day_1_percentage"),
+           _a(p, "days_with_crashes").alias("days_with_crashes")]
+    return aggs, fin
+
+
+def geo_section(p: str = "", lat: str = "DEC_LATITUDE", lon: str = "DEC_LONGITUDE") -> Section:
+    both = F.col(lat).isNotNull() & F.col(lon).isNotNull()
+    aggs = [F.count(F.lit(1)).alias(f"{p}total"), F.count_if(both).alias(f"{p}with"),
+            F.min(F.when(both, F.col(lat))).alias(f"{p}lat_min"), F.max(F.when(both, F.col(lat))).alias(f"{p}lat_max"),
+            F.min(F.when(both, F.col(lon))).alias(f"{p}lon_min"), F.max(F.when(both, F.col(lon))).alias(f"{p}lon_max")]
+    fin = [_a(p, "with").alias("total_with_coords"), _pct(_a(p, "with"), _a(p, "total")).alias("percent_with_coords")]
+    fin += [_a(p, c).alias(c) for c in ("lat_min", "lat_max", "lon_min", "lon_max")]
+    return aggs, fin
+
+
+def weather_section(p: str = "", first: str = "temp_max_c", temp: str = "temp_max_c",
+                    precip: str = "precipitation_mm") -> Section:
+    aggs = [F.count(F.lit(1)).alias(f"{p}total"), F.count(first).alias(f"{p}with"),
+            F.min(temp).alias(f"{p}tmin"), F.max(temp).alias(f"{p}tmax"),
+            F.count_if(F.col(precip) > 0).alias(f"{p}wet"), F.count(precip).alias(f"{p}precip_n")]
+    fin = [_a(p, "with").alias("crashes_with_weather"), _pct(_a(p, "with"), _a(p, "total")).alias("percent_with_weather"),
+           _a(p, "tmin").alias("temp_min"), _a(p, "tmax").alias("temp_max"),
+           _a(p, "wet").alias("crashes_with_precipitation"),
+           _pct(_a(p, "wet"), _a(p, "precip_n")).alias("percent_with_precipitation")]
+    return aggs, fin
+
+
+def completeness_overall_section(columns: list[str], p: str = "") -> Section:
+    aggs = [F.count(F.lit(1)).alias(f"{p}_total")] + [F.count(F.col(f"`{c}`")).alias(f"{p}_n{i}") for i, c in enumerate(columns)]
+    total = _a(p, "_total")
+    pcts = [_pct(_a(p, f"_n{i}"), total) for i in range(len(columns))]
+    nn = sum((_a(p, f"_n{i}") for i in range(len(columns))), F.lit(0).cast("bigint"))
+    fin = [total.alias("total_records"), F.lit(len(columns)).cast("bigint").alias("total_fields"),
+           _pct(nn, total * len(columns)).alias("overall_completeness_pct"),
+           sum((F.when(x == 100.0, 1).otherwise(0) for x in pcts), F.lit(0)).cast("bigint").alias("fields_with_100pct_completeness"),
+           sum((F.when(x < 90.0, 1).otherwise(0) for x in pcts), F.lit(0)).cast("bigint").alias("fields_below_90pct_completeness")]
+    return aggs, fin
+
+
+def _run(df: DataFrame, section: Section) -> DataFrame:
+    aggs, fin = section
+    return df.agg(*aggs).select(*fin)
+
+
 def val_date_methods(df: DataFrame, per: str = "row") -> DataFrame:
     """V1: count and percent (2 dp) per date approximation method."""
-    d = _per(df, per, cols=["date_approximation_method"])
-    m = F.col("date_approximation_method")
-    total = F.count(F.lit(1))
-    aggs = [total.alias("total_records")]
-    for name in (METHOD_EXACT, METHOD_WEEKDAY, METHOD_FALLBACK, METHOD_MID_ONLY):
-        n = F.count_if(m == name)
-        aggs += [n.alias(name), _pct(n, total).alias(f"{name}_pct")]
-    return d.agg(*aggs)
+    return _run(_per(df, per, cols=["date_approximation_method"]), date_methods_section())
 
 
 def val_temporal(df: DataFrame, date_col: str = "crash_date", per: str = "row") -> DataFrame:
     """V2-V4: year range, years, mean crashes per year (1 dp), day-1 count/percent, days used."""
-    d = _per(df, per, cols=[date_col])
-    dt = F.col(date_col)
-    total = F.count(F.lit(1))
-    day1 = F.count_if(F.dayofmonth(dt) == 1)
-    # mean of the yearly counts = dated rows / distinct years, so one pass suffices
-    return d.agg(F.min(F.year(dt)).alias("first_year"), F.max(F.year(dt)).alias("last_year"),
-                 F.count_distinct(F.year(dt)).alias("total_years"),
-                 F.round(F.count(dt) / F.count_distinct(F.year(dt)), 1).alias("crashes_per_year_avg"),
-                 total.alias("total_records"), day1.alias("day_1_crashes"),
-                 _pct(day1, total).alias("day_1_percentage"),
-                 F.count_distinct(F.dayofmonth(dt)).alias("days_with_crashes"))
+    return _run(_per(df, per, cols=[date_col]), temporal_section(date_col=date_col))
 
 
 def val_day_histogram(df: DataFrame, date_col: str = "crash_date", per: str = "row") -> DataFrame:
@@ -72,13 +132,7 @@ def val_top_days(df: DataFrame, date_col: str = "crash_date", per: str = "row",
 
 def val_geo_coverage(df: DataFrame, lat: str = "DEC_LATITUDE", lon: str = "DEC_LONGITUDE", per: str = "row") -> DataFrame:
     """V6: rows with both coordinates, percent, and coordinate ranges."""
-    d = _per(df, per, cols=[lat, lon])
-    both = F.col(lat).isNotNull() & F.col(lon).isNotNull()
-    total = F.count(F.lit(1))
-    n = F.count_if(both)
-    return d.agg(n.alias("total_with_coords"), _pct(n, total).alias("percent_with_coords"),
-                 F.min(F.when(both, F.col(lat))).alias("lat_min"), F.max(F.when(both, F.col(lat))).alias("lat_max"),
-                 F.min(F.when(both, F.col(lon))).alias("lon_min"), F.max(F.when(both, F.col(lon))).alias("lon_max"))
+    return _run(_per(df, per, cols=[lat, lon]), geo_section(lat=lat, lon=lon))
 
 
 def val_weather_coverage(df: DataFrame, per: str = "row", first: str = "temp_max_c",
@@ -87,13 +141,8 @@ def val_weather_coverage(df: DataFrame, per: str = "row", first: str = "temp_max
 
     The precipitation percent is among rows that have a precipitation value.
     """
-    d = _per(df, per, cols=[first, temp, precip])
-    total = F.count(F.lit(1))
-    n = F.count(first)
-    wet = F.count_if(F.col(precip) > 0)
-    return d.agg(n.alias("crashes_with_weather"), _pct(n, total).alias("percent_with_weather"),
-                 F.min(temp).alias("temp_min"), F.max(temp).alias("temp_max"),
-                 wet.alias("crashes_with_precipitation"), _pct(wet, F.count(precip)).alias("percent_with_precipitation"))
+    return _run(_per(df, per, cols=list(dict.fromkeys([first, temp, precip]))),
+                weather_section(first=first, temp=temp, precip=precip))
 
 
 def val_completeness(df: DataFrame) -> DataFrame:
@@ -106,37 +155,23 @@ def val_completeness(df: DataFrame) -> DataFrame:
 
 
 def val_completeness_overall(df: DataFrame) -> DataFrame:
-    """V9: overall completeness, fields at 100 %, fields below 90 % (on the rounded percents).
-
-    One aggregate pass; the per-column figures are combined within that row.
-    """
-    cols = df.columns
-    row = df.agg(F.count(F.lit(1)).alias("_total"), *[F.count(F.col(f"`{c}`")).alias(f"_n{i}") for i, c in enumerate(cols)])
-    pcts = [_pct(F.col(f"_n{i}"), F.col("_total")) for i in range(len(cols))]
-    nn = sum((F.col(f"_n{i}") for i in range(len(cols))), F.lit(0).cast("bigint"))
-    full = sum((F.when(p == 100.0, 1).otherwise(0) for p in pcts), F.lit(0))
-    low = sum((F.when(p < 90.0, 1).otherwise(0) for p in pcts), F.lit(0))
-    return row.select(
-        F.col("_total").alias("total_records"), F.lit(len(cols)).cast("bigint").alias("total_fields"),
-        _pct(nn, F.col("_total") * len(cols)).alias("overall_completeness_pct"),
-        full.cast("bigint").alias("fields_with_100pct_completeness"),
-        low.cast("bigint").alias("fields_below_90pct_completeness"))
-
-
-def val_report(df: DataFrame, per: str = "row") -> DataFrame:
-    """The report sections as (section, metric, value) text rows, one union."""
-    def longify(section: str, d: DataFrame) -> DataFrame:
-        entries = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(f"`{c}`").cast("string").alias("value"))
-                            for c in d.columns])
-        return d.select(F.lit(section).alias("section"), F.inline(entries))
-    parts = [
-        longify("date_approximation", val_date_methods(df, per)),
-        longify("temporal_distribution", val_temporal(df, per=per)),
-        longify("geographic_coverage", val_geo_coverage(df, per=per)),
-        longify("weather_integration", val_weather_coverage(df, per=per)),
-        longify("data_quality", val_completeness_overall(df)),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """V9: overall completeness, fields at 100 %, fields below 90 % (on the rounded percents)."""
+    return _run(df, completeness_overall_section(df.columns))
+
+
+def val_report(df: DataFrame) -> DataFrame:
+    """All report sections as (section, metric, value) text rows, from one pass over ``df``."""
+    sections = {
+        "date_approximation": date_methods_section("s1_"),
+        "temporal_distribution": temporal_section("s2_"),
+        "geographic_coverage": geo_section("s3_"),
+        "weather_integration": weather_section("s4_"),
+        "data_quality": completeness_overall_section(df.columns, "s5_"),
+    }
+    row = df.agg(*[a for aggs, _ in sections.values() for a in aggs])
+    wide = row.select(*[e.alias(f"{name}.{i}") for name, (_, fin) in sections.items() for i, e in enumerate(fin)])
+    names = {name: row.select(*fin).columns for name, (_, fin) in sections.items()}
+    entries = [F.struct(F.lit(name).alias("section"), F.lit(metric).alias("metric"),
+                        F.col(f"`{name}.{i}`").cast("string").alias("value"))
+               for name, metrics in names.items() for i, metric in enumerate(metrics)]
+    return wide.select(F.inline(F.array(*entries)))

@@ -59,3 +59,24 @@ def test_cyclist_dataset_none_without_cycle(spark):
     assert D.cyclist_dataset(cw, None) is None
     summary = D.dataset_run_summary({"cyclist": None, "crash": cw})
     assert summary[0]["status"] == "skipped" and summary[1]["rows"] == 1
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.sampled_from("abc")), max_size=8),
+       st.lists(st.one_of(st.none(), st.sampled_from("abcd")), max_size=30))
+def test_salted_hot_key_join_equals_plain_left_join(spark, lkeys, rkeys):
+    left = spark.createDataFrame([(k, i) for i, k in enumerate(lkeys)], "k string, li int")
+    right = spark.createDataFrame([(k, i) for i, k in enumerate(rkeys)], "k string, ri int")
+    got = fanout_left_join(left, right, "k", hot_rows=2, salts=4)     # every repeated key is "hot"
+    a = sorted(map(tuple, got.select("k", "li", "ri").collect()), key=str)
+    b = sorted(map(tuple, left.join(right, "k", "left").select("k", "li", "ri").collect()), key=str)
+    assert a == b
+
+
+def test_hot_key_is_split_across_tasks(spark):
+    left = spark.createDataFrame([("hot", 0), ("cold", 1)], "k string, li int")
+    right = spark.range(0, 4000).selectExpr("CASE WHEN id % 3 = 0 THEN 'cold' ELSE 'hot' END AS k", "id AS ri")
+    got = fanout_left_join(left, right, "k", hot_rows=1000, salts=8)
+    assert got.count() == 4000
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "_salt" in plan
