@@ -172,6 +172,15 @@ def q_weather_join(spark, sf):
     return W.join_weather(dated, stages.weather_table(spark, sf))
 
 
+@register("drop_temp_columns", O.with_(O.CRASH_WEATHER[:-1], """
+SELECT d.*, w.* EXCLUDE (date) FROM dated d LEFT JOIN weather w ON w.date = d.crash_date"""))
+def q_drop_temp_columns(spark, sf):
+    dated = T.reconstruct_dates(stages.crash_geographic(spark, sf))
+    out = W.join_weather(dated, stages.weather_table(spark, sf))
+    assert "_wx_date" not in out.columns and "date" not in out.columns
+    return out
+
+
 @register("weather_match_stats", O.with_(O.CRASH_WEATHER[:-1], """
 SELECT COUNT(*) AS total_crashes, COUNT(w.date) AS weather_row_matched,
        COUNT(w.temp_avg_c) AS crashes_matched, COUNT(*) - COUNT(w.temp_avg_c) AS crashes_unmatched

@@ -267,3 +267,55 @@ def q_rename_columns_coalesce(spark, sf):
 @register("sorted_column_order", O.with_(["crash"], "SELECT * FROM crash"))
 def q_sorted_column_order(spark, sf):
     return H.sorted_columns(fx.crash(spark, sf))
+
+# ---------------------------------------------------------------- sources
+
+
+@register("scan_parquet", "SELECT * FROM orders")
+def q_scan_parquet(spark, sf):
+    from roadbook.sources.sinks import read_parquet
+    return read_parquet(spark, f"{sf.rstrip('/')}/orders.parquet")
+
+
+O.cte("wx_long", """
+SELECT date, datatype, value FROM (
+  SELECT date, 'PRCP' AS datatype, CAST(s_ln % 29 AS DOUBLE) / 2.0::DOUBLE AS value FROM wx_daily
+  UNION ALL SELECT date, 'TAVG', CASE WHEN year(date) IN (1995, 1996) THEN NULL ELSE CAST(((s_qty % 56) - 12) * 10 AS DOUBLE) END FROM wx_daily
+  UNION ALL SELECT date, 'TMAX', CAST(((s_qty % 56) - 12 + 4) * 10 AS DOUBLE) FROM wx_daily
+  UNION ALL SELECT date, 'TMIN', CAST(((s_qty % 56) - 12 - 4) * 10 AS DOUBLE) FROM wx_daily
+  UNION ALL SELECT date, 'WSF2', CAST(n % 23 AS DOUBLE) FROM wx_daily
+  UNION ALL SELECT date, 'SNOW', CASE WHEN s_pk % 17 = 0 THEN 5.0::DOUBLE ELSE 0.0::DOUBLE END FROM wx_daily)
+WHERE value IS NOT NULL
+""")
+
+
+@register("union_observations", O.with_(["wx_daily", "wx_long"], "SELECT * FROM wx_long"))
+def q_union_observations(spark, sf):
+    from roadbook.sources.observations import union_observations
+    long = fx.weather_long(spark, sf)
+    years = sorted(r[0] for r in long.select(F.year("date")).distinct().collect())   # one frame per year
+    return union_observations([long.filter(F.year("date") == y) for y in years]).select("date", "datatype", "value")
+
+
+@register("shard_completeness", """
+WITH expected AS (
+  SELECT y.year, c.category FROM (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year FROM orders
+                                  UNION SELECT DISTINCT CAST(year(ts) AS INTEGER) FROM events) y,
+       (VALUES ('CRASH'), ('CYCLE'), ('PERSON')) c(category)),
+observed AS (
+  SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year, 'CRASH' AS category FROM orders
+  UNION SELECT DISTINCT CAST(year(l_shipdate) AS INTEGER), 'PERSON' FROM lineitem
+  UNION SELECT DISTINCT CAST(year(l_shipdate) AS INTEGER), 'CYCLE' FROM lineitem
+        WHERE l_linenumber = 1 AND l_quantity < 10 AND l_returnflag = 'N' AND l_linestatus = 'F')
+SELECT e.year, e.category FROM expected e ANTI JOIN observed o ON e.year = o.year AND e.category = o.category""")
+def q_shard_completeness(spark, sf):
+    from roadbook.sources.shards import missing_categories
+    o = fx.table(spark, sf, "orders").select(F.year("o_orderdate").alias("year"), F.lit("CRASH").alias("category"))
+    li = fx.table(spark, sf, "lineitem")
+    p = li.select(F.year("l_shipdate").alias("year"), F.lit("PERSON").alias("category"))
+    c = li.filter((F.col("l_linenumber") == 1) & (F.col("l_quantity") < 10) & (F.col("l_returnflag") == "N")
+                  & (F.col("l_linestatus") == "F")).select(F.year("l_shipdate").alias("year"), F.lit("CYCLE").alias("category"))
+    observed = o.unionByName(p).unionByName(c)
+    # every year some source reports data for is expected to have all categories
+    years = o.select("year").unionByName(fx.table(spark, sf, "events").select(F.year("ts").alias("year"))).distinct()
+    return missing_categories(observed, years, ["CRASH", "CYCLE", "PERSON"])

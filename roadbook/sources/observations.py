@@ -24,3 +24,11 @@ def read_observation_pages(spark: SparkSession, paths) -> DataFrame:
 def ingest_order(long_df: DataFrame) -> DataFrame:
     """A deterministic ingest order over pages: (page name, position in page)."""
     return long_df.withColumn("obs_order", F.struct("page", "obs_index"))
+
+
+def union_observations(frames: list[DataFrame]) -> DataFrame:
+    """All yearly observation frames as one (by column name)."""
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out

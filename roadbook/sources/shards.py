@@ -137,3 +137,13 @@ def scan_sample(spark: SparkSession, paths: list[str], n: int = 1000) -> DataFra
             yield pdf[keep]
 
     return src.mapInPandas(head, src.schema)
+
+
+def missing_categories(observed: DataFrame, years: DataFrame, categories=tuple(CATEGORIES)) -> DataFrame:
+    """S9 over data: (year, category) pairs expected for the given years but not observed.
+
+    The expected grid is the years (a small distinct set) with the category
+    list attached as a literal array (no join), then an anti-join.
+    """
+    grid = years.select("year", F.explode(F.array(*[F.lit(c) for c in categories])).alias("category"))
+    return grid.join(observed.select("year", "category").distinct(), ["year", "category"], "left_anti")

@@ -47,3 +47,8 @@ def dataset_catalog(spark: SparkSession, outputs: dict[str, str]) -> DataFrame:
                            F.lit(len(df.columns)).alias("fields"))
         rows = row if rows is None else rows.unionByName(row)
     return rows
+
+
+def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """Read a stage output (fails if absent); schema merging stays off."""
+    return spark.read.option("mergeSchema", "false").parquet(path)
