@@ -40,7 +40,7 @@ WITH inv AS (
     AND NOT (c.name = 'o_comment' AND y.shard_year > 1995)),
 spans AS (SELECT col, MIN(shard_year) AS first_year, MAX(shard_year) AS last_year FROM inv GROUP BY 1)
 SELECT a.col AS old_column, b.col AS new_column, a.last_year AS old_last, b.first_year AS new_first,
-       levenshtein(upper(a.col), upper(b.col)) AS distance
+       CAST(levenshtein(upper(a.col), upper(b.col)) AS INTEGER) AS distance
 FROM spans a, spans b
 WHERE a.col <> b.col AND a.last_year < b.first_year AND levenshtein(upper(a.col), upper(b.col)) <= 2""")
 def q_rename_detection(spark, sf):

@@ -72,7 +72,7 @@ def q_profile_distinct(spark, sf):
 
 
 @register("profile_top_values", O.with_(PROFILE, """
-SELECT shard_year, "column", value, n, rank FROM (
+SELECT shard_year, "column", value, n, CAST(rank AS INTEGER) AS rank FROM (
   SELECT v.*, row_number() OVER (PARTITION BY v.shard_year, v."column" ORDER BY v.n DESC, v.value ASC) AS rank
   FROM shard_vc v JOIN shard_stats s ON v.shard_year = s.shard_year AND v."column" = s."column"
   WHERE s.distinct_count < 20 AND v.value IS NOT NULL) WHERE rank <= 10"""))
