@@ -16,7 +16,7 @@ from pyspark.sql.types import DataType, DoubleType, LongType, StringType
 
 from roadbook.constants import HELMET_UNKNOWN, HELMET_VALID
 from roadbook.functions.numeric import to_number
-from roadbook.operators.profile import column_stats, inventory_types, value_counts
+from roadbook.operators.profile import inventory_types, type_evidence
 
 
 def target_types(inv_types: DataFrame, pandas_dtypes: bool = False) -> DataFrame:
@@ -57,8 +57,8 @@ def harmonize_text_shards(df: DataFrame, inventory: DataFrame, year_col: str = "
     Returns one plan over all shards; ``processing_date`` defaults to one
     timestamp fixed for the run (pass one to make reruns compare equal).
     """
-    stats = column_stats(value_counts(df, year_col, inventory), year_col)
-    types = target_types(inventory_types(inventory, stats, year_col), pandas_dtypes)
+    evidence = type_evidence(df, year_col, inventory)
+    types = target_types(inventory_types(inventory, evidence, year_col), pandas_dtypes)
     decided = {r["column"]: r["target_type"] for r in types.collect()}   # one row per column
     cols = sorted(c for c in df.columns if c != year_col)
     out = df.select(F.col(year_col).cast("int").alias(year_out),

@@ -39,6 +39,37 @@ def value_counts(df: DataFrame, year_col: str = "shard_year", inventory: DataFra
     return long.groupBy(year_col, "column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _dtype_exprs(rows, nulls, n_int, n_num):
+    nn = rows - nulls
+    dtype = (F.when(nn == 0, F.lit("float64"))
+             .when((n_int == nn) & (nulls == 0), F.lit("int64"))
+             .when(n_num == nn, F.lit("float64"))
+             .otherwise(F.lit("object")))
+    logical = (F.when(nn == 0, F.lit("null")).when(n_int == nn, F.lit("long"))
+               .when(n_num == nn, F.lit("double")).otherwise(F.lit("string")))
+    return dtype, logical
+
+
+def type_evidence(df: DataFrame, year_col: str = "shard_year", inventory: DataFrame | None = None) -> DataFrame:
+    """P5 alone: (year, column, dtype, logical_type) without value-level grouping.
+
+    The aggregate is keyed by (year, column) only, so it is fully combined
+    map-side: the shuffle carries one small row per task and column, however
+    many distinct values the data has. This is what type resolution needs.
+    """
+    long = unpivot_text(df, [year_col])
+    if inventory is not None:
+        inv = inventory.select(F.col(year_col), F.col("column")).distinct()
+        long = join_small(long, inv, [year_col, "column"], "left_semi", max_rows=1_000_000)
+    v = F.col("value")
+    agg = long.groupBy(year_col, "column").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(v.isNull()).alias("null_count"),
+        F.count_if(v.rlike(INT_RE) & v.try_cast("bigint").isNotNull()).alias("_n_int"),
+        F.count_if(v.try_cast("double").isNotNull()).alias("_n_num"))
+    dtype, logical = _dtype_exprs(F.col("rows"), F.col("null_count"), F.col("_n_int"), F.col("_n_num"))
+    return agg.select(year_col, "column", dtype.alias("dtype"), logical.alias("logical_type"))
+
+
 def column_stats(vc: DataFrame, year_col: str = "shard_year") -> DataFrame:
     """P1, P2, P4, P5 per (year, column) from the value counts.
 
@@ -60,13 +91,7 @@ def column_stats(vc: DataFrame, year_col: str = "shard_year") -> DataFrame:
         F.sum(F.when(is_num, n).otherwise(0)).alias("_n_num"),
         F.min(d).alias("_min"), F.max(d).alias("_max"),
     )
-    nn = F.col("rows") - F.col("null_count")
-    dtype = (F.when(nn == 0, F.lit("float64"))
-             .when((F.col("_n_int") == nn) & (F.col("null_count") == 0), F.lit("int64"))
-             .when(F.col("_n_num") == nn, F.lit("float64"))
-             .otherwise(F.lit("object")))
-    logical = (F.when(nn == 0, F.lit("null")).when(F.col("_n_int") == nn, F.lit("long"))
-               .when(F.col("_n_num") == nn, F.lit("double")).otherwise(F.lit("string")))
+    dtype, logical = _dtype_exprs(F.col("rows"), F.col("null_count"), F.col("_n_int"), F.col("_n_num"))
     numeric = dtype != "object"
     return stats.select(
         year_col, "column", "rows", "null_count",

@@ -65,3 +65,11 @@ def test_top_values_only_low_cardinality(spark):
     assert {r.column for r in top} == {"kind"}
     assert [(r.value, r.n, r.rank) for r in sorted(top, key=lambda r: r.rank)] == [("j", 15, 1), ("k", 15, 2)]
     assert df.select(F.lit(1)).count() == 30
+
+
+def test_type_evidence_agrees_with_value_level_stats(spark):
+    df, inv = _shards(spark)
+    a = {(r.shard_year, r.column): (r.dtype, r.logical_type) for r in P.type_evidence(df, "shard_year", inv).collect()}
+    b = {(r.shard_year, r.column): (r.dtype, r.logical_type)
+         for r in P.column_stats(P.value_counts(df, "shard_year", inv)).collect()}
+    assert a == b
