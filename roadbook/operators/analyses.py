@@ -29,39 +29,45 @@ def area_aggregate(df: DataFrame, cell_deg: float = 0.01, lat: str = "DEC_LATITU
         F.count(F.lit(1)).alias("crashes"), F.max(severity).alias("max_severity"))
 
 
-def _qgrams(df: DataFrame, col: str, q: int) -> DataFrame:
-    padded = F.concat(F.lit("#" * (q - 1)), F.upper(F.col(col)), F.lit("$" * (q - 1)))
-    n = F.length(padded) - q + 1
-    return df.select("*", F.explode(F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(padded, i, q))).alias("_g"))
+def deletion_variants(col: str, k: int) -> "F.Column":
+    """All strings obtained by deleting at most ``k`` characters (k <= 2), as an array.
 
-
-def rename_detection(inventory: DataFrame, year_col: str = "shard_year", max_distance: int = 2, q: int = 2) -> DataFrame:
+    Two strings within ``k`` edits always share such a variant (symmetric
+    deletion), so an equi-join on variants finds every near pair without
+    comparing all pairs.
+    """
+    s = F.upper(F.col(col))
+    n = F.length(s)
+    out = F.array(s)
+    if k >= 1:
+        one = F.transform(F.sequence(F.lit(1), n), lambda i: F.concat(F.substring(s, 1, i - 1), F.substring(s, i + 1, 10_000)))
+        out = F.concat(out, one)
+    if k >= 2:
+        two = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(
+            F.sequence(i + 1, F.greatest(n, i + 1)),
+            lambda j: F.concat(F.substring(s, 1, i - 1), F.substring(s, i + 1, j - i - 1), F.substring(s, j + 1, 10_000)))))
+        out = F.concat(out, two)
+    if k > 2:
+        raise ValueError("deletion neighbourhoods are built for k <= 2")
+    return F.array_distinct(out)
+
+
+def rename_detection(inventory: DataFrame, year_col: str = "shard_year", max_distance: int = 2) -> DataFrame:
     """Candidate renames — an old column whose last year precedes a new column's first year,
-    with names within ``max_distance`` edits.
+    with names within ``max_distance`` edits (case-insensitive).
 
-    Candidates come from an equi-join on shared q-grams (strings within k
-    edits share at least ``max(len) + q - 1 - k*q`` padded q-grams), plus an
-    equi-join on length for names too short for that bound to be positive,
-    so no pair is missed and no all-pairs product is formed.
+    Candidates come from an equi-join on deletion variants (exact for edit
+    distance, no all-pairs product); ``levenshtein`` confirms each one.
     """
     spans = inventory.groupBy("column").agg(F.min(year_col).alias("first_year"), F.max(year_col).alias("last_year"))
-    a = spans.select(F.col("column").alias("old_column"), F.col("last_year").alias("old_last"))
-    b = spans.select(F.col("column").alias("new_column"), F.col("first_year").alias("new_first"))
-    ga = _qgrams(a, "old_column", q)
-    gb = _qgrams(b, "new_column", q)
-    shared = (ga.join(gb, "_g").groupBy("old_column", "old_last", "new_column", "new_first")
-              .agg(F.count(F.lit(1)).alias("_shared")))
-    k = max_distance
-    short_len = k * q  # names with length <= k*q may share no q-gram at all
-    sa = a.filter(F.length("old_column") <= short_len + k).withColumn("_len", F.length("old_column"))
-    sb = b.filter(F.length("new_column") <= short_len + k)
-    short = (sa.withColumn("_d", F.explode(F.sequence(F.lit(-k), F.lit(k))))
-             .withColumn("_len", F.col("_len") + F.col("_d")).drop("_d")
-             .join(sb.withColumn("_len", F.length("new_column")), "_len").drop("_len"))
-    cand = shared.select("old_column", "old_last", "new_column", "new_first").unionByName(short).distinct()
+    var = spans.select("column", "first_year", "last_year",
+                       F.explode(deletion_variants("column", max_distance)).alias("_v"))
+    a = var.select(F.col("column").alias("old_column"), F.col("last_year").alias("old_last"), "_v")
+    b = var.select(F.col("column").alias("new_column"), F.col("first_year").alias("new_first"), "_v")
+    cand = (a.join(b, "_v").filter((F.col("old_column") != F.col("new_column")) & (F.col("old_last") < F.col("new_first")))
+            .select("old_column", "old_last", "new_column", "new_first").distinct())
     dist = F.levenshtein(F.upper(F.col("old_column")), F.upper(F.col("new_column")))
-    return (cand.filter((F.col("old_column") != F.col("new_column")) & (F.col("old_last") < F.col("new_first")))
-            .withColumn("distance", dist).filter(F.col("distance") <= k)
+    return (cand.withColumn("distance", dist).filter(F.col("distance") <= max_distance)
             .select("old_column", "new_column", "old_last", "new_first", "distance"))
 
 

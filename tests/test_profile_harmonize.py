@@ -73,3 +73,25 @@ def test_type_evidence_agrees_with_value_level_stats(spark):
     b = {(r.shard_year, r.column): (r.dtype, r.logical_type)
          for r in P.column_stats(P.value_counts(df, "shard_year", inv)).collect()}
     assert a == b
+
+
+def test_rename_detection_matches_brute_force(spark):
+    import itertools
+    from roadbook.operators.analyses import rename_detection
+    names = {"HELMET_IND": (2005, 2012), "HELMET_USED": (2013, 2024), "PC_HLMT_IND": (2005, 2024), "AB": (2005, 2010),
+             "ABC": (2011, 2024), "X": (2005, 2006), "YZ": (2007, 2024), "DEC_LAT": (2005, 2022), "DEC_LATITUDE": (2023, 2024),
+             "LANE_CNT": (2005, 2009), "LANE_COUNT": (2010, 2024)}
+    rows = [(y, c) for c, (a, b) in names.items() for y in (a, b)]
+    inv = spark.createDataFrame(rows, "shard_year int, column string")
+    got = {(r.old_column, r.new_column) for r in rename_detection(inv).collect()}
+
+    def lev(a, b):
+        d = list(range(len(b) + 1))
+        for i, ca in enumerate(a, 1):
+            prev, d[0] = d[0], i
+            for j, cb in enumerate(b, 1):
+                prev, d[j] = d[j], min(d[j] + 1, d[j - 1] + 1, prev + (ca != cb))
+        return d[-1]
+    want = {(a, b) for a, b in itertools.permutations(names, 2)
+            if names[a][1] < names[b][0] and lev(a.upper(), b.upper()) <= 2}
+    assert got == want and ("LANE_CNT", "LANE_COUNT") in got and ("X", "YZ") in got
