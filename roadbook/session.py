@@ -80,3 +80,35 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     return spark.read.parquet(path)
+
+
+def cluster_conf(total_input_bytes: int | None = None, executors: int | None = None,
+                 cores_per_executor: int = 4) -> dict[str, str]:
+    """Settings the operators are designed around, for a cluster session.
+
+    Shuffle partitions are sized from the input when it is known: about one
+    per 2 GB of input (projections and partial aggregation shrink what is
+    shuffled well below the input), at least two per task slot and at most
+    65,536 so the map x reduce block count stays manageable; AQE then
+    coalesces small partitions and splits skewed ones. File splits stay at
+    128 MB. The checkpoint folder is not set here: it is the cluster's shared
+    ``spark.checkpoint.dir``.
+    """
+    conf = {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * 1024 * 1024),
+        "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+        "spark.sql.codegen.hugeMethodLimit": "8000",
+        "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+        "spark.sql.session.timeZone": "UTC",
+    }
+    if total_input_bytes:
+        parts = max(200, total_input_bytes // (2 * 1024 ** 3))
+        if executors:
+            parts = max(parts, 2 * executors * cores_per_executor)
+        conf["spark.sql.shuffle.partitions"] = str(int(min(parts, 65536)))
+    return conf

@@ -101,3 +101,15 @@ def test_stream_matches_batch(spark, tmpdir_path):
     want = stages.crash_weather(spark, SF_SMALL)
     assert got.count() == want.count()
     assert got.select(sorted(want.columns)).exceptAll(want.select(sorted(want.columns))).count() == 0
+
+
+def test_text_summary_and_cluster_conf(spark, tmpdir_path):
+    from roadbook.session import cluster_conf
+    issues = spark.createDataFrame([("CRASH", "dtype_changes", "A,B", 2)], "category string, issue string, columns string, n_columns long")
+    p = os.path.join(tmpdir_path, "summary")
+    sinks.write_text_summary(issues, p)
+    text = "".join(open(os.path.join(p, f)).read() for f in os.listdir(p) if f.startswith("part-"))
+    assert text.strip() == "CRASH: dtype_changes (2): A,B"
+    conf = cluster_conf(total_input_bytes=100 * 1024 ** 4, executors=1000)
+    assert 8000 <= int(conf["spark.sql.shuffle.partitions"]) <= 65536
+    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
