@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -88,17 +90,115 @@ def orphans(child: DataFrame, parent: DataFrame, key: str = "CRN") -> DataFrame:
     return child.join(parent.select(key).distinct(), key, "left_anti")
 
 
-def numeric_outliers(df: DataFrame, cols: list[str], accuracy: int = 1_000_000, k: float = 1.5) -> DataFrame:
+def exact_quantiles(df: DataFrame, group: str, value: str, probs: list[float], buckets: int = 100,
+                    accuracy: int = 1_000, max_collect: int = 100_000, max_rounds: int = 16) -> DataFrame:
+    """Exact discrete quantiles per group: the ceil(p*n)-th smallest value (NULL/NaN ignored).
+
+    Bracket refinement, one pass over the data per round:
+
+    * the first pass counts each group and sketches it at ``buckets`` evenly
+      spaced ranks (``percentile_approx``; with ``accuracy >= buckets`` its
+      rank error is below one bucket, so a one-bucket margin around the
+      target keeps it inside the bracket);
+    * later passes count exactly, per bracket, the values below it and the
+      tie blocks on its two bounds, and sketch the values strictly inside;
+      a target rank inside a bound's tie block is answered by that bound;
+    * once the sketch bounds a bracket's interior by ``max_collect`` values,
+      the next pass sorts just those values in one task and picks the exact
+      element; otherwise the bracket shrinks about ``buckets / 3`` times.
+
+    Targets that share a bracket share its aggregation. Memory per task is
+    bounded by the sketch and ``max_collect``; only one small row per bracket
+    and target reaches the driver. Returns (group, p, value).
+    """
+    if accuracy < buckets:
+        raise ValueError("accuracy must be at least buckets")
+    spark = df.sparkSession
+    data = df.select(F.col(group).cast("string").alias("_g"), F.col(value).cast("double").alias("_v"))
+    data = data.filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    pcts = [i / buckets for i in range(buckets + 1)]
+
+    def narrow(st: dict, ki: int, m: int, q: list) -> None:
+        j_lo = max(0, math.floor((ki - 1) * buckets / m) - 1)
+        j_hi = min(buckets, math.ceil(ki * buckets / m) + 1)
+        st["lo"], st["hi"] = q[j_lo], q[j_hi]
+        st["collect"] = (j_hi - j_lo) * m / buckets + 2 * m / accuracy <= max_collect
+
+    state: dict[int, dict] = {}
+    first = data.groupBy("_g").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("_v", pcts, accuracy).alias("q"))
+    for r in first.collect():                                   # one row per group
+        for p in probs:
+            st = {"g": r["_g"], "p": float(p), "k": max(1, math.ceil(p * r["n"])), "lo": None, "hi": None,
+                  "collect": r["n"] <= max_collect, "value": None}
+            if not st["collect"]:
+                narrow(st, st["k"], r["n"], r["q"])
+            state[len(state)] = st
+    v, lo, hi = F.col("_v"), F.col("lo"), F.col("hi")
+    for _ in range(max_rounds):
+        open_ = {t: st for t, st in state.items() if st["value"] is None}
+        if not open_:
+            break
+        keys = sorted({(st["g"], st["lo"], st["hi"], st["collect"]) for st in open_.values()}, key=str)
+        bid = {k: i for i, k in enumerate(keys)}
+        brackets = spark.createDataFrame([(i, *k) for k, i in bid.items()],
+                                         "bid int, _g string, lo double, hi double, collect boolean")
+        tgt = spark.createDataFrame([(t, bid[(st["g"], st["lo"], st["hi"], st["collect"])], st["k"])
+                                     for t, st in open_.items()], "tid int, bid int, k long")
+        inside = (lo.isNull() | (v > lo)) & (hi.isNull() | (v < hi))
+        agg = data.join(F.broadcast(brackets), "_g").groupBy("bid", "collect").agg(
+            F.count_if(lo.isNotNull() & (v < lo)).alias("below"),
+            F.count_if(v == lo).alias("eq_lo"),
+            F.count_if(v == hi).alias("eq_hi"),
+            F.count_if(inside).alias("m"),
+            F.percentile_approx(F.when(inside & ~F.col("collect"), v), pcts, accuracy).alias("q"),
+            F.sort_array(F.collect_list(F.when(inside & F.col("collect"), v))).alias("_vals"))
+        rank = F.col("k") - F.col("below") - F.col("eq_lo")
+        res = agg.join(F.broadcast(tgt), "bid").select(
+            "tid", "below", "eq_lo", "eq_hi", "m", "q",
+            F.when(F.col("collect") & (rank >= 1) & (rank <= F.size("_vals")),
+                   F.element_at("_vals", rank.cast("int"))).alias("picked"))
+        for r in res.collect():                                 # one row per open target
+            st = state[r["tid"]]
+            kk = st["k"] - r["below"]                           # rank within [lo, hi]
+            eq_lo = r["eq_lo"] if st["lo"] is not None else 0
+            eq_hi = r["eq_hi"] if st["hi"] is not None and st["hi"] != st["lo"] else 0
+            m = r["m"]
+            if not 1 <= kk <= eq_lo + m + eq_hi:
+                raise RuntimeError("quantile bracket lost its target")
+            if kk <= eq_lo:
+                st["value"] = st["lo"]
+            elif kk > eq_lo + m:
+                st["value"] = st["hi"]
+            elif st["collect"]:
+                st["value"] = r["picked"]
+            elif m <= max_collect:
+                st["collect"] = True
+            else:
+                narrow(st, kk - eq_lo, m, r["q"])
+    if any(st["value"] is None for st in state.values()):
+        raise RuntimeError("quantile refinement did not converge; raise max_rounds")
+    return spark.createDataFrame([(st["g"], st["p"], st["value"]) for st in state.values()],
+                                 f"{group} string, p double, value double")
+
+
+def numeric_outliers(df: DataFrame, cols: list[str], k: float = 1.5, exact: bool = True,
+                     accuracy: int = 10_000) -> DataFrame:
     """Per numeric field, quartiles, IQR fences and the number of values outside them.
 
-    Quartiles come from ``percentile_approx`` (a mergeable sketch: bounded
-    memory per field at any scale; the returned quartile is an actual value,
-    off by at most ``rows / accuracy`` ranks, exact below ``accuracy`` rows).
+    ``exact=True`` uses :func:`exact_quantiles` (the ceil(p*n)-th smallest
+    value, a few bounded passes); ``exact=False`` uses one
+    ``percentile_approx`` pass (mergeable sketch, rank error at most
+    ``rows / accuracy``).
     """
     entries = F.array(*[F.struct(F.lit(c).alias("field"), F.col(f"`{c}`").cast("double").alias("value")) for c in cols])
     long = df.select(F.inline(entries)).filter(F.col("value").isNotNull() & ~F.isnan("value"))
-    q = long.groupBy("field").agg(F.percentile_approx("value", [0.25, 0.75], accuracy).alias("_q"))
-    q = q.select("field", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("q3"))
+    if exact:
+        qs = exact_quantiles(long, "field", "value", [0.25, 0.75])
+        q = qs.groupBy("field").agg(F.max(F.when(F.col("p") == 0.25, F.col("value"))).alias("q1"),
+                                    F.max(F.when(F.col("p") == 0.75, F.col("value"))).alias("q3"))
+    else:
+        q = long.groupBy("field").agg(F.percentile_approx("value", [0.25, 0.75], accuracy).alias("_q"))
+        q = q.select("field", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("q3"))
     q = q.withColumns({"iqr": F.col("q3") - F.col("q1")})
     q = q.withColumns({"lower": F.col("q1") - F.lit(k) * F.col("iqr"), "upper": F.col("q3") + F.lit(k) * F.col("iqr")})
     j = join_small(long, q, "field", "inner", max_rows=100_000)   # one row per field

@@ -95,3 +95,19 @@ def test_rename_detection_matches_brute_force(spark):
     want = {(a, b) for a, b in itertools.permutations(names, 2)
             if names[a][1] < names[b][0] and lev(a.upper(), b.upper()) <= 2}
     assert got == want and ("LANE_CNT", "LANE_COUNT") in got and ("X", "YZ") in got
+
+
+def test_exact_quantiles_refinement_matches_sorting(spark):
+    import math
+    import random
+    from roadbook.operators.analyses import exact_quantiles
+    random.seed(7)
+    vals = [random.choice([random.random() * 100, 5.0, 50.0]) for _ in range(5000)]   # heavy ties
+    rows = [("a", v) for v in vals] + [("b", float(i % 37)) for i in range(1200)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    # tiny max_collect forces several refinement rounds, including tie resolution
+    got = {(r.g, r.p): r.value for r in exact_quantiles(df, "g", "v", [0.1, 0.25, 0.5, 0.75, 0.99],
+                                                          buckets=10, accuracy=100, max_collect=50).collect()}
+    for g, xs in (("a", sorted(vals)), ("b", sorted(float(i % 37) for i in range(1200)))):
+        for p in (0.1, 0.25, 0.5, 0.75, 0.99):
+            assert got[(g, p)] == xs[max(1, math.ceil(p * len(xs))) - 1], (g, p)
