@@ -61,7 +61,8 @@ def fanout_left_join(left: DataFrame, right: DataFrame, on, hot_rows: int = 1_00
     outer join, so a hot key on the right would land in one task. Here:
 
     * right-side keys with at least ``hot_rows`` rows are found first (a
-      partially aggregated count; the set is size-checked, then broadcast);
+      partially aggregated count; the set is broadcast when it has at most
+      ``max_hot_keys`` entries, and shuffle-joined otherwise);
     * a hot key's right rows are spread over ``salts`` buckets by a row hash,
       and the matching left row is replicated once per bucket, so the key is
       joined by ``salts`` tasks;
@@ -82,10 +83,10 @@ def fanout_left_join(left: DataFrame, right: DataFrame, on, hot_rows: int = 1_00
     if not right_unique:
         hk = hot_keys(r, keys, hot_rows)
         n_hot = hk.limit(max_hot_keys + 1).count()
-        if n_hot > max_hot_keys:
-            raise ValueError(f"more than {max_hot_keys} keys with >= {hot_rows} rows; raise hot_rows")
         if n_hot > 0:
-            hot = F.broadcast(hk)
+            # broadcast the hot-key set only within its checked bound; beyond it,
+            # the two small joins against it are left to the planner (shuffle joins)
+            hot = F.broadcast(hk) if n_hot <= max_hot_keys else hk
     null_salt = F.pmod(_row_hash(left), F.lit(salts)).cast("int")
     if hot is None:
         ls = left.withColumn("_salt", F.when(key_null, null_salt).otherwise(F.lit(0)))

@@ -80,3 +80,12 @@ def test_hot_key_is_split_across_tasks(spark):
     assert got.count() == 4000
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "_salt" in plan
+
+
+def test_many_hot_keys_fall_back_to_shuffle(spark):
+    left = spark.createDataFrame([(str(i), i) for i in range(5)], "k string, li int")
+    right = spark.range(0, 500).selectExpr("CAST(id % 5 AS STRING) AS k", "id AS ri")
+    got = fanout_left_join(left, right, "k", hot_rows=10, salts=4, max_hot_keys=2)
+    assert got.count() == 500
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "_salt" in plan
