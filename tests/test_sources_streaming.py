@@ -53,9 +53,9 @@ def test_zip_archives(spark, tmpdir_path):
     with zipfile.ZipFile(good, "w") as z:
         z.writestr("CRASH_2020.csv", "CRN,COUNTY\n1,51\n2,67\n")
         z.writestr("PERSON_2020.csv", "CRN,PERSON_TYPE\n1,PEDESTRIAN\n")
-    with open(os.path.join(tmpdir_path, "Philadelphia_2020.zip"), "wb") as f:
+    with open(os.path.join(tmpdir_path, "archive_2020.zip"), "wb") as f:
         f.write(good.getvalue())
-    with open(os.path.join(tmpdir_path, "Philadelphia_2021.zip"), "wb") as f:
+    with open(os.path.join(tmpdir_path, "archive_2021.zip"), "wb") as f:
         f.write(b"not a zip")
     lines = archives.expand_archives(spark, tmpdir_path)
     assert lines.filter(F.col("error").isNotNull()).count() == 1
