@@ -80,7 +80,9 @@ def fanout_left_join(left: DataFrame, right: DataFrame, on, hot_rows: int = 1_00
     key_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     r = right.filter(~key_null).withColumn("_rmatch", F.lit(True))
     hot = None
-    if not right_unique:
+    # a right side with fewer than hot_rows rows cannot have a hot key; the
+    # limited count stops reading as soon as it reaches hot_rows
+    if not right_unique and r.select(*keys).limit(hot_rows).count() >= hot_rows:
         hk = hot_keys(r, keys, hot_rows)
         n_hot = hk.limit(max_hot_keys + 1).count()
         if n_hot > 0:
