@@ -9,6 +9,7 @@ lazy plan per output.
 from __future__ import annotations
 
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,13 +40,15 @@ def run_all(spark: SparkSession, sf_dir: str, out_dir: str | None = None) -> dic
         "weather_stats": match_stats(crash_weather, weather),
     }
     if out_dir:
-        paths = {}
-        for name, df in outputs.items():
-            paths[name] = os.path.join(out_dir, name)
-            sinks.write_parquet(df, paths[name])
+        paths = {name: os.path.join(out_dir, name) for name in outputs}
+        # independent outputs are separate Spark jobs; submitting them together
+        # lets their tasks share the cluster instead of running one after another
+        with ThreadPoolExecutor(max_workers=len(outputs)) as pool:
+            list(pool.map(lambda kv: sinks.write_parquet(kv[1], paths[kv[0]]), outputs.items()))
         full = spark.read.parquet(paths["full_integrated"])
         reports["validation_report"] = V.val_report(full)
         reports["catalog"] = sinks.dataset_catalog(spark, paths)
-        for name, df in reports.items():
-            sinks.write_json_report(df, os.path.join(out_dir, "metadata", name))
+        with ThreadPoolExecutor(max_workers=len(reports)) as pool:
+            list(pool.map(lambda kv: sinks.write_json_report(kv[1], os.path.join(out_dir, "metadata", kv[0])),
+                          reports.items()))
     return {**outputs, **reports}

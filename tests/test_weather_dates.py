@@ -72,3 +72,10 @@ def test_weather_join_keeps_all_crashes_and_suffixes(spark):
     assert len(out) == 3
     assert out[1].temp_max_c == 5.0 and out[1].temp_max_c_weather == 1.0
     assert out[2].temp_max_c_weather is None
+
+
+def test_validation_on_undated_rows(spark):
+    from roadbook.operators import validate as V
+    df = spark.createDataFrame([("1", None, "mid_month_fallback")], "CRN string, crash_date date, date_approximation_method string")
+    r = V.val_temporal(df).first()
+    assert r.total_years == 0 and r.crashes_per_year_avg is None and r.days_with_crashes == 0
