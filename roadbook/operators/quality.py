@@ -116,10 +116,20 @@ def qc_helmet_values(df: DataFrame, col: str = "PC_HLMT_IND") -> DataFrame:
 
 
 def qc_helmet_invalid(df: DataFrame, col: str = "PC_HLMT_IND") -> DataFrame:
-    """Q9: invalid count and the sorted list of unexpected values (joined by '|')."""
-    bad = helmet_invalid_expr(col)
-    return df.agg(F.count_if(bad).alias("invalid_count"),
-                  F.array_join(F.array_sort(F.collect_set(F.when(bad, F.col(col)))), "|").alias("unexpected_values"))
+    """Q9: number of invalid rows and of distinct unexpected values (one row)."""
+    return qc_helmet_unexpected(df, col).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("invalid_count"),
+        F.count(F.lit(1)).alias("unexpected_values"))
+
+
+def qc_helmet_unexpected(df: DataFrame, col: str = "PC_HLMT_IND") -> DataFrame:
+    """Q9: the unexpected values themselves, one row each with its count.
+
+    Kept as rows (grouped and counted in parallel) rather than gathered into
+    one list, so any number of distinct bad codes stays distributed.
+    """
+    return (df.filter(helmet_invalid_expr(col)).groupBy(F.col(col).alias("value"))
+            .agg(F.count(F.lit(1)).alias("n")))
 
 
 def qc_helmet_blank(df: DataFrame, col: str = "PC_HLMT_IND") -> DataFrame:

@@ -264,14 +264,20 @@ def q_qc_helmet_values(spark, sf):
 
 
 @register("qc_helmet_invalid", O.with_(["cycle"], """
-SELECT COUNT(*) FILTER (WHERE PC_HLMT_IND IS NOT NULL AND PC_HLMT_IND NOT IN ('Y', 'N', 'U', '')) AS invalid_count,
-       coalesce(string_agg(DISTINCT PC_HLMT_IND, '|' ORDER BY PC_HLMT_IND)
-                FILTER (WHERE PC_HLMT_IND IS NOT NULL AND PC_HLMT_IND NOT IN ('Y', 'N', 'U', '')), '') AS unexpected_values
-FROM cycle"""))
+SELECT CAST(coalesce(SUM(n), 0) AS BIGINT) AS invalid_count, COUNT(*) AS unexpected_values
+FROM (SELECT PC_HLMT_IND, COUNT(*) AS n FROM cycle WHERE PC_HLMT_IND IS NOT NULL AND PC_HLMT_IND NOT IN ('Y', 'N', 'U', '')
+      GROUP BY 1)"""))
 def q_qc_helmet_invalid(spark, sf):
     return Q.qc_helmet_invalid(fx.cycle(spark, sf))
 
 
+@register("qc_helmet_unexpected", O.with_(["cycle"], """
+SELECT PC_HLMT_IND AS value, COUNT(*) AS n FROM cycle WHERE PC_HLMT_IND IS NOT NULL AND PC_HLMT_IND NOT IN ('Y', 'N', 'U', '')
+GROUP BY 1"""))
+def q_qc_helmet_unexpected(spark, sf):
+    return Q.qc_helmet_unexpected(fx.cycle(spark, sf))
+
+
 @register("qc_helmet_blank", O.with_(["cycle"], "SELECT CRN, coalesce(nullif(PC_HLMT_IND, ''), 'U') AS PC_HLMT_IND FROM cycle"))
 def q_qc_helmet_blank(spark, sf):
     return Q.qc_helmet_blank(fx.cycle(spark, sf)).select("CRN", "PC_HLMT_IND")

@@ -51,7 +51,8 @@ def test_county_miscoded_whole_table(spark):
 def test_helmet_checks(spark):
     df = spark.createDataFrame([("Y",), ("",), (None,), ("x",), (" y ",)], "PC_HLMT_IND string")
     inv = Q.qc_helmet_invalid(df).first()
-    assert inv.invalid_count == 2 and inv.unexpected_values == " y |x"
+    assert inv.invalid_count == 2 and inv.unexpected_values == 2
+    assert sorted(r.value for r in Q.qc_helmet_unexpected(df).collect()) == [" y ", "x"]
     assert [r[0] for r in Q.qc_helmet_blank(df).collect()] == ["Y", "U", "U", "x", " y "]
 
 
