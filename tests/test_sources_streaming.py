@@ -113,3 +113,20 @@ def test_text_summary_and_cluster_conf(spark, tmpdir_path):
     conf = cluster_conf(total_input_bytes=100 * 1024 ** 4, executors=1000)
     assert 8000 <= int(conf["spark.sql.shuffle.partitions"]) <= 65536
     assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_csv_shards_harmonize_like_the_text_fixture(spark, tmpdir_path):
+    from roadbook.operators.harmonize import harmonize_text_shards
+    from roadbook.operators.profile import column_stats, value_counts
+    _write_shards(spark, tmpdir_path)
+    files = shards.list_files(spark, tmpdir_path, "*.csv")
+    matched = shards.match_shards(files, ["CRASH"], range(1995, 2002))
+    text, inv = shards.read_text_shards(spark, matched)
+    from_files = harmonize_text_shards(text, inv, processing_date="t").drop("PROCESSING_DATE")
+    fixture = harmonize_text_shards(fx.shard_text(spark, SF_SMALL), fx.shard_inventory(spark, SF_SMALL),
+                                    processing_date="t").drop("PROCESSING_DATE")
+    assert from_files.dtypes == fixture.dtypes
+    assert from_files.exceptAll(fixture).count() == 0 and fixture.exceptAll(from_files).count() == 0
+    a = column_stats(value_counts(text, "shard_year", inv)).drop("null_pct")
+    b = column_stats(value_counts(fx.shard_text(spark, SF_SMALL), "shard_year", fx.shard_inventory(spark, SF_SMALL))).drop("null_pct")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
