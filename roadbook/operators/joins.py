@@ -57,53 +57,46 @@ def fanout_left_join(left: DataFrame, right: DataFrame, on, hot_rows: int = 1_00
                      right_unique: bool = False, max_hot_keys: int = 100_000) -> DataFrame:
     """LEFT JOIN that stays balanced when one key holds a huge share of either side.
 
-    Spark's adaptive skew handling cannot split the non-preserved side of an
-    outer join, so a hot key on the right would land in one task. Here:
-
-    * right-side keys with at least ``hot_rows`` rows are found first (a
-      partially aggregated count; the set is broadcast when it has at most
-      ``max_hot_keys`` entries, and shuffle-joined otherwise);
-    * a hot key's right rows are spread over ``salts`` buckets by a row hash,
-      and the matching left row is replicated once per bucket, so the key is
-      joined by ``salts`` tasks;
-    * replicas that found nothing in their bucket are dropped (a hot key has
-      right rows by definition, so such NULL-extended rows are spurious);
-    * left rows with a NULL key (which can never match) get a row-hash salt
-      instead of all hashing to one partition.
-
-    The left side is read once; the salts are deterministic, so a retried
-    task reproduces the same partitioning. NULL keys never match (SQL
-    semantics). ``right_unique=True`` skips the hot-key search (a right side
-    with one row per key cannot be skewed).
+    * Skew on the left (preserved) side — a hot key, or the NULL keys, which
+      all hash to one partition — is split by Spark's adaptive skew join,
+      which supports splitting the left side of a left outer join.
+    * Skew on the right side cannot be split that way, so right-side keys with
+      at least ``hot_rows`` rows are found first (skipped when the right side
+      has fewer rows than that, or has one row per key: ``right_unique``).
+      Without hot keys this is a plain left join on the key, which keeps any
+      existing partitioning by that key (no extra shuffle).
+    * With hot keys (their set broadcast when at most ``max_hot_keys``,
+      shuffle-joined otherwise), a hot key's right rows are spread over
+      ``salts`` buckets by a deterministic row hash and the matching left row
+      is replicated per bucket; replicas that found nothing in their bucket
+      are dropped (a hot key has right rows by definition, so such
+      NULL-extended rows are spurious). The result equals the plain left join.
+
+    NULL keys never match (SQL semantics).
     """
     keys = _keys(on)
     key_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    r = right.filter(~key_null).withColumn("_rmatch", F.lit(True))
+    r = right.filter(~key_null)
+    extra = [c for c in right.columns if c not in keys]
     hot = None
-    # a right side with fewer than hot_rows rows cannot have a hot key; the
-    # limited count stops reading as soon as it reaches hot_rows
+    # the limited count stops reading as soon as it reaches hot_rows
     if not right_unique and r.select(*keys).limit(hot_rows).count() >= hot_rows:
         hk = hot_keys(r, keys, hot_rows)
         n_hot = hk.limit(max_hot_keys + 1).count()
         if n_hot > 0:
-            # broadcast the hot-key set only within its checked bound; beyond it,
-            # the two small joins against it are left to the planner (shuffle joins)
             hot = F.broadcast(hk) if n_hot <= max_hot_keys else hk
-    null_salt = F.pmod(_row_hash(left), F.lit(salts)).cast("int")
     if hot is None:
-        ls = left.withColumn("_salt", F.when(key_null, null_salt).otherwise(F.lit(0)))
-        rs = r.withColumn("_salt", F.lit(0))
-        out = ls.join(rs, keys + ["_salt"], "left")
-        return out.select(*left.columns, *[c for c in right.columns if c not in keys])
+        return left.join(r, keys, "left").select(*left.columns, *extra)
+    r = r.withColumn("_rmatch", F.lit(True))
     ls = left.join(hot, keys, "left")
     ls = ls.withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-                                          .otherwise(F.array(F.when(key_null, null_salt).otherwise(F.lit(0))))))
+                                          .otherwise(F.array(F.lit(0)))))
     rs = r.join(hot, keys, "left")
     rs = rs.withColumn("_salt", F.when(F.col("_hot"), F.pmod(_row_hash(right), F.lit(salts)).cast("int"))
                        .otherwise(F.lit(0))).drop("_hot")
     out = ls.join(rs, keys + ["_salt"], "left")
     out = out.filter(~(F.coalesce(F.col("_hot"), F.lit(False)) & F.col("_rmatch").isNull()))
-    return out.select(*left.columns, *[c for c in right.columns if c not in keys])
+    return out.select(*left.columns, *extra)
 
 
 def join_suffixed(left: DataFrame, right: DataFrame, on, how: str, suffix: str,
@@ -111,8 +104,8 @@ def join_suffixed(left: DataFrame, right: DataFrame, on, how: str, suffix: str,
     """Equi-join with right-side name clashes suffixed.
 
     Left joins go through :func:`fanout_left_join` (``fanout_safe=False``
-    marks a right side with one row per key: only NULL-key spreading is
-    kept); inner joins are plain (AQE splits skew on both sides of those).
+    marks a right side with one row per key, which cannot be skewed); inner
+    joins are plain (AQE splits skew on both sides of those).
     """
     right = suffix_clashes(left.columns, right, on, suffix)
     if how == "left":

@@ -80,6 +80,8 @@ def test_hot_key_is_split_across_tasks(spark):
     assert got.count() == 4000
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "_salt" in plan
+    plain = fanout_left_join(left, right, "k", hot_rows=10_000, salts=8)     # no hot key: plain left join
+    assert "_salt" not in plain._jdf.queryExecution().executedPlan().toString()
 
 
 def test_many_hot_keys_fall_back_to_shuffle(spark):
