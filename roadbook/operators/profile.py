@@ -174,3 +174,48 @@ def missing_summary(df: DataFrame, exclude: list[str] | None = None) -> DataFram
     entries = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_m{i}").alias("missing")) for i, c in enumerate(cols)])
     return row.select("_rows", F.inline(entries)).filter(F.col("missing") > 0).select(
         "column", "missing", F.col("_rows").alias("rows"))
+
+
+def profile_shards(df: DataFrame, year_col: str = "shard_year", inventory: DataFrame | None = None,
+                   exact_distinct: bool = True, candidate_margin: int = 10) -> tuple[DataFrame, DataFrame]:
+    """P1-P5 in one call: (per (year, column) stats, top values).
+
+    ``exact_distinct=True`` counts every distinct (shard, column, value)
+    exactly (one value-level shuffle). ``exact_distinct=False`` is the
+    at-scale mode: null counts, types and ranges come from an aggregate keyed
+    by (shard, column) only (combined map-side), distinct counts from
+    HyperLogLog, and only columns whose estimate is below
+    ``candidate_margin`` x the top-values threshold are counted value by value
+    — so their distinct counts and top values stay exact, while
+    high-cardinality columns (keys, free text) never shuffle their values.
+    """
+    if exact_distinct:
+        vc = value_counts(df, year_col, inventory)
+        stats = column_stats(vc, year_col)
+        return stats, top_values(vc, stats, year_col)
+    long = unpivot_text(df, [year_col])
+    if inventory is not None:
+        inv = inventory.select(F.col(year_col), F.col("column")).distinct()
+        long = join_small(long, inv, [year_col, "column"], "left_semi", max_rows=1_000_000)
+    v = F.col("value")
+    base = long.groupBy(year_col, "column").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(v.isNull()).alias("null_count"),
+        F.approx_count_distinct(v).alias("approx_distinct"),
+        F.count_if(v.rlike(INT_RE) & v.try_cast("bigint").isNotNull()).alias("_n_int"),
+        F.count_if(v.try_cast("double").isNotNull()).alias("_n_num"),
+        F.min(v.try_cast("double")).alias("_min"), F.max(v.try_cast("double")).alias("_max"))
+    cand = base.filter(F.col("approx_distinct") < TOP_VALUES_MAX_DISTINCT * candidate_margin).select(year_col, "column")
+    small_long = join_small(long, cand, [year_col, "column"], "left_semi", max_rows=1_000_000)
+    vc = small_long.groupBy(year_col, "column", "value").agg(F.count(F.lit(1)).alias("n"))
+    exact_small = vc.filter(F.col("value").isNotNull()).groupBy(year_col, "column").agg(
+        F.count(F.lit(1)).alias("_exact_distinct"))
+    stats = base.join(exact_small, [year_col, "column"], "left")
+    dtype, logical = _dtype_exprs(F.col("rows"), F.col("null_count"), F.col("_n_int"), F.col("_n_num"))
+    numeric = dtype != "object"
+    stats = stats.select(
+        year_col, "column", "rows", "null_count",
+        F.round(F.col("null_count").cast("double") * 100.0 / F.col("rows"), 4).alias("null_pct"),
+        F.coalesce(F.col("_exact_distinct"), F.col("approx_distinct")).alias("distinct_count"),
+        dtype.alias("dtype"), logical.alias("logical_type"),
+        F.when(numeric, F.col("_min")).alias("min"), F.when(numeric, F.col("_max")).alias("max"))
+    return stats, top_values(vc, stats, year_col)

@@ -71,16 +71,25 @@ def q_profile_distinct(spark, sf):
     return _profile(spark, sf)[3].select(Y, "column", "distinct_count")
 
 
-@register("profile_top_values", O.with_(PROFILE, """
+ORACLE_TOP = O.with_(PROFILE, """
 SELECT shard_year, "column", value, n, CAST(rank AS INTEGER) AS rank FROM (
   SELECT v.*, row_number() OVER (PARTITION BY v.shard_year, v."column" ORDER BY v.n DESC, v.value ASC) AS rank
   FROM shard_vc v JOIN shard_stats s ON v.shard_year = s.shard_year AND v."column" = s."column"
-  WHERE s.distinct_count < 20 AND v.value IS NOT NULL) WHERE rank <= 10"""))
+  WHERE s.distinct_count < 20 AND v.value IS NOT NULL) WHERE rank <= 10""")
+
+
+@register("profile_top_values", ORACLE_TOP)
 def q_profile_top_values(spark, sf):
     _, _, vc, stats = _profile(spark, sf)
     return P.top_values(vc, stats, Y)
 
 
+@register("profile_top_values_at_scale", ORACLE_TOP)
+def q_profile_top_values_at_scale(spark, sf):
+    text, inv = fx.shard_text(spark, sf), fx.shard_inventory(spark, sf)
+    return P.profile_shards(text, Y, inv, exact_distinct=False)[1]
+
+
 @register("profile_min_max", O.with_(PROFILE, """
 SELECT shard_year, "column", CASE WHEN dtype <> 'object' THEN _min END AS min, CASE WHEN dtype <> 'object' THEN _max END AS max
 FROM shard_stats"""))

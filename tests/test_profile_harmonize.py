@@ -111,3 +111,18 @@ def test_exact_quantiles_refinement_matches_sorting(spark):
     for g, xs in (("a", sorted(vals)), ("b", sorted(float(i % 37) for i in range(1200)))):
         for p in (0.1, 0.25, 0.5, 0.75, 0.99):
             assert got[(g, p)] == xs[max(1, math.ceil(p * len(xs))) - 1], (g, p)
+
+
+def test_profile_scale_mode_keeps_small_columns_exact(spark):
+    rows = [(2020, str(i), "k" if i % 3 else "j", None if i % 5 == 0 else str(i % 7)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "shard_year int, id string, kind string, code string")
+    s1, t1 = P.profile_shards(df)
+    s2, t2 = P.profile_shards(df, exact_distinct=False)
+    a = {r.column: r for r in s1.collect()}
+    b = {r.column: r for r in s2.collect()}
+    for c in ("kind", "code"):
+        assert a[c].distinct_count == b[c].distinct_count and a[c].null_count == b[c].null_count
+        assert a[c].dtype == b[c].dtype
+    assert abs(b["id"].distinct_count - 3000) < 300
+    key = lambda r: (r.column, r.value, r.n, r.rank)
+    assert sorted(map(key, t1.collect())) == sorted(map(key, t2.collect()))
