@@ -65,6 +65,9 @@ def test_invariants(spark):
     assert m.weather_row_matched >= m.crashes_matched
     full = stages.full(spark, SF_SMALL)
     assert full.select("CRN").distinct().count() == cg.count()     # left joins never lose crashes
+    from pyspark.sql import functions as F
+    wk = reconstruct_dates(cg).filter(F.col("date_approximation_method") == "weekday_reconstructed")
+    assert wk.filter((F.dayofmonth("crash_date") > 7) | (F.dayofweek("crash_date") != F.col("DAY_OF_WEEK"))).count() == 0
 
 
 def _plan(df):

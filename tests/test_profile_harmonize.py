@@ -126,3 +126,14 @@ def test_profile_scale_mode_keeps_small_columns_exact(spark):
     assert abs(b["id"].distinct_count - 3000) < 300
     key = lambda r: (r.column, r.value, r.n, r.rank)
     assert sorted(map(key, t1.collect())) == sorted(map(key, t2.collect()))
+
+
+def test_all_null_shard_column_does_not_vote(spark):
+    rows = [(2020, "1"), (2020, "2"), (2021, None), (2021, None)]
+    df = spark.createDataFrame(rows, "shard_year int, a string")
+    inv = spark.createDataFrame([(2020, "a"), (2021, "a")], "shard_year int, column string")
+    ev = P.type_evidence(df, "shard_year", inv)
+    assert {r.shard_year: r.logical_type for r in ev.collect()} == {2020: "long", 2021: "null"}
+    assert {r.column: r.target_type for r in H.target_types(P.inventory_types(inv, ev)).collect()} == {"a": "long"}
+    # the strict rule sees int64 vs float64 (an all-missing column reads as float64) and gives string
+    assert {r.column: r.target_type for r in H.target_types(P.inventory_types(inv, ev), pandas_dtypes=True).collect()} == {"a": "string"}
