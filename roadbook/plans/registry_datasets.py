@@ -425,6 +425,53 @@ def q_val_completeness_overall(spark, sf):
     return V.val_completeness_overall(stages.full(spark, sf))
 
 
-@register("val_report")
+def _report_sql() -> str:
+    """V10 oracle: every section's one-row SQL, unpivoted to (section, metric, value text)."""
+    methods = ("exact_day", "weekday_reconstructed", "mid_month_fallback", "mid_month_only")
+    dm = "SELECT COUNT(*) AS total_records, " + ", ".join(
+        f"COUNT(*) FILTER (WHERE date_approximation_method = '{m}') AS {m}, "
+        + PCT.format(n=f"COUNT(*) FILTER (WHERE date_approximation_method = '{m}')", d="COUNT(*)") + f" AS {m}_pct"
+        for m in methods) + " FROM full_integrated"
+    sections = [
+        ("date_approximation", dm, ["total_records"] + [x for m in methods for x in (m, f"{m}_pct")]),
+        ("temporal_distribution", TEMPORAL, ["first_year", "last_year", "total_years", "crashes_per_year_avg",
+                                             "total_records", "day_1_crashes", "day_1_percentage", "days_with_crashes"]),
+        ("geographic_coverage", GEO_COVERAGE, ["total_with_coords", "percent_with_coords", "lat_min", "lat_max",
+                                               "lon_min", "lon_max"]),
+        ("weather_integration", WEATHER_COVERAGE, ["crashes_with_weather", "percent_with_weather", "temp_min", "temp_max",
+                                                  "crashes_with_precipitation", "percent_with_precipitation"]),
+        ("data_quality", COMPLETENESS_OVERALL, ["total_records", "total_fields", "overall_completeness_pct",
+                                                "fields_with_100pct_completeness", "fields_below_90pct_completeness"]),
+    ]
+    parts = []
+    for name, sql, metrics in sections:
+        for mtr in metrics:
+            parts.append(f"SELECT '{name}' AS section, '{mtr}' AS metric, CAST({mtr} AS VARCHAR) AS value FROM ({sql})")
+    return O.with_(FULL + ["per_col"], "\nUNION ALL\n".join(parts))
+
+
+GEO_COVERAGE = f"""
+SELECT COUNT(*) FILTER (WHERE DEC_LATITUDE IS NOT NULL AND DEC_LONGITUDE IS NOT NULL) AS total_with_coords,
+       {PCT.format(n="COUNT(*) FILTER (WHERE DEC_LATITUDE IS NOT NULL AND DEC_LONGITUDE IS NOT NULL)", d="COUNT(*)")} AS percent_with_coords,
+       MIN(DEC_LATITUDE) FILTER (WHERE DEC_LONGITUDE IS NOT NULL) AS lat_min, MAX(DEC_LATITUDE) FILTER (WHERE DEC_LONGITUDE IS NOT NULL) AS lat_max,
+       MIN(DEC_LONGITUDE) FILTER (WHERE DEC_LATITUDE IS NOT NULL) AS lon_min, MAX(DEC_LONGITUDE) FILTER (WHERE DEC_LATITUDE IS NOT NULL) AS lon_max
+FROM full_integrated"""
+
+WEATHER_COVERAGE = f"""
+SELECT COUNT(temp_max_c) AS crashes_with_weather, {PCT.format(n="COUNT(temp_max_c)", d="COUNT(*)")} AS percent_with_weather,
+       MIN(temp_max_c) AS temp_min, MAX(temp_max_c) AS temp_max,
+       COUNT(*) FILTER (WHERE precipitation_mm > 0) AS crashes_with_precipitation,
+       {PCT.format(n="COUNT(*) FILTER (WHERE precipitation_mm > 0)", d="COUNT(precipitation_mm)")} AS percent_with_precipitation
+FROM full_integrated"""
+
+COMPLETENESS_OVERALL = f"""
+SELECT (SELECT COUNT(*) FROM full_integrated) AS total_records, COUNT(*) AS total_fields,
+       {PCT.format(n="SUM(non_null)", d="((SELECT COUNT(*) FROM full_integrated) * COUNT(*))")} AS overall_completeness_pct,
+       COUNT(*) FILTER (WHERE pct = 100.0) AS fields_with_100pct_completeness,
+       COUNT(*) FILTER (WHERE pct < 90.0) AS fields_below_90pct_completeness
+FROM per_col"""
+
+
+@register("val_report", _report_sql())
 def q_val_report(spark, sf):
     return V.val_report(stages.full(spark, sf))
