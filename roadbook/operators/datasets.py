@@ -127,21 +127,24 @@ def join_remaining_categories(crash: DataFrame, tables: dict[str, DataFrame], ke
     return out
 
 
-def dataset_run_summary(datasets: dict[str, DataFrame | None]) -> list[dict]:
-    """Per dataset, success/skipped with row and column counts.
+def dataset_run_summary(datasets: dict[str, DataFrame | None]) -> DataFrame:
+    """Per dataset, success/skipped/failed with row and column counts (a small DataFrame).
 
-    A missing dataset is ``skipped``; an empty one too. Runs one count job
-    per dataset and returns plain records (a handful of rows).
+    A missing dataset is ``skipped``; an empty one too. Each count is a Spark
+    job over that dataset; only the per-dataset summary rows are built here.
     """
     out = []
+    spark = next((d.sparkSession for d in datasets.values() if d is not None), None)
     for name, df in datasets.items():
         if df is None:
-            out.append({"dataset": name, "status": "skipped", "rows": 0, "columns": 0})
+            out.append((name, "skipped", 0, 0))
             continue
         try:
             n = df.count()
-            out.append({"dataset": name, "status": "success" if n > 0 else "skipped", "rows": n,
-                        "columns": len(df.columns)})
+            out.append((name, "success" if n > 0 else "skipped", n, len(df.columns)))
         except Exception as e:  # noqa: BLE001 - a failing dataset is reported, not raised
-            out.append({"dataset": name, "status": f"failed: {type(e).__name__}", "rows": 0, "columns": 0})
-    return out
+            out.append((name, f"failed: {type(e).__name__}", 0, 0))
+    if spark is None:
+        from pyspark.sql import SparkSession
+        spark = SparkSession.getActiveSession()
+    return spark.createDataFrame(out, "dataset string, status string, rows long, columns int")

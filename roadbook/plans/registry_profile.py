@@ -260,6 +260,13 @@ def q_standardize_helmet(spark, sf):
     return H.standardize_helmet(fx.cycle(spark, sf)).select("CRN", "HELMET_IND")
 
 
+@register("standardize_helmet_invalid", O.with_(["cycle"], """
+SELECT COUNT(*) FILTER (WHERE upper(trim(HELMET_IND)) IS NOT NULL AND upper(trim(HELMET_IND)) <> ''
+                        AND upper(trim(HELMET_IND)) NOT IN ('Y', 'N', 'U')) AS invalid_helmet FROM cycle"""))
+def q_standardize_helmet_invalid(spark, sf):
+    return H.helmet_invalid_count(fx.cycle(spark, sf))
+
+
 @register("rename_columns", O.with_(["crash"], """
 SELECT * EXCLUDE (DEC_LATITUDE, DEC_LONGITUDE), DEC_LATITUDE AS DEC_LAT, DEC_LONGITUDE AS DEC_LONG FROM crash"""))
 def q_rename_columns(spark, sf):

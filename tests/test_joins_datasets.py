@@ -57,8 +57,8 @@ def test_ped_count_column_detection(spark):
 def test_cyclist_dataset_none_without_cycle(spark):
     cw = spark.createDataFrame([("1",)], "CRN string")
     assert D.cyclist_dataset(cw, None) is None
-    summary = D.dataset_run_summary({"cyclist": None, "crash": cw})
-    assert summary[0]["status"] == "skipped" and summary[1]["rows"] == 1
+    summary = {r.dataset: r for r in D.dataset_run_summary({"cyclist": None, "crash": cw}).collect()}
+    assert summary["cyclist"].status == "skipped" and summary["crash"].rows == 1
 
 
 @settings(max_examples=12, deadline=None)
