@@ -75,7 +75,7 @@ def shard_completeness(files: DataFrame, year: int, categories=tuple(CATEGORIES)
     """Categories with no CSV file for ``year`` (substring match, first category wins)."""
     spark = files.sparkSession
     seen = (files.filter(F.lower("file_name").endswith(".csv"))
-            .select(category_of_name(F.col("file_name"), categories).alias("category")).filter(F.col("category").isNotNull()))
+            .select(category_of_name(F.upper("file_name"), categories).alias("category")).filter(F.col("category").isNotNull()))
     return expected_grid(spark, categories, [year]).join(seen.distinct(), "category", "left_anti")
 
 

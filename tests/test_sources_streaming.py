@@ -130,3 +130,10 @@ def test_csv_shards_harmonize_like_the_text_fixture(spark, tmpdir_path):
     a = column_stats(value_counts(text, "shard_year", inv)).drop("null_pct")
     b = column_stats(value_counts(fx.shard_text(spark, SF_SMALL), "shard_year", fx.shard_inventory(spark, SF_SMALL))).drop("null_pct")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_completeness_matches_names_case_insensitively(spark):
+    files = spark.createDataFrame([("/x/crash_2020.csv", "crash_2020.csv", 1), ("/x/Person_2020.CSV", "Person_2020.CSV", 1),
+                                   ("/x/TRAILVEH_2020.csv", "TRAILVEH_2020.csv", 1)], "path string, file_name string, length long")
+    missing = {r.category for r in shards.shard_completeness(files, 2020).collect()}
+    assert missing == {"COMMVEH", "CYCLE", "FLAG", "ROADWAY", "VEHICLE"}
