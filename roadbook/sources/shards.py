@@ -32,8 +32,9 @@ def year_from_name(name: Column | str, start: int = START_YEAR, end: int = END_Y
 
 
 def shard_discovery(files: DataFrame, category: str, start: int = START_YEAR, end: int = END_YEAR) -> DataFrame:
-    """S3: CSV files of one category (name starts with it), in name order, with their year."""
-    return (files.filter(F.col("file_name").startswith(category) & F.lower("file_name").endswith(".csv"))
+    """S3: CSV files of one category (``{category}*.csv``, case-sensitive like a file glob),
+    in name order, with their year."""
+    return (files.filter(F.col("file_name").startswith(category) & F.col("file_name").endswith(".csv"))
             .withColumn("year", year_from_name("file_name", start, end)).orderBy("file_name"))
 
 
