@@ -12,6 +12,7 @@ import os
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from roadbook.operators import datasets as D
 from roadbook.operators import validate as V
@@ -52,3 +53,39 @@ def run_all(spark: SparkSession, sf_dir: str, out_dir: str | None = None) -> dic
             list(pool.map(lambda kv: sinks.write_json_report(kv[1], os.path.join(out_dir, "metadata", kv[0])),
                           reports.items()))
     return {**outputs, **reports}
+
+
+def profile_and_harmonize(spark: SparkSession, root: str, category: str, years, sample_rows: int | None = None,
+                          exact_distinct: bool = True, pandas_dtypes: bool = False) -> dict[str, DataFrame]:
+    """Stages 2-3 from landed CSV shards of one category.
+
+    Lists and matches the yearly files (S1, S3, S4), reports missing shards,
+    reads the shards as text, profiles them (P1-P5; on the first
+    ``sample_rows`` rows of each file when given, S2), compares schemas
+    across years (P6-P10) and returns the harmonized table (H1-H3, F3-F4).
+    """
+    from roadbook.operators import profile as P
+    from roadbook.operators.harmonize import harmonize_text_shards
+    from roadbook.sources import shards as S
+
+    files = S.list_files(spark, root, "*.csv")
+    matched = S.match_shards(files, [category], years)
+    text, inventory = S.read_text_shards(spark, matched)
+    profiled = text
+    if sample_rows is not None:
+        paths = [r["path"] for r in matched.select("path").collect()]          # one row per shard file
+        year_of = {r["path"].rsplit("/", 1)[-1]: r["year"] for r in matched.select("path", "year").collect()}
+        sample = S.scan_sample(spark, paths, sample_rows)
+        ymap = F.create_map(*[x for k, y in year_of.items() for x in (F.lit(k), F.lit(y))])
+        profiled = sample.select(ymap[F.col("_file")].alias("shard_year"), *[c for c in sample.columns if c != "_file"])
+    stats, top = P.profile_shards(profiled, "shard_year", inventory, exact_distinct=exact_distinct)
+    inv_types = P.inventory_types(inventory, stats)
+    return {
+        "files": matched,
+        "missing": S.missing_shards(files, [category], years),
+        "column_stats": stats,
+        "top_values": top,
+        "schema_matrix": P.schema_matrix(inventory),
+        "schema_issues": P.schema_issues(inv_types, category),
+        "harmonized": harmonize_text_shards(text, inventory, pandas_dtypes=pandas_dtypes),
+    }

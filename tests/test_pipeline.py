@@ -16,3 +16,17 @@ def test_run_all_writes_outputs_and_reports(spark, tmpdir_path):
     geo = out["geographic_stats"].first()
     wx = out["weather_stats"].first()
     assert wx.total_crashes == geo.final_records
+
+
+def test_profile_and_harmonize_from_csv(spark, tmpdir_path):
+    from roadbook.plans.pipeline import profile_and_harmonize
+    from tests.test_sources_streaming import _write_shards
+    _write_shards(spark, tmpdir_path)
+    out = profile_and_harmonize(spark, tmpdir_path, "CRASH", range(1994, 2002))
+    assert [r.year for r in out["missing"].collect()] == [1994]
+    issues = {r.issue: r.columns for r in out["schema_issues"].collect()}
+    assert issues["added_columns"] == "o_orderpriority" and issues["dtype_changes"] == "o_totalprice"
+    h = out["harmonized"]
+    assert dict(h.dtypes)["o_orderkey"] == "bigint" and dict(h.dtypes)["o_totalprice"] == "string"
+    sampled = profile_and_harmonize(spark, tmpdir_path, "CRASH", range(1995, 2002), sample_rows=10)
+    assert sampled["column_stats"].agg({"rows": "max"}).first()[0] == 10
