@@ -475,3 +475,51 @@ FROM per_col"""
 @register("val_report", _report_sql())
 def q_val_report(spark, sf):
     return V.val_report(stages.full(spark, sf))
+
+# ------------------------------------------------------ sinks (round trips)
+
+
+def _scratch(spark, name):
+    import os
+    import uuid
+
+    from roadbook.session import checkpoint_dir
+    return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+@register("sink_parquet", O.with_(["wx_daily", "wx_raw", "weather"], "SELECT * FROM weather"))
+def q_sink_parquet(spark, sf):
+    from roadbook.sources import sinks
+    path = _scratch(spark, "sink-parquet")
+    sinks.write_parquet(stages.weather_table(spark, sf), path)
+    return sinks.read_parquet(spark, path)
+
+
+@register("sink_csv", O.with_(["wx_daily", "wx_raw", "weather"], """
+SELECT strftime(date, '%Y-%m-%d') AS date, CAST(temp_max_c AS VARCHAR) AS temp_max_c, CAST(temp_min_c AS VARCHAR) AS temp_min_c,
+       CAST(temp_avg_c AS VARCHAR) AS temp_avg_c, CAST(precipitation_mm AS VARCHAR) AS precipitation_mm,
+       CAST(wind_speed_avg_ms AS VARCHAR) AS wind_speed_avg_ms, CAST(wind_speed_max_ms AS VARCHAR) AS wind_speed_max_ms,
+       CAST(snowfall_mm AS VARCHAR) AS snowfall_mm, CAST(snow_depth_mm AS VARCHAR) AS snow_depth_mm
+FROM weather"""))
+def q_sink_csv(spark, sf):
+    from roadbook.sources import sinks
+    path = _scratch(spark, "sink-csv")
+    sinks.write_csv(stages.weather_table(spark, sf), path)
+    return spark.read.option("header", True).option("inferSchema", False).csv(path)
+
+
+@register("dataset_run_summary", O.with_(CW + ["person", "vehicle", "cycle", "roadway", "vsum1", "vsum2", "j_cycle",
+                                                "j_cyc_person", "cyclist", "j_ped_person", "pedestrian", "full_integrated"], """
+SELECT 'cyclist_focused' AS dataset, 'success' AS status, COUNT(*) AS rows, (SELECT COUNT(*) FROM (DESCRIBE cyclist))::INTEGER AS columns FROM cyclist
+UNION ALL SELECT 'pedestrian_focused', 'success', COUNT(*), (SELECT COUNT(*) FROM (DESCRIBE pedestrian))::INTEGER FROM pedestrian
+UNION ALL SELECT 'full_integrated', 'success', COUNT(*), (SELECT COUNT(*) FROM (DESCRIBE full_integrated))::INTEGER FROM full_integrated
+UNION ALL SELECT 'person', 'success', COUNT(*), (SELECT COUNT(*) FROM (DESCRIBE person))::INTEGER FROM person
+UNION ALL SELECT 'vehicle', 'success', COUNT(*), (SELECT COUNT(*) FROM (DESCRIBE vehicle))::INTEGER FROM vehicle"""))
+def q_dataset_run_summary(spark, sf):
+    person, vehicle = fx.person(spark, sf), fx.vehicle(spark, sf)
+    cw = stages.crash_weather(spark, sf)
+    return D.dataset_run_summary({
+        "cyclist_focused": D.cyclist_dataset(cw, fx.cycle(spark, sf), person, vehicle),
+        "pedestrian_focused": D.pedestrian_dataset(cw, person, vehicle),
+        "full_integrated": D.full_integrated(cw, fx.roadway(spark, sf)),
+        "person": person, "vehicle": vehicle})
