@@ -523,3 +523,31 @@ def q_dataset_run_summary(spark, sf):
         "pedestrian_focused": D.pedestrian_dataset(cw, person, vehicle),
         "full_integrated": D.full_integrated(cw, fx.roadway(spark, sf)),
         "person": person, "vehicle": vehicle})
+
+
+@register("sink_json_report", O.with_(["crash", "geo_in", "geo_rounded", "geo_flagged"], f"""
+SELECT COUNT(*) AS total_records,
+       COUNT(*) FILTER (WHERE DEC_LATITUDE IS NOT NULL AND DEC_LONGITUDE IS NOT NULL) AS records_with_coords,
+       COUNT(*) FILTER (WHERE _flag_inv) AS invalid_coords,
+       COUNT(*) FILTER (WHERE COORD_QUALITY_FLAG = 'OUTSIDE_PHILLY') AS outside_bounds,
+       COUNT(*) FILTER (WHERE COUNTY_QUALITY_FLAG IS NOT NULL) AS county_mismatches,
+       COUNT(*) FILTER (WHERE coalesce({O.BOX}, false) OR DEC_LATITUDE IS NULL) AS final_records
+FROM (SELECT *, DEC_LATITUDE IS NULL OR DEC_LONGITUDE IS NULL OR COORD_QUALITY_FLAG = 'INVALID'
+             OR (COORD_QUALITY_FLAG = 'OUTSIDE_PHILLY' AND coalesce(DEC_LATITUDE = 0 AND DEC_LONGITUDE = 0, false)) AS _flag_inv
+      FROM geo_flagged)"""))
+def q_sink_json_report(spark, sf):
+    from roadbook.operators.geo import geo_stats
+    from roadbook.sources import sinks
+    rep = geo_stats(fx.crash(spark, sf))
+    path = _scratch(spark, "sink-json")
+    sinks.write_json_report(rep, path)
+    return spark.read.schema(rep.schema).json(path)
+
+
+@register("scan_observations_json", O.with_(["wx_daily", "wx_long"], """
+SELECT date, datatype, 'STATION' AS station, value FROM wx_long"""))
+def q_scan_observations_json(spark, sf):
+    from roadbook.sources import observations as OB
+    path = _scratch(spark, "obs-pages")
+    OB.write_observation_pages(fx.weather_long(spark, sf), path)
+    return OB.read_observation_pages(spark, path, multi_line=False).select("date", "datatype", "station", "value")

@@ -293,16 +293,7 @@ def q_scan_parquet(spark, sf):
     return read_parquet(spark, f"{sf.rstrip('/')}/orders.parquet")
 
 
-O.cte("wx_long", """
-SELECT date, datatype, value FROM (
-  SELECT date, 'PRCP' AS datatype, CAST(s_ln % 29 AS DOUBLE) / 2.0::DOUBLE AS value FROM wx_daily
-  UNION ALL SELECT date, 'TAVG', CASE WHEN year(date) IN (1995, 1996) THEN NULL ELSE CAST(((s_qty % 56) - 12) * 10 AS DOUBLE) END FROM wx_daily
-  UNION ALL SELECT date, 'TMAX', CAST(((s_qty % 56) - 12 + 4) * 10 AS DOUBLE) FROM wx_daily
-  UNION ALL SELECT date, 'TMIN', CAST(((s_qty % 56) - 12 - 4) * 10 AS DOUBLE) FROM wx_daily
-  UNION ALL SELECT date, 'WSF2', CAST(n % 23 AS DOUBLE) FROM wx_daily
-  UNION ALL SELECT date, 'SNOW', CASE WHEN s_pk % 17 = 0 THEN 5.0::DOUBLE ELSE 0.0::DOUBLE END FROM wx_daily)
-WHERE value IS NOT NULL
-""")
+
 
 
 @register("union_observations", O.with_(["wx_daily", "wx_long"], "SELECT * FROM wx_long"))
@@ -335,3 +326,20 @@ def q_shard_completeness(spark, sf):
     # every year some source reports data for is expected to have all categories
     years = o.select("year").unionByName(fx.table(spark, sf, "events").select(F.year("ts").alias("year"))).distinct()
     return missing_categories(observed, years, ["CRASH", "CYCLE", "PERSON"])
+
+
+@register("sink_text_summary", O.with_(PROFILE + ["shard_types", "dtype_changes", "added", "removed"], """
+SELECT 'ORDERS: ' || issue || ' (' || CAST(COUNT(*) AS VARCHAR) || '): ' || string_agg("column", ',' ORDER BY "column") AS value
+FROM (SELECT 'dtype_changes' AS issue, "column" FROM dtype_changes
+      UNION ALL SELECT 'added_columns', "column" FROM added
+      UNION ALL SELECT 'removed_columns', "column" FROM removed) GROUP BY issue"""))
+def q_sink_text_summary(spark, sf):
+    import os
+    import uuid
+
+    from roadbook.session import checkpoint_dir
+    from roadbook.sources import sinks
+    issues = P.schema_issues(_inv_types(spark, sf), "ORDERS", Y)
+    path = os.path.join(checkpoint_dir(spark), f"sink-text-{uuid.uuid4().hex[:12]}")
+    sinks.write_text_summary(issues, path)
+    return spark.read.text(path)

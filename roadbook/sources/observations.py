@@ -9,13 +9,15 @@ OBS_SCHEMA = ("metadata struct<resultset: struct<offset: long, count: long, `lim
               "results array<struct<date: string, datatype: string, station: string, attributes: string, value: double>>")
 
 
-def read_observation_pages(spark: SparkSession, paths) -> DataFrame:
+def read_observation_pages(spark: SparkSession, paths, multi_line: bool = True) -> DataFrame:
     """Every ``results`` entry of every page (one multi-file read), as long rows.
 
+    ``multi_line=True`` reads one (pretty-printed) page per file, as an API
+    client lands them; ``False`` reads JSON Lines, one page per line.
     Returns (date, datatype, station, value, page, obs_index); ``obs_index``
     keeps the ingest order for first-value semantics in the pivot.
     """
-    pages = spark.read.schema(OBS_SCHEMA).option("multiLine", True).json(paths)
+    pages = spark.read.schema(OBS_SCHEMA).option("multiLine", multi_line).json(paths)
     rows = pages.select(F.col("_metadata.file_name").alias("page"), F.posexplode("results").alias("obs_index", "r"))
     return rows.select(F.to_date(F.substring("r.date", 1, 10)).alias("date"), "r.datatype", "r.station", "r.value",
                        "page", "obs_index")
@@ -32,3 +34,18 @@ def union_observations(frames: list[DataFrame]) -> DataFrame:
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
     return out
+
+
+def write_observation_pages(long_df: DataFrame, path: str) -> None:
+    """Land (date, datatype, value) rows as yearly pages ``{"metadata", "results": [...]}`` (JSON Lines).
+
+    A page holds one year of daily observations, so its size is bounded by
+    the calendar, not by the data volume.
+    """
+    entry = F.struct(F.concat(F.date_format("date", "yyyy-MM-dd"), F.lit("T00:00:00")).alias("date"),
+                     F.col("datatype"), F.lit("STATION").alias("station"), F.lit(",,,").alias("attributes"),
+                     F.col("value").cast("double").alias("value"))
+    pages = long_df.groupBy(F.year("date").alias("_y")).agg(F.collect_list(entry).alias("results"))
+    meta = F.struct(F.struct(F.lit(1).cast("long").alias("offset"), F.size("results").cast("long").alias("count"),
+                             F.lit(1000).cast("long").alias("limit")).alias("resultset"))
+    pages.select(meta.alias("metadata"), "results").write.mode("overwrite").json(path)
