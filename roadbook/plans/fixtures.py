@@ -28,8 +28,12 @@ def _lon(k: Column, cust: Column) -> Column:
             .otherwise(F.lit(-75.32) + (cust % 450).cast("double") / F.lit(1000.0)))
 
 
-def crash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """CRASH: one row per order."""
+def crash(spark: SparkSession, sf_dir: str, with_day: bool = False) -> DataFrame:
+    """CRASH: one row per order.
+
+    ``with_day`` adds a CRASH_DAY that is present on most rows but not all
+    (the exact-day case of date reconstruction), in the same projection.
+    """
     o = table(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
     d = F.to_date("o_orderdate")
@@ -49,6 +53,7 @@ def crash(spark: SparkSession, sf_dir: str) -> DataFrame:
         _lat(k).alias("DEC_LATITUDE"),
         _lon(k, F.col("o_custkey")).alias("DEC_LONGITUDE"),
         date_text.alias("CRASH_DATE_TEXT"),
+        *([F.when(k % 7 != 0, F.dayofmonth(d)).alias("CRASH_DAY")] if with_day else []),
     )
 
 

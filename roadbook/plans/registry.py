@@ -41,11 +41,7 @@ DATE_COLS = "CRN, crash_date, date_approximation_method, CRASH_DAY"
 
 def _crash_with_day(spark, sf):
     """CRASH plus a CRASH_DAY that is present on most rows but not all."""
-    c = fx.crash(spark, sf)
-    o = fx.table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("CRN"),
-                                             F.when(F.col("o_orderkey") % 7 != 0,
-                                                    F.dayofmonth(F.to_date("o_orderdate"))).alias("CRASH_DAY"))
-    return c.join(o, "CRN")
+    return fx.crash(spark, sf, with_day=True)
 
 
 O.cte("crash_day", """
