@@ -11,7 +11,6 @@ from roadbook.plans import stages
 from roadbook.plans.registry import register
 from roadbook.plans.registry_datasets import CW
 
-O.cte("cw_dates", O.CTES["crash_weather"])
 
 
 @register("monthly_summary", O.with_(CW, """
