@@ -137,3 +137,20 @@ def test_completeness_matches_names_case_insensitively(spark):
                                    ("/x/TRAILVEH_2020.csv", "TRAILVEH_2020.csv", 1)], "path string, file_name string, length long")
     missing = {r.category for r in shards.shard_completeness(files, 2020).collect()}
     assert missing == {"COMMVEH", "CYCLE", "FLAG", "ROADWAY", "VEHICLE"}
+
+
+def test_stream_from_csv_text_matches_batch(spark, tmpdir_path):
+    from pyspark.sql.types import StringType, StructField, StructType
+    crash = fx.crash(spark, SF_SMALL)
+    src = os.path.join(tmpdir_path, "csv_in")
+    crash.repartition(2).write.option("header", True).csv(src)
+    schema = StructType([StructField(c, StringType()) for c in crash.columns])
+    weather = stages.weather_table(spark, SF_SMALL)
+    out = os.path.join(tmpdir_path, "csv_out")
+    q = crash_stream.start(crash_stream.crash_weather_stream(spark, src, schema, weather, fmt="csv"), out, name="csv")
+    q.awaitTermination(120)
+    got = spark.read.parquet(out).select("CRN", "crash_date", "date_approximation_method", "precip_category",
+                                         "COORD_QUALITY_FLAG", "DEC_LATITUDE")
+    want = stages.crash_weather(spark, SF_SMALL).select(*got.columns)
+    assert got.count() == want.count()
+    assert got.exceptAll(want).count() == 0
