@@ -24,15 +24,27 @@ def suffix_clashes(left_columns: list[str], right: DataFrame, on, suffix: str) -
     return right.withColumnsRenamed(clash) if clash else right
 
 
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "left", max_rows: int = 200_000) -> DataFrame:
+_WIDTH = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "date": 4, "float": 4, "bigint": 8, "double": 8,
+          "timestamp": 8, "timestamp_ntz": 8}
+
+
+def row_width(df: DataFrame) -> int:
+    """A per-row byte estimate from the schema (strings and nested values at 64 bytes)."""
+    return sum(_WIDTH.get(t, 64) for _, t in df.dtypes) + 8
+
+
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "left", max_rows: int = 200_000,
+               max_bytes: int = 64 * 1024 * 1024) -> DataFrame:
     """Join against a side expected to be small, broadcasting it only if it is.
 
     The row count of ``small`` is checked first (reading at most
-    ``max_rows + 1`` rows); above the bound the join is left to the planner
+    ``max_rows + 1`` rows), and rows x estimated row width must also stay
+    under ``max_bytes``; above either bound the join is left to the planner
     (sort-merge, with AQE able to re-plan at run time).
     """
-    n = small.limit(max_rows + 1).count()
-    side = F.broadcast(small) if n <= max_rows else small
+    limit = min(max_rows, max(1, max_bytes // row_width(small)))
+    n = small.limit(limit + 1).count()
+    side = F.broadcast(small) if n <= limit else small
     return big.join(side, on=_keys(on), how=how)
 
 

@@ -91,3 +91,17 @@ def test_many_hot_keys_fall_back_to_shuffle(spark):
     assert got.count() == 500
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "_salt" in plan
+
+
+def test_join_small_respects_row_and_byte_bounds(spark):
+    from roadbook.operators.joins import join_small
+    big = spark.range(0, 100).withColumnRenamed("id", "k")
+    small = spark.range(0, 50).withColumnRenamed("id", "k")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan(join_small(big, small, "k", "inner", max_rows=100))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" not in plan(join_small(big, small, "k", "inner", max_rows=10))
+        assert "BroadcastHashJoin" not in plan(join_small(big, small, "k", "inner", max_rows=100, max_bytes=16 * 10))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
