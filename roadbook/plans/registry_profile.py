@@ -343,3 +343,35 @@ def q_sink_text_summary(spark, sf):
     path = os.path.join(checkpoint_dir(spark), f"sink-text-{uuid.uuid4().hex[:12]}")
     sinks.write_text_summary(issues, path)
     return spark.read.text(path)
+
+
+def _landed_shards(spark, sf):
+    """Write the ORDERS text shards as CSV folders under the checkpoint folder; return (root, years)."""
+    import os
+    import uuid
+
+    from roadbook.session import checkpoint_dir
+    from roadbook.sources import shards as S
+    root = os.path.join(checkpoint_dir(spark), f"landed-{uuid.uuid4().hex[:12]}")
+    inv = fx.shard_inventory(spark, sf)
+    S.write_text_shards(fx.shard_text(spark, sf), inv, root, "ORDERS")
+    years = sorted(r[0] for r in inv.select(Y).distinct().collect())
+    return root, years
+
+
+@register("shard_discovery", O.with_(["shard_text"], """
+SELECT DISTINCT 'ORDERS_' || CAST(shard_year AS VARCHAR) || '.csv' AS file_name, shard_year AS year FROM shard_text"""))
+def q_shard_discovery(spark, sf):
+    from roadbook.sources import shards as S
+    root, years = _landed_shards(spark, sf)
+    found = S.shard_discovery(S.list_files(spark, root, "*.csv"), "ORDERS", min(years), max(years))
+    return found.select("file_name", "year").distinct()
+
+
+@register("scan_category_csv", O.with_(["shard_text"], "SELECT * FROM shard_text"))
+def q_scan_category_csv(spark, sf):
+    from roadbook.sources import shards as S
+    root, years = _landed_shards(spark, sf)
+    matched = S.match_shards(S.list_files(spark, root, "*.csv"), ["ORDERS"], years)
+    text, _ = S.read_text_shards(spark, matched)
+    return text.select(Y, *[c for c in fx.SHARD_COLUMNS])

@@ -18,10 +18,18 @@ FILE_PATTERNS = ["{category}_PHILADELPHIA_{year}.csv", "{category}_{year}.csv",
 
 
 def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
-    """(path, file_name, length) of files under ``root`` matching ``glob``."""
+    """(path, file_name, length) of files under ``root`` matching ``glob``.
+
+    A shard may be a single file or a folder of part files written by Spark
+    and named like the file (``CRASH_2020.csv/part-*.csv``); ``file_name``
+    is then the folder's name, so both layouts match the same patterns.
+    """
     df = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
           .option("recursiveFileLookup", "true").load(root))
-    return df.select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"), "length")
+    parts = F.split("path", "/")
+    own, parent = F.element_at(parts, -1), F.element_at(parts, -2)
+    name = F.when(F.lower(parent).endswith(".csv"), parent).otherwise(own)
+    return df.select("path", name.alias("file_name"), "length")
 
 
 def year_from_name(name: Column | str, start: int = START_YEAR, end: int = END_YEAR) -> Column:
@@ -54,8 +62,9 @@ def match_shards(files: DataFrame, categories=tuple(CATEGORIES), years=None) ->
                       for y in years for c in categories for i, p in enumerate(FILE_PATTERNS)])
     wanted = spark.range(1).select(F.inline(names))
     hits = wanted.join(files, "file_name")
-    return (hits.groupBy("year", "category").agg(F.min_by(F.struct("path", "file_name"), "priority").alias("f"))
-            .select("year", "category", "f.path", "f.file_name"))
+    best = hits.groupBy("year", "category").agg(F.min("priority").alias("priority"))
+    # every part file of the chosen shard (one row for a plain file)
+    return hits.join(best, ["year", "category", "priority"]).select("year", "category", "path", "file_name")
 
 
 def missing_shards(files: DataFrame, categories=tuple(CATEGORIES), years=None) -> DataFrame:
@@ -89,21 +98,28 @@ def read_text_shards(spark: SparkSession, shard_files: DataFrame, year_col: str
                      null_tokens=tuple(NULL_TOKENS)) -> tuple[DataFrame, DataFrame]:
     """Read matched shard files as text; returns (rows with ``shard_year``, inventory).
 
-    The file list and each file's header are metadata (one row per file);
-    the rows themselves are read by one multi-file CSV scan per distinct
-    header and unioned by name (missing columns NULL).
+    The file list and one header per shard are metadata; the rows are read
+    by one multi-file CSV scan per distinct header, tagged with their year
+    by a broadcast join on the file path, and unioned by name (missing
+    columns NULL).
     """
-    files = [(r["path"], int(r["year"])) for r in shard_files.select("path", "year").collect()]
+    shards: dict[tuple[str, int], list[str]] = {}
+    for r in shard_files.select("file_name", "year", "path").collect():      # one row per file (metadata)
+        shards.setdefault((r["file_name"], int(r["year"])), []).append(r["path"])
     headers: dict[tuple[str, ...], list[tuple[str, int]]] = {}
-    for path, year in files:
-        cols = tuple(spark.read.option("header", True).csv(path).columns)
-        headers.setdefault(cols, []).append((path, year))
+    for (_, year), paths in shards.items():
+        # one header per shard: every part file of a Spark-written shard has the same one
+        cols = tuple(spark.read.option("header", True).csv(sorted(paths)[0]).columns)
+        headers.setdefault(cols, []).extend((p, year) for p in paths)
     frames, inv_rows = [], []
     for cols, members in headers.items():
-        year_of = F.create_map(*[x for p, y in members for x in (F.lit(p), F.lit(y))])
+        # year per file through a broadcast join on the file path (one row per file)
+        year_of = spark.createDataFrame(members, f"_path string, {year_col} int")
         df = (spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE")
               .csv([p for p, _ in members]))
-        df = df.select(year_of[F.col("_metadata.file_path")].alias(year_col), *[F.col(f"`{c}`") for c in df.columns])
+        data_cols = df.columns
+        df = (df.withColumn("_path", F.col("_metadata.file_path")).join(F.broadcast(year_of), "_path")
+              .select(year_col, *[F.col(f"`{c}`") for c in data_cols]))
         frames.append(_null_tokens(df, null_tokens))
         inv_rows += [(y, c) for _, y in members for c in cols]
     if not frames:
@@ -148,3 +164,21 @@ def missing_categories(observed: DataFrame, years: DataFrame, categories=tuple(C
     """
     grid = years.select("year", F.explode(F.array(*[F.lit(c) for c in categories])).alias("category"))
     return grid.join(observed.select("year", "category").distinct(), ["year", "category"], "left_anti")
+
+
+def write_text_shards(text: DataFrame, inventory: DataFrame, root: str, category: str,
+                      year_col: str = "shard_year") -> None:
+    """Land yearly text shards as ``{root}/{category}_{year}.csv`` folders with a header.
+
+    Each year is written with only the columns its inventory lists, so the
+    files carry the same column drift as the source. One Spark write per
+    year (the year list is metadata).
+    """
+    years = sorted(r[0] for r in inventory.select(year_col).distinct().collect())
+    cols_of = {}
+    for r in inventory.collect():
+        cols_of.setdefault(r[year_col], []).append(r["column"])
+    for y in years:
+        cols = [c for c in text.columns if c in set(cols_of[y])]
+        (text.filter(F.col(year_col) == y).select(*cols)
+         .write.mode("overwrite").option("header", True).csv(f"{root.rstrip('/')}/{category}_{y}.csv"))
