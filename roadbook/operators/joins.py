@@ -83,6 +83,8 @@ def fanout_left_join(left: DataFrame, right: DataFrame, on, hot_rows: int = 1_00
       is replicated per bucket; replicas that found nothing in their bucket
       are dropped (a hot key has right rows by definition, so such
       NULL-extended rows are spurious). The result equals the plain left join.
+      (Byte-identical duplicate rows hash alike and share a bucket; the
+      result is still exact.)
 
     NULL keys never match (SQL semantics).
     """
