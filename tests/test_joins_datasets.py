@@ -105,3 +105,36 @@ def test_join_small_respects_row_and_byte_bounds(spark):
         assert "BroadcastHashJoin" not in plan(join_small(big, small, "k", "inner", max_rows=100, max_bytes=16 * 10))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_third_of_rows_on_one_key_is_spread(spark):
+    from pyspark.sql import functions as F
+
+    from roadbook.plans import fixtures as fx
+    from tests.conftest import SF_SMALL
+    crash = fx.crash(spark, SF_SMALL).select("CRN", "CRASH_YEAR")
+    hot_crn = crash.select(F.min("CRN")).first()[0]
+    person = fx.person(spark, SF_SMALL)
+    # a third of all person rows moved onto one crash number
+    person = person.withColumn("CRN", F.when(F.xxhash64("CRN", "PERSON_NUM", "INJ_SEVERITY") % 3 == 0, F.lit(hot_crn))
+                               .otherwise(F.col("CRN")))
+    # as at scale: no automatic broadcast, no coalescing of shuffle partitions
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    prev = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        def part_sizes(df):
+            return [r["n"] for r in df.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()]
+        sizes = part_sizes(fanout_left_join(crash, person, "CRN", hot_rows=500, salts=16))
+        plain_sizes = part_sizes(crash.join(person, "CRN", "left"))
+    finally:
+        for k, v in prev.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    total = sum(sizes)
+    assert total == sum(plain_sizes)
+    hot_share = person.filter(F.col("CRN") == hot_crn).count() / total
+    assert hot_share > 0.25
+    assert max(plain_sizes) / total >= hot_share        # plain join: the hot key sits in one task
+    assert max(sizes) / total < 0.2                     # salted: spread over the 8 partitions
