@@ -44,8 +44,13 @@ def run_all(spark: SparkSession, sf_dir: str, out_dir: str | None = None) -> dic
         paths = {name: os.path.join(out_dir, name) for name in outputs}
         # independent outputs are separate Spark jobs; submitting them together
         # lets their tasks share the cluster instead of running one after another
+        def write(kv):
+            name, df = kv
+            by_year = ["CRASH_YEAR"] if "CRASH_YEAR" in df.columns else None
+            sinks.write_parquet(df, paths[name], partition_by=by_year)
+
         with ThreadPoolExecutor(max_workers=len(outputs)) as pool:
-            list(pool.map(lambda kv: sinks.write_parquet(kv[1], paths[kv[0]]), outputs.items()))
+            list(pool.map(write, outputs.items()))
         full = spark.read.parquet(paths["full_integrated"])
         reports["validation_report"] = V.val_report(full)
         reports["catalog"] = sinks.dataset_catalog(spark, paths)

@@ -75,6 +75,9 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     """
     spark = df.sparkSession
     path = os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    if partition_by:
+        # balanced by adaptive execution: skewed values split, small ones merged
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)

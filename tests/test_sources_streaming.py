@@ -154,3 +154,15 @@ def test_stream_from_csv_text_matches_batch(spark, tmpdir_path):
     want = stages.crash_weather(spark, SF_SMALL).select(*got.columns)
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0
+
+
+def test_partitioned_write_is_rebalanced(spark, tmpdir_path):
+    from pyspark.sql import functions as F
+    df = spark.range(0, 20000).select((F.when(F.col("id") % 3 == 0, 2020).otherwise(F.col("id") % 7 + 2000)).alias("y"),
+                                      F.col("id"))
+    p = os.path.join(tmpdir_path, "by_year")
+    sinks.write_parquet(df, p, partition_by=["y"])
+    back = spark.read.parquet(p)
+    assert back.count() == 20000 and back.filter(F.col("y") == 2020).count() == df.filter(F.col("y") == 2020).count()
+    plan = df.hint("rebalance", "y")._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE" in plan.upper()
