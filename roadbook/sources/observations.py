@@ -37,15 +37,17 @@ def union_observations(frames: list[DataFrame]) -> DataFrame:
 
 
 def write_observation_pages(long_df: DataFrame, path: str) -> None:
-    """Land (date, datatype, value) rows as yearly pages ``{"metadata", "results": [...]}`` (JSON Lines).
+    """Land (date, datatype, value) rows as monthly pages ``{"metadata", "results": [...]}`` (JSON Lines).
 
-    A page holds one year of daily observations, so its size is bounded by
-    the calendar, not by the data volume.
+    A page holds one month of daily observations (at most 31 days x the
+    datatypes of the station), so its size is bounded by the calendar, not by
+    the data volume.
     """
     entry = F.struct(F.concat(F.date_format("date", "yyyy-MM-dd"), F.lit("T00:00:00")).alias("date"),
                      F.col("datatype"), F.lit("STATION").alias("station"), F.lit(",,,").alias("attributes"),
                      F.col("value").cast("double").alias("value"))
-    pages = long_df.groupBy(F.year("date").alias("_y")).agg(F.collect_list(entry).alias("results"))
+    pages = long_df.groupBy(F.year("date").alias("_y"), F.month("date").alias("_m")).agg(
+        F.collect_list(entry).alias("results"))
     meta = F.struct(F.struct(F.lit(1).cast("long").alias("offset"), F.size("results").cast("long").alias("count"),
                              F.lit(1000).cast("long").alias("limit")).alias("resultset"))
     pages.select(meta.alias("metadata"), "results").write.mode("overwrite").json(path)
