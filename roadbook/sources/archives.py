@@ -46,15 +46,22 @@ def expand_archives(spark: SparkSession, root: str, glob: str = "*.zip") -> Data
     return raw.mapInPandas(_expand, LINES_SCHEMA)
 
 
-def member_frames(lines: DataFrame, year_col: str = "shard_year") -> tuple[DataFrame, DataFrame]:
+def member_frames(lines: DataFrame, year_col: str = "shard_year", materialize_lines: bool = True
+                  ) -> tuple[DataFrame, DataFrame]:
     """Parse expanded member lines into text rows, one scan per distinct header.
 
     Returns (rows with ``member`` and ``shard_year``, inventory of (year, column)).
     Headers are metadata (one line per member) and are gathered to plan the
-    parse; data lines are parsed by ``from_csv`` on the executors.
+    parse; data lines are parsed by ``from_csv`` on the executors. The
+    expansion is written once (Parquet under the checkpoint folder,
+    partitioned by member), so each header group reads only its own
+    members' partitions instead of expanding the archives again.
     """
+    from roadbook.session import materialize
     from roadbook.sources.shards import year_from_name
 
+    if materialize_lines:
+        lines = materialize(lines, "archive-lines", partition_by=["member"])
     ok = lines.filter(F.col("error").isNull())
     heads = ok.filter(F.col("line_no") == 0).select("member", "line").collect()
     by_header: dict[str, list[str]] = {}
