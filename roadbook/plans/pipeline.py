@@ -65,7 +65,7 @@ def profile_and_harmonize(spark: SparkSession, root: str, category: str, years,
     """Stages 2-3 from landed CSV shards of one category.
 
     Lists and matches the yearly files (S1, S3, S4), reports missing shards,
-    reads the shards as text, profiles them (P1-P5; on the first
+    reads the shards as text once into a columnar copy, profiles them (P1-P5; on the first
     ``sample_rows`` rows of each file when given, S2), compares schemas
     across years (P6-P10) and returns the harmonized table (H1-H3, F3-F4).
     """
@@ -76,6 +76,9 @@ def profile_and_harmonize(spark: SparkSession, root: str, category: str, years,
     files = S.list_files(spark, root, "*.csv")
     matched = S.match_shards(files, [category], years)
     text, inventory = S.read_text_shards(spark, matched)
+    # CSV is parsed once: profiling, type resolution and the typed cast all
+    # read this columnar copy (written under the checkpoint folder by year)
+    text = materialize(text, f"{category.lower()}-text", partition_by=["shard_year"])
     profiled = text
     if sample_rows is not None:
         paths = [r["path"] for r in matched.select("path").collect()]          # one row per shard file
