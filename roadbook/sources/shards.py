@@ -136,9 +136,16 @@ def scan_sample(spark: SparkSession, paths: list[str], n: int = 1000) -> DataFra
     """The first ``n`` rows of each CSV file (as text), plus the file name.
 
     Only the first split of each file is read (``file_block_start = 0``), and
-    each task keeps a per-file counter while streaming its rows in order.
+    each task keeps a per-file counter while streaming its rows in order. A
+    shard written by Spark as a folder of part files is sampled from its
+    first part file.
     """
-    df = spark.read.option("header", True).csv(paths)
+    first: dict[str, str] = {}
+    for p in sorted(paths):
+        parts = p.rstrip("/").split("/")
+        shard = "/".join(parts[:-1]) if len(parts) > 1 and parts[-2].lower().endswith(".csv") else p
+        first.setdefault(shard, p)
+    df = spark.read.option("header", True).csv(sorted(first.values()))
     cols = df.columns
     src = df.select(F.col("_metadata.file_name").alias("_file"), F.col("_metadata.file_block_start").alias("_start"), *cols)
     src = src.filter(F.col("_start") == 0).drop("_start")
