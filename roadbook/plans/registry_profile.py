@@ -375,3 +375,16 @@ def q_scan_category_csv(spark, sf):
     matched = S.match_shards(S.list_files(spark, root, "*.csv"), ["ORDERS"], years)
     text, _ = S.read_text_shards(spark, matched)
     return text.select(Y, *[c for c in fx.SHARD_COLUMNS])
+
+
+@register("scan_sample", O.with_(["shard_text"], """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY shard_year ORDER BY CAST(o_orderkey AS BIGINT)) AS rn FROM shard_text)
+WHERE rn <= 100"""))
+def q_scan_sample(spark, sf):
+    """First 100 rows of each landed yearly shard (file order = order key order in these tables)."""
+    from roadbook.sources import shards as S
+    root, years = _landed_shards(spark, sf)
+    matched = S.match_shards(S.list_files(spark, root, "*.csv"), ["ORDERS"], years)
+    sample = S.scan_sample(spark, [r["path"] for r in matched.select("path").collect()], n=100)
+    return sample.select(S.year_from_name(F.col("_file"), min(years), max(years)).alias(Y), *fx.SHARD_COLUMNS)

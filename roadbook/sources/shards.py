@@ -133,34 +133,45 @@ def read_text_shards(spark: SparkSession, shard_files: DataFrame, year_col: str
 
 
 def scan_sample(spark: SparkSession, paths: list[str], n: int = 1000) -> DataFrame:
-    """The first ``n`` rows of each CSV file (as text), plus the file name.
+    """The first ``n`` rows of each CSV shard (as text), with the shard name in ``_file``.
 
-    Only the first split of each file is read (``file_block_start = 0``), and
-    each task keeps a per-file counter while streaming its rows in order. A
-    shard written by Spark as a folder of part files is sampled from its
-    first part file.
+    A shard written by Spark as a folder of part files is sampled from its
+    first part file. Shards are grouped by header (one CSV scan per distinct
+    header, unioned by name), only the first split of each file is read
+    (``file_block_start = 0``), and each task keeps a per-file counter while
+    streaming its rows in order.
     """
     first: dict[str, str] = {}
     for p in sorted(paths):
         parts = p.rstrip("/").split("/")
         shard = "/".join(parts[:-1]) if len(parts) > 1 and parts[-2].lower().endswith(".csv") else p
         first.setdefault(shard, p)
-    df = spark.read.option("header", True).csv(sorted(first.values()))
-    cols = df.columns
-    src = df.select(F.col("_metadata.file_name").alias("_file"), F.col("_metadata.file_block_start").alias("_start"), *cols)
-    src = src.filter(F.col("_start") == 0).drop("_start")
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for p in sorted(first.values()):
+        groups.setdefault(tuple(spark.read.option("header", True).csv(p).columns), []).append(p)
 
     def head(batches):
         seen: dict[str, int] = {}
         for pdf in batches:
             keep = []
-            for f in pdf["_file"]:
+            for f in pdf["_path"]:
                 c = seen.get(f, 0)
                 keep.append(c < n)
                 seen[f] = c + 1
             yield pdf[keep]
 
-    return src.mapInPandas(head, src.schema)
+    out = None
+    for cols, members in groups.items():
+        df = spark.read.option("header", True).option("inferSchema", False).csv(members)
+        src = df.select(F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_start"),
+                        *[F.col(f"`{c}`") for c in df.columns])
+        src = src.filter(F.col("_start") == 0).drop("_start")
+        part = src.mapInPandas(head, src.schema)
+        name = F.element_at(F.split("_path", "/"), -1)
+        parent = F.element_at(F.split("_path", "/"), -2)
+        part = part.withColumn("_file", F.when(F.lower(parent).endswith(".csv"), parent).otherwise(name)).drop("_path")
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
 
 
 def missing_categories(observed: DataFrame, years: DataFrame, categories=tuple(CATEGORIES)) -> DataFrame:
