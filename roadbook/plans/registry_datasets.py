@@ -551,3 +551,20 @@ def q_scan_observations_json(spark, sf):
     path = _scratch(spark, "obs-pages")
     OB.write_observation_pages(fx.weather_long(spark, sf), path)
     return OB.read_observation_pages(spark, path, multi_line=False).select("date", "datatype", "station", "value")
+
+
+@register("dataset_catalog", O.with_(CW + ["person"], """
+SELECT 'crash_weather' AS dataset, COUNT(*) AS records, (SELECT COUNT(*) FROM (DESCRIBE crash_weather))::INTEGER AS fields
+FROM crash_weather
+UNION ALL SELECT 'weather_daily', COUNT(*), (SELECT COUNT(*) FROM (DESCRIBE weather))::INTEGER FROM weather
+UNION ALL SELECT 'person', COUNT(*), (SELECT COUNT(*) FROM (DESCRIBE person))::INTEGER FROM person"""))
+def q_dataset_catalog(spark, sf):
+    """K5 over written stage outputs; the byte sizes depend on the encoder, so only records and fields are kept."""
+    from roadbook.sources import sinks
+    outputs = {"crash_weather": stages.crash_weather(spark, sf), "weather_daily": stages.weather_table(spark, sf),
+               "person": fx.person(spark, sf)}
+    paths = {}
+    for name, df in outputs.items():
+        paths[name] = _scratch(spark, f"catalog-{name}")
+        sinks.write_parquet(df, paths[name], partition_by=["CRASH_YEAR"] if "CRASH_YEAR" in df.columns else None)
+    return sinks.dataset_catalog(spark, paths).select("dataset", "records", F.col("fields").cast("int").alias("fields"))
