@@ -568,3 +568,19 @@ def q_dataset_catalog(spark, sf):
         paths[name] = _scratch(spark, f"catalog-{name}")
         sinks.write_parquet(df, paths[name], partition_by=["CRASH_YEAR"] if "CRASH_YEAR" in df.columns else None)
     return sinks.dataset_catalog(spark, paths).select("dataset", "records", F.col("fields").cast("int").alias("fields"))
+
+
+O.cte("full_per_crash", "SELECT DISTINCT CRN, date_approximation_method, crash_date FROM full_integrated")
+
+
+@register("val_date_methods_per_crash", O.with_(FULL + ["full_per_crash"], "SELECT COUNT(*) AS total_records, " + ", ".join(
+    f"COUNT(*) FILTER (WHERE date_approximation_method = '{m}') AS {m}, "
+    + PCT.format(n=f"COUNT(*) FILTER (WHERE date_approximation_method = '{m}')", d="COUNT(*)") + f" AS {m}_pct"
+    for m in ("exact_day", "weekday_reconstructed", "mid_month_fallback", "mid_month_only")) + " FROM full_per_crash"))
+def q_val_date_methods_per_crash(spark, sf):
+    return V.val_date_methods(stages.full(spark, sf), per="crash")
+
+
+@register("val_year_range_per_crash", O.with_(FULL + ["full_per_crash"], TEMPORAL.replace("FROM full_integrated", "FROM full_per_crash")))
+def q_val_year_range_per_crash(spark, sf):
+    return V.val_temporal(stages.full(spark, sf), per="crash")
