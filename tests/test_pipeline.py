@@ -30,3 +30,19 @@ def test_profile_and_harmonize_from_csv(spark, tmpdir_path):
     assert dict(h.dtypes)["o_orderkey"] == "bigint" and dict(h.dtypes)["o_totalprice"] == "string"
     sampled = profile_and_harmonize(spark, tmpdir_path, "CRASH", range(1995, 2002), sample_rows=10)
     assert sampled["column_stats"].agg({"rows": "max"}).first()[0] == 10
+
+
+def test_profile_and_harmonize_scale_mode_agrees_on_small_columns(spark, tmpdir_path):
+    from roadbook.plans.pipeline import profile_and_harmonize
+    from tests.test_sources_streaming import _write_shards
+    _write_shards(spark, tmpdir_path)
+    exact = profile_and_harmonize(spark, tmpdir_path, "CRASH", range(1995, 2002))
+    approx = profile_and_harmonize(spark, tmpdir_path, "CRASH", range(1995, 2002), exact_distinct=False)
+    key = lambda r: (r.shard_year, r.column, r.value, r.n, r.rank)
+    assert sorted(map(key, exact["top_values"].collect())) == sorted(map(key, approx["top_values"].collect()))
+    small = ["o_orderstatus", "o_orderpriority"]
+    a = {(r.shard_year, r.column): (r.distinct_count, r.null_count, r.dtype)
+         for r in exact["column_stats"].filter(exact["column_stats"].column.isin(small)).collect()}
+    b = {(r.shard_year, r.column): (r.distinct_count, r.null_count, r.dtype)
+         for r in approx["column_stats"].filter(approx["column_stats"].column.isin(small)).collect()}
+    assert a == b and a
