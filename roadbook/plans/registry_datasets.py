@@ -584,3 +584,16 @@ def q_val_date_methods_per_crash(spark, sf):
 @register("val_year_range_per_crash", O.with_(FULL + ["full_per_crash"], TEMPORAL.replace("FROM full_integrated", "FROM full_per_crash")))
 def q_val_year_range_per_crash(spark, sf):
     return V.val_temporal(stages.full(spark, sf), per="crash")
+
+
+@register("val_day_histogram_per_crash", O.with_(FULL + ["full_per_crash"], """
+SELECT CAST(dayofmonth(crash_date) AS INTEGER) AS day, COUNT(*) AS n FROM full_per_crash WHERE crash_date IS NOT NULL GROUP BY 1"""))
+def q_val_day_histogram_per_crash(spark, sf):
+    return V.val_day_histogram(stages.full(spark, sf), per="crash")
+
+
+@register("val_top_days_per_crash", O.with_(FULL + ["full_per_crash"], """
+SELECT CAST(dayofmonth(crash_date) AS INTEGER) AS day, COUNT(*) AS n FROM full_per_crash WHERE crash_date IS NOT NULL
+GROUP BY 1 ORDER BY n DESC, day LIMIT 5"""))
+def q_val_top_days_per_crash(spark, sf):
+    return V.val_top_days(stages.full(spark, sf), per="crash", parity=False)
