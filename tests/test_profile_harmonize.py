@@ -137,3 +137,25 @@ def test_all_null_shard_column_does_not_vote(spark):
     assert {r.column: r.target_type for r in H.target_types(P.inventory_types(inv, ev)).collect()} == {"a": "long"}
     # the strict rule sees int64 vs float64 (an all-missing column reads as float64) and gives string
     assert {r.column: r.target_type for r in H.target_types(P.inventory_types(inv, ev), pandas_dtypes=True).collect()} == {"a": "string"}
+
+
+def test_cast_to_master_types_and_bad_values(spark):
+    import datetime as dt
+    df = spark.createDataFrame([("1", "2.5", "2023-07-01 10:00:00", "x"), ("nan", "abc", "not a time", None)],
+                               "a string, b string, c string, d string")
+    out = H.cast_to_master(df, {"a": "int64", "b": "float64", "c": "datetime64[ns]", "d": "object", "missing": "int64"})
+    assert dict(out.dtypes) == {"a": "bigint", "b": "double", "c": "timestamp", "d": "string"}
+    rows = out.collect()
+    assert (rows[0].a, rows[0].b, rows[0].c, rows[0].d) == (1, 2.5, dt.datetime(2023, 7, 1, 10, 0), "x")
+    assert (rows[1].a, rows[1].b, rows[1].c) == (None, None, None)
+
+
+def test_harmonize_all_widens_numeric_when_asked(spark):
+    d1 = spark.createDataFrame([(1,)], "x int")
+    d2 = spark.createDataFrame([(2.5,)], "x double")
+    d3 = spark.createDataFrame([("t",)], "y string")
+    strict = H.harmonize_all([d1, d2, d3])
+    wide = H.harmonize_all([d1, d2, d3], widen_numeric=True)
+    assert dict(strict.dtypes) == {"x": "string", "y": "string"}
+    assert dict(wide.dtypes) == {"x": "double", "y": "string"}
+    assert sorted((r.x if r.x is not None else -1.0) for r in wide.collect()) == [-1.0, 1.0, 2.5]
