@@ -8,6 +8,7 @@ corrupt archive becomes one error row instead of failing the job.
 
 from __future__ import annotations
 
+import csv
 import io
 import zipfile
 
@@ -70,7 +71,7 @@ def member_frames(lines: DataFrame, year_col: str = "shard_year", materialize_li
     spark = lines.sparkSession
     frames, inv = [], []
     for header, members in by_header.items():
-        names = [c.strip().strip('"') for c in header.split(",")]
+        names = [c.strip() for c in next(csv.reader([header]))]
         ddl = ", ".join(f"`{c}` string" for c in names)
         part = (ok.filter(F.col("member").isin(members) & (F.col("line_no") > 0) & (F.length("line") > 0))
                 .select("member", year_from_name(F.col("member")).alias(year_col),
