@@ -138,3 +138,27 @@ def test_third_of_rows_on_one_key_is_spread(spark):
     assert hot_share > 0.25
     assert max(plain_sizes) / total >= hot_share        # plain join: the hot key sits in one task
     assert max(sizes) / total < 0.2                     # salted: spread over the 8 partitions
+
+
+def test_left_side_null_key_skew_is_split_by_aqe(spark):
+    from pyspark.sql import functions as F
+    left = spark.range(0, 30000).select(F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise((F.col("id") % 5000).cast("string")).alias("k"),
+                                        F.col("id").alias("li"))
+    right = spark.range(0, 20000).select((F.col("id") % 5000).cast("string").alias("k"), F.col("id").alias("ri"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+                "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    prev = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        out = fanout_left_join(left, right, "k", right_unique=True)   # plain left join path
+        n = len(out.collect())                                          # runs this plan, so it becomes final
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in prev.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert n == left.join(right, "k", "left").count()
+    assert "skew=true" in plan
