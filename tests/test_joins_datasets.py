@@ -162,3 +162,29 @@ def test_left_side_null_key_skew_is_split_by_aqe(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert n == left.join(right, "k", "left").count()
     assert "skew=true" in plan
+
+
+def test_inner_join_hot_right_key_is_split_by_aqe(spark):
+    from pyspark.sql import functions as F
+
+    from roadbook.operators.joins import join_suffixed
+    left = spark.range(0, 5000).select(F.col("id").cast("string").alias("CRN"), F.col("id").alias("li"))
+    right = spark.range(0, 30000).select(F.when(F.col("id") % 3 == 0, F.lit("7")).otherwise((F.col("id") % 5000).cast("string")).alias("CRN"),
+                                         F.col("id").alias("ri"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+                "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    prev = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        out = join_suffixed(left, right, "CRN", "inner", "_cycle")      # J1's join
+        n = len(out.collect())
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in prev.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert n == 30000
+    assert "skew=true" in plan
