@@ -188,3 +188,14 @@ def test_inner_join_hot_right_key_is_split_by_aqe(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert n == 30000
     assert "skew=true" in plan
+
+
+def test_vehicle_summary_combines_map_side(spark):
+    from pyspark.sql import functions as F
+    v = spark.range(0, 20000).select(F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.col("id").cast("string")).alias("CRN"),
+                                     (F.col("id") % 4).cast("string").alias("VEH_TYPE"), F.lit("1").alias("VEH_ROLE_CD"))
+    out = D.vehicle_summary(v)
+    rows = {r.CRN: r for r in out.collect()}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "partial_collect_set" in plan                     # combined before the exchange
+    assert rows["HOT"].VEH_TYPE == "0, 1, 2, 3"
