@@ -8,6 +8,8 @@ group is one multi-file scan.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -107,9 +109,16 @@ def read_text_shards(spark: SparkSession, shard_files: DataFrame, year_col: str
     for r in shard_files.select("file_name", "year", "path").collect():      # one row per file (metadata)
         shards.setdefault((r["file_name"], int(r["year"])), []).append(r["path"])
     headers: dict[tuple[str, ...], list[tuple[str, int]]] = {}
-    for (_, year), paths in shards.items():
-        # one header per shard: every part file of a Spark-written shard has the same one
-        cols = tuple(spark.read.option("header", True).csv(sorted(paths)[0]).columns)
+    # one header per shard (every part file of a Spark-written shard has the same
+    # one); each read is a tiny job, so they are submitted together
+    items = list(shards.items())
+
+    def header(item):
+        return tuple(spark.read.option("header", True).csv(sorted(item[1])[0]).columns)
+
+    with ThreadPoolExecutor(max_workers=max(1, min(16, len(items)))) as pool:
+        cols_list = list(pool.map(header, items))
+    for ((_, year), paths), cols in zip(items, cols_list):
         headers.setdefault(cols, []).extend((p, year) for p in paths)
     frames, inv_rows = [], []
     for cols, members in headers.items():
