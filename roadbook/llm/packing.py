@@ -12,10 +12,6 @@ Ranks are taken in salted groups: a length that many pieces share is dealt
 into buckets of about ``BUCKET`` pieces, each bucket is numbered by itself, and
 the buckets' sizes are summed before it.
 
-The last, part-filled packs are cut at powers of two, which need no padding
-(``cut_rest``): a pack whose fill is far below the next power of two gives its
-tail to a sequence of its own. No id is dropped or repeated.
-
 Cases: null and empty texts hold only the end id; repeated rows are packed
 each for itself; null doc_ids are kept; an empty table gives an empty result;
 further columns of the input are ignored.
