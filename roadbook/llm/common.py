@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,8 +26,17 @@ def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def importable(spark: SparkSession) -> None:
+    """Let Python workers find this package where it lies (on a cluster, ship it with --py-files)."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(":"):
+        env["PYTHONPATH"] = ":".join(filter(None, [root, env.get("PYTHONPATH")]))
+
+
+def table(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
+    importable(spark)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def n_words(text: Column) -> Column:

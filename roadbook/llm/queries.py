@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadbook.llm import packing, token_counts, token_files
-from roadbook.llm.common import documents, scratch
+from roadbook.llm import near_dup, packing, token_counts, token_files
+from roadbook.llm.common import scratch, table
 from roadbook.llm.tokens import tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,7 +27,7 @@ def query(name: str, sql: str | None = None):
 @query("op3_token_counts")
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of every text, through a cache that starts empty: equal texts are encoded once."""
-    docs = documents(spark, sf_dir).select("doc_id", "text")
+    docs = table(spark, sf_dir).select("doc_id", "text")
     out = token_counts.count_tokens(docs, tokenizer_path("byte_bpe_50k.json"), scratch(spark, "token-cache"))
     return out.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
@@ -35,16 +35,23 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_token_files")
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write all texts as token-ID files and read them back."""
-    tokens = token_files.tokenized(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
+    tokens = token_files.tokenized(table(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
     folder = scratch(spark, "token-files")
     token_files.write_token_files(tokens, folder, 1 << 16)
     return token_files.read_digests(spark, folder)
 
 
+@query("op8_near_dup")
+def op8_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of every document: five-word shingles, similarity 0.8 or more."""
+    found = near_dup.classes(table(spark, sf_dir))
+    return found.select(F.col("doc").alias("doc_id"), "class_id", (F.col("doc") == F.col("class_id")).alias("kept"))
+
+
 @query("op9_packing")
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pack all texts into sequences of 4096 ids."""
-    cut = packing.pieces(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
+    cut = packing.pieces(table(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
     out = packing.pack(cut, with_ids=False)
     return out.select("doc_id", "start", F.col("length").cast("long").alias("length"), F.col("crc").alias("ids_crc32"),
                       "doc_tokens", "sequence_id", "offset")
