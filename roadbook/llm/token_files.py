@@ -45,8 +45,8 @@ from pyspark.sql import functions as F
 from roadbook.llm.common import written
 from roadbook.llm.tokens import encoder
 
-SCALE, BLOCK, LANES, CHECK = 20, 1 << 16, 256, 64
-_LOW = np.uint64(1 << 31)
+SCALE, BLOCK, LANES, CHECK = 20, 1 << 17, 1024, 64
+_LOW, _ONE = np.uint64(1 << 31), np.uint64(1)
 _HEAD = struct.Struct("<4s7I")
 MAGIC = b"rNS1"
 
@@ -88,31 +88,36 @@ class Coder:
         self.freq = freq.astype(np.uint64)
         self.start = np.concatenate([[0], np.cumsum(freq.astype(np.uint64))[:-1]]).astype(np.uint64)
         self.limit = self.freq << np.uint64(63 - scale)
-        self.slots = np.repeat(np.arange(len(freq), dtype=np.uint32), freq.astype(np.int64))
+        kind = np.uint16 if len(freq) <= 1 << 16 else np.uint32
+        self.slots = np.repeat(np.arange(len(freq), dtype=kind), freq.astype(np.int64))
 
     def encode(self, ids: np.ndarray, lanes: int = LANES, every: int = CHECK) -> bytes:
         n = len(ids)
+        while lanes > 1 and lanes * 32 > n:
+            lanes //= 2              # a short block has few lanes, so that their states stay small beside it
         steps = -(-n // lanes)
+        limits, freqs, starts = self.limit[ids], self.freq[ids], self.start[ids]
         state = np.full(lanes, _LOW, np.uint64)
         words: list[np.ndarray] = []
         marks: list[tuple[int, np.ndarray]] = []
         done = 0
         for step in range(steps - 1, -1, -1):
-            now = ids[step * lanes:(step + 1) * lanes]
-            x = state[:len(now)]
-            full = x >= self.limit[now]
+            at = slice(step * lanes, min(n, (step + 1) * lanes))
+            f = freqs[at]
+            x = state[:len(f)]
+            full = np.flatnonzero(x >= limits[at])
             out = x[full].astype(np.uint32)
-            x = np.where(full, x >> np.uint64(32), x)
-            f = self.freq[now]
+            x[full] >>= np.uint64(32)
             q = x // f
-            state[:len(now)] = (q << self.scale) + (x - q * f) + self.start[now]
+            # x // f * 2^scale + x % f + start
+            x += q * ((_ONE << self.scale) - f) + starts[at]
             words.append(out)
             done += len(out)
             if step and step % every == 0:
                 marks.append((done, state.copy()))
         body = state.astype("<u8").tobytes()
-        for emitted, at in reversed(marks):
-            body += struct.pack("<Q", done - emitted) + at.astype("<u8").tobytes()
+        for emitted, states in reversed(marks):
+            body += struct.pack("<Q", done - emitted) + states.astype("<u8").tobytes()
         body += b"".join(w.astype("<u4").tobytes() for w in reversed(words))
         return _HEAD.pack(MAGIC, n, lanes, every, len(marks), done, zlib.crc32(ids.astype("<u4").tobytes()),
                           zlib.crc32(body)) + body
@@ -151,34 +156,47 @@ class Coder:
 
 # ---- writing ---------------------------------------------------------------
 
-def _tokenize(path: str, end_id: int | None):
+def _tokenize(path: str, end_id: int | None, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path)
         end = b"" if end_id is None else struct.pack("<I", end_id)
+
+        def ids(text: str | None) -> bytes:
+            return np.frombuffer(e.encode(text) + end, "<u4").astype(kind).tobytes()
+
         for b in batches:
             # in slices, so that the ids of few documents are held at once
             for at in range(0, len(b), 256):
                 s = b.slice(at, 256)
                 yield pa.RecordBatch.from_arrays(
-                    [s.column("doc_id"), pa.array([e.encode(t.as_py()) + end for t in s.column("text")], pa.binary())],
+                    [s.column("doc_id"), pa.array([ids(t.as_py()) for t in s.column("text")], pa.binary())],
                     ["doc_id", "ids"])
     return run
 
 
-def tokenized(docs: DataFrame, tokenizer: str, end_id: int | None = 2, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, ids): little-endian unsigned 32-bit ids of each whole text, with ``end_id`` after it; written once."""
+def width(vocabulary: int) -> str:
+    """numpy's name of the narrowest little-endian type that holds the ids of a vocabulary."""
+    return "<u2" if vocabulary <= 1 << 16 else "<u4"
+
+
+def tokenized(docs: DataFrame, tokenizer: str, vocabulary: int, end_id: int | None = 2, doc_id: str = "doc_id",
+              text: str = "text") -> DataFrame:
+    """(doc_id, ids): ids of each whole text, with ``end_id`` after it, as bytes of ``width(vocabulary)``; written once."""
     light = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return written(light.mapInArrow(_tokenize(tokenizer, end_id), "doc_id long, ids binary"), "token-ids")
+    return written(light.mapInArrow(_tokenize(tokenizer, end_id, width(vocabulary)), "doc_id long, ids binary"), "token-ids")
 
 
 def _frequencies(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(size, np.int64)
         for b in batches:
-            for ids in b.column("ids"):
-                counts += np.bincount(np.frombuffer(ids.as_buffer(), "<u4"), minlength=size) if len(ids.as_buffer()) > 40_000 else 0
-            small = b"".join(x.as_py() for x in b.column("ids") if len(x.as_buffer()) <= 40_000)
-            counts += np.bincount(np.frombuffer(small, "<u4"), minlength=size)
+            # the values of a batch's binary column lie one after the other
+            column = b.column("ids")
+            offsets = np.frombuffer(column.buffers()[1], "<i4", len(column) + 1, 4 * column.offset)
+            ids = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0]:offsets[-1]] if len(column) else np.empty(0, np.uint8)
+            ids = ids.view(width(size))
+            for at in range(0, len(ids), 1 << 20):
+                counts += np.bincount(ids[at:at + (1 << 20)], minlength=size)
         seen = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(counts[seen], pa.int64())], ["id", "n"])
     return run
@@ -193,7 +211,7 @@ def frequencies(tokens: DataFrame, size: int) -> np.ndarray:
     return counts
 
 
-def _encode(freq: np.ndarray):
+def _encode(freq: np.ndarray, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, part = Coder(freq), TaskContext.get().partitionId()
         docs: list[tuple] = []
@@ -211,7 +229,7 @@ def _encode(freq: np.ndarray):
 
         for b in batches:
             for doc, buf in zip(b.column("doc_id").to_pylist(), b.column("ids"), strict=True):
-                ids, at = np.frombuffer(buf.as_buffer(), "<u4"), 0
+                ids, at = np.frombuffer(buf.as_buffer(), kind), 0
                 while True:
                     take = min(BLOCK - have, len(ids) - at)
                     docs.append((doc, ordinal, at, take))
@@ -229,13 +247,13 @@ def _encode(freq: np.ndarray):
 
 
 def write_token_files(tokens: DataFrame, folder: str, vocabulary: int) -> None:
-    """Write (doc_id, ids) to ``folder`` in ascending doc_id order; ``vocabulary`` is the number of ids."""
+    """Write (doc_id, ids), as ``tokenized`` gives them, to ``folder`` in ascending doc_id order."""
     spark = tokens.sparkSession
     freq = quantised(frequencies(tokens, vocabulary))
     seen = np.flatnonzero(freq)
     spark.createDataFrame([(int(i), int(freq[i])) for i in seen], "id long, freq long").coalesce(1).write.parquet(f"{folder}/table")
     ordered = tokens.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids")
-    ordered.mapInArrow(_encode(freq), BLOCKS).write.option("compression", "none").parquet(f"{folder}/blocks")
+    ordered.mapInArrow(_encode(freq, width(vocabulary)), BLOCKS).write.option("compression", "none").parquet(f"{folder}/blocks")
 
 
 # ---- reading ---------------------------------------------------------------

@@ -4,7 +4,8 @@
 add_special_tokens=False)``. It reads the tokenizer's own description and
 splits texts only where its pre-tokenizer can never look across:
 
-- white space dropped by the pre-tokenizer: cut at ASCII space and line feed;
+- white space dropped by the pre-tokenizer: cut at ASCII space and line feed,
+  and around a comma or full stop that no other mark touches;
 - byte-level with a space carried by the next word: cut before each space and
   around each line feed, unless two white-space characters meet or a special string occurs;
 - anything else: the whole text goes to the library.
@@ -12,7 +13,7 @@ splits texts only where its pre-tokenizer can never look across:
 A chunk that was seen before costs one dictionary look-up. New chunks of Latin
 letters followed by punctuation are one or two pre-tokens, so the library's
 BPE model is asked directly; every other chunk goes through the library whole.
-Memory is bounded: each dictionary keeps two generations of ``MEMO`` entries.
+Memory is bounded: each dictionary keeps two generations of a fixed size.
 """
 
 from __future__ import annotations
@@ -22,8 +23,9 @@ import os
 import re
 import struct
 
-#: Entries of one generation of a dictionary in a Python worker (about 40 MB).
-MEMO = 200_000
+#: Entries of one generation of a dictionary in a Python worker (about 50 MB); the second dictionary, of
+#: pre-tokens, holds a quarter of it.
+MEMO = 250_000
 
 #: Fixed: Latin letters (without U+0130, whose lower case is two characters) and ASCII punctuation that
 #: starts neither a contraction (') nor a special string (<).
@@ -32,17 +34,17 @@ PUNCTUATION = r"""!"#$%&()*+,\-./:;=>?@\[\\\]^_`{|}~"""
 
 
 class _Memo(dict):
-    """``make(key)`` by key, in two generations of at most ``MEMO`` entries each: what was used lately stays."""
+    """``make(key)`` by key, in two generations of at most ``most`` entries each: what was used lately stays."""
 
-    def __init__(self, make):
+    def __init__(self, make, most: int):
         super().__init__()
-        self.make, self.old = make, {}
+        self.make, self.most, self.old = make, most, {}
 
     def __missing__(self, key: str) -> bytes:
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
-        if len(self) >= MEMO:
+        if len(self) >= self.most:
             self.old = dict(self)
             self.clear()
         self[key] = value
@@ -63,13 +65,16 @@ class ChunkEncoder:
         self.mode = _mode(said)
         self.model = self.tokenizer.model
         self.lower = self.mode == "words"
-        self._byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self._chars: dict[str, str] = {}
-        self._pieces = _Memo(self._piece)
-        self._chunks = _Memo(self._chunk)
+        stand_in = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        #: how the library writes a space and the letters above ASCII byte by byte
+        self._chars = {c: "".join(p for p, _ in stand_in(chr(c))) for c in (0x20, *range(0xC0, 0x250))}
+        self._pieces = _Memo(self._piece, MEMO // 4)
+        self._chunks = _Memo(self._chunk, MEMO)
+        self._lower_word = re.compile("[a-zß-öø-ÿ]+" if self.lower else "(?!)").fullmatch
         space = " ?" if self.mode == "byte_level" else ""
         self._simple = re.compile(f"({space}[{LETTERS}]+)([{PUNCTUATION}]*)").fullmatch
         self._two_spaces = re.compile(r"\s\s").search
+        self._run = re.compile(r"[.,](?<=(?:[^\w\s]|_).) ").search
 
     def encode(self, text: str | None) -> bytes:
         """Ids of one text; null counts as empty."""
@@ -83,7 +88,12 @@ class ChunkEncoder:
         if not text:
             return ()
         if self.mode == "words":
-            return map(self._chunks.__getitem__, text.replace("\n", " ").split(" "))
+            if "\u03a3" not in text and "\u0130" not in text:
+                text = text.lower()     # the library lowers character by character; sigma and dotted I differ
+            text = text.replace("\n", " ")
+            if not self._run(text):     # no comma or full stop belongs to a run of marks
+                text = text.replace(", ", " , ").replace(". ", " . ")
+            return map(self._chunks.__getitem__, text.split(" "))
         if self.mode == "byte_level" and not self._two_spaces(text) and not any(s in text for s in self.special):
             # no white space meets white space: a line feed is a pre-token of its own
             chunks = []
@@ -95,6 +105,10 @@ class ChunkEncoder:
         return (self._library(text),)
 
     def _chunk(self, chunk: str) -> bytes:
+        if self.lower and chunk.isascii() and chunk.isalpha() and chunk.islower():
+            return self._piece(chunk)
+        if self._lower_word(chunk):
+            return self._piece(chunk)
         if m := self._simple(chunk):
             word, marks = m.groups()
             word = word.lower() if self.lower else word
@@ -103,16 +117,10 @@ class ChunkEncoder:
 
     def _piece(self, piece: str) -> bytes:
         """Ids of one pre-token, from the BPE model itself."""
-        mapped = piece if piece.isascii() and piece[0] != " " else "".join(map(self._char, piece))
+        mapped = piece if piece.isascii() and piece[0] != " " else piece.translate(self._chars)
         found = [t.id for t in self.model.tokenize(mapped)]
         return struct.pack(f"<{len(found)}I", *found)
 
-    def _char(self, char: str) -> str:
-        """The byte-level stand-in of one character, as the library writes it."""
-        if char not in self._chars:
-            self._chars[char] = "".join(p for p, _ in self._byte_level.pre_tokenize_str(char))
-        return self._chars[char]
-
     def _library(self, text: str) -> bytes:
         found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
         return struct.pack(f"<{len(found)}I", *found)
