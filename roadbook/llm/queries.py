@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadbook.llm import near_dup, packing, token_counts, token_files
+from roadbook.llm import language_id, mixing, near_dup, packing, quality_rules, secret_scan, token_counts, token_files
 from roadbook.llm.common import scratch, table
 from roadbook.llm.tokens import tokenizer_path
 
+#: Fixed: ids of word_bpe_49k.json.
+VOCABULARY = 49_408
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -24,6 +27,27 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_mixing")
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mix all documents to the weights 5, 2, 1 of their sources, up to 3 copies each."""
+    units = mixing.copies(table(spark, sf_dir))
+    each = units.withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), "rows")))
+    return each.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "source", "copies")
+
+
+def held_out() -> Column:
+    """Documents that the language model doesn't learn from."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+@query("op2_language_id")
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text, learned from the labelled texts that aren't held out."""
+    docs = table(spark, sf_dir).withColumn("held_out", held_out())
+    model = language_id.train(docs.where(~F.col("held_out")))
+    return language_id.identify(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score")
+
+
 @query("op3_token_counts")
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of every text, through a cache that starts empty: equal texts are encoded once."""
@@ -35,12 +59,25 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_token_files")
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write all texts as token-ID files and read them back."""
-    tokens = token_files.tokenized(table(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
+    tokens = token_files.tokenized(table(spark, sf_dir), tokenizer_path("word_bpe_49k.json"), VOCABULARY)
     folder = scratch(spark, "token-files")
-    token_files.write_token_files(tokens, folder, 1 << 16)
+    token_files.write_token_files(tokens, folder, VOCABULARY)
     return token_files.read_digests(spark, folder)
 
 
+@query("op6_secret_scan")
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in every text."""
+    found = secret_scan.scan(table(spark, sf_dir), ["doc_id"])
+    base = F.filter("spans", lambda s: s["place"] < 3)
+
+    def number(place: int):
+        return F.size(F.filter("spans", lambda s: s["place"] == place)).cast("long")
+
+    return found.select("doc_id", number(0).alias("n_assign"), number(1).alias("n_access"), number(2).alias("n_hex"),
+                        F.sha2(secret_scan.listed(base), 256).alias("base_sha256"), secret_scan.listed(F.col("spans")).alias("spans"))
+
+
 @query("op8_near_dup")
 def op8_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of every document: five-word shingles, similarity 0.8 or more."""
@@ -55,3 +92,12 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = packing.pack(cut, with_ids=False)
     return out.select("doc_id", "start", F.col("length").cast("long").alias("length"), F.col("crc").alias("ids_crc32"),
                       "doc_tokens", "sequence_id", "offset")
+
+
+@query("op10_quality_rules")
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and a decision list learned from the quality labels, for every text."""
+    stats = quality_rules.statistics(table(spark, sf_dir).select("doc_id", "text"))
+    rules = quality_rules.learn(stats, table(spark, sf_dir, "labels"))
+    out = quality_rules.judged(stats, rules)
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
