@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadbook.llm import language_id, mixing, near_dup, packing, quality_rules, secret_scan, token_counts, token_files
+from roadbook.llm import language_id, mixing, near_dup, packing, quality_rules, secret_scan, token_counts, token_files, vector_search
 from roadbook.llm.common import scratch, table
 from roadbook.llm.tokens import tokenizer_path
 
@@ -56,6 +56,12 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+@query("op4_vector_search")
+def op4_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every 20th vector among all others."""
+    return vector_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @query("op5_token_files")
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write all texts as token-ID files and read them back."""
