@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -170,20 +170,20 @@ def train(labelled: DataFrame, lang: str = "lang", text: str = "text", max_words
     return Model(langs, [(r["word"], r["per"]) for r in top_words], [(r["size"], r["gram"], r["per"]) for r in top_grams])
 
 
-def _predict(model, sharpness: float):
+def _predict(model, sharpness: float, text: str, keep: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
         for b in batches:
-            found = [m.predict(t.as_py(), sharpness) for t in b.column("__text")]
-            kept = [c for c in b.schema.names if c != "__text"]
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array([x[0] for x in found], pa.string()),
-                                              pa.array([x[1] for x in found], pa.float64())], [*kept, "lang_pred", "score"])
+            found = [m.predict(t.as_py(), sharpness) for t in b.column(text)]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array([x[0] for x in found], pa.string()),
+                                              pa.array([x[1] for x in found], pa.float64())], [*keep, "lang_pred", "score"])
     return run
 
 
-def identify(docs: DataFrame, model: Model, text: str = "text", sharpness: float = 5.0) -> DataFrame:
-    """``docs`` with lang_pred and score."""
-    kept = docs.drop("lang_pred", "score")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
+def identify(docs: DataFrame, model: Model, keep: Sequence[str] | None = None, text: str = "text", sharpness: float = 5.0) -> DataFrame:
+    """``keep`` columns (all) of ``docs`` with lang_pred and score."""
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score")]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields)
     sent = docs.sparkSession.sparkContext.broadcast(model)    # at most max_words + LONGEST * max_grams rows
-    return kept.withColumn("__text", F.col(text)).mapInArrow(_predict(sent, sharpness), f"{schema}, lang_pred string, score double")
+    read = docs.select(*dict.fromkeys([*keep, text]))
+    return read.mapInArrow(_predict(sent, sharpness, text, keep), f"{schema}, lang_pred string, score double")

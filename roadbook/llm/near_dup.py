@@ -266,3 +266,10 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
     known = known.select("doc", F.coalesce("class_id", "stand").alias("class_id"))
     alone = signed.where("keys is null").select("doc", F.col("doc").alias("class_id"))
     return known.unionByName(alone).groupBy("doc").agg(F.min("class_id").alias("class_id"))
+
+
+def one_of_each(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id") -> DataFrame:
+    """``docs`` reduced to one row per class of ``classes``; rows without an id stay."""
+    first = found.where("doc = class_id").select(F.col("doc").alias("__doc"))
+    kept = docs.join(first, F.col(doc_id).cast("long") == F.col("__doc"), "left_semi").dropDuplicates([doc_id])
+    return kept.unionByName(docs.where(F.col(doc_id).isNull()))

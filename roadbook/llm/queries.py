@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadbook.llm import language_id, mixing, near_dup, packing, quality_rules, secret_scan, token_counts, token_files, vector_search
+from roadbook.llm import language_id, mixing, near_dup, packing, quality_model, quality_rules, secret_scan, token_counts, token_files, vector_search
 from roadbook.llm.common import scratch, table
 from roadbook.llm.tokens import tokenizer_path
 
@@ -45,7 +45,7 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every text, learned from the labelled texts that aren't held out."""
     docs = table(spark, sf_dir).withColumn("held_out", held_out())
     model = language_id.train(docs.where(~F.col("held_out")))
-    return language_id.identify(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score")
+    return language_id.identify(docs, model, ["doc_id", "held_out"])
 
 
 @query("op3_token_counts")
@@ -84,6 +84,13 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(secret_scan.listed(base), 256).alias("base_sha256"), secret_scan.listed(F.col("spans")).alias("spans"))
 
 
+@query("op7_quality_model")
+def op7_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every text; a source is a host, and its texts of one language are a path."""
+    docs = table(spark, sf_dir)
+    return quality_model.classify(docs, table(spark, sf_dir, "labels"), F.col("source"), F.col("lang"))
+
+
 @query("op8_near_dup")
 def op8_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of every document: five-word shingles, similarity 0.8 or more."""
