@@ -102,7 +102,7 @@ class Model:
             counts.append((size, row))
         self.known = known
         size = np.array([c[0] for c in counts], int)
-        table = np.array([c[1] for c in counts], float).reshape(-1, len(langs))
+        table = np.array([c[1] for c in counts], float).reshape(len(counts), len(langs))
         self.table = np.zeros_like(table)
         for s in range(LONGEST + 1):
             of = size == s
