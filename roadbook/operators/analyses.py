@@ -201,7 +201,7 @@ def numeric_outliers(df: DataFrame, cols: list[str], k: float = 1.5, exact: bool
         q = q.select("field", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("q3"))
     q = q.withColumns({"iqr": F.col("q3") - F.col("q1")})
     q = q.withColumns({"lower": F.col("q1") - F.lit(k) * F.col("iqr"), "upper": F.col("q3") + F.lit(k) * F.col("iqr")})
-    j = join_small(long, q, "field", "inner", max_rows=100_000)   # one row per field
+    j = join_small(long, q, "field", "inner")   # one row per field
     return j.groupBy("field", "q1", "q3", "iqr", "lower", "upper").agg(
         F.count_if((F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper"))).alias("n_outliers"),
         F.count(F.lit(1)).alias("n_values"))
@@ -212,7 +212,7 @@ def weekday_multi_weather(cw_dates: DataFrame, weather_by_wd: DataFrame, year: s
     """Attach weather averaged over every day of the crash's (year, month, weekday)."""
     w = weather_by_wd.withColumnsRenamed({"wx_year": year, "wx_month": month, "wx_weekday": dow})
     w = w.withColumnsRenamed({c: f"{c}_wdavg" for c in w.columns if c not in (year, month, dow)})
-    return join_small(cw_dates, w, [year, month, dow], "left", max_rows=500_000)
+    return join_small(cw_dates, w, [year, month, dow], "left")
 
 
 def adverse_vs_clear(cw: DataFrame, month: str = "CRASH_MONTH") -> DataFrame:

@@ -1,4 +1,4 @@
-"""Join helpers: name-clash suffixes, size-checked broadcast, skew-safe fan-out joins."""
+"""Join helpers: name-clash suffixes and skew-safe fan-out joins."""
 
 from __future__ import annotations
 
@@ -24,97 +24,50 @@ def suffix_clashes(left_columns: list[str], right: DataFrame, on, suffix: str) -
     return right.withColumnsRenamed(clash) if clash else right
 
 
-_WIDTH = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "date": 4, "float": 4, "bigint": 8, "double": 8,
-          "timestamp": 8, "timestamp_ntz": 8}
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "left") -> DataFrame:
+    """Join against a side that is expected to be small.
 
-
-def row_width(df: DataFrame) -> int:
-    """A per-row byte estimate from the schema (strings and nested values at 64 bytes)."""
-    return sum(_WIDTH.get(t, 64) for _, t in df.dtypes) + 8
-
-
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "left", max_rows: int = 200_000,
-               max_bytes: int = 64 * 1024 * 1024) -> DataFrame:
-    """Join against a side expected to be small, broadcasting it only if it is.
-
-    The row count of ``small`` is checked first (reading at most
-    ``max_rows + 1`` rows), and rows x estimated row width must also stay
-    under ``max_bytes``; above either bound the join is left to the planner
-    (sort-merge, with AQE able to re-plan at run time).
+    The planner chooses: a written table or a literal list has a known size,
+    and a side that ends in a shuffle (an aggregate) has its exact size when
+    adaptive execution plans the join, which broadcasts it below
+    ``spark.sql.autoBroadcastJoinThreshold`` and sort-merges it above. Nothing
+    runs while the plan is built, and the side is computed once.
     """
-    limit = min(max_rows, max(1, max_bytes // row_width(small)))
-    n = small.limit(limit + 1).count()
-    side = F.broadcast(small) if n <= limit else small
-    return big.join(side, on=_keys(on), how=how)
-
-
-def _row_hash(df: DataFrame) -> "F.Column":
-    """Deterministic per-row hash (same value on a task retry, unlike rand())."""
-    cols = [F.col(f"`{f.name}`") for f in df.schema.fields
-            if not f.dataType.simpleString().startswith("map")]
-    return F.xxhash64(*cols) if cols else F.lit(0).cast("bigint")
+    return big.join(small, on=_keys(on), how=how)
 
 
-def hot_keys(right: DataFrame, on, hot_rows: int) -> DataFrame:
-    """Keys with at least ``hot_rows`` rows (count is partially aggregated map-side).
-
-    The result has at most ``rows(right) / hot_rows`` entries.
-    """
-    keys = _keys(on)
-    return (right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-            .filter(F.col("_n") >= hot_rows).select(*keys, F.lit(True).alias("_hot")))
+def fanout_left_join(left: DataFrame, right: DataFrame, on, right_unique: bool = False) -> DataFrame:
+    """LEFT JOIN that stays balanced when one key holds a huge share of either side.
 
+    Adaptive execution splits a skewed partition on both sides of an inner
+    join, but only on the preserved side of a left join. So a left join whose
+    right side may hold many rows per key is the union of
 
-def fanout_left_join(left: DataFrame, right: DataFrame, on, hot_rows: int = 1_000_000, salts: int = 64,
-                     right_unique: bool = False, max_hot_keys: int = 100_000) -> DataFrame:
-    """LEFT JOIN that stays balanced when one key holds a huge share of either side.
+    * the inner join,
+    * the left rows whose key the right side lacks: an anti-join against the
+      right's distinct keys, which are combined before they are shuffled,
+    * the left rows with a NULL key, which match nothing and aren't shuffled.
 
-    * Skew on the left (preserved) side — a hot key, or the NULL keys, which
-      all hash to one partition — is split by Spark's adaptive skew join,
-      which supports splitting the left side of a left outer join.
-    * Skew on the right side cannot be split that way, so right-side keys with
-      at least ``hot_rows`` rows are found first (skipped when the right side
-      has fewer rows than that, or has one row per key: ``right_unique``).
-      Without hot keys this is a plain left join on the key, which keeps any
-      existing partitioning by that key (no extra shuffle).
-    * With hot keys (their set broadcast when at most ``max_hot_keys``,
-      shuffle-joined otherwise), a hot key's right rows are spread over
-      ``salts`` buckets by a deterministic row hash and the matching left row
-      is replicated per bucket; replicas that found nothing in their bucket
-      are dropped (a hot key has right rows by definition, so such
-      NULL-extended rows are spurious). The result equals the plain left join.
-      (Byte-identical duplicate rows hash alike and share a bucket; the
-      result is still exact.)
-
-    NULL keys never match (SQL semantics).
+    Both joins read the left side through the same exchange. There are no
+    salts and no thresholds: equal rows of a hot key are split as well.
+    ``right_unique`` marks a right side with one row per key; there a plain
+    left join is enough.
     """
     keys = _keys(on)
-    key_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    r = right.filter(~key_null)
     extra = [c for c in right.columns if c not in keys]
-    hot = None
-    # the limited count stops reading as soon as it reaches hot_rows
-    if not right_unique and r.select(*keys).limit(hot_rows).count() >= hot_rows:
-        hk = hot_keys(r, keys, hot_rows)
-        n_hot = hk.limit(max_hot_keys + 1).count()
-        if n_hot > 0:
-            hot = F.broadcast(hk) if n_hot <= max_hot_keys else hk
-    if hot is None:
-        return left.join(r, keys, "left").select(*left.columns, *extra)
-    r = r.withColumn("_rmatch", F.lit(True))
-    ls = left.join(hot, keys, "left")
-    ls = ls.withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-                                          .otherwise(F.array(F.lit(0)))))
-    rs = r.join(hot, keys, "left")
-    rs = rs.withColumn("_salt", F.when(F.col("_hot"), F.pmod(_row_hash(right), F.lit(salts)).cast("int"))
-                       .otherwise(F.lit(0))).drop("_hot")
-    out = ls.join(rs, keys + ["_salt"], "left")
-    out = out.filter(~(F.coalesce(F.col("_hot"), F.lit(False)) & F.col("_rmatch").isNull()))
-    return out.select(*left.columns, *extra)
-
-
-def join_suffixed(left: DataFrame, right: DataFrame, on, how: str, suffix: str,
-                  fanout_safe: bool = True, **fanout) -> DataFrame:
+    if right_unique:
+        return left.join(right, keys, "left").select(*left.columns, *extra)
+    known = reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in keys])
+    own, r = left.filter(known), right.filter(known)
+    columns = [F.col(f"`{c}`") for c in left.columns]
+    nothing = [F.lit(None).cast(right.schema[c].dataType).alias(c) for c in extra]
+    matched = own.join(r, keys, "inner").select(*columns, *[F.col(f"`{c}`") for c in extra])
+    lonely = own.join(r.select(*keys).distinct(), keys, "left_anti").select(*columns, *nothing)
+    unkeyed = left.filter(~known).select(*columns, *nothing)
+    return matched.unionByName(lonely).unionByName(unkeyed)
+
+
+def join_suffixed(left: DataFrame, right: DataFrame, on, how: str, suffix: str, fanout_safe: bool = True) -> DataFrame:
     """Equi-join with right-side name clashes suffixed.
 
     Left joins go through :func:`fanout_left_join` (``fanout_safe=False``
@@ -123,5 +76,5 @@ def join_suffixed(left: DataFrame, right: DataFrame, on, how: str, suffix: str,
     """
     right = suffix_clashes(left.columns, right, on, suffix)
     if how == "left":
-        return fanout_left_join(left, right, on, right_unique=not fanout_safe, **fanout)
+        return fanout_left_join(left, right, on, right_unique=not fanout_safe)
     return left.join(right, on=_keys(on), how=how)

@@ -35,7 +35,7 @@ def value_counts(df: DataFrame, year_col: str = "shard_year", inventory: DataFra
     long = unpivot_text(df, [year_col])
     if inventory is not None:
         inv = inventory.select(F.col(year_col), F.col("column")).distinct()
-        long = join_small(long, inv, [year_col, "column"], "left_semi", max_rows=1_000_000)
+        long = join_small(long, inv, [year_col, "column"], "left_semi")
     return long.groupBy(year_col, "column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -60,7 +60,7 @@ def type_evidence(df: DataFrame, year_col: str = "shard_year", inventory: DataFr
     long = unpivot_text(df, [year_col])
     if inventory is not None:
         inv = inventory.select(F.col(year_col), F.col("column")).distinct()
-        long = join_small(long, inv, [year_col, "column"], "left_semi", max_rows=1_000_000)
+        long = join_small(long, inv, [year_col, "column"], "left_semi")
     v = F.col("value")
     agg = long.groupBy(year_col, "column").agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(v.isNull()).alias("null_count"),
@@ -108,8 +108,7 @@ def top_values(vc: DataFrame, stats: DataFrame, year_col: str = "shard_year",
     ``max_distinct`` rows because low-cardinality columns are selected first.
     """
     small = stats.filter(F.col("distinct_count") < max_distinct).select(year_col, "column")
-    cand = join_small(vc.filter(F.col("value").isNotNull()), small, [year_col, "column"], "left_semi",
-                      max_rows=1_000_000)
+    cand = join_small(vc.filter(F.col("value").isNotNull()), small, [year_col, "column"], "left_semi")
     w = Window.partitionBy(year_col, "column").orderBy(F.desc("n"), F.asc("value"))
     return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 
@@ -196,7 +195,7 @@ def profile_shards(df: DataFrame, year_col: str = "shard_year", inventory: DataF
     long = unpivot_text(df, [year_col])
     if inventory is not None:
         inv = inventory.select(F.col(year_col), F.col("column")).distinct()
-        long = join_small(long, inv, [year_col, "column"], "left_semi", max_rows=1_000_000)
+        long = join_small(long, inv, [year_col, "column"], "left_semi")
     v = F.col("value")
     base = long.groupBy(year_col, "column").agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(v.isNull()).alias("null_count"),
@@ -205,7 +204,7 @@ def profile_shards(df: DataFrame, year_col: str = "shard_year", inventory: DataF
         F.count_if(v.try_cast("double").isNotNull()).alias("_n_num"),
         F.min(v.try_cast("double")).alias("_min"), F.max(v.try_cast("double")).alias("_max"))
     cand = base.filter(F.col("approx_distinct") < TOP_VALUES_MAX_DISTINCT * candidate_margin).select(year_col, "column")
-    small_long = join_small(long, cand, [year_col, "column"], "left_semi", max_rows=1_000_000)
+    small_long = join_small(long, cand, [year_col, "column"], "left_semi")
     vc = small_long.groupBy(year_col, "column", "value").agg(F.count(F.lit(1)).alias("n"))
     exact_small = vc.filter(F.col("value").isNotNull()).groupBy(year_col, "column").agg(
         F.count(F.lit(1)).alias("_exact_distinct"))

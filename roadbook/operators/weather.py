@@ -44,22 +44,20 @@ def weather_daily(long_df: DataFrame, date_col: str = "date", order_col: str | N
 
 
 def join_weather(crash: DataFrame, weather: DataFrame, date_col: str = "crash_date",
-                 weather_date: str = "date", max_broadcast_rows: int = 200_000) -> DataFrame:
+                 weather_date: str = "date") -> DataFrame:
     """Every crash keeps its row; weather columns attach by calendar date.
 
     Right-side name clashes get ``_weather``. The weather side is one row per
-    date; it is broadcast only after its row count is checked (a sort-merge
-    join is used beyond the bound).
+    date; adaptive execution sees its exact size and chooses the join.
     """
     w = weather.withColumn("_wx_date", F.to_date(weather_date)).drop(weather_date)
     w = suffix_clashes(crash.columns, w, ["_wx_date"], "_weather")
-    joined = join_small(crash.withColumn("_wx_date", F.to_date(date_col)), w, "_wx_date", "left",
-                        max_rows=max_broadcast_rows)
+    joined = join_small(crash.withColumn("_wx_date", F.to_date(date_col)), w, "_wx_date", "left")
     return joined.drop("_wx_date")
 
 
 def match_stats(crash: DataFrame, weather: DataFrame, date_col: str = "crash_date",
-                weather_date: str = "date", max_broadcast_rows: int = 200_000) -> DataFrame:
+                weather_date: str = "date") -> DataFrame:
     """Crashes with a weather row, and crashes with an average temperature.
 
     The second number is the stage's historical "matched" counter; the first
@@ -67,8 +65,7 @@ def match_stats(crash: DataFrame, weather: DataFrame, date_col: str = "crash_dat
     """
     w = weather.select(F.to_date(weather_date).alias("_wx_date"), F.lit(True).alias("_wx_row"),
                        F.col("temp_avg_c").alias("_wx_tavg"))
-    j = join_small(crash.select(F.to_date(date_col).alias("_wx_date")), w, "_wx_date", "left",
-                   max_rows=max_broadcast_rows)
+    j = join_small(crash.select(F.to_date(date_col).alias("_wx_date")), w, "_wx_date", "left")
     return j.agg(
         F.count(F.lit(1)).alias("total_crashes"),
         F.count_if(F.col("_wx_row").isNotNull()).alias("weather_row_matched"),

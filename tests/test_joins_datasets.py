@@ -64,80 +64,53 @@ def test_cyclist_dataset_none_without_cycle(spark):
 @settings(max_examples=12, deadline=None)
 @given(st.lists(st.one_of(st.none(), st.sampled_from("abc")), max_size=8),
        st.lists(st.one_of(st.none(), st.sampled_from("abcd")), max_size=30))
-def test_salted_hot_key_join_equals_plain_left_join(spark, lkeys, rkeys):
+def test_any_keys_equal_plain_left_join(spark, lkeys, rkeys):
     left = spark.createDataFrame([(k, i) for i, k in enumerate(lkeys)], "k string, li int")
     right = spark.createDataFrame([(k, i) for i, k in enumerate(rkeys)], "k string, ri int")
-    got = fanout_left_join(left, right, "k", hot_rows=2, salts=4)     # every repeated key is "hot"
+    got = fanout_left_join(left, right, "k")
     a = sorted(map(tuple, got.select("k", "li", "ri").collect()), key=str)
     b = sorted(map(tuple, left.join(right, "k", "left").select("k", "li", "ri").collect()), key=str)
     assert a == b
 
 
-def test_hot_key_is_split_across_tasks(spark):
-    left = spark.createDataFrame([("hot", 0), ("cold", 1)], "k string, li int")
-    right = spark.range(0, 4000).selectExpr("CASE WHEN id % 3 = 0 THEN 'cold' ELSE 'hot' END AS k", "id AS ri")
-    got = fanout_left_join(left, right, "k", hot_rows=1000, salts=8)
-    assert got.count() == 4000
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "_salt" in plan
-    plain = fanout_left_join(left, right, "k", hot_rows=10_000, salts=8)     # no hot key: plain left join
-    assert "_salt" not in plain._jdf.queryExecution().executedPlan().toString()
-
-
-def test_many_hot_keys_fall_back_to_shuffle(spark):
-    left = spark.createDataFrame([(str(i), i) for i in range(5)], "k string, li int")
-    right = spark.range(0, 500).selectExpr("CAST(id % 5 AS STRING) AS k", "id AS ri")
-    got = fanout_left_join(left, right, "k", hot_rows=10, salts=4, max_hot_keys=2)
-    assert got.count() == 500
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "_salt" in plan
-
-
-def test_join_small_respects_row_and_byte_bounds(spark):
+def test_join_small_starts_no_job_and_follows_the_threshold(spark):
     from roadbook.operators.joins import join_small
     big = spark.range(0, 100).withColumnRenamed("id", "k")
     small = spark.range(0, 50).withColumnRenamed("id", "k")
     plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan(join_small(big, small, "k", "inner", max_rows=100))
+    assert "BroadcastHashJoin" in plan(join_small(big, small, "k", "inner"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert "BroadcastHashJoin" not in plan(join_small(big, small, "k", "inner", max_rows=10))
-        assert "BroadcastHashJoin" not in plan(join_small(big, small, "k", "inner", max_rows=100, max_bytes=16 * 10))
+        assert "BroadcastHashJoin" not in plan(join_small(big, small, "k", "inner"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_third_of_rows_on_one_key_is_spread(spark):
+def test_hot_right_key_of_a_left_join_is_split(spark):
+    """A third of the right rows have one key: its partition is split, and the left side is shuffled once."""
     from pyspark.sql import functions as F
-
-    from roadbook.plans import fixtures as fx
-    from tests.conftest import SF_SMALL
-    crash = fx.crash(spark, SF_SMALL).select("CRN", "CRASH_YEAR")
-    hot_crn = crash.select(F.min("CRN")).first()[0]
-    person = fx.person(spark, SF_SMALL)
-    # a third of all person rows moved onto one crash number
-    person = person.withColumn("CRN", F.when(F.xxhash64("CRN", "PERSON_NUM", "INJ_SEVERITY") % 3 == 0, F.lit(hot_crn))
-                               .otherwise(F.col("CRN")))
-    # as at scale: no automatic broadcast, no coalescing of shuffle partitions
-    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
-                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    left = spark.range(0, 5000).select(F.when(F.col("id") % 50 == 0, F.lit(None)).otherwise(F.col("id").cast("string")).alias("k"), F.col("id").alias("li"))
+    right = spark.range(0, 30000, 1, 8).select(F.when(F.col("id") % 3 == 0, F.lit("7")).otherwise((F.col("id") % 4000).cast("string")).alias("k"),
+                                               F.xxhash64("id").alias("ri"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+                "spark.sql.adaptive.coalescePartitions.enabled": "false"}
     prev = {k: spark.conf.get(k, None) for k in settings}
     for k, v in settings.items():
         spark.conf.set(k, v)
     try:
-        def part_sizes(df):
-            return [r["n"] for r in df.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()]
-        sizes = part_sizes(fanout_left_join(crash, person, "CRN", hot_rows=500, salts=16))
-        plain_sizes = part_sizes(crash.join(person, "CRN", "left"))
+        out = fanout_left_join(left, right, "k").withColumn("p", F.spark_partition_id())
+        where = [r["p"] for r in out.collect()]
+        n, sizes = len(where), [where.count(p) for p in set(where)]
+        plan = out._jdf.queryExecution().executedPlan().toString()
     finally:
         for k, v in prev.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    total = sum(sizes)
-    assert total == sum(plain_sizes)
-    hot_share = person.filter(F.col("CRN") == hot_crn).count() / total
-    assert hot_share > 0.25
-    assert max(plain_sizes) / total >= hot_share        # plain join: the hot key sits in one task
-    assert max(sizes) / total < 0.2                     # salted: spread over the 8 partitions
+    assert n == left.join(right, "k", "left").count() == sum(sizes)
+    assert "skew=true" in plan and "ReusedExchange" in plan
+    assert max(sizes) < 0.2 * n        # the hot key alone holds a third
 
 
 def test_left_side_null_key_skew_is_split_by_aqe(spark):
