@@ -55,10 +55,15 @@ MEMO = 400_000
 def mixed(x: np.ndarray) -> np.ndarray:
     """A well-spread 64-bit hash of 64-bit numbers (two rounds of shift and multiply)."""
     x = x ^ (x >> np.uint64(32))
-    x = x * np.uint64(0xD6E8FEB86659FD93)
-    x = x ^ (x >> np.uint64(32))
-    x = x * np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(32))
+    for _ in range(2):
+        x *= np.uint64(0xD6E8FEB86659FD93)
+        x ^= x >> np.uint64(32)
+    return x
+
+
+def odd(n: int) -> np.ndarray:
+    """n fixed odd multipliers."""
+    return mixed(np.arange(1, n + 1, dtype=np.uint64)) | np.uint64(1)
 
 
 class _Words(dict):
@@ -81,43 +86,46 @@ def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
         return np.empty(0, np.uint64)
     h = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
     size = min(size, len(h))
-    out = np.full(len(h) - size + 1, size, np.uint64)
-    for k in range(size):
-        out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + h[k:len(h) - size + 1 + k])
-    return out
+    n = len(h) - size + 1
+    out = np.full(n, size, np.uint64)
+    for k, by in enumerate(odd(size)):
+        out += h[k:n + k] * by
+    return mixed(out)
 
 
 def signature(distinct: np.ndarray, counts: np.ndarray, registers: int = REGISTERS) -> np.ndarray:
     """The shingle that reaches each register first."""
     weight = 1.0 + np.log(counts)
-    until = registers * (math.log(registers) + 3) / weight.sum()
+    expected = registers * (math.log(registers) + 3)     # arrivals that fill all registers but once in twenty
+    until = expected / weight.sum()
     while True:
-        times, places, whose = [], [], []
+        best = np.full(registers, np.inf)
+        winner = np.empty(registers, np.uint64)
         shingle, w, at = distinct, weight, np.zeros(len(distinct))
-        draw = 0
+        drawn = 0
         while len(shingle):
-            draw += 1
-            r = mixed(shingle + np.uint64(draw * 0xA24BAED4963EE407 & 0xFFFFFFFFFFFFFFFF))
-            at = at - np.log(((r >> np.uint64(11)).astype(np.float64) + 0.5) / float(1 << 53)) / w
-            early = at <= until
-            if not early.all():
-                shingle, w, at, r = shingle[early], w[early], at[early], r[early]
-            times.append(at)
-            places.append(mixed(r) % np.uint64(registers))
-            whose.append(shingle)
-        time = np.concatenate(times)
-        order = np.argsort(time, kind="stable")
-        filled, first = np.unique(np.concatenate(places)[order], return_index=True)
-        if len(filled) == registers:
-            return np.concatenate(whose)[order][first]
+            # about as many arrivals at once as are expected before the end
+            k = max(1, int(1.3 * (until - at.mean()) * w.sum() / len(shingle))) + 2 * (drawn > 0)
+            r = mixed(shingle[:, None] + mixed(np.arange(drawn + 1, drawn + 1 + k, dtype=np.uint64)))
+            drawn += k
+            gap = np.log(((r >> np.uint64(22)) + np.uint64(1)).astype(np.float64) * (0.5 / (1 << 41)))
+            time = at[:, None] - np.cumsum(gap, axis=1) / w[:, None]
+            early = time <= until
+            t = time[early]
+            place = ((r[early] & np.uint64((1 << 22) - 1)) * np.uint64(registers) >> np.uint64(22)).astype(np.int64)
+            whose = np.broadcast_to(shingle[:, None], time.shape)[early]
+            np.minimum.at(best, place, t)
+            first = t == best[place]
+            winner[place[first]] = whose[first]
+            going = early[:, -1]
+            shingle, w, at = shingle[going], w[going], time[going, -1]
+        if np.isfinite(best).all():
+            return winner
         until *= 2
 
 
 def band_keys(sig: np.ndarray) -> np.ndarray:
-    key = np.arange(BANDS, dtype=np.uint64)
-    for k in range(ROWS):
-        key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + sig.reshape(BANDS, ROWS)[:, k])
-    return key
+    return mixed((sig.reshape(BANDS, ROWS) * odd(ROWS)).sum(axis=1, dtype=np.uint64) + odd(BANDS))
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
