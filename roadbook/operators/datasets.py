@@ -113,17 +113,28 @@ def crash_level(df: DataFrame, key: str = "CRN", counts: dict[str, str] | None =
     return df.filter(F.col(key).isNotNull()).groupBy(key).agg(*aggs)
 
 
-def join_remaining_categories(crash: DataFrame, tables: dict[str, DataFrame], key: str = "CRN") -> DataFrame:
-    """Attach other categories at crash level, each pre-aggregated to one row per crash.
-
-    Column names get the lower-case category as suffix on clash; count
-    columns of crashes without rows are 0.
+def join_remaining_categories(crash: DataFrame, tables: dict[str, DataFrame], key: str = "CRN",
+                              one_to_one: tuple[str, ...] = ("FLAG",)) -> DataFrame:
+    """Attach other categories at crash level.
+
+    A category with one row per crash (``one_to_one``) comes with all its
+    columns. The others are reduced to one row per crash: ``<name>_rows``, and
+    per column its least value as ``<COLUMN>_min`` and the number of distinct
+    values as ``<COLUMN>_distinct``. Names that clash get the lower-case
+    category as suffix; the row count of a crash without rows is 0.
     """
     out = crash
     for name, t in tables.items():
-        lvl = crash_level(t, key).withColumnRenamed("n_rows", f"{name.lower()}_rows")
-        out = join_suffixed(out, lvl, key, "left", f"_{name.lower()}", fanout_safe=False)
-        out = out.withColumn(f"{name.lower()}_rows", F.coalesce(F.col(f"{name.lower()}_rows"), F.lit(0).cast("bigint")))
+        low, rows = name.lower(), f"{name.lower()}_rows"
+        t = t.filter(F.col(key).isNotNull())
+        if name in one_to_one:
+            lvl = t.withColumn(rows, F.lit(1).cast("bigint"))
+        else:
+            cols = [c for c in t.columns if c != key]
+            lvl = t.groupBy(key).agg(F.count(F.lit(1)).alias(rows), *[a for c in cols for a in (
+                F.min(c).alias(f"{c}_min"), F.size(F.collect_set(c)).cast("bigint").alias(f"{c}_distinct"))])
+        out = join_suffixed(out, lvl, key, "left", f"_{low}", fanout_safe=False)
+        out = out.withColumn(rows, F.coalesce(F.col(rows), F.lit(0).cast("bigint")))
     return out
 
 
@@ -143,7 +154,7 @@ def dataset_run_summary(datasets: dict[str, DataFrame | None]) -> DataFrame:
             n = df.count()
             out.append((name, "success" if n > 0 else "skipped", n, len(df.columns)))
         except Exception as e:  # noqa: BLE001 - a failing dataset is reported, not raised
-            out.append((name, f"failed: {type(e).__name__}", 0, 0))
+            out.append((name, f"failed: {type(e).__name__}: {' '.join(str(e).split())[:300]}", 0, 0))
     if spark is None:
         from pyspark.sql import SparkSession
         spark = SparkSession.getActiveSession()

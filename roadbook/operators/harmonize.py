@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DoubleType, LongType, StringType
 
 from roadbook.constants import HELMET_UNKNOWN, HELMET_VALID
-from roadbook.functions.numeric import to_number
+from roadbook.functions.numeric import INT_RE, to_long, to_number
 from roadbook.operators.profile import inventory_types, type_evidence
 
 
@@ -23,7 +23,8 @@ def target_types(inv_types: DataFrame, pandas_dtypes: bool = False) -> DataFrame
     """H2: one target type per column across all shards where it is present.
 
     Default: missing-only shards do not vote; long and double widen to
-    double; any other disagreement gives string. ``pandas_dtypes=True`` is
+    double; any other disagreement gives string, and so does a column of codes
+    with leading zeros. ``pandas_dtypes=True`` is
     the strict rule: any difference in the inferred dtype gives string.
     """
     if pandas_dtypes:
@@ -43,7 +44,7 @@ def target_types(inv_types: DataFrame, pandas_dtypes: bool = False) -> DataFrame
 def _cast_text(c: str, t: str):
     col = F.col(f"`{c}`")
     if t == "long":
-        return F.when(col.rlike(r"^[+-]?[0-9]+$"), col.try_cast("bigint")).alias(c)
+        return F.when(col.rlike(INT_RE), col.try_cast("bigint")).alias(c)
     if t == "double":
         return to_number(col).alias(c)
     return col.cast("string").alias(c)
@@ -125,7 +126,7 @@ def cast_to_master(df: DataFrame, master: dict[str, str]) -> DataFrame:
             continue
         col = F.col(f"`{c}`")
         if t.startswith("int"):
-            exprs[c] = to_number(col).try_cast("bigint")
+            exprs[c] = to_long(col)
         elif t.startswith("float"):
             exprs[c] = to_number(col)
         elif t.startswith("datetime"):

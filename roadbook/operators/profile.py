@@ -15,10 +15,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from roadbook.constants import TOP_VALUES_MAX_DISTINCT, TOP_VALUES_N
+from roadbook.functions.numeric import INT_RE, NUMBER_RE, PADDED_RE, to_number
 from roadbook.operators.joins import join_small
 
-INT_RE = r"^[+-]?[0-9]+$"
-
 
 def unpivot_text(df: DataFrame, id_cols: list[str], value_cols: list[str] | None = None) -> DataFrame:
     """(ids..., column, value) with every value as text."""
@@ -39,35 +38,53 @@ def value_counts(df: DataFrame, year_col: str = "shard_year", inventory: DataFra
     return long.groupBy(year_col, "column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _dtype_exprs(rows, nulls, n_int, n_num):
+def _evidence(value, n=None) -> list:
+    """Aggregates that decide a type and the range; ``n``: rows of each value, if they are counted already."""
+    is_int = value.rlike(INT_RE) & value.try_cast("bigint").isNotNull()
+    is_num = value.rlike(NUMBER_RE) & value.try_cast("double").isNotNull()
+
+    def rows(cond):
+        return F.count_if(cond) if n is None else F.sum(F.when(cond, n).otherwise(0))
+
+    return [(F.count(F.lit(1)) if n is None else F.sum(n)).alias("rows"), rows(value.isNull()).alias("null_count"),
+            rows(is_int).alias("_n_int"), rows(is_num).alias("_n_num"), rows(value.rlike(PADDED_RE)).alias("_n_padded"),
+            F.min(to_number(value)).alias("_min"), F.max(to_number(value)).alias("_max")]
+
+
+def _figures(year_col: str, distinct=None) -> list:
+    """Columns of ``column_stats`` from ``_evidence``."""
+    dtype, logical = _dtype_exprs(F.col("rows"), F.col("null_count"), F.col("_n_int"), F.col("_n_num"), F.col("_n_padded"))
+    numeric = dtype != "object"
+    return [F.col(year_col), F.col("column"), F.col("rows"), F.col("null_count"),
+            F.round(F.col("null_count").cast("double") * 100.0 / F.col("rows"), 4).alias("null_pct"),
+            *([] if distinct is None else distinct), dtype.alias("dtype"), logical.alias("logical_type"),
+            F.when(numeric, F.col("_min")).alias("min"), F.when(numeric, F.col("_max")).alias("max")]
+
+
+def _dtype_exprs(rows, nulls, n_int, n_num, n_padded):
     nn = rows - nulls
     dtype = (F.when(nn == 0, F.lit("float64"))
              .when((n_int == nn) & (nulls == 0), F.lit("int64"))
              .when(n_num == nn, F.lit("float64"))
              .otherwise(F.lit("object")))
-    logical = (F.when(nn == 0, F.lit("null")).when(n_int == nn, F.lit("long"))
+    logical = (F.when(nn == 0, F.lit("null")).when(n_padded > 0, F.lit("string")).when(n_int == nn, F.lit("long"))
                .when(n_num == nn, F.lit("double")).otherwise(F.lit("string")))
     return dtype, logical
 
 
 def type_evidence(df: DataFrame, year_col: str = "shard_year", inventory: DataFrame | None = None) -> DataFrame:
-    """P5 alone: (year, column, dtype, logical_type) without value-level grouping.
+    """Figures per (year, column) without value-level grouping.
 
     The aggregate is keyed by (year, column) only, so it is fully combined
     map-side: the shuffle carries one small row per task and column, however
-    many distinct values the data has. This is what type resolution needs.
+    many distinct values the data has. This is what nulls, ranges and type
+    resolution need; only distinct counts and top values count values.
     """
     long = unpivot_text(df, [year_col])
     if inventory is not None:
         inv = inventory.select(F.col(year_col), F.col("column")).distinct()
         long = join_small(long, inv, [year_col, "column"], "left_semi")
-    v = F.col("value")
-    agg = long.groupBy(year_col, "column").agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if(v.isNull()).alias("null_count"),
-        F.count_if(v.rlike(INT_RE) & v.try_cast("bigint").isNotNull()).alias("_n_int"),
-        F.count_if(v.try_cast("double").isNotNull()).alias("_n_num"))
-    dtype, logical = _dtype_exprs(F.col("rows"), F.col("null_count"), F.col("_n_int"), F.col("_n_num"))
-    return agg.select(year_col, "column", dtype.alias("dtype"), logical.alias("logical_type"))
+    return long.groupBy(year_col, "column").agg(*_evidence(F.col("value"))).select(*_figures(year_col))
 
 
 def column_stats(vc: DataFrame, year_col: str = "shard_year") -> DataFrame:
@@ -76,28 +93,12 @@ def column_stats(vc: DataFrame, year_col: str = "shard_year") -> DataFrame:
     ``dtype`` follows the CSV reader's inference: all values integer text and
     no missing value -> int64; all values numeric -> float64 (an integer
     column with gaps, or an all-missing column, is float64); else object.
-    ``logical_type`` ignores missing values: long, double, string or null.
+    ``logical_type`` ignores missing values: long, double, string or null;
+    codes with leading zeros are strings.
     """
     v = F.col("value")
-    n = F.col("n")
-    is_int = v.rlike(INT_RE) & v.try_cast("bigint").isNotNull()
-    is_num = v.try_cast("double").isNotNull()
-    d = v.try_cast("double")
-    stats = vc.groupBy(year_col, "column").agg(
-        F.sum(n).alias("rows"),
-        F.sum(F.when(v.isNull(), n).otherwise(0)).alias("null_count"),
-        F.count(v).alias("distinct_count"),
-        F.sum(F.when(is_int, n).otherwise(0)).alias("_n_int"),
-        F.sum(F.when(is_num, n).otherwise(0)).alias("_n_num"),
-        F.min(d).alias("_min"), F.max(d).alias("_max"),
-    )
-    dtype, logical = _dtype_exprs(F.col("rows"), F.col("null_count"), F.col("_n_int"), F.col("_n_num"))
-    numeric = dtype != "object"
-    return stats.select(
-        year_col, "column", "rows", "null_count",
-        F.round(F.col("null_count").cast("double") * 100.0 / F.col("rows"), 4).alias("null_pct"),
-        "distinct_count", dtype.alias("dtype"), logical.alias("logical_type"),
-        F.when(numeric, F.col("_min")).alias("min"), F.when(numeric, F.col("_max")).alias("max"))
+    stats = vc.groupBy(year_col, "column").agg(*_evidence(v, F.col("n")), F.count(v).alias("distinct_count"))
+    return stats.select(*_figures(year_col, [F.col("distinct_count")]))
 
 
 def top_values(vc: DataFrame, stats: DataFrame, year_col: str = "shard_year",
@@ -187,6 +188,7 @@ def profile_shards(df: DataFrame, year_col: str = "shard_year", inventory: DataF
     ``candidate_margin`` x the top-values threshold are counted value by value
     — so their distinct counts and top values stay exact, while
     high-cardinality columns (keys, free text) never shuffle their values.
+    ``distinct_exact`` says which distinct counts are exact in that mode.
     """
     if exact_distinct:
         vc = value_counts(df, year_col, inventory)
@@ -197,24 +199,14 @@ def profile_shards(df: DataFrame, year_col: str = "shard_year", inventory: DataF
         inv = inventory.select(F.col(year_col), F.col("column")).distinct()
         long = join_small(long, inv, [year_col, "column"], "left_semi")
     v = F.col("value")
-    base = long.groupBy(year_col, "column").agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if(v.isNull()).alias("null_count"),
-        F.approx_count_distinct(v).alias("approx_distinct"),
-        F.count_if(v.rlike(INT_RE) & v.try_cast("bigint").isNotNull()).alias("_n_int"),
-        F.count_if(v.try_cast("double").isNotNull()).alias("_n_num"),
-        F.min(v.try_cast("double")).alias("_min"), F.max(v.try_cast("double")).alias("_max"))
+    base = long.groupBy(year_col, "column").agg(*_evidence(v), F.approx_count_distinct(v).alias("approx_distinct"))
     cand = base.filter(F.col("approx_distinct") < TOP_VALUES_MAX_DISTINCT * candidate_margin).select(year_col, "column")
     small_long = join_small(long, cand, [year_col, "column"], "left_semi")
     vc = small_long.groupBy(year_col, "column", "value").agg(F.count(F.lit(1)).alias("n"))
     exact_small = vc.filter(F.col("value").isNotNull()).groupBy(year_col, "column").agg(
         F.count(F.lit(1)).alias("_exact_distinct"))
     stats = base.join(exact_small, [year_col, "column"], "left")
-    dtype, logical = _dtype_exprs(F.col("rows"), F.col("null_count"), F.col("_n_int"), F.col("_n_num"))
-    numeric = dtype != "object"
-    stats = stats.select(
-        year_col, "column", "rows", "null_count",
-        F.round(F.col("null_count").cast("double") * 100.0 / F.col("rows"), 4).alias("null_pct"),
-        F.coalesce(F.col("_exact_distinct"), F.col("approx_distinct")).alias("distinct_count"),
-        dtype.alias("dtype"), logical.alias("logical_type"),
-        F.when(numeric, F.col("_min")).alias("min"), F.when(numeric, F.col("_max")).alias("max"))
+    distinct = [F.coalesce(F.col("_exact_distinct"), F.col("approx_distinct")).alias("distinct_count"),
+                F.col("_exact_distinct").isNotNull().alias("distinct_exact")]
+    stats = stats.select(*_figures(year_col, distinct))
     return stats, top_values(vc, stats, year_col)

@@ -150,7 +150,8 @@ def weather_long(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.unix_date("date").cast("bigint") * 8 + F.col("pos")).alias("obs_id")))
 
 
-SHARD_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+SHARD_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority", "o_code", "o_suffix",
+                 "o_big", "o_old"]
 
 
 def shard_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,8 +159,10 @@ def shard_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Shards up to 1996 lack ``o_orderpriority`` (NULL in every row and absent
     from the inventory); 1997-1998 carry ``o_totalprice`` as formatted text
-    with thousands separators; later years are complete. ``shard_year`` says
-    which shard a row belongs to.
+    with thousands separators; later years are complete. ``o_code`` has
+    leading zeros, ``o_suffix`` looks like a Java number literal, ``o_big``
+    exceeds what a double holds exactly, ``o_old`` ends in 1997. ``shard_year``
+    says which shard a row belongs to.
     """
     o = table(spark, sf_dir, "orders")
     year = F.year("o_orderdate")
@@ -173,6 +176,10 @@ def shard_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         price_text.alias("o_totalprice"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"),
         F.when(year > 1996, F.col("o_orderpriority")).alias("o_orderpriority"),
+        F.lpad((F.col("o_orderkey") % 10000).cast("string"), 4, "0").alias("o_code"),
+        F.concat((F.col("o_orderkey") % 100).cast("string"), F.when(F.col("o_orderkey") % 2 == 0, "D").otherwise("F")).alias("o_suffix"),
+        (F.lit(9007199254740993) + F.col("o_orderkey")).cast("string").alias("o_big"),
+        F.when(year <= 1997, F.col("o_orderstatus")).alias("o_old"),
     )
 
 
@@ -181,7 +188,8 @@ def shard_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     years = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("shard_year")).distinct()
     cols = F.array(*[F.lit(c) for c in SHARD_COLUMNS])
     inv = years.select("shard_year", F.explode(cols).alias("column"))
-    return inv.filter(~((F.col("column") == "o_orderpriority") & (F.col("shard_year") <= 1996)))
+    return inv.filter(~((F.col("column") == "o_orderpriority") & (F.col("shard_year") <= 1996))
+                      & ~((F.col("column") == "o_old") & (F.col("shard_year") > 1997)))
 
 
 def events_long(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,8 +24,13 @@ from roadbook.session import materialize
 from roadbook.sources import sinks
 
 
-def run_all(spark: SparkSession, sf_dir: str, out_dir: str | None = None) -> dict[str, DataFrame]:
-    """Run stages 3-5 on the fixture tables; returns the final DataFrames (and writes them when ``out_dir``)."""
+def run_all(spark: SparkSession, sf_dir: str, out_dir: str | None = None, landed: str | None = None, category: str = "CRASH",
+            years=None) -> dict[str, DataFrame]:
+    """Run stages 3-5 on the fixture tables; returns the final DataFrames (and writes them, as Parquet and CSV, when ``out_dir``).
+
+    ``landed`` is a folder of yearly CSV shards of ``category``: stages 2-3
+    (profile, harmonize) then run over it as well.
+    """
     weather = materialize(stages.weather_table(spark, sf_dir), "weather_daily")
     geo = stages.crash_geographic(spark, sf_dir)
     crash_weather = materialize(stages.integrate_weather(geo, weather), "crash_weather", partition_by=["CRASH_YEAR"])
@@ -36,6 +41,8 @@ def run_all(spark: SparkSession, sf_dir: str, out_dir: str | None = None) -> dic
         "full_integrated": D.full_integrated(crash_weather, fx.roadway(spark, sf_dir)),
         **{k: v for k, v in D.reference_tables(person, vehicle).items()},
     }
+    if landed:
+        outputs[category.lower()] = profile_and_harmonize(spark, landed, category, years)["harmonized"]
     reports = {
         "geographic_stats": geo_stats(fx.crash(spark, sf_dir)),
         "weather_stats": match_stats(crash_weather, weather),
@@ -48,6 +55,7 @@ def run_all(spark: SparkSession, sf_dir: str, out_dir: str | None = None) -> dic
             name, df = kv
             by_year = ["CRASH_YEAR"] if "CRASH_YEAR" in df.columns else None
             sinks.write_parquet(df, paths[name], partition_by=by_year)
+            sinks.write_csv(spark.read.parquet(paths[name]), os.path.join(out_dir, "csv", name))
 
         with ThreadPoolExecutor(max_workers=len(outputs)) as pool:
             list(pool.map(write, outputs.items()))
@@ -64,7 +72,8 @@ def profile_and_harmonize(spark: SparkSession, root: str, category: str, years,
                           exact_distinct: bool = True, pandas_dtypes: bool = False) -> dict[str, DataFrame]:
     """Stages 2-3 from landed CSV shards of one category.
 
-    Lists and matches the yearly files (S1, S3, S4), reports missing shards,
+    Lists and matches the yearly files (S1, S3, S4), reports missing shards and
+    files left out (``quarantine``),
     reads the shards as text once into a columnar copy, profiles them (P1-P5; on the first
     ``sample_rows`` rows of each file when given, S2), compares schemas
     across years (P6-P10) and returns the harmonized table (H1-H3, F3-F4).
@@ -81,8 +90,8 @@ def profile_and_harmonize(spark: SparkSession, root: str, category: str, years,
     text = materialize(text, f"{category.lower()}-text", partition_by=["shard_year"])
     profiled = text
     if sample_rows is not None:
-        paths = [r["path"] for r in matched.select("path").collect()]          # one row per shard file
-        year_of = {r["path"].rsplit("/", 1)[-1]: r["year"] for r in matched.select("path", "year").collect()}
+        shards = matched.select("path", "file_name", "year").collect()          # one row per shard file
+        paths, year_of = [r["path"] for r in shards], {r["file_name"]: r["year"] for r in shards}
         sample = S.scan_sample(spark, paths, sample_rows)
         ymap = F.create_map(*[x for k, y in year_of.items() for x in (F.lit(k), F.lit(y))])
         profiled = sample.select(ymap[F.col("_file")].alias("shard_year"), *[c for c in sample.columns if c != "_file"])
@@ -91,6 +100,7 @@ def profile_and_harmonize(spark: SparkSession, root: str, category: str, years,
     return {
         "files": matched,
         "missing": S.missing_shards(files, [category], years),
+        "quarantine": S.quarantine(files, [category], years),
         "column_stats": stats,
         "top_values": top,
         "schema_matrix": P.schema_matrix(inventory),

@@ -12,6 +12,7 @@ from roadbook.plans import fixtures as fx
 from roadbook.plans import oracle as O
 from roadbook.plans import stages
 from roadbook.plans.registry import register
+from roadbook.session import materialize
 
 CW = O.CRASH_WEATHER
 
@@ -159,12 +160,15 @@ def _remaining(spark, sf):
 
 
 @register("join_remaining_categories", O.with_(["crash"], """
-SELECT c.*, coalesce(f.n, 0) AS flag_rows, coalesce(cm.n, 0) AS commveh_rows, coalesce(t.n, 0) AS trailveh_rows
+SELECT c.*, f.FATAL_OR_MAJ_INJ, coalesce(f.n, 0) AS flag_rows, coalesce(cm.n, 0) AS commveh_rows, cm.CARRIER_min, cm.CARRIER_distinct,
+       coalesce(t.n, 0) AS trailveh_rows, t.TRAILER_ID_min, t.TRAILER_ID_distinct
 FROM crash c
-LEFT JOIN (SELECT CAST(o_orderkey AS VARCHAR) AS CRN, COUNT(*) AS n FROM orders GROUP BY 1) f ON c.CRN = f.CRN
-LEFT JOIN (SELECT CAST(l_orderkey AS VARCHAR) AS CRN, COUNT(*) AS n FROM lineitem
-           WHERE l_returnflag = 'R' AND l_linestatus = 'O' GROUP BY 1) cm ON c.CRN = cm.CRN
-LEFT JOIN (SELECT CAST(l_orderkey AS VARCHAR) AS CRN, COUNT(*) AS n FROM lineitem WHERE l_quantity > 45 GROUP BY 1) t
+LEFT JOIN (SELECT CAST(o_orderkey AS VARCHAR) AS CRN, CAST(o_orderstatus = 'F' AS INTEGER) AS FATAL_OR_MAJ_INJ,
+                  CAST(1 AS BIGINT) AS n FROM orders) f ON c.CRN = f.CRN
+LEFT JOIN (SELECT CAST(l_orderkey AS VARCHAR) AS CRN, COUNT(*) AS n, MIN(l_suppkey) AS CARRIER_min, COUNT(DISTINCT l_suppkey) AS CARRIER_distinct
+           FROM lineitem WHERE l_returnflag = 'R' AND l_linestatus = 'O' GROUP BY 1) cm ON c.CRN = cm.CRN
+LEFT JOIN (SELECT CAST(l_orderkey AS VARCHAR) AS CRN, COUNT(*) AS n, MIN(l_partkey) AS TRAILER_ID_min,
+                  COUNT(DISTINCT l_partkey) AS TRAILER_ID_distinct FROM lineitem WHERE l_quantity > 45 GROUP BY 1) t
   ON c.CRN = t.CRN"""))
 def q_join_remaining(spark, sf):
     return D.join_remaining_categories(fx.crash(spark, sf), _remaining(spark, sf))
@@ -447,6 +451,11 @@ def _report_sql() -> str:
     for name, sql, metrics in sections:
         for mtr in metrics:
             parts.append(f"SELECT '{name}' AS section, '{mtr}' AS metric, CAST({mtr} AS VARCHAR) AS value FROM ({sql})")
+    parts.append("""SELECT 'most_common_days', 'day_' || CAST(day AS VARCHAR), CAST(n AS VARCHAR) FROM (
+        SELECT day(crash_date) AS day, COUNT(*) AS n FROM full_integrated WHERE crash_date IS NOT NULL GROUP BY 1 ORDER BY n DESC, day LIMIT 5)""")
+    parts.append("""SELECT 'fields', column_name, CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' ELSE lower(column_type) END
+        FROM (DESCRIBE full_integrated)""")
+    parts.append("SELECT 'metadata', 'coordinate_system', 'EPSG:4326'")
     return O.with_(FULL + ["per_col"], "\nUNION ALL\n".join(parts))
 
 
@@ -474,7 +483,7 @@ FROM per_col"""
 
 @register("val_report", _report_sql())
 def q_val_report(spark, sf):
-    return V.val_report(stages.full(spark, sf))
+    return V.val_report(stages.full(spark, sf), metadata={"coordinate_system": "EPSG:4326"})
 
 # ------------------------------------------------------ sinks (round trips)
 
@@ -517,7 +526,7 @@ UNION ALL SELECT 'person', 'success', COUNT(*), (SELECT COUNT(*) FROM (DESCRIBE
 UNION ALL SELECT 'vehicle', 'success', COUNT(*), (SELECT COUNT(*) FROM (DESCRIBE vehicle))::INTEGER FROM vehicle"""))
 def q_dataset_run_summary(spark, sf):
     person, vehicle = fx.person(spark, sf), fx.vehicle(spark, sf)
-    cw = stages.crash_weather(spark, sf)
+    cw = materialize(stages.crash_weather(spark, sf), "crash_weather")      # three datasets read it
     return D.dataset_run_summary({
         "cyclist_focused": D.cyclist_dataset(cw, fx.cycle(spark, sf), person, vehicle),
         "pedestrian_focused": D.pedestrian_dataset(cw, person, vehicle),
@@ -554,12 +563,12 @@ def q_scan_observations_json(spark, sf):
 
 
 @register("dataset_catalog", O.with_(CW + ["person"], """
-SELECT 'crash_weather' AS dataset, COUNT(*) AS records, (SELECT COUNT(*) FROM (DESCRIBE crash_weather))::INTEGER AS fields
+SELECT 'crash_weather' AS dataset, COUNT(*) AS records, (SELECT COUNT(*) FROM (DESCRIBE crash_weather))::INTEGER AS fields, true AS has_size
 FROM crash_weather
-UNION ALL SELECT 'weather_daily', COUNT(*), (SELECT COUNT(*) FROM (DESCRIBE weather))::INTEGER FROM weather
-UNION ALL SELECT 'person', COUNT(*), (SELECT COUNT(*) FROM (DESCRIBE person))::INTEGER FROM person"""))
+UNION ALL SELECT 'weather_daily', COUNT(*), (SELECT COUNT(*) FROM (DESCRIBE weather))::INTEGER, true FROM weather
+UNION ALL SELECT 'person', COUNT(*), (SELECT COUNT(*) FROM (DESCRIBE person))::INTEGER, true FROM person"""))
 def q_dataset_catalog(spark, sf):
-    """K5 over written stage outputs; the byte sizes depend on the encoder, so only records and fields are kept."""
+    """K5 over written stage outputs; the byte sizes depend on the encoder, so only their presence is compared."""
     from roadbook.sources import sinks
     outputs = {"crash_weather": stages.crash_weather(spark, sf), "weather_daily": stages.weather_table(spark, sf),
                "person": fx.person(spark, sf)}
@@ -567,7 +576,8 @@ def q_dataset_catalog(spark, sf):
     for name, df in outputs.items():
         paths[name] = _scratch(spark, f"catalog-{name}")
         sinks.write_parquet(df, paths[name], partition_by=["CRASH_YEAR"] if "CRASH_YEAR" in df.columns else None)
-    return sinks.dataset_catalog(spark, paths).select("dataset", "records", F.col("fields").cast("int").alias("fields"))
+    return sinks.dataset_catalog(spark, paths).select("dataset", "records", F.col("fields").cast("int").alias("fields"),
+                                                      (F.col("size_bytes") > 0).alias("has_size"))
 
 
 O.cte("full_per_crash", "SELECT DISTINCT CRN, date_approximation_method, crash_date FROM full_integrated")

@@ -9,6 +9,7 @@ from roadbook.operators import profile as P
 from roadbook.plans import fixtures as fx
 from roadbook.plans import oracle as O
 from roadbook.plans.registry import register
+from roadbook.session import materialize
 
 Y = "shard_year"
 SHARD_COLS = fx.SHARD_COLUMNS
@@ -19,12 +20,16 @@ SELECT CAST(year(o_orderdate) AS INTEGER) AS shard_year,
        CASE WHEN year(o_orderdate) IN (1997, 1998) THEN format('{:,.2f}', o_totalprice)
             ELSE CAST(o_totalprice AS VARCHAR) END AS o_totalprice,
        strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS o_orderdate,
-       CASE WHEN year(o_orderdate) > 1996 THEN o_orderpriority END AS o_orderpriority
+       CASE WHEN year(o_orderdate) > 1996 THEN o_orderpriority END AS o_orderpriority,
+       lpad(CAST(o_orderkey % 10000 AS VARCHAR), 4, '0') AS o_code,
+       CAST(o_orderkey % 100 AS VARCHAR) || CASE WHEN o_orderkey % 2 = 0 THEN 'D' ELSE 'F' END AS o_suffix,
+       CAST(9007199254740993 + o_orderkey AS VARCHAR) AS o_big,
+       CASE WHEN year(o_orderdate) <= 1997 THEN o_orderstatus END AS o_old
 FROM orders
 """)
 O.cte("shard_inv", "SELECT y.shard_year, c.name AS \"column\" FROM (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS shard_year FROM orders) y, "
       "(VALUES " + ", ".join(f"('{c}')" for c in SHARD_COLS) + ") c(name) "
-      "WHERE NOT (c.name = 'o_orderpriority' AND y.shard_year <= 1996)")
+      "WHERE NOT (c.name = 'o_orderpriority' AND y.shard_year <= 1996) AND NOT (c.name = 'o_old' AND y.shard_year > 1997)")
 O.cte("shard_long", """
 SELECT shard_year, "column", value FROM shard_text UNPIVOT INCLUDE NULLS (value FOR "column" IN (""" + ", ".join(SHARD_COLS) + """))
 WHERE (shard_year, "column") IN (SELECT (shard_year, "column") FROM shard_inv)
@@ -34,7 +39,8 @@ O.cte("shard_stats0", """
 SELECT shard_year, "column", CAST(SUM(n) AS BIGINT) AS rows,
        CAST(SUM(CASE WHEN value IS NULL THEN n ELSE 0 END) AS BIGINT) AS null_count, COUNT(value) AS distinct_count,
        CAST(SUM(CASE WHEN regexp_full_match(value, '[+-]?[0-9]+') AND TRY_CAST(value AS BIGINT) IS NOT NULL THEN n ELSE 0 END) AS BIGINT) AS _n_int,
-       CAST(SUM(CASE WHEN TRY_CAST(value AS DOUBLE) IS NOT NULL THEN n ELSE 0 END) AS BIGINT) AS _n_num,
+       CAST(SUM(CASE WHEN regexp_full_match(value, '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?') THEN n ELSE 0 END) AS BIGINT) AS _n_num,
+       CAST(SUM(CASE WHEN regexp_full_match(value, '[+-]?0[0-9]+') THEN n ELSE 0 END) AS BIGINT) AS _n_padded,
        MIN(TRY_CAST(value AS DOUBLE)) AS _min, MAX(TRY_CAST(value AS DOUBLE)) AS _max
 FROM shard_vc GROUP BY ALL
 """)
@@ -42,7 +48,7 @@ O.cte("shard_stats", """
 SELECT shard_year, "column", rows, null_count, round(CAST(null_count AS DOUBLE) * 100.0 / rows, 4) AS null_pct, distinct_count,
        CASE WHEN rows - null_count = 0 THEN 'float64' WHEN _n_int = rows - null_count AND null_count = 0 THEN 'int64'
             WHEN _n_num = rows - null_count THEN 'float64' ELSE 'object' END AS dtype,
-       CASE WHEN rows - null_count = 0 THEN 'null' WHEN _n_int = rows - null_count THEN 'long'
+       CASE WHEN rows - null_count = 0 THEN 'null' WHEN _n_padded > 0 THEN 'string' WHEN _n_int = rows - null_count THEN 'long'
             WHEN _n_num = rows - null_count THEN 'double' ELSE 'string' END AS logical_type,
        _min, _max
 FROM shard_stats0
@@ -54,21 +60,25 @@ LEFT JOIN shard_stats s ON i.shard_year = s.shard_year AND i."column" = s."colum
 PROFILE = ["shard_text", "shard_inv", "shard_long", "shard_vc", "shard_stats0", "shard_stats"]
 
 
-def _profile(spark, sf):
-    text = fx.shard_text(spark, sf)
-    inv = fx.shard_inventory(spark, sf)
-    vc = P.value_counts(text, Y, inv)
-    return text, inv, vc, P.column_stats(vc, Y)
+def _figures(spark, sf):
+    """Nulls, ranges and types: no value is shuffled."""
+    return P.type_evidence(fx.shard_text(spark, sf), Y, fx.shard_inventory(spark, sf))
+
+
+def _value_counts(spark, sf):
+    """Written once, because distinct counts and top values both read it."""
+    return materialize(P.value_counts(fx.shard_text(spark, sf), Y, fx.shard_inventory(spark, sf)), "value-counts")
 
 
 @register("profile_nulls", O.with_(PROFILE, 'SELECT shard_year, "column", rows, null_count, null_pct FROM shard_stats'))
 def q_profile_nulls(spark, sf):
-    return _profile(spark, sf)[3].select(Y, "column", "rows", "null_count", "null_pct")
+    return _figures(spark, sf).select(Y, "column", "rows", "null_count", "null_pct")
 
 
 @register("profile_distinct", O.with_(PROFILE, 'SELECT shard_year, "column", distinct_count FROM shard_stats'))
 def q_profile_distinct(spark, sf):
-    return _profile(spark, sf)[3].select(Y, "column", "distinct_count")
+    vc = P.value_counts(fx.shard_text(spark, sf), Y, fx.shard_inventory(spark, sf))
+    return P.column_stats(vc, Y).select(Y, "column", "distinct_count")
 
 
 ORACLE_TOP = O.with_(PROFILE, """
@@ -80,8 +90,8 @@ SELECT shard_year, "column", value, n, CAST(rank AS INTEGER) AS rank FROM (
 
 @register("profile_top_values", ORACLE_TOP)
 def q_profile_top_values(spark, sf):
-    _, _, vc, stats = _profile(spark, sf)
-    return P.top_values(vc, stats, Y)
+    vc = _value_counts(spark, sf)
+    return P.top_values(vc, P.column_stats(vc, Y), Y)
 
 
 @register("profile_top_values_at_scale", ORACLE_TOP)
@@ -94,17 +104,23 @@ def q_profile_top_values_at_scale(spark, sf):
 SELECT shard_year, "column", CASE WHEN dtype <> 'object' THEN _min END AS min, CASE WHEN dtype <> 'object' THEN _max END AS max
 FROM shard_stats"""))
 def q_profile_min_max(spark, sf):
-    return _profile(spark, sf)[3].select(Y, "column", "min", "max")
+    return _figures(spark, sf).select(Y, "column", "min", "max")
 
 
 @register("profile_dtype", O.with_(PROFILE, 'SELECT shard_year, "column", dtype, logical_type FROM shard_stats'))
 def q_profile_dtype(spark, sf):
-    return _profile(spark, sf)[3].select(Y, "column", "dtype", "logical_type")
+    return _figures(spark, sf).select(Y, "column", "dtype", "logical_type")
 
 
-@register("shard_year", O.with_(["shard_text"], "SELECT shard_year, COUNT(*) AS rows FROM shard_text GROUP BY 1"))
+@register("shard_year", """
+SELECT o_orderkey, 'ORDERS_PHILADELPHIA_' || CAST(year(o_orderdate) AS VARCHAR) || '.csv' AS file_name,
+       CAST(CASE WHEN year(o_orderdate) BETWEEN 1993 AND 1997 THEN year(o_orderdate) END AS INTEGER) AS year FROM orders""")
 def q_shard_year(spark, sf):
-    return fx.shard_text(spark, sf).groupBy(Y).agg(F.count(F.lit(1)).alias("rows"))
+    """The year is parsed from a file name; years that aren't configured give none."""
+    from roadbook.sources.shards import year_from_name
+    o = fx.table(spark, sf, "orders")
+    name = F.concat(F.lit("ORDERS_PHILADELPHIA_"), F.year("o_orderdate").cast("string"), F.lit(".csv"))
+    return o.select("o_orderkey", name.alias("file_name")).withColumn("year", year_from_name("file_name", 1993, 1997))
 
 
 @register("schema_matrix", O.with_(["shard_inv"], """
@@ -115,8 +131,7 @@ def q_schema_matrix(spark, sf):
 
 
 def _inv_types(spark, sf):
-    _, inv, _, stats = _profile(spark, sf)
-    return P.inventory_types(inv, stats, Y)
+    return P.inventory_types(fx.shard_inventory(spark, sf), _figures(spark, sf), Y)
 
 
 O.cte("dtype_changes", """
@@ -194,7 +209,8 @@ def q_harmonize_type_conflict_strict(spark, sf):
 
 HARMONIZED = """
 SELECT shard_year AS DATA_YEAR,
-       o_custkey_t AS o_custkey, o_orderdate, o_orderkey_t AS o_orderkey, o_orderpriority, o_orderstatus, o_totalprice
+       CAST(o_big AS BIGINT) AS o_big, o_code, o_custkey_t AS o_custkey, o_old, o_orderdate, o_orderkey_t AS o_orderkey, o_orderpriority,
+       o_orderstatus, o_suffix, o_totalprice
 FROM (SELECT *, CASE WHEN regexp_full_match(o_custkey, '[+-]?[0-9]+') THEN TRY_CAST(o_custkey AS BIGINT) END AS o_custkey_t,
                 CASE WHEN regexp_full_match(o_orderkey, '[+-]?[0-9]+') THEN TRY_CAST(o_orderkey AS BIGINT) END AS o_orderkey_t
       FROM shard_text)"""
@@ -206,10 +222,9 @@ def q_harmonize_all_years(spark, sf):
     return h.drop("PROCESSING_DATE")
 
 
-@register("add_lineage", O.with_(["shard_text"], "SELECT shard_year AS DATA_YEAR, COUNT(*) AS rows FROM shard_text GROUP BY 1"))
+@register("add_lineage", O.with_(["crash"], "SELECT CRN, 2024 AS DATA_YEAR, '2024-05-06T07:08:09' AS PROCESSING_DATE FROM crash"))
 def q_add_lineage(spark, sf):
-    h = H.harmonize_text_shards(fx.shard_text(spark, sf), fx.shard_inventory(spark, sf), Y, processing_date="run")
-    return h.groupBy("DATA_YEAR").agg(F.count(F.lit(1)).alias("rows"))
+    return H.add_lineage(fx.crash(spark, sf).select("CRN"), year=2024, processing_date="2024-05-06T07:08:09")
 
 
 def _typed_parts(spark, sf):
@@ -241,12 +256,12 @@ def q_master_schema(spark, sf):
     return H.master_schema(_inv_types(spark, sf), Y)
 
 
-@register("cast_to_master", O.with_(["shard_text"], """
-SELECT shard_year, CAST(CASE WHEN isnan(TRY_CAST(o_orderkey AS DOUBLE)) THEN NULL ELSE TRY_CAST(o_orderkey AS DOUBLE) END AS BIGINT) AS o_orderkey,
-       CAST(CASE WHEN isnan(TRY_CAST(o_custkey AS DOUBLE)) THEN NULL ELSE TRY_CAST(o_custkey AS DOUBLE) END AS BIGINT) AS o_custkey,
-       o_orderstatus,
-       CASE WHEN isnan(TRY_CAST(o_totalprice AS DOUBLE)) THEN NULL ELSE TRY_CAST(o_totalprice AS DOUBLE) END AS o_totalprice,
-       o_orderdate, o_orderpriority
+LONG = "CASE WHEN regexp_full_match({0}, '[+-]?[0-9]+') THEN TRY_CAST({0} AS BIGINT) END AS {0}"
+
+
+@register("cast_to_master", O.with_(["shard_text"], "SELECT shard_year, " + ", ".join(LONG.format(c) for c in ("o_orderkey", "o_custkey", "o_code", "o_big")) + """,
+       o_orderstatus, CASE WHEN isnan(TRY_CAST(o_totalprice AS DOUBLE)) THEN NULL ELSE TRY_CAST(o_totalprice AS DOUBLE) END AS o_totalprice,
+       o_orderdate, o_orderpriority, o_suffix, o_old
 FROM shard_text"""))
 def q_cast_to_master(spark, sf):
     text = fx.shard_text(spark, sf)
@@ -300,8 +315,9 @@ def q_scan_parquet(spark, sf):
 def q_union_observations(spark, sf):
     from roadbook.sources.observations import union_observations
     long = fx.weather_long(spark, sf)
-    years = sorted(r[0] for r in long.select(F.year("date")).distinct().collect())   # one frame per year
-    return union_observations([long.filter(F.year("date") == y) for y in years]).select("date", "datatype", "value")
+    # one frame per half of the calendar, with unlike columns, as two downloads leave them
+    first = long.filter(F.month("date") <= 6)
+    return union_observations([first, long.filter(F.month("date") > 6).drop("obs_id")]).select("date", "datatype", "value")
 
 
 @register("shard_completeness", """
@@ -388,3 +404,32 @@ def q_scan_sample(spark, sf):
     matched = S.match_shards(S.list_files(spark, root, "*.csv"), ["ORDERS"], years)
     sample = S.scan_sample(spark, [r["path"] for r in matched.select("path").collect()], n=100)
     return sample.select(S.year_from_name(F.col("_file"), min(years), max(years)).alias(Y), *fx.SHARD_COLUMNS)
+
+
+def _zipped_orders(spark, sf):
+    """(path, content): ZIP archives of a bounded number of orders each, all with one member name per year."""
+    def archive(pdf):
+        import io
+        import zipfile
+
+        import pandas as pd
+        year, chunk = pdf["year"].iloc[0], pdf["chunk"].iloc[0]
+        data = io.BytesIO()
+        with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as z:
+            z.writestr(f"ORDERS_{year}.csv", pdf[["o_orderkey", "o_custkey", "note"]].to_csv(index=False))
+        return pd.DataFrame([[f"orders_{year}_{chunk}.zip", data.getvalue()]], columns=["path", "content"])
+
+    o = fx.table(spark, sf, "orders")
+    rows = o.select(F.year("o_orderdate").alias("year"), F.floor(F.col("o_orderkey") / 50_000).alias("chunk"), "o_orderkey", "o_custkey",
+                    F.concat(F.lit('a "quoted"\nnote, '), F.col("o_orderstatus")).alias("note"))
+    return rows.groupBy("year", "chunk").applyInPandas(archive, "path string, content binary")
+
+
+@register("unzip_shards", """
+SELECT 'orders_' || CAST(year(o_orderdate) AS VARCHAR) || '_' || CAST(o_orderkey // 50000 AS VARCHAR) || '.zip' AS archive,
+       'ORDERS_' || CAST(year(o_orderdate) AS VARCHAR) || '.csv' AS member, CAST(o_orderkey AS VARCHAR) AS o_orderkey,
+       CAST(o_custkey AS VARCHAR) AS o_custkey, 'a "quoted"' || chr(10) || 'note, ' || o_orderstatus AS note FROM orders""")
+def q_unzip_shards(spark, sf):
+    from roadbook.sources.archives import expand_content, member_frames
+    rows, _, _ = member_frames(expand_content(_zipped_orders(spark, sf)))
+    return rows.select("archive", "member", "o_orderkey", "o_custkey", "note")

@@ -1,14 +1,14 @@
 """Session construction and lineage cutting.
 
-The library never picks a machine-local folder on its own when running on a
-cluster: ``checkpoint_dir`` reads ``spark.checkpoint.dir`` from the session
-(the shared folder the cluster names) and only falls back to a fresh temp
-folder when the setting is absent, which is the local/test case.
+The library never picks a machine-local folder on a cluster: ``checkpoint_dir``
+reads ``spark.checkpoint.dir`` from the session (the shared folder the cluster
+names). Only a ``local`` master may do without; it gets a fresh temp folder.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -50,13 +50,16 @@ def get_spark(app: str = "roadbook", cpus: int | str = "*", shuffle_partitions:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and stage outputs.
 
-    Reads ``spark.checkpoint.dir`` from the session; sets a fresh local one
-    only when it is unset (tests and single-machine runs).
+    Reads ``spark.checkpoint.dir`` from the session. Where it is unset, a
+    ``local`` master gets a fresh folder (tests, single-machine runs); on a
+    cluster each executor would write to its own disk, so that is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="roadbook-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     # keep SparkContext in sync so DataFrame.checkpoint() uses the same folder

@@ -3,7 +3,7 @@
 A ZIP is not splittable, so one archive is read by one task (the
 ``binaryFile`` row); its members are streamed out as (member, line) rows in
 bounded batches, and everything after that is ordinary DataFrame work. A
-corrupt archive becomes one error row instead of failing the job.
+corrupt archive or member becomes one error row instead of failing the job.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from __future__ import annotations
 import csv
 import io
 import zipfile
+import zlib
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,18 @@ from pyspark.sql import functions as F
 LINES_SCHEMA = "archive string, member string, line_no long, line string, error string"
 
 
+def _records(fh):
+    """Logical CSV records: a line break inside quotes stays in its record."""
+    held = ""
+    for raw in io.TextIOWrapper(fh, encoding="utf-8", errors="replace", newline=""):
+        held += raw
+        if held.count('"') % 2 == 0:
+            yield held.rstrip("\r\n")
+            held = ""
+    if held:
+        yield held.rstrip("\r\n")
+
+
 def _expand(batches, batch_lines: int = 50_000):
     cols = ["archive", "member", "line_no", "line", "error"]
     for pdf in batches:
@@ -31,57 +44,70 @@ def _expand(batches, batch_lines: int = 50_000):
                 continue
             for m in members:
                 buf = []
-                with zf.open(m) as fh:
-                    for i, raw in enumerate(io.TextIOWrapper(fh, encoding="utf-8", errors="replace", newline="")):
-                        buf.append((path, m, i, raw.rstrip("\r\n"), None))
-                        if len(buf) >= batch_lines:
-                            yield pd.DataFrame(buf, columns=cols)
-                            buf = []
+                try:
+                    with zf.open(m) as fh:
+                        for i, line in enumerate(_records(fh)):
+                            buf.append((path, m, i, line, None))
+                            if len(buf) >= batch_lines:
+                                yield pd.DataFrame(buf, columns=cols)
+                                buf = []
+                except (zipfile.BadZipFile, zlib.error, RuntimeError, NotImplementedError, EOFError) as e:
+                    # a damaged, encrypted or unsupported member: one error row; member_frames leaves its lines out
+                    buf = [(path, m, None, None, f"bad member: {e}")]
                 if buf:
                     yield pd.DataFrame(buf, columns=cols)
 
 
+def expand_content(archives: DataFrame) -> DataFrame:
+    """(archive, member, line_no, line, error) for every CSV member of every archive in (path, content)."""
+    return archives.select("path", "content").mapInPandas(_expand, LINES_SCHEMA)
+
+
 def expand_archives(spark: SparkSession, root: str, glob: str = "*.zip") -> DataFrame:
-    """(archive, member, line_no, line, error) for every CSV member of every archive."""
-    raw = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(root).select("path", "content")
-    return raw.mapInPandas(_expand, LINES_SCHEMA)
+    """:func:`expand_content` of the archives in a folder."""
+    return expand_content(spark.read.format("binaryFile").option("pathGlobFilter", glob).load(root))
 
 
 def member_frames(lines: DataFrame, year_col: str = "shard_year", materialize_lines: bool = True
-                  ) -> tuple[DataFrame, DataFrame]:
+                  ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Parse expanded member lines into text rows, one scan per distinct header.
 
-    Returns (rows with ``member`` and ``shard_year``, inventory of (year, column)).
-    Headers are metadata (one line per member) and are gathered to plan the
-    parse; data lines are parsed by ``from_csv`` on the executors. The
-    expansion is written once (Parquet under the checkpoint folder,
-    partitioned by member), so each header group reads only its own
-    members' partitions instead of expanding the archives again.
+    Returns (rows with ``archive``, ``member`` and ``shard_year``, inventory of
+    (archive, member, column), errors). A member is known by its archive and
+    its name. Headers are metadata (one line per member) and are gathered to
+    plan the parse; data lines are parsed by ``from_csv`` on the executors.
+    The expansion is written once under the checkpoint folder. Members with
+    an error, such as a checksum that differs at their end, are left out
+    whole and listed in ``errors``.
     """
     from roadbook.session import materialize
     from roadbook.sources.shards import year_from_name
 
     if materialize_lines:
-        lines = materialize(lines, "archive-lines", partition_by=["member"])
+        lines = materialize(lines, "archive-lines")
+    errors = lines.filter(F.col("error").isNotNull()).select("archive", "member", "error")
     ok = lines.filter(F.col("error").isNull())
-    heads = ok.filter(F.col("line_no") == 0).select("member", "line").collect()
-    by_header: dict[str, list[str]] = {}
-    for r in heads:
-        by_header.setdefault(r["line"], []).append(r["member"])
+    bad = errors.filter(F.col("member").isNotNull()).select("archive", "member").distinct()
+    ok = ok.join(bad, ["archive", "member"], "left_anti")
+    by_header: dict[str, list[tuple[str, str]]] = {}
+    for r in ok.filter(F.col("line_no") == 0).select("archive", "member", "line").collect():
+        by_header.setdefault(r["line"], []).append((r["archive"], r["member"]))
     spark = lines.sparkSession
     frames, inv = [], []
     for header, members in by_header.items():
         names = [c.strip() for c in next(csv.reader([header]))]
         ddl = ", ".join(f"`{c}` string" for c in names)
-        part = (ok.filter(F.col("member").isin(members) & (F.col("line_no") > 0) & (F.length("line") > 0))
-                .select("member", year_from_name(F.col("member")).alias(year_col),
-                        F.from_csv("line", ddl).alias("r"))
-                .select("member", year_col, "r.*"))
+        own = spark.createDataFrame(members, "archive string, member string")      # one row per member
+        part = (ok.filter((F.col("line_no") > 0) & (F.length("line") > 0)).join(own, ["archive", "member"])
+                .select("archive", "member", year_from_name(F.col("member")).alias(year_col),
+                        F.from_csv("line", ddl, {"multiLine": "true", "escape": '"'}).alias("r"))
+                .select("archive", "member", year_col, "r.*"))
         frames.append(part)
-        inv += [(m, c) for m in members for c in names]
+        inv += [(a, m, c) for a, m in members for c in names]
+    inventory = spark.createDataFrame(inv, "archive string, member string, column string")
     if not frames:
-        return spark.createDataFrame([], f"member string, {year_col} int"), spark.createDataFrame([], "member string, column string")
+        return spark.createDataFrame([], f"archive string, member string, {year_col} int"), inventory, errors
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
-    return out, spark.createDataFrame(inv, "member string, column string")
+    return out, inventory, errors

@@ -8,10 +8,12 @@ group is one multi-file scan.
 
 from __future__ import annotations
 
+import csv
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from roadbook.constants import CATEGORIES, END_YEAR, NULL_TOKENS, START_YEAR
 
@@ -69,6 +71,23 @@ def match_shards(files: DataFrame, categories=tuple(CATEGORIES), years=None) ->
     return hits.join(best, ["year", "category", "priority"]).select("year", "category", "path", "file_name")
 
 
+def quarantine(files: DataFrame, categories=tuple(CATEGORIES), years=None) -> DataFrame:
+    """CSV files that :func:`match_shards` leaves out, with the reason (file_name, path, reason)."""
+    years = list(years if years is not None else range(START_YEAR, END_YEAR + 1))
+    used = match_shards(files, categories, years).select("path")
+    rest = files.filter(F.lower("file_name").endswith(".csv")).join(used, "path", "left_anti")
+    name = F.col("file_name")
+    reason = (F.when(category_of_name(F.upper(name), categories).isNull(), "no known category")
+              .when(~F.exists(F.array(*[F.lit(str(y)) for y in years]), lambda y: name.contains(y)), "year not configured")
+              .when(~name.rlike("^(?:" + "|".join(_pattern(p, categories, years) for p in FILE_PATTERNS) + ")$"), "name matches no pattern")
+              .otherwise("another file of this category and year comes first"))
+    return rest.select("file_name", "path", reason.alias("reason"))
+
+
+def _pattern(pattern: str, categories, years) -> str:
+    return pattern.format(category="(?:" + "|".join(categories) + ")", year="(?:" + "|".join(map(str, years)) + ")").replace(".csv", "[.]csv")
+
+
 def missing_shards(files: DataFrame, categories=tuple(CATEGORIES), years=None) -> DataFrame:
     """H3/S1 bookkeeping: expected (year, category) pairs without a matching file."""
     grid = expected_grid(files.sparkSession, categories, years)
@@ -96,39 +115,70 @@ def _null_tokens(df: DataFrame, tokens) -> DataFrame:
                        if c not in ("shard_year",) else F.col(c) for c in df.columns])
 
 
+def _file_path(column: str = "_metadata.file_path") -> Column:
+    """The path of a row's file as the listing gives it: the scan reports it URL-escaped."""
+    return F.url_decode(F.replace(F.col(column), F.lit("+"), F.lit("%2B")))
+
+
+def _csv(spark: SparkSession, paths: list[str], columns: tuple[str, ...], multi_line: bool) -> DataFrame:
+    """Text columns of CSV files with this header; ``multi_line`` allows line breaks inside quotes (a file is then one split)."""
+    schema = StructType([StructField(c, StringType()) for c in columns])
+    return (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+            .option("multiLine", multi_line).option("escape", '"').csv([_glob_free(p) for p in paths]))
+
+
+def _glob_free(path: str) -> str:
+    """A path whose characters all stand for themselves (the reader takes glob patterns)."""
+    return "".join("\\" + c if c in "*?[]{}\\" else c for c in path)
+
+
+def _shard_of(path: str) -> str:
+    """The folder of a part file written by Spark (``CRASH_2020.csv/part-0``), else the file itself."""
+    parts = path.rstrip("/").split("/")
+    return "/".join(parts[:-1]) if len(parts) > 1 and parts[-2].lower().endswith(".csv") else path
+
+
+def _by_header(spark: SparkSession, shards: dict) -> dict[tuple[str, ...], list]:
+    """Shard keys by header: the first line of one file per shard, read in jobs that are submitted together."""
+    items = sorted(shards.items())
+
+    def header(item):
+        line = spark.read.text(_glob_free(sorted(item[1])[0])).first()
+        names = next(csv.reader([line[0].removeprefix("\ufeff")])) if line else []
+        # a name that comes twice gets its position, as Spark's own reader does it
+        return tuple(f"{c}{i}" if names.count(c) > 1 or not c else c for i, c in enumerate(names))
+
+    out: dict[tuple[str, ...], list] = {}
+    with ThreadPoolExecutor(max_workers=max(1, min(16, len(items)))) as pool:
+        for (key, _), cols in zip(items, pool.map(header, items), strict=True):
+            if cols:
+                out.setdefault(cols, []).append(key)
+    return out
+
+
 def read_text_shards(spark: SparkSession, shard_files: DataFrame, year_col: str = "shard_year",
-                     null_tokens=tuple(NULL_TOKENS)) -> tuple[DataFrame, DataFrame]:
+                     null_tokens=tuple(NULL_TOKENS), multi_line: bool = True) -> tuple[DataFrame, DataFrame]:
     """Read matched shard files as text; returns (rows with ``shard_year``, inventory).
 
     The file list and one header per shard are metadata; the rows are read
     by one multi-file CSV scan per distinct header, tagged with their year
-    by a broadcast join on the file path, and unioned by name (missing
-    columns NULL).
+    through the file path, and unioned by name (missing columns NULL). A row
+    whose file is not in the list fails the job: no row is lost silently.
+    ``multi_line=False`` splits large files, for shards without line breaks
+    inside quotes.
     """
     shards: dict[tuple[str, int], list[str]] = {}
     for r in shard_files.select("file_name", "year", "path").collect():      # one row per file (metadata)
         shards.setdefault((r["file_name"], int(r["year"])), []).append(r["path"])
-    headers: dict[tuple[str, ...], list[tuple[str, int]]] = {}
-    # one header per shard (every part file of a Spark-written shard has the same
-    # one); each read is a tiny job, so they are submitted together
-    items = list(shards.items())
-
-    def header(item):
-        return tuple(spark.read.option("header", True).csv(sorted(item[1])[0]).columns)
-
-    with ThreadPoolExecutor(max_workers=max(1, min(16, len(items)))) as pool:
-        cols_list = list(pool.map(header, items))
-    for ((_, year), paths), cols in zip(items, cols_list):
-        headers.setdefault(cols, []).extend((p, year) for p in paths)
     frames, inv_rows = [], []
-    for cols, members in headers.items():
-        # year per file through a broadcast join on the file path (one row per file)
+    for cols, keys in _by_header(spark, shards).items():
+        members = [(p, year) for name, year in keys for p in shards[name, year]]
         year_of = spark.createDataFrame(members, f"_path string, {year_col} int")
-        df = (spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE")
-              .csv([p for p, _ in members]))
+        df = _csv(spark, [p for p, _ in members], cols, multi_line)
         data_cols = df.columns
-        df = (df.withColumn("_path", F.col("_metadata.file_path")).join(F.broadcast(year_of), "_path")
-              .select(year_col, *[F.col(f"`{c}`") for c in data_cols]))
+        lost = F.raise_error(F.concat(F.lit("not in the list of shards: "), F.col("_path"))).cast("int")
+        df = (df.withColumn("_path", _file_path()).join(year_of, "_path", "left")
+              .select(F.coalesce(F.col(year_col), lost).alias(year_col), *[F.col(f"`{c}`") for c in data_cols]))
         frames.append(_null_tokens(df, null_tokens))
         inv_rows += [(y, c) for _, y in members for c in cols]
     if not frames:
@@ -141,44 +191,28 @@ def read_text_shards(spark: SparkSession, shard_files: DataFrame, year_col: str
     return out, inventory
 
 
-def scan_sample(spark: SparkSession, paths: list[str], n: int = 1000) -> DataFrame:
+def scan_sample(spark: SparkSession, paths: list[str], n: int = 1000, multi_line: bool = True) -> DataFrame:
     """The first ``n`` rows of each CSV shard (as text), with the shard name in ``_file``.
 
-    A shard written by Spark as a folder of part files is sampled from its
-    first part file. Shards are grouped by header (one CSV scan per distinct
-    header, unioned by name), only the first split of each file is read
-    (``file_block_start = 0``), and each task keeps a per-file counter while
-    streaming its rows in order.
+    The part files of a shard that Spark wrote as a folder follow one another
+    by name. Shards are grouped by header (one CSV scan per distinct header,
+    unioned by name). Each task hands on at most ``n`` rows of each file, so
+    the window that numbers a shard's rows sees at most ``n`` rows per file.
     """
-    first: dict[str, str] = {}
+    shards: dict[str, list[str]] = {}
     for p in sorted(paths):
-        parts = p.rstrip("/").split("/")
-        shard = "/".join(parts[:-1]) if len(parts) > 1 and parts[-2].lower().endswith(".csv") else p
-        first.setdefault(shard, p)
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for p in sorted(first.values()):
-        groups.setdefault(tuple(spark.read.option("header", True).csv(p).columns), []).append(p)
-
-    def head(batches):
-        seen: dict[str, int] = {}
-        for pdf in batches:
-            keep = []
-            for f in pdf["_path"]:
-                c = seen.get(f, 0)
-                keep.append(c < n)
-                seen[f] = c + 1
-            yield pdf[keep]
-
+        shards.setdefault(_shard_of(p), []).append(p)
     out = None
-    for cols, members in groups.items():
-        df = spark.read.option("header", True).option("inferSchema", False).csv(members)
-        src = df.select(F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_start"),
-                        *[F.col(f"`{c}`") for c in df.columns])
-        src = src.filter(F.col("_start") == 0).drop("_start")
-        part = src.mapInPandas(head, src.schema)
-        name = F.element_at(F.split("_path", "/"), -1)
-        parent = F.element_at(F.split("_path", "/"), -2)
-        part = part.withColumn("_file", F.when(F.lower(parent).endswith(".csv"), parent).otherwise(name)).drop("_path")
+    for cols, keys in _by_header(spark, shards).items():
+        df = _csv(spark, [p for k in keys for p in shards[k]], cols, multi_line)
+        data_cols = df.columns
+        src = df.select(_file_path().alias("_path"), F.col("_metadata.file_block_start").alias("_start"),
+                        F.monotonically_increasing_id().alias("_row"), *[F.col(f"`{c}`") for c in data_cols])
+        own, parent = F.element_at(F.split("_path", "/"), -1), F.element_at(F.split("_path", "/"), -2)
+        src = src.withColumn("_file", F.when(F.lower(parent).endswith(".csv"), parent).otherwise(own))
+        # row_number() up to n is applied before the shuffle as well (group limit)
+        order = Window.partitionBy("_file").orderBy("_path", "_start", "_row")
+        part = src.withColumn("_at", F.row_number().over(order)).filter(F.col("_at") <= n).drop("_at", "_path", "_start", "_row")
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
 
@@ -198,14 +232,24 @@ def write_text_shards(text: DataFrame, inventory: DataFrame, root: str, category
     """Land yearly text shards as ``{root}/{category}_{year}.csv`` folders with a header.
 
     Each year is written with only the columns its inventory lists, so the
-    files carry the same column drift as the source. One Spark write per
-    year (the year list is metadata).
+    files carry the same column drift as the source. Years with the same
+    columns are one partitioned write, whose folders are then named as shards
+    by the file system; the list of years is metadata.
     """
-    years = sorted(r[0] for r in inventory.select(year_col).distinct().collect())
-    cols_of = {}
+    cols_of: dict[int, set[str]] = {}
     for r in inventory.collect():
-        cols_of.setdefault(r[year_col], []).append(r["column"])
-    for y in years:
-        cols = [c for c in text.columns if c in set(cols_of[y])]
-        (text.filter(F.col(year_col) == y).select(*cols)
-         .write.mode("overwrite").option("header", True).csv(f"{root.rstrip('/')}/{category}_{y}.csv"))
+        cols_of.setdefault(r[year_col], set()).add(r["column"])
+    alike: dict[tuple[str, ...], list[int]] = {}
+    for y, cols in sorted(cols_of.items()):
+        alike.setdefault(tuple(c for c in text.columns if c in cols), []).append(y)
+    spark, root = text.sparkSession, root.rstrip("/")
+    for i, (cols, years) in enumerate(alike.items()):
+        stage = f"{root}/_landing-{i}"
+        own = text.filter(F.col(year_col).isin(years)).select(year_col, *cols)
+        own.hint("rebalance", year_col).write.partitionBy(year_col).option("header", True).option("escape", '"').csv(stage)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        fs = path(stage).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for y in years:
+            if fs.exists(path(f"{stage}/{year_col}={y}")):
+                fs.rename(path(f"{stage}/{year_col}={y}"), path(f"{root}/{category}_{y}.csv"))
+        fs.delete(path(stage), True)

@@ -51,7 +51,7 @@ def dataset_catalog(spark: SparkSession, outputs: dict[str, str]) -> DataFrame:
         df = spark.read.parquet(path)
         files = df.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s"))
         per_file = files.groupBy("f").agg(F.count(F.lit(1)).alias("n"), F.max("s").alias("s"))
-        row = per_file.agg(F.lit(name).alias("dataset"), F.round(F.sum("s") / (1024 * 1024), 2).alias("size_mb"),
+        row = per_file.agg(F.lit(name).alias("dataset"), F.round(F.sum("s") / (1024 * 1024), 2).alias("size_mb"), F.sum("s").cast("bigint").alias("size_bytes"),
                            F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("records"),
                            F.lit(len(df.columns)).alias("fields"))
         rows = row if rows is None else rows.unionByName(row)

@@ -53,3 +53,18 @@ def test_point_in_polygon_concave(spark):
     df = spark.createDataFrame([(0.5, 1.5), (1.5, 1.5), (1.5, 0.5)], "x double, y double")
     assert [r[0] for r in df.select(point_in_polygon("x", "y", poly)).collect()] == [True, False, True]
     assert df.select(F.lit(1)).count() == 3
+
+
+def test_numbers_are_not_java_literals_or_padded_codes(spark):
+    from roadbook.functions.numeric import to_long, to_number
+    from roadbook.operators import profile as P
+    values = ["12D", "5F", "0x1p3", "1e5", "Infinity", " 7 ", "nan", "9007199254740993", "0123", "1.5", "", None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    got = df.select("i", to_number("v").alias("d"), to_long("v").alias("n")).orderBy("i").collect()
+    assert [r.d for r in got] == [None, None, None, 1e5, float("inf"), 7.0, None, 9007199254740992.0, 123.0, 1.5, None, None]
+    assert [r.n for r in got] == [None, None, None, 100000, None, 7, None, 9007199254740993, 123, 1, None, None]
+    shards = spark.createDataFrame([(2020, "12D", "0123", "3"), (2020, "5F", "4567", "4")], "shard_year int, a string, b string, c string")
+    kinds = {r.column: (r.dtype, r.logical_type) for r in P.type_evidence(shards).collect()}
+    assert kinds == {"a": ("object", "string"), "b": ("int64", "string"), "c": ("int64", "long")}
+    counted = {r.column: (r.dtype, r.logical_type) for r in P.column_stats(P.value_counts(shards)).collect()}
+    assert counted == kinds

@@ -42,8 +42,32 @@ def test_query_matches_oracle(spark, con, key):
 
 
 def test_every_query_has_an_oracle_or_is_listed():
-    q, o = entry.queries(), entry.oracle_sql()
-    assert set(q) == set(o)
+    from roadbook.plans import registry
+    assert set(registry.QUERIES) == set(registry.ORACLE)
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+#: Queries that land files or resolve types from data before their plan can be built.
+PLANS_WITH_JOBS = {"scan_category_csv", "scan_sample", "shard_discovery", "scan_observations_json", "sink_parquet", "sink_csv", "sink_json_report",
+                   "sink_text_summary", "dataset_catalog", "dataset_run_summary", "harmonize_all_years", "harmonize_type_conflict",
+                   "harmonize_type_conflict_strict", "cast_to_master", "numeric_outliers", "schema_removed"}
+
+
+def test_building_a_plan_starts_no_job(spark):
+    from roadbook.plans import registry
+    started = {}
+    for name, build in registry.QUERIES.items():
+        spark.sparkContext.setJobGroup(f"plan-{name}", name)
+        build(spark, SF_SMALL)
+        tracker, jobs = spark.sparkContext.statusTracker(), []
+        for j in tracker.getJobIdsForGroup(f"plan-{name}"):
+            stages_of = [tracker.getStageInfo(i) for i in tracker.getJobInfo(j).stageIds]
+            if not all(x and x.name.startswith("parquet at") for x in stages_of):     # those read a schema from a footer
+                jobs += [x.name for x in stages_of if x]
+        if jobs:
+            started[name] = jobs
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert set(started) <= PLANS_WITH_JOBS, started
 
 
 def test_entry_runs(spark):

@@ -7,7 +7,6 @@ import pandas as pd
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from roadbook.constants import BOUNDS
 from roadbook.operators import datasets as D
 from roadbook.operators import geo as G
 from roadbook.operators.weather import add_weather_features
@@ -31,44 +30,35 @@ def test_weather_features_match_pandas_cut(spark, rows):
     assert list(got["adverse_weather"]) == list(adverse) and list(got["extreme_temp"]) == list(extreme)
 
 
-# exact 7th-decimal ties are excluded: pandas rounds them half-even on the binary value,
-# Spark half-up on the decimal text (a documented difference)
-no_tie = lambda x: round(abs(x) * 1e7) % 10 != 5
-coord = st.one_of(st.none(), st.just(float("nan")), st.just(0.0), st.sampled_from([39.867, 40.138, -75.28, -74.956]),
-                  st.floats(39.7, 40.3).map(lambda x: round(x, 7)).filter(no_tie),
-                  st.floats(-75.4, -74.8).map(lambda x: round(x, 7)).filter(no_tie))
+#: Hand-made points with the flag and the outcome that the rules for coordinates, rounding and the box name for them.
+POINTS = [
+    # latitude, longitude, flag, kept, latitude and longitude afterwards
+    (39.95, -75.16, None, True, 39.95, -75.16),
+    (39.9512345678, -75.1612345678, None, True, 39.951235, -75.161235),
+    (39.867, -75.28, None, True, 39.867, -75.28),                       # corners belong to the box
+    (40.138, -74.956, None, True, 40.138, -74.956),
+    (39.8669996, -75.1, None, True, 39.867, -75.1),                     # inside once rounded
+    (39.866999, -75.1, "OUTSIDE_PHILLY", False, None, None),
+    (40.2, -75.1, "OUTSIDE_PHILLY", False, None, None),
+    (39.95, -75.3, "OUTSIDE_PHILLY", False, None, None),
+    (0.0, 0.0, "OUTSIDE_PHILLY", False, None, None),
+    (95.0, -75.1, "OUTSIDE_PHILLY", False, None, None),
+    (39.95, None, "OUTSIDE_PHILLY", False, None, None),
+    (None, -75.1, "INVALID", True, None, -75.1),                        # a missing latitude is kept
+    (None, None, "INVALID", True, None, None),
+    (float("nan"), -75.1, "INVALID", True, None, -75.1),
+]
 
 
-def pandas_geo(p: pd.DataFrame) -> pd.DataFrame:
-    """The geographic stage's rules, restated with pandas."""
-    lat, lon = "DEC_LATITUDE", "DEC_LONGITUDE"
-    p = p.copy()
-    p[lat] = pd.to_numeric(p[lat], errors="coerce")
-    p[lon] = pd.to_numeric(p[lon], errors="coerce")
-    has = p[lat].notna() & p[lon].notna()
-    invalid = ((p[lat] == 0) & (p[lon] == 0)) | p[lat].isna() | p[lon].isna() | (p[lat].abs() > 90) | (p[lon].abs() > 180)
-    p["COORD_QUALITY_FLAG"] = np.where(invalid, "INVALID", None)
-    p.loc[has, lat] = p.loc[has, lat].round(6)
-    p.loc[has, lon] = p.loc[has, lon].round(6)
-    inside = (p[lat] >= BOUNDS["lat_min"]) & (p[lat] <= BOUNDS["lat_max"]) & (p[lon] >= BOUNDS["lon_min"]) & (p[lon] <= BOUNDS["lon_max"])
-    p.loc[~inside & p[lat].notna(), "COORD_QUALITY_FLAG"] = "OUTSIDE_PHILLY"
-    return p[inside | p[lat].isna()]
-
-
-@settings(max_examples=10, deadline=None)
-@given(st.lists(st.tuples(coord, coord), min_size=1, max_size=30))
-def test_geo_stage_matches_pandas(spark, pts):
-    rows = [(str(i), a, b) for i, (a, b) in enumerate(pts)]
-    df = spark.createDataFrame(rows, "CRN string, DEC_LATITUDE double, DEC_LONGITUDE double")
-    got = G.geo_pipeline(df).toPandas().set_index("CRN").sort_index()
-    want = pandas_geo(pd.DataFrame(rows, columns=["CRN", "DEC_LATITUDE", "DEC_LONGITUDE"])).set_index("CRN").sort_index()
-    assert list(got.index) == list(want.index)
-    for c in ("DEC_LATITUDE", "DEC_LONGITUDE"):
-        for a, b in zip(got[c], want[c]):
-            assert pd.isna(a) == pd.isna(b)
-            if not pd.isna(b):
-                assert math.isclose(a, b, rel_tol=0, abs_tol=1e-9)
-    assert [None if pd.isna(x) else x for x in got["COORD_QUALITY_FLAG"]] == [None if pd.isna(x) else x for x in want["COORD_QUALITY_FLAG"]]
+def test_geo_stage_by_hand(spark):
+    df = spark.createDataFrame([(str(i), p[0], p[1]) for i, p in enumerate(POINTS)], "CRN string, DEC_LATITUDE double, DEC_LONGITUDE double")
+    got = {int(r.CRN): r for r in G.geo_pipeline(df).collect()}
+    assert sorted(got) == [i for i, p in enumerate(POINTS) if p[3]]
+    for i, r in got.items():
+        _, _, flag, _, lat, lon = POINTS[i]
+        assert r.COORD_QUALITY_FLAG == flag, POINTS[i]
+        for a, b in ((r.DEC_LATITUDE, lat), (r.DEC_LONGITUDE, lon)):
+            assert (a is None) == (b is None) and (b is None or math.isclose(a, b, rel_tol=0, abs_tol=1e-9)), POINTS[i]
 
 
 @settings(max_examples=10, deadline=None)

@@ -18,6 +18,8 @@ def _write_shards(spark, root):
         part = o.filter(F.col("shard_year") == y).drop("shard_year")
         if y <= 1996:
             part = part.drop("o_orderpriority")
+        if y > 1997:
+            part = part.drop("o_old")
         name = f"CRASH_PHILADELPHIA_{y}.csv" if y % 2 else f"CRASH_{y}.csv"
         tmp = os.path.join(root, "stage", str(y))
         part.coalesce(1).write.option("header", True).csv(tmp)
@@ -59,12 +61,87 @@ def test_zip_archives(spark, tmpdir_path):
         f.write(b"not a zip")
     lines = archives.expand_archives(spark, tmpdir_path)
     assert lines.filter(F.col("error").isNotNull()).count() == 1
-    rows, inv = archives.member_frames(lines)
+    rows, inv, errors = archives.member_frames(lines)
+    assert errors.count() == 1
     crash = rows.filter(F.col("member") == "CRASH_2020.csv").select("CRN", "COUNTY", "shard_year").collect()
     assert sorted(map(tuple, crash)) == [("1", "51", 2020), ("2", "67", 2020)]
     assert inv.count() == 4
 
 
+def test_damaged_and_equally_named_members(spark):
+    """Two archives with one member name and unlike headers; a checksum that differs; a line break inside quotes."""
+    def zipped(members):
+        data = io.BytesIO()
+        with zipfile.ZipFile(data, "w") as z:
+            for name, text in members:
+                z.writestr(name, text)
+        return data.getvalue()
+
+    bad = bytearray(zipped([("CRASH_2020.csv", "CRN,A\n" + "1,xyz\n" * 200), ("PERSON_2020.csv", "CRN\n9\n")]))
+    bad[60] ^= 1                                   # inside the first member's stored data
+    content = [("a.zip", zipped([("CRASH_2020.csv", 'CRN,A\n1,"x\ny, ""z"""\n')])), ("b.zip", zipped([("CRASH_2020.csv", "A,CRN\n7,2\n")])), ("c.zip", bytes(bad))]
+    lines = archives.expand_content(spark.createDataFrame([(p, bytearray(c)) for p, c in content], "path string, content binary"))
+    rows, inv, errors = archives.member_frames(lines)
+    got = sorted((r.archive, r.member, r.CRN, r.A) for r in rows.collect())
+    assert got == [("a.zip", "CRASH_2020.csv", "1", 'x\ny, "z"'), ("b.zip", "CRASH_2020.csv", "2", "7"), ("c.zip", "PERSON_2020.csv", "9", None)]
+    assert [(r.archive, r.member) for r in errors.collect()] == [("c.zip", "CRASH_2020.csv")]
+    assert inv.count() == 5
+
+
+def test_shards_are_read_without_loss(spark, tmpdir_path):
+    """Spaces, percent signs, plus signs and letters outside ASCII in paths; quoted line breaks; part files; files left out."""
+    def put(path, text):
+        os.makedirs(os.path.dirname(os.path.join(tmpdir_path, path)), exist_ok=True)
+        with open(os.path.join(tmpdir_path, path), "w", encoding="utf-8") as f:
+            f.write(text)
+
+    put("with space/CRASH_2010.csv", 'a,b\n1,"x\ny"\n2,"q ""z"""\n')
+    put("pct%20x/CRASH_2011.csv", "a,b\n1,2\n2,3\n")
+    put("ü+é/CRASH_2012.csv", "a\n1\n2\n")
+    put("br[1]{x}/CRASH_2013.csv", "a\n1\n2\n")
+    put("f/CRASH_2014.csv/part-0.csv", "a,b\n" + "1,1\n" * 3)
+    put("f/CRASH_2014.csv/part-1.csv", "a,b\n" + "".join(f"{i},7\n" for i in range(50)))
+    for name in ("CRASH_2031.csv", "CRASHX2015.csv", "other.csv"):
+        put(name, "a\n1\n")
+    files = shards.list_files(spark, tmpdir_path, "*.csv")
+    matched = shards.match_shards(files, ["CRASH"], range(2005, 2025))
+    text, _ = shards.read_text_shards(spark, matched)
+    rows = text.collect()
+    assert {y: sum(r.shard_year == y for r in rows) for y in range(2010, 2015)} == {2010: 2, 2011: 2, 2012: 2, 2013: 2, 2014: 53}
+    assert sorted(r.b for r in rows if r.shard_year == 2010) == ['q "z"', "x\ny"]
+    left_out = {r.file_name: r.reason for r in shards.quarantine(files, ["CRASH"], range(2005, 2025)).collect()}
+    assert left_out == {"CRASH_2031.csv": "year not configured", "CRASHX2015.csv": "name matches no pattern", "other.csv": "no known category"}
+    sample = shards.scan_sample(spark, [r.path for r in matched.collect()], n=10)
+    taken = [r.a for r in sample.collect() if r["_file"] == "CRASH_2014.csv"]
+    assert sorted(taken) == sorted(["1"] * 3 + [str(i) for i in range(7)])
+    from roadbook.plans.pipeline import profile_and_harmonize
+    out = profile_and_harmonize(spark, tmpdir_path, "CRASH", range(2005, 2025), sample_rows=10)
+    assert {(r.shard_year, r.rows) for r in out["column_stats"].collect() if r.column == "a"} == {(2010, 2), (2011, 2), (2012, 2), (2013, 2), (2014, 10)}
+    assert out["quarantine"].count() == 3
+
+
+def test_a_row_of_an_unlisted_file_fails(spark, tmpdir_path):
+    import pytest
+    with open(os.path.join(tmpdir_path, "CRASH_2010.csv"), "w") as f:
+        f.write("a\n1\n")
+    matched = shards.match_shards(shards.list_files(spark, tmpdir_path, "*.csv"), ["CRASH"], [2010])
+    text, _ = shards.read_text_shards(spark, matched.withColumn("path", F.regexp_replace("path", "^file:/", "file:///")))
+    with pytest.raises(Exception, match="not in the list of shards"):
+        text.collect()
+
+
+def test_checkpoint_folder_is_required_on_a_cluster(spark):
+    from types import SimpleNamespace
+
+    import pytest
+
+    from roadbook.session import checkpoint_dir
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: None),
+                              sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="local-cluster[2,1,1024]"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(cluster)
+
+
 def test_observation_pages(spark, tmpdir_path):
     page = ('{"metadata": {"resultset": {"offset": 1, "count": 3, "limit": 1000}}, "results": ['
             '{"date": "2023-01-01T00:00:00", "datatype": "TMAX", "station": "S", "attributes": ",,W,", "value": 56},'
