@@ -12,9 +12,10 @@ the fraction is rounded so that the words taken stay at the target:
   each chunk leaves at most one open document. The open ones form the next
   level's chunks, until each source has one left: a reduction tree of
   logarithmic depth whose tasks hold one chunk.
-- The last open document of a source is rounded to the nearer side. Up to
-  CLOSING documents of a source are then given or denied a copy, the best one
-  first, as long as that brings the source nearer to its target.
+- The last open document of a source is rounded to the nearer side, which
+  leaves at most half of its words as a gap. The gap is closed by documents no
+  larger than it that change sides: MANY times a random set whose expected
+  words are the gap, then ONE by one whichever fits best.
 
 Everything is a DataFrame expression. Chunks and draws come from hashes of the
 documents, so reruns and retried tasks agree; a source of any size is dealt
@@ -40,7 +41,7 @@ from pyspark.sql import functions as F
 
 from roadbook.llm.common import n_words, unit, written
 
-WEIGHTS, CAP, CHUNK, CLOSING = (5, 2, 1), 3, 64, 4
+WEIGHTS, CAP, CHUNK, MANY, ONE = (5, 2, 1), 3, 64, 3, 3
 
 
 def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, cap: float = CAP) -> DataFrame:
@@ -142,16 +143,27 @@ def copies(docs: DataFrame, weights: Sequence[float] = WEIGHTS, cap: float = CAP
         fate = fate.unionByName(r)
     fate = written(fate.select("place", "unit", "size", F.col("due").cast("int").alias("extra")), "mix-fate")
 
-    # a few documents per source may change sides where that brings the source nearer to its target
+    # documents may change sides where that brings the source nearer to its target: first a random
+    # set whose expected words are the gap, then the one that fits best
     wanted = own.select("place", (F.col("target") - F.col("whole") * F.col("source_size")).alias("wanted"))
-    for _ in range(CLOSING):
+    for turn in range(MANY + ONE):
         got = fate.groupBy("place").agg(F.sum(F.col("size") * F.col("extra")).alias("got"))
         gap = got.join(wanted, "place").select("place", (F.col("wanted") - F.col("got")).alias("gap"))
         able = fate.join(gap, "place").where(((F.col("gap") > 0) & (F.col("extra") == 0)) | ((F.col("gap") < 0) & (F.col("extra") == 1)))
-        off = F.abs(F.abs("gap") - F.col("size"))
-        change = able.where(off < F.abs("gap")).groupBy("place").agg(F.min_by("unit", F.struct(off, F.col("unit"))).alias("flip"))
-        other = F.when(F.col("unit") == F.col("flip"), 1 - F.col("extra")).otherwise(F.col("extra"))
-        fate = written(fate.join(change, "place", "left").select("place", "unit", "size", other.alias("extra")), "mix-fate")
+        other = 1 - F.col("extra")
+        if turn < MANY:
+            able = able.where(F.col("size") <= F.abs("gap"))
+            share = able.groupBy("place").agg((F.abs(F.first("gap")) / F.sum("size")).alias("share"))
+            turned = (F.col("size") <= F.abs("gap")) & (F.signum("gap") == F.signum(0.5 - F.col("extra"))) \
+                & (unit(F.col("unit"), F.lit(seed), F.lit(turn), F.lit("close")) < F.col("share"))
+            fate = fate.join(gap, "place").join(share, "place", "left").select(
+                "place", "unit", "size", F.when(F.coalesce(turned, F.lit(False)), other).otherwise(F.col("extra")).alias("extra"))
+        else:
+            off = F.abs(F.abs("gap") - F.col("size"))
+            change = able.where(off < F.abs("gap")).groupBy("place").agg(F.min_by("unit", F.struct(off, F.col("unit"))).alias("flip"))
+            fate = fate.join(change, "place", "left").select(
+                "place", "unit", "size", F.when(F.col("unit") == F.col("flip"), other).otherwise(F.col("extra")).alias("extra"))
+        fate = written(fate, "mix-fate")
     settled = fate.drop("size")
     nothing = (F.col("size") == 0) & (unit(F.col("unit"), F.lit(seed)) < F.col("due"))
     out = dealt.join(settled, ["place", "unit"], "left")

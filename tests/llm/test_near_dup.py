@@ -97,11 +97,8 @@ def test_signatures_estimate_probability_jaccard():
     for n in (6, 60, 3000):
         pool = near_dup.mixed(rng.integers(1, 1 << 62, 2 * n).astype(np.uint64))
         a, b = pool[:n], pool[n // 4: n + n // 4]
-        ca, cb = rng.integers(1, 6, n), rng.integers(1, 6, n)
+        ca, cb = (rng.integers(1, 6, n), rng.integers(1, 6, n)) if n < 3000 else (np.ones(n), np.ones(n))
         wa, wb = dict(zip(a, 1 + np.log(ca))), dict(zip(b, 1 + np.log(cb)))
-        true = sum(1 / sum(max(wa.get(j, 0) / wa[i], wb.get(j, 0) / wb[i]) for j in {*wa, *wb}) for i in set(wa) & set(wb)) if n < 3000 else None
+        true = sum(1 / sum(max(wa.get(j, 0) / wa[i], wb.get(j, 0) / wb[i]) for j in {*wa, *wb}) for i in set(wa) & set(wb)) if n < 3000 else 0.6
         same = np.mean([near_dup.signature(near_dup.mixed(a + np.uint64(s)), ca) == near_dup.signature(near_dup.mixed(b + np.uint64(s)), cb) for s in range(40)])
-        if true is None:
-            assert 0.5 < same < 0.68
-        else:
-            assert abs(same - true) < 0.04, (n, same, true)
+        assert abs(same - true) < 0.04, (n, same, true)
