@@ -27,6 +27,11 @@ def pivot_long(long_df: DataFrame, key: str = "date", type_col: str = "datatype"
     return rows.groupBy(key).pivot(type_col, types).agg(agg)
 
 
+def rename_weather(wide: DataFrame, names: dict | None = None) -> DataFrame:
+    """observation codes to column names; columns that aren't known keep theirs."""
+    return wide.withColumnsRenamed(dict(names or WEATHER_NAMES))
+
+
 def weather_daily(long_df: DataFrame, date_col: str = "date", order_col: str | None = None,
                   scale: float = TEMPERATURE_SCALE, names: dict | None = None) -> DataFrame:
     """Pivot observations by date, rename the codes, scale temperatures.
@@ -37,7 +42,7 @@ def weather_daily(long_df: DataFrame, date_col: str = "date", order_col: str | N
     names = dict(names or WEATHER_NAMES)
     wide = pivot_long(long_df.withColumn(date_col, F.to_date(date_col)), key=date_col,
                       order_col=order_col, types=list(names))
-    wide = wide.withColumnsRenamed(names)
+    wide = rename_weather(wide, names)
     scaled = {c: F.col(c).cast("double") / F.lit(float(scale)) for c in TEMPERATURE_COLUMNS if c in wide.columns}
     others = {c: F.col(c).cast("double") for c in names.values() if c in wide.columns and c not in scaled}
     return wide.withColumns({**scaled, **others})

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from roadbook.operators import dates as T
@@ -151,14 +151,24 @@ def q_weather_scale(spark, sf):
     return stages.weather_table(spark, sf)
 
 
-@register("rename_weather", O.with_(["wx_daily", "wx_raw", "weather"], "SELECT * FROM weather"))
+@register("rename_weather", O.with_(["wx_daily", "wx_raw"], """
+SELECT date, TMAX AS temp_max_c, TMIN AS temp_min_c, TAVG AS temp_avg_c, PRCP AS precipitation_mm FROM wx_raw"""))
 def q_rename_weather(spark, sf):
-    return W.weather_daily(fx.weather_long(spark, sf), order_col="obs_id", scale=10.0)
+    """F2 alone: the pivoted observations renamed, not scaled."""
+    wide = W.pivot_long(fx.weather_long(spark, sf), order_col="obs_id")
+    return W.rename_weather(wide).select("date", "temp_max_c", "temp_min_c", "temp_avg_c", "precipitation_mm")
 
 
-@register("weather_sort", O.with_(["wx_daily", "wx_raw", "weather"], "SELECT * FROM weather ORDER BY date"))
+@register("weather_sort", O.with_(["wx_daily", "wx_raw", "weather"], "SELECT date, temp_max_c, row_number() OVER (ORDER BY date) AS place FROM weather"))
 def q_weather_sort(spark, sf):
-    return stages.weather_table(spark, sf).orderBy("date")
+    """Days in date order, each with its place: the rows before it in its partition and in the partitions before."""
+    days = stages.weather_table(spark, sf).select("date", "temp_max_c").orderBy("date").withColumn("at", F.monotonically_increasing_id())
+    part, row = F.shiftrightunsigned("at", 33), F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = days.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)       # one row per partition
+    sizes = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    placed = days.withColumn("part", part).join(sizes, "part")
+    return placed.select("date", "temp_max_c", (F.col("before") + row + 1).alias("place"))
 
 
 @register("weather_join", O.with_(O.CRASH_WEATHER[:-1], """
@@ -169,12 +179,12 @@ def q_weather_join(spark, sf):
 
 
 @register("drop_temp_columns", O.with_(O.CRASH_WEATHER[:-1], """
-SELECT d.*, w.* EXCLUDE (date) FROM dated d LEFT JOIN weather w ON w.date = d.crash_date"""))
+SELECT column_name AS name FROM (DESCRIBE (
+  SELECT d.*, w.* EXCLUDE (date) FROM dated d LEFT JOIN weather w ON w.date = d.crash_date))"""))
 def q_drop_temp_columns(spark, sf):
-    dated = T.reconstruct_dates(stages.crash_geographic(spark, sf))
-    out = W.join_weather(dated, stages.weather_table(spark, sf))
-    assert "_wx_date" not in out.columns and "date" not in out.columns
-    return out
+    """the joined table's columns: no join key of the weather side is left."""
+    out = W.join_weather(T.reconstruct_dates(stages.crash_geographic(spark, sf)), stages.weather_table(spark, sf))
+    return out.limit(1).select(F.explode(F.array(*[F.lit(c) for c in out.columns])).alias("name"))
 
 
 @register("weather_match_stats", O.with_(O.CRASH_WEATHER[:-1], """
@@ -300,9 +310,11 @@ def q_geo_stats(spark, sf):
     return G.geo_stats(fx.crash(spark, sf))
 
 
-@register("filter_bbox_keep_null", O.with_(["crash", "geo_in", "geo_rounded", "geo_flagged", "geo"], "SELECT * FROM geo"))
+@register("filter_bbox_keep_null", O.with_(["crash"], f"""
+SELECT CRN, DEC_LATITUDE, DEC_LONGITUDE FROM crash WHERE DEC_LATITUDE IS NULL OR coalesce({O.BOX}, false)"""))
 def q_filter_bbox(spark, sf):
-    return stages.crash_geographic(spark, sf)
+    """F8 alone, on coordinates as they are: no coercion, rounding or flags."""
+    return G.filter_box(fx.crash(spark, sf)).select("CRN", "DEC_LATITUDE", "DEC_LONGITUDE")
 
 
 @register("geo_pipeline", O.with_(["crash", "geo_in", "geo_rounded", "geo_flagged", "geo"], "SELECT * FROM geo"))

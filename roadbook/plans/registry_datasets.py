@@ -89,9 +89,12 @@ def q_join_pedestrian_persons(spark, sf):
     return join_suffixed(c, D.filter_pedestrians(fx.person(spark, sf)), "CRN", "left", "_person")
 
 
-@register("join_roadway", O.with_(CW + ["roadway", "full_integrated"], "SELECT * FROM full_integrated"))
+@register("join_roadway", O.with_(["crash", "roadway"], """
+SELECT c.CRN, c.CRASH_YEAR, r.* EXCLUDE (CRN) FROM crash c LEFT JOIN (SELECT * FROM roadway WHERE CAST(CRN AS BIGINT) % 3 <> 0) r ON c.CRN = r.CRN"""))
 def q_join_roadway(spark, sf):
-    return join_suffixed(stages.crash_weather(spark, sf), fx.roadway(spark, sf), "CRN", "left", "_roadway")
+    """J6 alone: a third of the crashes have no roadway row and stay."""
+    roadway = fx.roadway(spark, sf).filter(F.col("CRN").cast("bigint") % 3 != 0)
+    return join_suffixed(fx.crash(spark, sf).select("CRN", "CRASH_YEAR"), roadway, "CRN", "left", "_roadway")
 
 
 @register("suffix_collisions", O.with_(["crash", "roadway"], """
