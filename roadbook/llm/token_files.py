@@ -26,7 +26,7 @@ container, so Spark's own commit protocol protects a write from lost tasks and
 any file system that Spark can write to will do.
 
 Cases: null and empty texts hold only the end id; null doc_ids sort first;
-rows that share a doc_id follow one another, ordered by their ids; an empty
+rows that share a doc_id follow one another, ordered by a hash of their ids; an empty
 table gives no block; further columns of the input are ignored.
 """
 
@@ -252,8 +252,9 @@ def write_token_files(tokens: DataFrame, folder: str, vocabulary: int) -> None:
     freq = quantised(frequencies(tokens, vocabulary))
     seen = np.flatnonzero(freq)
     spark.createDataFrame([(int(i), int(freq[i])) for i in seen], "id long, freq long").coalesce(1).write.parquet(f"{folder}/table")
-    ordered = tokens.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids")
-    ordered.mapInArrow(_encode(freq, width(vocabulary)), BLOCKS).write.option("compression", "none").parquet(f"{folder}/blocks")
+    # a doc_id that many rows share (null, say) is spread over ranges of the second key
+    ordered = tokens.withColumn("tie", F.xxhash64("ids")).repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+    ordered.drop("tie").mapInArrow(_encode(freq, width(vocabulary)), BLOCKS).write.option("compression", "none").parquet(f"{folder}/blocks")
 
 
 # ---- reading ---------------------------------------------------------------
