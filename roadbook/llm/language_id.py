@@ -76,14 +76,15 @@ def _partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _gram_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """n-gram counts of counted words."""
     for b in batches:
-        held: Counter = Counter()
+        held: dict[tuple[str, int], dict[str, int]] = {}
         for lang, word, n in zip(*(b.column(c).to_pylist() for c in ("lang", "word", "n")), strict=True):
             for size in range(1, LONGEST + 1):
+                of = held.setdefault((lang, size), {})
                 for g in grams(word, size):
-                    held[lang, size, g] += n
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in held], pa.string()), pa.array([k[1] for k in held], pa.int32()),
-             pa.array([k[2] for k in held], pa.string()), pa.array(list(held.values()), pa.int64())], ["lang", "size", "gram", "n"])
+                    of[g] = of.get(g, 0) + n
+        for (lang, size), of in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(of), pa.string()), pa.array([size] * len(of), pa.int32()),
+                                              pa.array(list(of), pa.string()), pa.array(list(of.values()), pa.int64())], ["lang", "size", "gram", "n"])
 
 
 class Model:
@@ -109,41 +110,40 @@ class Model:
             if of.any():
                 # add-half smoothing within a length
                 self.table[of] = np.log((table[of] + 0.5) / (table[of].sum(axis=0) + 0.5 * of.sum()))
-        self.memo: dict[str, np.ndarray] = {}
+        self.memo: dict[str, list[int]] = {}
 
-    def backed_off(self, word: str) -> np.ndarray:
-        """Mean over the word's places of the longest known n-gram's log frequency there; zeros if none is known."""
-        if word not in self.memo:
+    def backed_off(self, word: str) -> list[int]:
+        """At each of the word's places, the row of the longest known n-gram that starts there, if any is known."""
+        found = self.memo.get(word)
+        if found is None:
             if len(self.memo) >= MEMO:
                 self.memo.clear()
-            found = []
-            marked, at = f" {word} ", 0
-            while at < len(marked):
+            found = self.memo[word] = []
+            marked = f" {word} "
+            for at in range(len(marked)):
                 for n in range(min(LONGEST, len(marked) - at), 0, -1):
                     row = self.known[n].get(marked[at:at + n])
                     if row is not None:
                         found.append(row)
                         break
-                at += 1
-            self.memo[word] = self.table[found].mean(axis=0) if found else np.zeros(len(self.langs))
-        return self.memo[word]
+        return found
 
     def predict(self, text: str | None, sharpness: float) -> tuple[str, float]:
         counts = Counter(words(text))
         if not self.langs or not any(c.isalpha() for w in counts for c in w):
             return UNKNOWN, 0.0
-        rows, times, total = [], [], np.zeros(len(self.langs))
+        rows, times = [], []
         get = self.known[0].get
         for w, n in counts.items():
             row = get(w)
-            if row is None:
-                total += n * self.backed_off(w)
-            else:
+            if row is not None:
                 rows.append(row)
                 times.append(n)
-        if rows:
-            total += np.array(times, float) @ self.table[rows]
-        mean = total / counts.total()
+            elif found := self.backed_off(w):
+                # a word counts as often as it stands there, however many n-grams it has
+                rows += found
+                times += [n / len(found)] * len(found)
+        mean = (np.array(times, float) @ self.table[rows] if rows else np.zeros(len(self.langs))) / counts.total()
         share = np.exp(sharpness * (mean - mean.max()))
         best = int(np.argmax(mean))
         return self.langs[best], float(share[best] / share.sum())
