@@ -7,9 +7,12 @@ shingle that arrived first. Two texts agree in a register with the probability
 Jaccard similarity of their weights. Arrivals are drawn only up to the time by
 which all registers are filled (early termination).
 
-Bands of ROWS registers bring texts together; every link that is reported is
-verified by the exact Jaccard similarity of the two shingle sets. Inside a
-bucket no list of all pairs is made:
+Links are defined by the plain shingle sets, so a text with repeated shingles
+has a second signature in which each shingle weighs 1. Bands of ROWS registers
+of both bring texts together; whole signatures are compared by the second. Where
+no shingle repeats the two are one. Every link that is reported is verified by
+the exact Jaccard similarity of the two shingle sets. Inside a bucket no list of
+all pairs is made:
 
 1. Exact copies stand for one text.
 2. In each bucket the text with most bucket mates is the pivot. All others are
@@ -139,9 +142,12 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     keys.append(None)
                     sigs.append(None)
                     continue
-                sig = signature(*np.unique(found, return_counts=True))
-                keys.append(band_keys(sig).view(np.int64))
-                sigs.append(mixed(sig).astype(np.uint32).tobytes())
+                distinct, counts = np.unique(found, return_counts=True)
+                sig = plain = signature(distinct, counts)
+                if len(distinct) < len(found):
+                    plain = signature(distinct, np.ones(len(distinct)))
+                keys.append(np.union1d(band_keys(sig), band_keys(plain)).view(np.int64))
+                sigs.append(mixed(plain).astype(np.uint32).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [s.column("doc"), s.column("same"), pa.array(keys, pa.list_(pa.int64())), pa.array(sigs, pa.binary())],
                 ["doc", "same", "keys", "sig"])
@@ -231,7 +237,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
     pivots = members.join(mates, "same").groupBy("bucket").agg(F.max_by("same", F.struct("mates", "same")).alias("pivot"))
     own = written(members.join(pivots, "bucket"), "pivots")
 
-    # whole signatures leave few pairs to verify
+    # whole plain signatures leave few pairs to verify
     sig = texts.select("same", "sig")
     pairs = own.where("pivot != same").select("pivot", "same").distinct()
     both = pairs.join(sig, "same").join(sig.select(F.col("same").alias("pivot"), F.col("sig").alias("pivot_sig")), "pivot")

@@ -70,6 +70,20 @@ def test_classes_equal_brute_force(spark):
     assert len(got) == len({i for i, _ in rows if i is not None})
 
 
+def test_repeated_lines(spark):
+    """Pairs whose plain similarity is 0.8 or more, though a line stands 30 or 50 times in one of them."""
+    rng = random.Random(8)
+    texts = []
+    for k in range(80):
+        n, times = (100, 30) if k % 2 else (60, 50)
+        base, line = ([f"{c}{k}x{rng.randrange(10**6)}" for _ in range(m)] for c, m in (("w", n), ("l", 10)))
+        texts += [" ".join(base), " ".join(base + line * times)]
+    rows = list(enumerate(texts))
+    want = brute(rows)
+    assert len(set(want.values())) == 80
+    assert {r.doc: r.class_id for r in near_dup.classes(frame(spark, rows)).collect()} == want
+
+
 def test_tiles_find_what_pivots_miss(spark, monkeypatch):
     """Small blocks: the same classes from tiles of two blocks."""
     rows = corpus()
