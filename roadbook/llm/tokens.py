@@ -5,7 +5,8 @@ add_special_tokens=False)``. It reads the tokenizer's own description and
 splits texts only where its pre-tokenizer can never look across:
 
 - white space dropped by the pre-tokenizer: cut at ASCII space and line feed,
-  and around a comma or full stop that no other mark touches;
+  and around a comma or full stop that no other mark touches, unless a special
+  string occurs in any case (the library finds it before it lowers the text);
 - byte-level with a space carried by the next word: cut before each space and
   around each line feed, unless two white-space characters meet or a special string occurs;
 - anything else: the whole text goes to the library.
@@ -62,6 +63,7 @@ class ChunkEncoder:
         with open(path, encoding="utf-8") as f:
             said = json.load(f)
         self.special = [t["content"] for t in said.get("added_tokens") or []]
+        self._special_lower = [s.lower() for s in self.special]
         self.mode = _mode(said)
         self.model = self.tokenizer.model
         self.lower = self.mode == "words"
@@ -88,8 +90,11 @@ class ChunkEncoder:
         if not text:
             return ()
         if self.mode == "words":
+            lower = text.lower()
+            if any(s in lower for s in self._special_lower):
+                return (self._library(text),)
             if "\u03a3" not in text and "\u0130" not in text:
-                text = text.lower()     # the library lowers character by character; sigma and dotted I differ
+                text = lower     # the library lowers character by character; sigma and dotted I differ
             text = text.replace("\n", " ")
             if not self._run(text):     # no comma or full stop belongs to a run of marks
                 text = text.replace(", ", " , ").replace(". ", " . ")

@@ -32,6 +32,16 @@ def test_ids_property(text, name):
     assert np.frombuffer(e.encode(text), "<u4").tolist() == e.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|ENDOFTEXT|>", "<|EndOfText|>", "<|STARTOFTEXT|>", "<|startofText|>", "<|", "|>", "END", "of", "a", "B",
+                                 " ", "\n", ". ", ", ", "\u03a3", "\u0130", "\u212a"]), max_size=8).map("".join),
+       st.sampled_from(["word_bpe_49k.json", "byte_bpe_50k.json"]))
+def test_special_strings_in_any_case(text, name):
+    e = encoder(tokenizer_path(name))
+    for t in (text, f"a {text.swapcase()} b", "a <|ENDOFTEXT|> b"):
+        assert np.frombuffer(e.encode(t), "<u4").tolist() == e.tokenizer.encode(t, add_special_tokens=False).ids
+
+
 def frame(spark, texts):
     importable(spark)
     rows = [(i, t, "clash", 7) for i, t in enumerate(texts)]
