@@ -58,3 +58,27 @@ def test_edges(spark):
     assert language_id.identify(frame(spark, []), model).count() == 0
     empty = language_id.train(frame(spark, []))
     assert empty.predict("words", 5.0) == ("und", 0.0)
+
+
+def test_no_word_is_cut_by_another_languages_counts(spark):
+    """60,000 words that the large language repeats don't displace words that the small one has once."""
+    rng = random.Random(4)
+    large = " ".join(sorted({"".join(rng.choices("abcdefgh", k=9)) for _ in range(60_000)}))
+    rows = [(1, large, "en"), (2, large, "en"), (3, "abcdefgh hgfedcba", "xx")]
+    model = language_id.train(frame(spark, rows))
+    assert len(model.known[0]) == len(large.split()) + 2 and {"abcdefgh", "hgfedcba"} <= set(model.known[0])
+    asked = [(1, "hgfedcba", None), (2, "abcdefgh abcdefgh", None), (3, large[:2000], None)]
+    assert [r.lang_pred for r in sorted(language_id.identify(frame(spark, asked), model, ["doc_id"]).collect())] == ["xx", "xx", "en"]
+
+
+def test_joined_words_score_as_held_ones(spark, monkeypatch):
+    """Whatever the tasks hold, all texts get what one text gets by itself."""
+    model = language_id.train(frame(spark, corpus(60)))
+    rows = [*corpus(40, 3), (90, "kaka unknownword 日本 x½ " * 3, None), (91, "日本", None), (92, "½", None), (93, None, None), (94, "k" * 5000 + " moka", None)]
+    want = {i: model.predict(t, 5.0) for i, t, _ in rows}
+    for most in (50_000, 7, 0):
+        monkeypatch.setattr(language_id, "HEAD", most)
+        got = language_id.identify(frame(spark, rows + rows), model, ["doc_id"]).collect()
+        assert len(got) == 2 * len(rows)
+        for r in got:
+            assert r.lang_pred == want[r.doc_id][0] and abs(r.score - want[r.doc_id][1]) < 1e-6, r
