@@ -3,8 +3,9 @@
 STAGES holds (name, function); each function takes (spark, docs, sf_dir) and
 returns a DataFrame that is written and read again as the next one's docs.
 
-1. language   texts without a language (no letter, or null) go; a missing
-              label is filled in with the prediction
+1. language   texts without a letter (or null) go, and no others; a missing
+              label is filled in with the prediction ("und" where no label
+              could be learned from)
 2. near_dup   of each class of near copies (five words, 0.8 or more) the
               document with the smallest id stays
 3. secrets    secrets in the texts are masked; n_chars follows the text
@@ -39,7 +40,9 @@ def given_back(out: DataFrame, docs: DataFrame) -> DataFrame:
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     importable(spark)
     found = language_id.identify(set_aside(docs, "lang_pred", "score"), language_id.train(docs))
-    found = found.where(F.col("lang_pred") != language_id.UNKNOWN).withColumn("lang", F.coalesce("lang", "lang_pred"))
+    # a score above 0 says that a text has letters, where there is a model; a text without a known language stays
+    lettered = (F.col("score") > 0) | F.col("text").rlike(r"\p{L}")
+    found = found.where(lettered).withColumn("lang", F.coalesce("lang", "lang_pred"))
     return given_back(found, docs)
 
 

@@ -105,3 +105,13 @@ def test_empty_documents(spark):
     for name, stage in corpus_pipeline.STAGES:
         docs = written(stage(spark, docs, ""), f"test-{name}")
     assert docs.count() == 0
+
+
+def test_language_keeps_all_lettered_texts(spark):
+    """Nothing to learn from, or a label that reads 'und': only texts without a letter go."""
+    texts = ["the cat", "un chat", "123 456", "", None, "日本"]
+    for labels in ([None] * 6, [None, None, "en", "fr", "en", None], ["und", None, None, None, None, None], ["und", "fr", None, None, None, None]):
+        rows = [(i, t, lang, "a", None, 0.25, "own") for i, (t, lang) in enumerate(zip(texts, labels, strict=True))]
+        got = corpus_pipeline.language(spark, spark.createDataFrame(rows, SCHEMA), "").collect()
+        assert sorted(r.doc_id for r in got) == [0, 1, 5], labels
+        assert all(r.lang is not None and r.text == texts[r.doc_id] for r in got)
