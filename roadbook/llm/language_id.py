@@ -44,7 +44,7 @@ LONGEST = 4
 #: Words held in a task before its partial counts leave it.
 HELD = 500_000
 #: Words that every task holds; the others are joined.
-HEAD = 50_000
+HEAD = 200_000
 #: Fixed: log frequencies are counted in steps of 1 / SCALE.
 SCALE = 1 << 30
 UNKNOWN = "und"
