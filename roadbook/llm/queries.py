@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadbook.llm import language_id, mixing, near_dup, packing, quality_model, quality_rules, secret_scan, token_counts, token_files, vector_search
+from roadbook.llm import (hard_negatives, language_id, merkle_manifest, mixing, near_dup, packing, quality_model, quality_rules, secret_scan,
+                          suffix_dedup, token_counts, token_files, vector_search)
 from roadbook.llm.common import scratch, table
 from roadbook.llm.tokens import tokenizer_path
 
@@ -114,3 +115,34 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = quality_rules.learn(stats, table(spark, sf_dir, "labels"))
     out = quality_rules.judged(stats, rules)
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
+
+
+def manifest_leaves(docs: DataFrame) -> DataFrame:
+    """Leaves of documents; where 5 divides the crc32 of a doc_id, the text's A-Z are lower-cased behind the manifest's back."""
+    def leaf(text: Column) -> Column:
+        return merkle_manifest.digest(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), text)
+
+    folded = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    return docs.select(F.col("source").alias("group"), F.col("doc_id").alias("id"), leaf(F.col("text")).alias("leaf"),
+                       F.when(hit, leaf(folded)).alias("tampered"))
+
+
+@query("op11_merkle_manifest")
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proof of every document against the root of the whole table, with one document in five tampered with."""
+    out = merkle_manifest.manifest(manifest_leaves(table(spark, sf_dir)))
+    return out.select(F.col("id").alias("doc_id"), F.col("group").alias("source"), *merkle_manifest.RETURNED)
+
+
+@query("op12_hard_negatives")
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every 100th vector; every 7th vector has another label than the table says."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
+
+
+@query("op13_suffix_dedup")
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text without the 50-byte strings that a document with a smaller id has."""
+    return suffix_dedup.dedup(table(spark, sf_dir))
