@@ -50,7 +50,7 @@ from roadbook.llm.common import written
 WIDTH, K = 50, 20
 #: Strings per snippet, at most: what a mask has bits for, and what one key can cover.
 MOST = WIDTH - K + 1
-BLOCK, BUCKET, CHUNK = 16_000_000, 16_000_000, 1 << 18
+BLOCK, BUCKET, CHUNK = 16_000_000, 8_000_000, 1 << 18
 #: Snippets of a key that are sorted in one bucket.
 HOT = 20_000
 
@@ -58,15 +58,9 @@ HOT = 20_000
 # ---- keys of strings ----
 
 def words(buf: np.ndarray, kind: str) -> np.ndarray:
-    """The eight bytes from each place on as one number (``kind`` "<u8" or ">u8"); zeros follow the end."""
-    padded = np.concatenate([buf, np.zeros(16, np.uint8)])
-    out = np.empty(len(buf) + 8, np.uint64)
-    for o in range(8):
-        n = (len(padded) - o) // 8
-        part = padded[o:o + 8 * n].view(kind)
-        at = out[o::8]
-        at[:] = part[:len(at)]
-    return out[:len(buf)]
+    """A view of the eight bytes from each place on as one number (``kind`` "<u8" or ">u8"); zeros follow the end."""
+    padded = np.concatenate([buf, np.zeros(2 * WIDTH, np.uint8)])
+    return np.ndarray(len(buf) + WIDTH, kind, padded, strides=(1,))
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -89,7 +83,6 @@ def keyed(buf: np.ndarray, valid: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
             continue
         part = buf[low:min(high + WIDTH, len(buf))]
         w = words(part, "<u8")
-        w = np.concatenate([w, np.zeros(max(0, high - low + WIDTH + K - len(w)), np.uint64)])
         n = high - low + MOST - 1
         h = w[:n] * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(29)
@@ -128,13 +121,13 @@ def keyed(buf: np.ndarray, valid: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 
 def _sorted_directly(w: np.ndarray, places: np.ndarray, depth: int) -> np.ndarray:
     """``places`` by the ``depth`` bytes from them on; ``w`` has the big-endian words of all places."""
-    places = places[np.argsort(w[places])]
+    places = places[np.argsort(w[places].astype(np.uint64))]
     tied = np.arange(len(places))
     group = np.zeros(len(places), np.int64)
     for at in range(0, depth, 8):
         if not len(tied):
             break
-        word = w[np.minimum(places[tied] + at, len(w) - 1)]
+        word = w[np.minimum(places[tied] + at, len(w) - 1)].astype(np.uint64)
         if at:      # sort within the groups that the words so far leave equal
             rank = np.argsort(word)
             dense = np.empty(len(word), np.int64)
@@ -159,11 +152,13 @@ def two_stage(s: np.ndarray, wanted: np.ndarray, w: np.ndarray, depth: int = WID
         runs = np.diff(np.concatenate([[-1], change]))
         rises[:change[-1] + 1] = np.repeat(s[change] < s[change + 1], runs)
     # the order of a suffix that isn't smaller derives from its successor's, so that is wanted too
-    at = np.arange(n)
-    last_wanted = np.maximum.accumulate(np.where(wanted, at, -1))
-    last_rise = np.maximum.accumulate(np.where(rises, at, -1))
+    at = np.arange(n, dtype=np.int32)
+    none = np.int32(-1)
+    last_wanted = np.maximum.accumulate(np.where(wanted, at, none))
+    last_rise = np.maximum.accumulate(np.where(rises, at, none))
     need = wanted.copy()
     need[1:] |= last_wanted[:-1] > last_rise[:-1]
+    del at, last_wanted, last_rise
     falls = need & ~rises
     direct = _sorted_directly(w, np.flatnonzero(need & rises), depth)
     bound = np.searchsorted(s[direct], np.arange(257))
@@ -200,7 +195,7 @@ def common_prefixes(w: np.ndarray, order: np.ndarray, most: int = WIDTH) -> np.n
         a, b = order[same] + at, order[same - 1] + at
         inside = np.maximum(a, b) < len(w)
         same, a, b = same[inside], a[inside], b[inside]
-        apart = w[a] ^ w[b]
+        apart = (w[a] ^ w[b]).astype(np.uint64)
         out[same] += sum((apart < np.uint64(1) << np.uint64(8 * j)).astype(np.int64) for j in range(8))
         same = same[apart == 0]
     return np.minimum(out, most)
@@ -457,10 +452,10 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             again = [q for q in range(p, p + n) if hot[seen.setdefault(raw[q:q + WIDTH], len(seen))] < ids[d]]
             starts.append(np.array(again, np.int64))
         start = np.concatenate(starts).astype(np.int64)
-        step = np.zeros(len(raw) + 1, np.int32)
+        step = np.zeros(len(raw) + 1, np.int8)       # at most WIDTH strings cover a byte
         step[start] += 1
         step[start + WIDTH] -= 1
-        gone = np.cumsum(step[:-1]) > 0
+        gone = np.cumsum(step[:-1], dtype=np.int8) > 0
         buf = np.frombuffer(raw, np.uint8)
         removed, spans, kept = [], [], []
         for i, n in zip(begin.tolist(), sizes.tolist(), strict=True):
