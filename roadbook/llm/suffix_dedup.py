@@ -50,7 +50,9 @@ from roadbook.llm.common import written
 WIDTH, K = 50, 20
 #: Strings per snippet, at most: what a mask has bits for, and what one key can cover.
 MOST = WIDTH - K + 1
-BLOCK, BUCKET, CHUNK = 16_000_000, 8_000_000, 1 << 18
+BLOCK, BUCKET, CHUNK = 8_000_000, 8_000_000, 1 << 18
+#: Texts are written once and shuffled twice, so they are worth more compression than the rest.
+TEXT_LEVEL = 6
 #: Snippets of a key that are sorted in one bucket.
 HOT = 20_000
 
@@ -230,9 +232,9 @@ def repeats(snippets: list[bytes], docs: np.ndarray) -> tuple[np.ndarray, np.nda
 
 # ---- blocks ----
 
-def _packed(raw: bytes) -> bytes:
+def _packed(raw: bytes, level: int = 1) -> bytes:
     """Compressed bytes behind their size."""
-    return len(raw).to_bytes(8, "little") + (pa.compress(raw, codec="zstd", asbytes=True) if raw else b"")
+    return len(raw).to_bytes(8, "little") + (pa.Codec("zstd", compression_level=level).compress(raw, asbytes=True) if raw else b"")
 
 
 def _unpacked(blob: bytes | None) -> bytes:
@@ -302,7 +304,7 @@ def _blocks(size: int, buckets: int):
             filled = [k for k, t in enumerate(tags) if len(t) > 8]
             return pa.RecordBatch.from_arrays(
                 [pa.array([number], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int64())),
-                 pa.array([_packed(raw)], pa.binary()), pa.array([[{"bucket": k, "tags": tags[k]} for k in filled]], _TAGS)],
+                 pa.array([_packed(raw, TEXT_LEVEL)], pa.binary()), pa.array([[{"bucket": k, "tags": tags[k]} for k in filled]], _TAGS)],
                 ["block", "ids", "sizes", "text", "tags"])
 
         for b in batches:
