@@ -38,6 +38,8 @@ from pyspark.sql import functions as F
 from roadbook.llm.common import written
 
 BLOCK, ANCHORS, BUCKETS, SLICE = 32_768, 8_192, 256, 1_024
+#: Components are whole multiples of 1 / SCALE.
+SCALE = 256
 #: Scores of one step of a cell: anchors x rows.
 STEP = 4_000_000
 #: No score: below all.
@@ -150,7 +152,7 @@ def _negatives(k: int, low: int, scale: float, moduli: list[int]):
     return run
 
 
-def mine(vectors: DataFrame, is_anchor: Column, positives: int = 5, negatives: int = 5, low: int = 80, scale: float = 256,
+def mine(vectors: DataFrame, is_anchor: Column, positives: int = 5, negatives: int = 5, low: int = 80, scale: float = SCALE,
          vec_id: str = "vec_id", label: str | Column = "label", vector: str = "embedding") -> DataFrame:
     """(anchor_id, positive_id, rank, negative_id, positive_score, negative_score) of each anchor's best positives.
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadbook.llm import (hard_negatives, language_id, merkle_manifest, mixing, near_dup, packing, quality_model, quality_rules, secret_scan,
+from roadbook.llm import (hard_negatives, language_id, merkle_manifest, mixing, near_dup, oracle, packing, quality_model, quality_rules, secret_scan,
                           suffix_dedup, token_counts, token_files, vector_search)
 from roadbook.llm.common import scratch, table
 from roadbook.llm.tokens import tokenizer_path
@@ -128,21 +128,21 @@ def manifest_leaves(docs: DataFrame) -> DataFrame:
                        F.when(hit, leaf(folded)).alias("tampered"))
 
 
-@query("op11_merkle_manifest")
+@query("op11_merkle_manifest", oracle.MERKLE_MANIFEST)
 def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Proof of every document against the root of the whole table, with one document in five tampered with."""
     out = merkle_manifest.manifest(manifest_leaves(table(spark, sf_dir)))
     return out.select(F.col("id").alias("doc_id"), F.col("group").alias("source"), *merkle_manifest.RETURNED)
 
 
-@query("op12_hard_negatives")
+@query("op12_hard_negatives", oracle.HARD_NEGATIVES)
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard negatives of every 100th vector; every 7th vector has another label than the table says."""
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
 
 
-@query("op13_suffix_dedup")
+@query("op13_suffix_dedup", oracle.SUFFIX_DEDUP)
 def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text without the 50-byte strings that a document with a smaller id has."""
     return suffix_dedup.dedup(table(spark, sf_dir))
