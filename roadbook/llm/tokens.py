@@ -6,7 +6,8 @@ splits texts only where its pre-tokenizer can never look across:
 
 - white space dropped by the pre-tokenizer: cut at ASCII space and line feed,
   and around a comma or full stop that no other mark touches, unless a special
-  string occurs in any case (the library finds it before it lowers the text);
+  string occurs in any case (the library finds it before it lowers the text) or
+  the one letter does whose lower case ends in a mark (U+0130);
 - byte-level with a space carried by the next word: cut before each space and
   around each line feed, unless two white-space characters meet or a special string occurs;
 - anything else: the whole text goes to the library.
@@ -76,7 +77,8 @@ class ChunkEncoder:
         space = " ?" if self.mode == "byte_level" else ""
         self._simple = re.compile(f"({space}[{LETTERS}]+)([{PUNCTUATION}]*)").fullmatch
         self._two_spaces = re.compile(r"\s\s").search
-        self._run = re.compile(r"[.,](?<=(?:[^\w\s]|_).) ").search
+        # \x1c to \x1f are white space to Python only
+        self._run = re.compile(r"[.,](?<=(?:[^\w\s]|[_\x1c-\x1f]).) ").search
 
     def encode(self, text: str | None) -> bytes:
         """Ids of one text; null counts as empty."""
@@ -91,10 +93,10 @@ class ChunkEncoder:
             return ()
         if self.mode == "words":
             lower = text.lower()
-            if any(s in lower for s in self._special_lower):
+            if "\u0130" in text or any(s in lower for s in self._special_lower):
                 return (self._library(text),)
-            if "\u03a3" not in text and "\u0130" not in text:
-                text = lower     # the library lowers character by character; sigma and dotted I differ
+            if "\u03a3" not in text:
+                text = lower     # the library lowers character by character; sigma differs
             text = text.replace("\n", " ")
             if not self._run(text):     # no comma or full stop belongs to a run of marks
                 text = text.replace(", ", " , ").replace(". ", " . ")

@@ -1,5 +1,6 @@
 """Token ids, counts, files and packing against the tokenizers library."""
 
+import unicodedata
 import zlib
 
 import numpy as np
@@ -13,7 +14,11 @@ from roadbook.llm.tokens import encoder, tokenizer_path
 
 ODD = [None, "", " ", "\n", "a  b\n\n c \n d", "<|endoftext|> a<|endoftext|>b", "it's I'll don't 'S", "Ünï É É x y", "ΣΑΣ İstanbul 12 345",
        "  lead", "trail  ", "a \nb", "a\n b", "a\n \nb", "#$% foo<|startoftext|>bar", "_a_ (b) [c]", "x'y''s 's", "a., b.. c!. d", "日本語 тест ß ẞ",
-       "é. x", "_. a", "word, Word. WORD", "\x1c\x85 a b", "a" * 5000, "x " * 9000]
+       "é. x", "_. a", "word, Word. WORD", "\x1c\x85 a b", "İ, x", "İ. x", "aİ,\nx", "ß, x. İ", "e\u0301, x", "x\u0301. \u0301, y",
+       "a\x1c, b", "\x1f. x", "a" * 5000, "x " * 9000]
+#: Letters whose lower case is longer than one character, combining marks, and what may stand around them.
+LONG_LOWER = [c for c in map(chr, range(0x110000)) if len(c.lower()) > 1]
+MARKS = [c for c in map(chr, range(0x110000)) if unicodedata.category(c) in ("Mn", "Mc", "Me")]
 
 
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
@@ -42,6 +47,15 @@ def test_special_strings_in_any_case(text, name):
         assert np.frombuffer(e.encode(t), "<u4").tolist() == e.tokenizer.encode(t, add_special_tokens=False).ids
 
 
+@settings(max_examples=600, deadline=None)
+@given(st.lists(st.one_of(st.sampled_from(LONG_LOWER), st.sampled_from(MARKS), st.sampled_from(list("aIiß,.!_' \n\x1c\x1f\x85"))), max_size=12).map("".join),
+       st.sampled_from(["word_bpe_49k.json", "byte_bpe_50k.json"]))
+def test_long_lower_cases_and_marks(text, name):
+    e = encoder(tokenizer_path(name))
+    for t in (text, f"x{text}, {text}. y"):
+        assert np.frombuffer(e.encode(t), "<u4").tolist() == e.tokenizer.encode(t, add_special_tokens=False).ids
+
+
 def frame(spark, texts):
     importable(spark)
     rows = [(i, t, "clash", 7) for i, t in enumerate(texts)]
