@@ -21,8 +21,8 @@ Only text is an input of a prediction.
 Cases: ``und`` with score 0 where the text is null or has no letter, or where
 nothing could be learned; ties go to the first language by code point; words
 of any length are read whole; repeated rows get the same result; an empty table
-gives an empty result; columns of the input named like an output column are
-replaced. Rows without a label or text train nothing.
+gives an empty result; columns of the input named like an output column, in
+any case, are replaced. Rows without a label or text train nothing.
 """
 
 from __future__ import annotations
@@ -116,6 +116,30 @@ def _shares(vector: np.ndarray, total: int, sharpness: float) -> np.ndarray:
     return share / share.sum()
 
 
+class Head:
+    """Words that every task holds, kept as Arrow bytes until a worker looks one up."""
+
+    def __init__(self, rows: pa.Table, languages: int):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, rows.schema) as out:
+            out.write_table(rows)
+        self.raw, self.languages = sink.getvalue().to_pybytes(), languages
+
+    @cached_property
+    def _rows(self) -> pa.Table:
+        return pa.ipc.open_stream(self.raw).read_all()
+
+    @cached_property
+    def places(self) -> dict[str, int]:
+        return {w: i for i, w in enumerate(self._rows.column("word").to_pylist())}
+
+    @cached_property
+    def values(self) -> np.ndarray:
+        """Values by place and language."""
+        flat = self._rows.column("v").combine_chunks().flatten() if len(self._rows) else pa.array([], pa.int64())
+        return np.asarray(flat, np.int64).reshape(len(self._rows), self.languages)
+
+
 class Model:
     """Tables of all words (word, per, n) and n-grams (size, gram, per, n); ``per`` holds counts by language."""
 
@@ -139,10 +163,10 @@ class Model:
         """The value, per language, of a known word that the language lacks."""
         return [round(math.log(0.5 / d) * SCALE) for d in self.rows[0]]
 
-    def head(self, most: int) -> tuple[dict[str, int], np.ndarray]:
-        """Place by word, and values by place, of the most frequent words."""
-        rows = _most_frequent(self.words, most).select("word", self.values(F.col("per"), F.lit(0)).alias("v")).collect()
-        return {r["word"]: i for i, r in enumerate(rows)}, np.array([r["v"] for r in rows], np.int64).reshape(len(rows), len(self.langs))
+    def head(self, most: int) -> Head:
+        """The most frequent words; the driver holds them as Arrow columns only."""
+        rows = _most_frequent(self.words, most).select("word", self.values(F.col("per"), F.lit(0)).alias("v")).toArrow()
+        return Head(rows, len(self.langs))
 
     @cached_property
     def _held(self) -> tuple[list[dict], np.ndarray]:
@@ -223,8 +247,7 @@ def train(labelled: DataFrame, lang: str = "lang", text: str = "text", max_words
 def _read(head):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Per text the sums over words that the task holds, and its other words."""
-        places, table = head.value
-        get = places.get
+        get, table = head.value.places.get, head.value.values
         for b in batches:
             for at in range(0, len(b), 1024):
                 s = b.slice(at, 1024)
@@ -280,7 +303,7 @@ def _scores(asked: DataFrame, model: Model) -> DataFrame:
 
 def identify(docs: DataFrame, model: Model, keep: Sequence[str] | None = None, text: str = "text", sharpness: float = 5.0) -> DataFrame:
     """``keep`` columns (all) of ``docs`` with lang_pred and score."""
-    keep = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score")]
+    keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in ("lang_pred", "score")]
     if not model.langs:
         return docs.select(*keep, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
     digest = F.unhex(F.md5(F.coalesce(F.col(text), F.lit(""))))
@@ -288,6 +311,7 @@ def identify(docs: DataFrame, model: Model, keep: Sequence[str] | None = None, t
     texts = docs.select(F.monotonically_increasing_id().alias("row"), digest.alias("same"), F.col(text).alias("text"))
     read = written(texts.mapInArrow(_read(head), "row long, same binary, lettered boolean, total long, late long, sums array<long>, words array<string>, times array<long>"),
                    "language-read")
+    head.destroy()      # the texts are read; a retried task of a later job has no use for it
 
     each = read.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select("row", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
     scores = written(_scores(each.select("word").distinct(), model), "language-scores")
