@@ -19,7 +19,9 @@ the fraction is rounded so that the words taken stay at the target:
 
 Everything is a DataFrame expression. Chunks and draws come from hashes of the
 documents, so reruns and retried tasks agree; a source of any size is dealt
-into as many chunks as it needs.
+into as many chunks as it needs. Figures of a source meet its units by
+broadcast up to SENT_SOURCES sources; beyond, adaptive execution splits the
+join of a source that holds most of the units.
 
 Targets: sources, by code point with null last, have the weights in turn and
 share 100 % of all sizes; a target stops at ``cap`` times its source's size and
@@ -42,6 +44,8 @@ from pyspark.sql import functions as F
 from roadbook.llm.common import n_words, unit, written
 
 WEIGHTS, CAP, CHUNK, MANY, ONE = (5, 2, 1), 3, 64, 3, 3
+#: Sources whose few figures each are sent to every task instead of dealing all units by source.
+SENT_SOURCES = 100_000
 
 
 def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, cap: float = CAP) -> DataFrame:
@@ -120,7 +124,12 @@ def copies(docs: DataFrame, weights: Sequence[float] = WEIGHTS, cap: float = CAP
     due = written(due.withColumn("due", F.when(F.col("whole") >= cap, 0.0).otherwise(F.col("due"))), "mix-targets")
     # one row per source, found again by a hash because null is a source too
     own = due.withColumn("place", F.xxhash64("source")).withColumnRenamed("source", "of")
-    dealt = units.withColumn("place", F.xxhash64("source")).join(own, "place").where(F.col("source").eqNullSafe(F.col("of"))).drop("of")
+    few = due.count() <= SENT_SOURCES
+
+    def of_source(figures: DataFrame) -> DataFrame:
+        return F.broadcast(figures) if few else figures
+
+    dealt = units.withColumn("place", F.xxhash64("source")).join(of_source(own), "place").where(F.col("source").eqNullSafe(F.col("of"))).drop("of")
     mass = F.col("size") * F.col("rows")
     dealt = written(dealt, "mix-due")
     opened = dealt.where((F.col("due") > 0) & (mass > 0)).select("place", "unit", mass.alias("size"), "due")
@@ -128,7 +137,7 @@ def copies(docs: DataFrame, weights: Sequence[float] = WEIGHTS, cap: float = CAP
     rounded, level = [], 0
     while True:
         crowd = opened.groupBy("place").agg(F.count("*").alias("n"))
-        chunks = opened.join(crowd, "place").withColumn("chunk", F.pmod(F.xxhash64("unit", F.lit(seed), F.lit(level)), F.ceil(F.col("n") / CHUNK)))
+        chunks = opened.join(of_source(crowd), "place").withColumn("chunk", F.pmod(F.xxhash64("unit", F.lit(seed), F.lit(level)), F.ceil(F.col("n") / CHUNK)))
         folded = chunks.groupBy("place", "chunk").agg(F.array_sort(F.collect_list(F.struct("unit", "size", "due"))).alias("items"))
         folded = written(folded.select("place", _fold(F.col("items"), seed, level).alias("f")), "mix-level")
         rounded.append(folded.select("place", F.explode("f.done").alias("d")).select("place", "d.*"))
@@ -149,19 +158,19 @@ def copies(docs: DataFrame, weights: Sequence[float] = WEIGHTS, cap: float = CAP
     for turn in range(MANY + ONE):
         got = fate.groupBy("place").agg(F.sum(F.col("size") * F.col("extra")).alias("got"))
         gap = got.join(wanted, "place").select("place", (F.col("wanted") - F.col("got")).alias("gap"))
-        able = fate.join(gap, "place").where(((F.col("gap") > 0) & (F.col("extra") == 0)) | ((F.col("gap") < 0) & (F.col("extra") == 1)))
+        able = fate.join(of_source(gap), "place").where(((F.col("gap") > 0) & (F.col("extra") == 0)) | ((F.col("gap") < 0) & (F.col("extra") == 1)))
         other = 1 - F.col("extra")
         if turn < MANY:
             able = able.where(F.col("size") <= F.abs("gap"))
             share = able.groupBy("place").agg((F.abs(F.first("gap")) / F.sum("size")).alias("share"))
             turned = (F.col("size") <= F.abs("gap")) & (F.signum("gap") == F.signum(0.5 - F.col("extra"))) \
                 & (unit(F.col("unit"), F.lit(seed), F.lit(turn), F.lit("close")) < F.col("share"))
-            fate = fate.join(gap, "place").join(share, "place", "left").select(
+            fate = fate.join(of_source(gap), "place").join(of_source(share), "place", "left").select(
                 "place", "unit", "size", F.when(F.coalesce(turned, F.lit(False)), other).otherwise(F.col("extra")).alias("extra"))
         else:
             off = F.abs(F.abs("gap") - F.col("size"))
             change = able.where(off < F.abs("gap")).groupBy("place").agg(F.min_by("unit", F.struct(off, F.col("unit"))).alias("flip"))
-            fate = fate.join(change, "place", "left").select(
+            fate = fate.join(of_source(change), "place", "left").select(
                 "place", "unit", "size", F.when(F.col("unit") == F.col("flip"), other).otherwise(F.col("extra")).alias("extra"))
         fate = written(fate, "mix-fate")
     settled = fate.drop("size")
