@@ -7,18 +7,20 @@ letter and no base span:
 
 - The encoding is inferred: the smallest of hex, base32, base36, base62 and
   base64 that holds the run (padding aside).
-- Battery, against a uniform draw from that alphabet: chi-squared of the
+- A run takes part if ordinary writing, whose letters are uneven, hardly makes
+  it: the number of equal pairs of characters is compared with its mean and
+  variance under English letter frequencies, and its p-value, which needs
+  length to be small, must be at most WRITING_LEVEL.
+- Battery, against a uniform draw from the run's alphabet: chi-squared of the
   letters' counts (Wilson-Hilferty), runs above and below the alphabet's
-  middle, serial correlation at lag 1. The least p-value, times three, must be
-  at least BATTERY.
-- Against ordinary writing, whose letters are uneven: the number of equal
-  pairs of characters is compared with its mean and variance under English
-  letter frequencies; its p-value is small for a random value and needs
-  length to be small.
-- False-discovery control (Benjamini-Hochberg) over these p-values, by length
-  class (powers of two), so that many short runs don't loosen the level of the
-  long ones. It works on a histogram of p-values, whose size doesn't depend on
-  the data; a bin counts with its upper edge, which is the careful side.
+  middle, serial correlation at lag 1. The least p-value, times three
+  (Bonferroni), is the run's.
+- False-discovery control (Benjamini-Hochberg) over the runs' p-values, by
+  length class (powers of two), as the power of the tests grows with length: a
+  run found not to be a uniform draw is dropped, and of the runs dropped at most
+  FALSE_DISCOVERIES are expected to be random. The others are secrets. The
+  control works on a histogram of p-values, whose size doesn't depend on the
+  data; a bin counts with its upper edge.
 
 Positions are code points, ends exclusive. A run of matches is placed by
 adding up the lengths of what lies between them.
@@ -57,7 +59,7 @@ ALPHABETS = {
     "base62": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789",
     "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
 }
-BATTERY, FALSE_DISCOVERIES, BIN, BINS = 0.001, 0.01, 0.1, 400
+WRITING_LEVEL, FALSE_DISCOVERIES, BIN, BINS = 0.001, 0.01, 0.1, 400
 
 SPAN = "struct<start:bigint,place:int,end:bigint,kind:string>"
 
@@ -96,7 +98,7 @@ def normal_tail(z: Column) -> Column:
 
 
 def _judged(run: Column, start: Column) -> Column:
-    """start, end, class (of the length), bin (of the p-value against writing), battery (its least p-value times three)."""
+    """start, end, class (of the length), battery (its least p-value times three), bin (of it), writing (p-value against writing)."""
     body = F.regexp_replace(run, "=+$", "")
     encoding = (F.when(body.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"), "hex").when(body.rlike("^[A-Z2-7]+$"), "base32")
                 .when(body.rlike("^[0-9a-z]+$"), "base36").when(body.rlike("^[0-9A-Za-z]+$"), "base62").otherwise("base64"))
@@ -138,10 +140,12 @@ def _judged(run: Column, start: Column) -> Column:
         one("p_serial", 2 * normal_tail(F.abs(x["serial"] + 1 / x["n"]) * F.sqrt(x["n"]))),
         one("p_writing", normal_tail((x["n"] * (x["n"] - 1) * x["s2"] - x["equal"]) / F.sqrt(
             4 * x["n"] * (x["n"] - 1) * (x["n"] - 2) * (x["s3"] - x["s2"] * x["s2"]) + 2 * x["n"] * (x["n"] - 1) * (x["s2"] - x["s2"] * x["s2"]))))))
-    return step(tests, lambda x: F.struct(
+    combined = step(tests, lambda x: F.struct(
+        one("n", x["n"]), one("writing", x["p_writing"]), one("battery", F.least(F.lit(1.0), 3 * F.least(x["p_chi"], x["p_runs"], x["p_serial"])))))
+    return step(combined, lambda x: F.struct(
         start.alias("start"), (start + F.length(run)).alias("end"), F.floor(F.log2(x["n"])).cast("int").alias("class"),
-        F.least(F.lit(BINS), F.floor(-F.log(F.greatest(x["p_writing"], F.lit(1e-300))) / BIN)).cast("int").alias("bin"),
-        (3 * F.least(x["p_chi"], x["p_runs"], x["p_serial"])).alias("battery")))[0]
+        F.least(F.lit(BINS), F.floor(-F.log(F.greatest(x["battery"], F.lit(1e-300))) / BIN)).cast("int").alias("bin"),
+        x["battery"].alias("battery"), x["writing"].alias("writing")))[0]
 
 
 def scanned(docs: DataFrame, keep: Sequence[str], text: str = "text") -> DataFrame:
@@ -168,14 +172,14 @@ def scanned(docs: DataFrame, keep: Sequence[str], text: str = "text") -> DataFra
                     lambda x: x["run"].rlike("[0-9]") & x["run"].rlike("[A-Za-z]")
                     & ~F.exists(F.col("__base"), lambda b: (b["start"] < x["s"]["end"]) & (x["s"]["start"] < b["end"])))
     judged = F.transform(runs, lambda x: _judged(x["run"], x["s"]["start"]))
-    empty = F.array().cast("array<struct<start:bigint,end:bigint,class:int,bin:int,battery:double>>")
+    empty = F.array().cast("array<struct<start:bigint,end:bigint,class:int,bin:int,battery:double,writing:double>>")
     out = out.withColumn("__runs", F.when(F.size("__m9") > 0, judged).otherwise(empty))
     return written(out.select(*[F.col(f"`{c}`") for c in keep], "__base", "__runs"), "secret-scan")
 
 
 def thresholds(found: DataFrame) -> dict[int, int]:
-    """Least bin that counts as a discovery, by length class (at most one entry per power of two)."""
-    bins = found.select(F.explode("__runs").alias("r")).where(F.col("r.battery") >= BATTERY).groupBy("r.class", "r.bin").agg(F.count("*").alias("n"))
+    """Least bin of runs that are found not to be uniform draws, by length class (at most one entry per power of two)."""
+    bins = found.select(F.explode("__runs").alias("r")).where(F.col("r.writing") <= WRITING_LEVEL).groupBy("r.class", "r.bin").agg(F.count("*").alias("n"))
     tail = Window.partitionBy("class").orderBy(F.desc("bin"))     # at most BINS + 1 rows a class
     bins = bins.withColumns({"so_far": F.sum("n").over(tail), "all": F.sum("n").over(Window.partitionBy("class"))})
     hit = bins.where(F.exp(-F.col("bin") * BIN) <= FALSE_DISCOVERIES * F.col("so_far") / F.col("all"))
@@ -186,11 +190,15 @@ def scan(docs: DataFrame, keep: Sequence[str] | None = None, text: str = "text")
     """``keep`` columns (all) with ``spans``: array of (start, place of the kind in KINDS, end, kind), by start, then kind."""
     found = scanned(docs, docs.columns if keep is None else keep, text)
     least = thresholds(found)
-    chosen = F.array().cast(f"array<{SPAN}>")
-    if least:
-        wanted = F.create_map(*[F.lit(x) for pair in sorted(least.items()) for x in pair])
-        chosen = F.transform(F.filter("__runs", lambda r: (r["battery"] >= BATTERY) & (r["bin"] >= F.coalesce(wanted[r["class"]], F.lit(BINS + 1)))),
-                             lambda r: F.struct(r["start"].alias("start"), F.lit(3).alias("place"), r["end"].alias("end"), F.lit("random").alias("kind")))
+
+    def dropped(r: Column) -> Column:
+        hit = F.lit(False)
+        for length_class, at in sorted(least.items()):
+            hit = hit | ((r["class"] == length_class) & (r["bin"] >= at))
+        return hit
+
+    chosen = F.transform(F.filter("__runs", lambda r: (r["writing"] <= WRITING_LEVEL) & ~dropped(r)), lambda r: F.struct(
+        r["start"].alias("start"), F.lit(3).alias("place"), r["end"].alias("end"), F.lit("random").alias("kind")))
     return found.withColumn("spans", F.array_sort(F.concat("__base", chosen))).drop("__base", "__runs")
 
 
