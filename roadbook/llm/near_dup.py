@@ -219,8 +219,9 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("a").alias("id"), F.col("b").alias("root"))
 
 
-def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar: float = SIMILAR) -> DataFrame:
-    """(doc, class_id) of every id: class_id is the smallest id of its class."""
+def text_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar: float = SIMILAR) -> DataFrame:
+    """(doc, same, class_id, first) of every id and text: ``same`` is the text's digest, class_id the smallest id of its
+    class and ``first`` the digest of that id's text (the smallest, if that id has several in the class)."""
     light = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text")).where("doc is not null")
     digest = F.unhex(F.md5(F.coalesce("text", F.lit(""))))
     signed = written(light.withColumn("same", digest).mapInArrow(_sign, "doc long, same binary, keys array<bigint>, sig binary"), "signatures")
@@ -274,16 +275,29 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
     links = direct.select(F.col("pivot").alias("a"), F.col("same").alias("b")).unionByName(more)
     roots = components(links)
     roots = written(roots.unionByName(roots.select(F.col("root").alias("id"), "root")).distinct().join(stands, F.col("id") == F.col("same")), "roots")
-    least = roots.groupBy("root").agg(F.min("stand").alias("class_id"))
-    joined = roots.join(least, "root").select("same", "class_id")
-    known = worded.select("doc", "same").join(stands, "same").join(joined, "same", "left")
-    known = known.select("doc", F.coalesce("class_id", "stand").alias("class_id"))
-    alone = signed.where("keys is null").select("doc", F.col("doc").alias("class_id"))
-    return known.unionByName(alone).groupBy("doc").agg(F.min("class_id").alias("class_id"))
-
-
-def one_of_each(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """``docs`` reduced to one row per class of ``classes``; rows without an id stay."""
-    first = found.where("doc = class_id").select(F.col("doc").alias("__doc"))
-    kept = docs.join(first, F.col(doc_id).cast("long") == F.col("__doc"), "left_semi").dropDuplicates([doc_id])
-    return kept.unionByName(docs.where(F.col(doc_id).isNull()))
+    least = roots.groupBy("root").agg(F.min(F.struct("stand", "same")).alias("least"))
+    joined = roots.join(least, "root").select("same", F.col("least.stand").alias("class_id"), F.col("least.same").alias("first"))
+    known = worded.select("doc", "same").distinct().join(stands, "same").join(joined, "same", "left")
+    known = known.select("doc", "same", F.coalesce("class_id", "stand").alias("class_id"), F.coalesce("first", "same").alias("first"))
+    alone = signed.where("keys is null").select("doc", "same", F.col("doc").alias("class_id"), F.col("same").alias("first")).distinct()
+    return known.unionByName(alone)
+
+
+def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar: float = SIMILAR) -> DataFrame:
+    """(doc, class_id): the smallest id of the document's class; an id with several texts has the smallest of their classes."""
+    return text_classes(docs, doc_id, text, similar).groupBy("doc").agg(F.min("class_id").alias("class_id"))
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar: float = SIMILAR) -> DataFrame:
+    """``docs`` reduced to one row per class: the text of the class's smallest id.
+
+    Rows that share an id are judged by their texts. Rows without an id are copies only of equal texts: one of them
+    stays, unless a row with an id has the text.
+    """
+    own = docs.withColumn("__same", F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))))
+    found = written(text_classes(docs, doc_id, text, similar), "text-classes")
+    first = found.where("doc = class_id AND same = first").select(F.col("doc").alias("__doc"), F.col("same").alias("__same"))
+    kept = own.join(first, (F.col(doc_id).cast("long") == F.col("__doc")) & (own["__same"] == first["__same"]), "left_semi")
+    kept = kept.dropDuplicates([doc_id, "__same"])
+    nameless = own.where(F.col(doc_id).isNull()).join(found.select(F.col("same").alias("__same")).distinct(), "__same", "left_anti")
+    return kept.drop("__same").unionByName(nameless.dropDuplicates(["__same"]).drop("__same"))

@@ -94,10 +94,23 @@ def test_tiles_find_what_pivots_miss(spark, monkeypatch):
 def test_one_of_each(spark):
     rows = corpus()
     docs = frame(spark, rows)
-    kept = near_dup.one_of_each(docs, near_dup.classes(docs))
+    kept = near_dup.one_of_each(docs)
     want = brute(rows)
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted(i for i, c in want.items() if i == c)
-    assert kept.where("doc_id is null").count() == 1 and kept.columns == docs.columns
+    assert kept.columns == docs.columns
+
+
+def test_one_of_each_with_repeated_and_null_ids(spark):
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(40)) for x in "abcd")
+    near_a = a + " more"
+    rows = [(1, a), (1, b), (2, a), (3, near_a), (1, a), (4, "short"), (4, "other"), (4, "short"), (None, a), (None, c), (None, c), (None, "short"),
+            (5, d), (5, d + " x"), (6, d), (7, None), (7, ""), (None, None)]
+    kept = sorted(((r.doc_id, r.text) for r in near_dup.one_of_each(frame(spark, rows)).collect()), key=str)
+    fives = [r for r in kept if r[0] == 5]
+    assert len(fives) == 1 and fives[0][1] in (d, d + " x")
+    sevens = [r for r in kept if r[0] == 7]
+    assert len(sevens) == 1 and not sevens[0][1]
+    assert [r for r in kept if r[0] not in (5, 7)] == sorted([(1, a), (1, b), (4, "short"), (4, "other"), (None, c)], key=str)
 
 
 def test_nothing(spark):
