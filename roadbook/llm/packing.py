@@ -135,7 +135,8 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int | None = 2, size: int =
            doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Ids (little-endian unsigned 32-bit) of each whole text and its end id, cut at multiples of ``size``; written once."""
     light = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return written(light.mapInArrow(_cut(tokenizer, end_id, size), PIECES), "pieces")
+    # the row number, written once, deals equal pieces apart
+    return written(light.mapInArrow(_cut(tokenizer, end_id, size), PIECES).withColumn("row", F.monotonically_increasing_id()), "pieces")
 
 
 def ranked(cut: DataFrame, counts: dict[int, int]) -> DataFrame:
@@ -145,11 +146,11 @@ def ranked(cut: DataFrame, counts: dict[int, int]) -> DataFrame:
         return cut.withColumn("rank", F.lit(0).cast("long"))
     dealt = spark.createDataFrame([(n, -(-c // BUCKET)) for n, c in counts.items()], "length int, buckets long")   # at most ``size`` rows
     own = cut.join(F.broadcast(dealt), "length").withColumn(
-        "bucket", F.pmod(F.xxhash64("doc_id", "start", "doc_tokens"), F.col("buckets"))).drop("buckets")
+        "bucket", F.pmod(F.xxhash64("row"), F.col("buckets"))).drop("buckets")
     sizes = own.groupBy("length", "bucket").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select("length", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    inside = Window.partitionBy("length", "bucket").orderBy("doc_id", "start", "doc_tokens", "crc")
+    inside = Window.partitionBy("length", "bucket").orderBy("row")
     numbered = own.withColumn("within", F.row_number().over(inside) - 1)
     return numbered.join(sizes, ["length", "bucket"]).withColumn("rank", F.col("within") + F.col("before")).drop("bucket", "within", "before")
 
@@ -174,4 +175,4 @@ def pack(cut: DataFrame, size: int = SIZE, with_ids: bool = True) -> DataFrame:
         return pd.DataFrame({"sequence_id": sequence, "offset": offset})
 
     out = ranked(light, counts).withColumn("__place", place("length", "rank"))
-    return out.select("*", "__place.sequence_id", "__place.offset").drop("__place", "rank")
+    return out.select("*", "__place.sequence_id", "__place.offset").drop("__place", "rank", "row")
