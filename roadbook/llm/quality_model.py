@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadbook.llm.common import written
+from roadbook.llm.common import least_hashed, written
 from roadbook.llm.quality_rules import FEATURES, statistics
 
 MAX_LABELLED, BINS, RIDGE, ROUNDS = 50_000, 16, 1.0, 25
@@ -91,7 +91,7 @@ def classify(docs: DataFrame, labels: DataFrame, host: Column, path: Column, doc
     known = known.groupBy(F.col(doc_id).alias("__key")).agg(F.avg(F.col(label).cast("double")).alias("__label"))
     stats = statistics(light).join(known, F.col("doc_id") == F.col("__key"), "left").drop("__key")
     stats = written(stats.select("doc_id", "host", "path", "__label", *FEATURES), "quality-evidence")
-    few = stats.where(F.col("__label").isNotNull()).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled).toPandas()
+    few = least_hashed(stats.where(F.col("__label").isNotNull()), max_labelled, "doc_id").toPandas()
     if few.empty:
         half = [F.lit(0.5).alias(c) for c in ("p_text", "host_rate", "path_rate", "p_quality")]
         return stats.select("doc_id", *half, F.lit(True).alias("kept"))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadbook.llm.common import written
+from roadbook.llm.common import least_hashed, written
 
 WINDOW = 8
 #: Fixed: least number of words, and the most that may lie in repeated windows, per hundred.
@@ -167,7 +167,7 @@ def learn(stats: DataFrame, labels: DataFrame, key: str = "doc_id", label: str =
     """Rules for label 0 from rows of ``stats`` with a label, at most ``max_labelled`` of them."""
     few = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("__key"), F.col(label).alias("__label"))
     rows = stats.join(few, F.col(key) == F.col("__key")).select("__key", "__label", *FEATURES)
-    rows = rows.orderBy(F.xxhash64("__key"), "__key", "__label").limit(max_labelled).toPandas()
+    rows = least_hashed(rows, max_labelled, "__key", "__label").toPandas()
     third = np.array([zlib.crc32(str(k).encode()) % 3 == 2 for k in rows["__key"]], bool)
     return learned({f: rows[f].to_numpy() for f in FEATURES}, (rows["__label"] == 0).to_numpy(), ~third)
 

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadbook.llm.common import written
+from roadbook.llm.common import least_hashed, written
 
 MAX_FIT, MAX_TRIED, ROUNDS, BLOCK = 20_000, 200, 8, 4096
 #: Share of the true neighbours that the tried queries must find; all queries then come near it.
@@ -225,7 +225,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, centroids: int = 3
     if sizes is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     own = own.where(F.size("vector") == sizes["d"])
-    sample = own.select("vector", F.xxhash64("id").alias("h"), "id").orderBy("h", "id").limit(MAX_FIT).select("vector").toPandas()
+    sample = least_hashed(own.select("vector", "id"), MAX_FIT, "id").select("vector").toPandas()
     x = _matrix(sample["vector"])
     half = max(1, x.shape[1] // 2)
     index = Index(fitted(x[:, :half], centroids, 1), fitted(x[:, half:], centroids, 2) if x.shape[1] > half else np.zeros((1, 0)))
@@ -241,7 +241,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, centroids: int = 3
     for r in entries.groupBy("first", "second").agg(F.count("*").alias("n")).collect():    # one row per cell
         index.sizes[r["first"], r["second"]] = r["n"]
     queries = own.where("asks").select(F.col("id").alias("query_id"), "vector")
-    enough = enough_for(recall, index, entries, queries, k)
+    # never fewer than k entries besides the query's own
+    enough = max(k + 1, enough_for(recall, index, entries, queries, k))
 
     asked = -(-queries.count() // BLOCK)
     blocks = [(i, int(-(-n // BLOCK))) for i, n in enumerate(index.sizes.sum(axis=1)) if n]
