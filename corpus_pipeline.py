@@ -14,7 +14,13 @@ returns a DataFrame that is written and read again as the next one's docs.
 5. pack       token ids of the documents are packed into sequences of 4096
 
 Each stage works on what its predecessor kept. Columns of the input that a
-stage doesn't name pass through it.
+stage doesn't name pass through it, whatever their names and case; an empty
+table passes every stage.
+
+Nulls and repeats: a null text goes at the first stage. Rows that share an id
+are judged by their texts, and rows without an id are copies only of equal
+texts. Rows that agree in id, source and text are mixed as one unit, with the
+same number of copies each; a null source is a source of its own.
 """
 
 from __future__ import annotations
@@ -48,7 +54,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     importable(spark)
-    return near_dup.one_of_each(docs, near_dup.classes(docs))
+    return near_dup.one_of_each(docs)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
