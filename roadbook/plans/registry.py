@@ -179,12 +179,10 @@ def q_weather_join(spark, sf):
 
 
 @register("drop_temp_columns", O.with_(O.CRASH_WEATHER[:-1], """
-SELECT column_name AS name FROM (DESCRIBE (
-  SELECT d.*, w.* EXCLUDE (date) FROM dated d LEFT JOIN weather w ON w.date = d.crash_date))"""))
+SELECT d.*, w.* EXCLUDE (date) FROM dated d LEFT JOIN weather w ON w.date = d.crash_date"""))
 def q_drop_temp_columns(spark, sf):
-    """the joined table's columns: no join key of the weather side is left."""
-    out = W.join_weather(T.reconstruct_dates(stages.crash_geographic(spark, sf)), stages.weather_table(spark, sf))
-    return out.limit(1).select(F.explode(F.array(*[F.lit(c) for c in out.columns])).alias("name"))
+    """the joined rows; no join key of the weather side is left among their columns."""
+    return W.join_weather(T.reconstruct_dates(stages.crash_geographic(spark, sf)), stages.weather_table(spark, sf))
 
 
 @register("weather_match_stats", O.with_(O.CRASH_WEATHER[:-1], """

@@ -90,11 +90,10 @@ def q_join_pedestrian_persons(spark, sf):
 
 
 @register("join_roadway", O.with_(["crash", "roadway"], """
-SELECT c.CRN, c.CRASH_YEAR, r.* EXCLUDE (CRN) FROM crash c LEFT JOIN (SELECT * FROM roadway WHERE CAST(CRN AS BIGINT) % 3 <> 0) r ON c.CRN = r.CRN"""))
+SELECT c.CRN, c.CRASH_YEAR, r.* EXCLUDE (CRN) FROM crash c LEFT JOIN roadway r ON c.CRN = r.CRN"""))
 def q_join_roadway(spark, sf):
-    """J6 alone: a third of the crashes have no roadway row and stay."""
-    roadway = fx.roadway(spark, sf).filter(F.col("CRN").cast("bigint") % 3 != 0)
-    return join_suffixed(fx.crash(spark, sf).select("CRN", "CRASH_YEAR"), roadway, "CRN", "left", "_roadway")
+    """J6 alone, over the whole tables."""
+    return join_suffixed(fx.crash(spark, sf).select("CRN", "CRASH_YEAR"), fx.roadway(spark, sf), "CRN", "left", "_roadway")
 
 
 @register("suffix_collisions", O.with_(["crash", "roadway"], """
@@ -565,6 +564,60 @@ def q_scan_observations_json(spark, sf):
     return OB.read_observation_pages(spark, path, multi_line=False).select("date", "datatype", "station", "value")
 
 
+#: Rows per page, and which pages are torn or left out when they are landed, by request and page number.
+PAGE, TORN, LOST = 100, (11, 3), (13, 5)
+O.cte("obs_pages", f"""
+SELECT request, CAST(offset_ AS BIGINT) AS "offset", COUNT(*) AS n, any_value(total) AS total,
+       (request + offset_ // {PAGE}) % {TORN[0]} = {TORN[1]} AS torn, (request + offset_ // {PAGE}) % {LOST[0]} = {LOST[1]} AS lost
+FROM (SELECT *, (row_number() OVER (PARTITION BY request ORDER BY date, datatype) - 1) // {PAGE} * {PAGE} + 1 AS offset_,
+        COUNT(*) OVER (PARTITION BY request) AS total
+      FROM (SELECT CAST(year(date) AS INTEGER) AS request, date, datatype FROM wx_long))
+GROUP BY request, offset_
+""")
+OBS_PAGES = ["wx_daily", "wx_long", "obs_pages"]
+
+
+def _damaged_pages(spark, sf):
+    """Observation pages by request, landed with torn and lost ones among them."""
+    from roadbook.sources import observations as OB
+    path = _scratch(spark, "obs-requests")
+    pages = OB.request_pages(fx.weather_long(spark, sf), PAGE)
+
+    def hit(rule):
+        return (F.col("request") + F.expr(f"offset div {PAGE}")) % rule[0] == rule[1]
+
+    torn = F.when(hit(TORN), F.expr("left(value, length(value) - 10)")).otherwise(F.col("value"))
+    pages.filter(~hit(LOST)).select("request", torn.alias("value")).write.partitionBy("request").text(path)
+    return OB.observation_pages(spark, path, multi_line=False, request=F.col("request"))
+
+
+@register("observation_page_report", O.with_(OBS_PAGES, """
+SELECT request, MAX(total) AS total, CAST(SUM(CASE WHEN torn OR lost THEN 0 ELSE n END) AS BIGINT) AS rows,
+  COUNT(*) FILTER (WHERE NOT torn AND NOT lost) AS pages, CAST(0 AS BIGINT) AS short, COUNT(*) FILTER (WHERE torn AND NOT lost) AS torn,
+  COUNT(*) FILTER (WHERE torn OR lost) AS missing, CAST(0 AS BIGINT) AS repeated, NOT bool_or(torn OR lost) AS complete
+FROM obs_pages GROUP BY request"""))
+def q_observation_page_report(spark, sf):
+    """Rows and pages of each request against what its metadata promise."""
+    from roadbook.sources import observations as OB
+    return OB.page_report(_damaged_pages(spark, sf))
+
+
+@register("observation_missing_pages", O.with_(OBS_PAGES, """
+SELECT request, "offset", n AS due FROM obs_pages WHERE torn OR lost"""))
+def q_observation_missing_pages(spark, sf):
+    """Offsets to fetch again."""
+    from roadbook.sources import observations as OB
+    return OB.missing_pages(_damaged_pages(spark, sf))
+
+
+@register("observation_torn_pages", O.with_(OBS_PAGES, """
+SELECT request, 'not JSON' AS fault, COUNT(*) AS pages FROM obs_pages WHERE torn AND NOT lost GROUP BY request"""))
+def q_observation_torn_pages(spark, sf):
+    """The quarantine, by request and reason."""
+    from roadbook.sources import observations as OB
+    return OB.torn_pages(_damaged_pages(spark, sf)).groupBy("request", "fault").agg(F.count("*").alias("pages"))
+
+
 @register("dataset_catalog", O.with_(CW + ["person"], """
 SELECT 'crash_weather' AS dataset, COUNT(*) AS records, (SELECT COUNT(*) FROM (DESCRIBE crash_weather))::INTEGER AS fields, true AS has_size
 FROM crash_weather

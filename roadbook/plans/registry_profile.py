@@ -90,7 +90,8 @@ SELECT shard_year, "column", value, n, CAST(rank AS INTEGER) AS rank FROM (
 
 @register("profile_top_values", ORACLE_TOP)
 def q_profile_top_values(spark, sf):
-    vc = _value_counts(spark, sf)
+    # both readers of the value counts share one exchange
+    vc = P.value_counts(fx.shard_text(spark, sf), Y, fx.shard_inventory(spark, sf))
     return P.top_values(vc, P.column_stats(vc, Y), Y)
 
 
@@ -433,3 +434,52 @@ def q_unzip_shards(spark, sf):
     from roadbook.sources.archives import expand_content, member_frames
     rows, _, _ = member_frames(expand_content(_zipped_orders(spark, sf)))
     return rows.select("archive", "member", "o_orderkey", "o_custkey", "note")
+
+
+def _landed_archives(spark, sf):
+    """The folder of archives written by the executors, each with a damaged second member where 3 divides the year."""
+    import os
+
+    from roadbook.plans.registry_datasets import _scratch
+    folder = _scratch(spark, "archives")
+
+    def land(batches):
+        import io
+        import zipfile
+
+        import pandas as pd
+        from pyarrow import fs
+        for pdf in batches:
+            for name, content in zip(pdf["path"], pdf["content"], strict=True):
+                year = int(name.split("_")[1])
+                data = io.BytesIO(content)
+                with zipfile.ZipFile(data, "a") as z:
+                    z.writestr(f"NOTES_{year}.csv", "note\nfirst\nsecond\n")
+                raw = bytearray(data.getvalue())
+                if year % 3 == 0:
+                    raw[raw.index(b"second")] ^= 1
+                uri = folder if "://" in folder else f"file://{os.path.abspath(folder)}"
+                system, own = fs.FileSystem.from_uri(uri)
+                system.create_dir(own)
+                with system.open_output_stream(f"{own}/{name}") as f:
+                    f.write(bytes(raw))
+            yield pd.DataFrame({"path": pdf["path"]})
+
+    _zipped_orders(spark, sf).mapInPandas(land, "path string").count()
+    return folder
+
+
+@register("unzip_members", """
+SELECT 'orders_' || CAST(year AS VARCHAR) || '_' || CAST(chunk AS VARCHAR) || '.zip' AS archive, member,
+       CASE WHEN member LIKE 'NOTES%' AND year % 3 = 0 THEN 0 ELSE n END AS records, member LIKE 'NOTES%' AND year % 3 = 0 AS bad
+FROM (SELECT year, chunk, 'ORDERS_' || CAST(year AS VARCHAR) || '.csv' AS member, n FROM (
+        SELECT year(o_orderdate) AS year, o_orderkey // 50000 AS chunk, COUNT(*) AS n FROM orders GROUP BY ALL)
+      UNION ALL SELECT DISTINCT year(o_orderdate), o_orderkey // 50000, 'NOTES_' || CAST(year(o_orderdate) AS VARCHAR) || '.csv', 2 FROM orders)""")
+def q_unzip_members(spark, sf):
+    """S8 over landed archives, a task per member: records and faults of each member."""
+    from roadbook.sources.archives import expand_archives, member_frames
+    lines = materialize(expand_archives(spark, _landed_archives(spark, sf)), "archive-lines")
+    rows, _, errors = member_frames(lines, materialize_lines=False)
+    name = F.element_at(F.split("archive", "/"), -1).alias("archive")
+    good = rows.groupBy(name, "member").agg(F.count("*").alias("records")).withColumn("bad", F.lit(False))
+    return good.unionByName(errors.select(name, "member", F.lit(0).cast("long").alias("records"), F.lit(True).alias("bad")))

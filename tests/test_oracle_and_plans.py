@@ -50,7 +50,9 @@ def test_every_query_has_an_oracle_or_is_listed():
 #: Queries that land files or resolve types from data before their plan can be built.
 PLANS_WITH_JOBS = {"scan_category_csv", "scan_sample", "shard_discovery", "scan_observations_json", "sink_parquet", "sink_csv", "sink_json_report",
                    "sink_text_summary", "dataset_catalog", "dataset_run_summary", "harmonize_all_years", "harmonize_type_conflict",
-                   "harmonize_type_conflict_strict", "cast_to_master", "numeric_outliers", "schema_removed"}
+                   "harmonize_type_conflict_strict", "cast_to_master", "numeric_outliers", "schema_removed",
+                   # these land archives or pages, and gather their members' headers
+                   "unzip_shards", "unzip_members", "observation_page_report", "observation_missing_pages", "observation_torn_pages"}
 
 
 def test_building_a_plan_starts_no_job(spark):
