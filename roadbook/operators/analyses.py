@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadbook.constants import PEDESTRIAN_TYPE
@@ -12,6 +12,9 @@ from roadbook.functions.coords import decimal_places
 from roadbook.operators.harmonize import standardize_helmet
 from roadbook.operators.joins import join_small
 
+#: Numbers of a MinHash signature: a similarity of 0.5 shares none with probability 2 ** -64, and is estimated within 0.06 (one sigma).
+SIGNATURE = 64
+
 
 def monthly_summary(cw: DataFrame, year: str = "CRASH_YEAR", month: str = "CRASH_MONTH") -> DataFrame:
     """Crashes per (year, month) with adverse-weather share and mean temperature."""
@@ -73,6 +76,65 @@ def rename_detection(inventory: DataFrame, year_col: str = "shard_year", max_dis
             .select("old_column", "new_column", "old_last", "new_first", "distance"))
 
 
+def value_signatures(long: DataFrame, column: str = "column", value: str = "value", size: int = SIGNATURE) -> DataFrame:
+    """(column, values): MinHash signature of each column's set of values; combined before the shuffle, ``size`` numbers a column."""
+    v = F.col(value)
+    some = long.filter(v.isNotNull())
+    return some.groupBy(column).agg(F.array(*[F.min(F.xxhash64(v, F.lit(j))) for j in range(size)]).alias("values"))
+
+
+def rename_hints(inventory: DataFrame, signatures: DataFrame | None = None, year_col: str = "shard_year", max_distance: int = 2,
+                 least_similar: float = 0.5) -> DataFrame:
+    """Candidate renames by place, name and content — an old column whose last year precedes a new column's first year.
+
+    ``inventory`` has (year, column, ordinal). A pair is a candidate if, in the
+    old column's last year and the new one's first, both stand at the same
+    place (``same_place``) and one name starts with the other, or both stand
+    between the same neighbours (``same_neighbours``); if the names are within
+    ``max_distance`` edits (``distance``); or if their value sets agree: with
+    ``signatures`` (see :func:`value_signatures`) ``similarity`` estimates the
+    Jaccard similarity, and ``least_similar`` is asked of it. Every candidate
+    comes from an equi-join on the place, the neighbours, a deletion variant
+    or an equal signature number.
+    """
+    by_place = Window.partitionBy(year_col).orderBy("ordinal")      # the columns of one year's shard
+    placed = inventory.select(year_col, "column", "ordinal", F.lag("column", 1, "").over(by_place).alias("prev"),
+                              F.lead("column", 1, "").over(by_place).alias("next"))
+    at = F.struct(year_col, "ordinal", "prev", "next")
+    spans = placed.groupBy("column").agg(F.max(at).alias("last"), F.min(at).alias("first"))
+    old = spans.select(F.col("column").alias("old_column"), F.col("last").alias("o"))
+    new = spans.select(F.col("column").alias("new_column"), F.col("first").alias("n"))
+    pairs = [(F.col("o.ordinal"), F.col("n.ordinal")), (F.struct("o.prev", "o.next"), F.struct("n.prev", "n.next"))]
+    found = [old.withColumn("_k", a).join(new.withColumn("_k", b), "_k").drop("_k") for a, b in pairs]
+    found.append(old.withColumn("_k", F.explode(deletion_variants("old_column", max_distance))).join(
+        new.withColumn("_k", F.explode(deletion_variants("new_column", max_distance))), "_k").drop("_k"))
+    if signatures is not None:
+        sig_o, sig_n = (signatures.select(F.col("column").alias(f"{side}_column"), F.posexplode("values").alias("_j", "_v")) for side in ("old", "new"))
+        met = sig_o.join(sig_n, ["_j", "_v"]).select("old_column", "new_column").distinct()
+        found.append(met.join(old, "old_column").join(new, "new_column").select(*found[0].columns))
+    cand = found[0]
+    for f in found[1:]:
+        cand = cand.unionByName(f)
+    cand = cand.distinct().filter((F.col("old_column") != F.col("new_column")) & (F.col(f"o.{year_col}") < F.col(f"n.{year_col}")))
+    a, b = F.upper("old_column"), F.upper("new_column")
+    cand = cand.withColumns({
+        "distance": F.levenshtein(a, b), "same_place": F.col("o.ordinal") == F.col("n.ordinal"),
+        "same_neighbours": (F.col("o.prev") == F.col("n.prev")) & (F.col("o.next") == F.col("n.next"))})
+    cand = cand.withColumn("_begins", F.startswith(a, b) | F.startswith(b, a))
+    similar = F.lit(None).cast("double")
+    if signatures is not None:
+        own = signatures.select("column", F.col("values"))
+        cand = cand.join(own.select(F.col("column").alias("old_column"), F.col("values").alias("_ov")), "old_column", "left").join(
+            own.select(F.col("column").alias("new_column"), F.col("values").alias("_nv")), "new_column", "left")
+        similar = F.size(F.filter(F.zip_with("_ov", "_nv", lambda x, y: x == y), lambda x: x)) / F.size("_ov")
+        similar = F.when(F.col("_ov").isNotNull() & F.col("_nv").isNotNull(), similar)
+    cand = cand.withColumn("similarity", similar)
+    kept = ((F.col("same_place") & F.col("_begins")) | F.col("same_neighbours") | (F.col("distance") <= max_distance)
+            | F.coalesce(F.col("similarity") >= least_similar, F.lit(False)))
+    return cand.filter(kept).select("old_column", "new_column", F.col(f"o.{year_col}").alias("old_last"), F.col(f"n.{year_col}").alias("new_first"),
+                                    "distance", "same_place", "same_neighbours", "similarity")
+
+
 def low_precision_flag(df: DataFrame, lat: str = "DEC_LATITUDE", lon: str = "DEC_LONGITUDE",
                        min_decimals: int = 4) -> DataFrame:
     """``low_precision`` when either coordinate has fewer than ``min_decimals`` decimals."""
@@ -181,30 +243,89 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probs: list[float], b
                                  f"{group} string, p double, value double")
 
 
+def _number(c: str) -> Column:
+    """A column's values as doubles; NaN is no value."""
+    v = F.col(f"`{c}`").cast("double")
+    return F.when(~F.isnan(v), v)
+
+
+def column_quantiles(df: DataFrame, cols: list[str], probs: list[float], k: int = 8_000, margin: float = 0.002,
+                     max_collect: int = 100_000) -> DataFrame:
+    """Exact discrete quantiles of columns, (field, p, value), in two passes over the rows as they are.
+
+    The first pass sketches each column (KLL, mergeable, a few kilobytes per
+    task and column) and brackets each target by the quantiles ``margin`` below
+    and above it; with ``k`` = 8,000 the sketch is off by a quarter of that at
+    99 % confidence. The second pass counts exactly what lies below a bracket
+    and on its bounds, and collects the values strictly inside, 2 * ``margin``
+    of the column. A column with more than ``max_collect`` of them, or whose
+    target isn't in its bracket, goes to :func:`exact_quantiles`, whose memory
+    is bounded at any size.
+    """
+    spark = df.sparkSession
+    firsts = [a for i, c in enumerate(cols) for a in (F.count(_number(c)).alias(f"n{i}"), F.kll_sketch_agg_double(_number(c), k).alias(f"s{i}"))]
+    ends = [F.when(F.col(f"n{i}") > 0, F.kll_sketch_get_quantile_double(f"s{i}", F.lit(q))).alias(f"{side}{i}_{j}")
+            for i in range(len(cols)) for j, p in enumerate(probs)
+            for side, q in (("lo", max(0.0, p - margin)), ("hi", min(1.0, p + margin)))]
+    known = df.agg(*firsts).select(*[f"n{i}" for i in range(len(cols))], *ends).first()
+    found, late, counted = [], [], []
+    for i, c in enumerate(cols):
+        if known[f"n{i}"] and 2 * margin * known[f"n{i}"] > max_collect:
+            late.append(c)
+        elif known[f"n{i}"]:
+            for j in range(len(probs)):
+                v, lo, hi = _number(c), F.lit(known[f"lo{i}_{j}"]), F.lit(known[f"hi{i}_{j}"])
+                counted += [F.count_if(v < lo).alias(f"below{i}_{j}"), F.count_if(v == lo).alias(f"lo{i}_{j}"), F.count_if(v == hi).alias(f"hi{i}_{j}"),
+                            F.sort_array(F.collect_list(F.when((v > lo) & (v < hi), v))).alias(f"in{i}_{j}")]
+    exact = df.agg(*counted).first() if counted else None
+    for i, c in enumerate(cols):
+        if not known[f"n{i}"] or c in late:
+            continue
+        for j, p in enumerate(probs):
+            lo, hi = known[f"lo{i}_{j}"], known[f"hi{i}_{j}"]
+            at = max(1, math.ceil(p * known[f"n{i}"])) - exact[f"below{i}_{j}"]      # rank from the bracket's lower bound on
+            values = exact[f"in{i}_{j}"]
+            on_lo, inside, on_hi = exact[f"lo{i}_{j}"], len(values), 0 if lo == hi else exact[f"hi{i}_{j}"]
+            if 1 <= at <= on_lo:
+                found.append((c, float(p), lo))
+            elif on_lo < at <= on_lo + inside:
+                found.append((c, float(p), values[at - on_lo - 1]))
+            elif on_lo + inside < at <= on_lo + inside + on_hi:
+                found.append((c, float(p), hi))
+            elif c not in late:
+                late.append(c)
+    found = [r for r in found if r[0] not in late]
+    out = spark.createDataFrame(found, "field string, p double, value double")
+    if late:
+        entries = F.array(*[F.struct(F.lit(c).alias("field"), _number(c).alias("value")) for c in late])
+        out = out.unionByName(exact_quantiles(df.select(F.inline(entries)), "field", "value", probs, max_collect=max_collect))
+    return out
+
+
 def numeric_outliers(df: DataFrame, cols: list[str], k: float = 1.5, exact: bool = True,
                      accuracy: int = 10_000) -> DataFrame:
     """Per numeric field, quartiles, IQR fences and the number of values outside them.
 
-    ``exact=True`` uses :func:`exact_quantiles` (the ceil(p*n)-th smallest
-    value, a few bounded passes); ``exact=False`` uses one
-    ``percentile_approx`` pass (mergeable sketch, rank error at most
-    ``rows / accuracy``).
+    ``exact=True`` uses :func:`column_quantiles` (the ceil(p*n)-th smallest
+    value, two passes); ``exact=False`` uses one ``percentile_approx`` pass
+    (mergeable sketch, rank error at most ``rows / accuracy``). The outliers
+    are counted in one more pass that leaves the columns side by side.
     """
-    entries = F.array(*[F.struct(F.lit(c).alias("field"), F.col(f"`{c}`").cast("double").alias("value")) for c in cols])
-    long = df.select(F.inline(entries)).filter(F.col("value").isNotNull() & ~F.isnan("value"))
     if exact:
-        qs = exact_quantiles(long, "field", "value", [0.25, 0.75])
-        q = qs.groupBy("field").agg(F.max(F.when(F.col("p") == 0.25, F.col("value"))).alias("q1"),
-                                    F.max(F.when(F.col("p") == 0.75, F.col("value"))).alias("q3"))
+        marks = column_quantiles(df, cols, [0.25, 0.75]).collect()      # two rows per column
+        q = {c: tuple(next(r["value"] for r in marks if (r["field"], r["p"]) == (c, p)) for p in (0.25, 0.75)) for c in {r["field"] for r in marks}}
     else:
-        q = long.groupBy("field").agg(F.percentile_approx("value", [0.25, 0.75], accuracy).alias("_q"))
-        q = q.select("field", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("q3"))
-    q = q.withColumns({"iqr": F.col("q3") - F.col("q1")})
-    q = q.withColumns({"lower": F.col("q1") - F.lit(k) * F.col("iqr"), "upper": F.col("q3") + F.lit(k) * F.col("iqr")})
-    j = join_small(long, q, "field", "inner")   # one row per field
-    return j.groupBy("field", "q1", "q3", "iqr", "lower", "upper").agg(
-        F.count_if((F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper"))).alias("n_outliers"),
-        F.count(F.lit(1)).alias("n_values"))
+        row = df.agg(*[F.percentile_approx(_number(c), [0.25, 0.75], accuracy).alias(f"q{i}") for i, c in enumerate(cols)]).first()
+        q = {c: tuple(row[f"q{i}"]) for i, c in enumerate(cols) if row[f"q{i}"]}
+    fences = {c: (q1, q3, q3 - q1, q1 - k * (q3 - q1), q3 + k * (q3 - q1)) for c, (q1, q3) in sorted(q.items())}
+    if not fences:
+        return df.sparkSession.createDataFrame([], "field string, q1 double, q3 double, iqr double, lower double, upper double, n_outliers long, n_values long")
+    counted = df.agg(*[x for i, (c, f) in enumerate(fences.items()) for x in (
+        F.count_if((_number(c) < f[3]) | (_number(c) > f[4])).alias(f"o{i}"), F.count(_number(c)).alias(f"n{i}"))])
+    names = ("field", "q1", "q3", "iqr", "lower", "upper")
+    rows = [F.struct(*[F.lit(x).alias(n) for n, x in zip(names, (c, *f), strict=True)], F.col(f"o{i}").alias("n_outliers"), F.col(f"n{i}").alias("n_values"))
+            for i, (c, f) in enumerate(fences.items())]
+    return counted.select(F.inline(F.array(*rows)))
 
 
 def weekday_multi_weather(cw_dates: DataFrame, weather_by_wd: DataFrame, year: str = "CRASH_YEAR",

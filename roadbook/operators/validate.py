@@ -165,9 +165,9 @@ def val_report(df: DataFrame, per: str = "row", date_col: str = "crash_date", me
                catalog: DataFrame | None = None) -> DataFrame:
     """All report sections as (section, metric, value) text rows.
 
-    The sections of V1, V2-V4, V6, V7 and V9 are one pass over ``df``, and so
-    is the number of crashes on each day of the month, whose five most common
-    are listed. ``per="crash"`` counts each crash once. ``metadata`` (stated
+    The sections of V1, V2-V4, V6, V7 and V9 are one pass over ``df``. The five
+    most common days of the month come from a count per day, which reads
+    nothing but the date. ``per="crash"`` counts each crash once. ``metadata`` (stated
     facts such as the coordinate system) and ``catalog`` (the output files,
     see ``dataset_catalog``) are added as sections; the fields are always
     listed.
@@ -180,20 +180,18 @@ def val_report(df: DataFrame, per: str = "row", date_col: str = "crash_date", me
         "weather_integration": weather_section("s4_"),
         "data_quality": completeness_overall_section(base.columns, "s5_"),
     }
-    days = [F.count_if(F.dayofmonth(date_col) == d).alias(f"_day{d}") for d in range(1, 32)]
-    row = base.agg(*[a for aggs, _ in sections.values() for a in aggs], *days)
-    by_day = F.array(*[F.struct((-F.col(f"_day{d}")).alias("less"), F.lit(d).alias("day")) for d in range(1, 32)])
-    top = F.transform(F.slice(F.filter(F.array_sort(by_day), lambda x: x["less"] < 0), 1, 5), lambda x: F.struct(
-        F.lit("most_common_days").alias("section"), F.concat(F.lit("day_"), x["day"].cast("string")).alias("metric"),
-        (-x["less"]).cast("string").alias("value")))
-    wide = row.select(*[e.alias(f"{name}.{i}") for name, (_, fin) in sections.items() for i, e in enumerate(fin)], top.alias("_top"))
+    row = base.agg(*[a for aggs, _ in sections.values() for a in aggs])
+    days = base.filter(F.col(date_col).isNotNull()).groupBy(F.dayofmonth(date_col).alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    top = days.orderBy(F.desc("n"), "day").limit(5).select(
+        F.lit("most_common_days").alias("section"), F.concat(F.lit("day_"), F.col("day").cast("string")).alias("metric"), F.col("n").cast("string").alias("value"))
+    wide = row.select(*[e.alias(f"{name}.{i}") for name, (_, fin) in sections.items() for i, e in enumerate(fin)])
     names = {name: row.select(*fin).columns for name, (_, fin) in sections.items()}
     entries = [F.struct(F.lit(name).alias("section"), F.lit(metric).alias("metric"),
                         F.col(f"`{name}.{i}`").cast("string").alias("value"))
                for name, metrics in names.items() for i, metric in enumerate(metrics)]
     stated = [("fields", c, t) for c, t in base.dtypes] + [("metadata", k, v) for k, v in (metadata or {}).items()]
     facts = [F.struct(F.lit(a).alias("section"), F.lit(b).alias("metric"), F.lit(c).alias("value")) for a, b, c in stated]
-    out = wide.select(F.inline(F.concat(F.array(*entries, *facts), F.col("_top"))))
+    out = wide.select(F.inline(F.array(*entries, *facts))).unionByName(top)
     if catalog is not None:
         sizes = F.concat_ws(" ", F.col("records").cast("string"), F.lit("records,"), F.col("fields").cast("string"), F.lit("fields"))
         out = out.unionByName(catalog.select(F.lit("output_files").alias("section"), F.col("dataset").alias("metric"), sizes.alias("value")))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
 from roadbook.operators import analyses as X
 from roadbook.operators import dates as T
 from roadbook.operators import weather as W
@@ -43,7 +46,6 @@ SELECT a.col AS old_column, b.col AS new_column, a.last_year AS old_last, b.firs
 FROM spans a, spans b
 WHERE a.col <> b.col AND a.last_year < b.first_year AND levenshtein(upper(a.col), upper(b.col)) <= 2""")
 def q_rename_detection(spark, sf):
-    from pyspark.sql import functions as F
     inv = fx.shard_inventory(spark, sf)
     years = inv.select("shard_year").distinct()
     extra = (years.filter(F.col("shard_year") <= 1996).select("shard_year", F.lit("o_order_priority").alias("column"))
@@ -51,6 +53,38 @@ def q_rename_detection(spark, sf):
     return X.rename_detection(inv.unionByName(extra))
 
 
+O.cte("drifting", """
+SELECT y.shard_year, c.name AS col, row_number() OVER (PARTITION BY y.shard_year ORDER BY c.place) - 1 AS ordinal
+FROM (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS shard_year FROM orders) y,
+  (VALUES ('CRN', 0, 0, 9999), ('DEC_LAT', 1, 0, 1995), ('DEC_LATITUDE', 1, 1996, 9999), ('DEC_LONG', 2, 0, 1995), ('DEC_LONGITUDE', 2, 1996, 9999),
+          ('COUNTY', 3, 0, 9999), ('SEV', 4, 0, 1994), ('INJURY_LEVEL', 4, 1995, 9999), ('HOUR', 5, 0, 9999), ('LANE_CNT', 6, 0, 1996),
+          ('NOTE', 6.5, 1997, 9999), ('LANE_COUNT', 7, 1997, 9999)) c(name, place, since, until)
+WHERE y.shard_year BETWEEN c.since AND c.until""")
+
+
+@register("rename_hints", O.with_(["drifting"], """,
+placed AS (SELECT *, lag(col, 1, '') OVER w AS prev, lead(col, 1, '') OVER w AS next FROM drifting WINDOW w AS (PARTITION BY shard_year ORDER BY ordinal)),
+o AS (SELECT * FROM placed QUALIFY row_number() OVER (PARTITION BY col ORDER BY shard_year DESC) = 1),
+n AS (SELECT * FROM placed QUALIFY row_number() OVER (PARTITION BY col ORDER BY shard_year) = 1)
+SELECT o.col AS old_column, n.col AS new_column, o.shard_year AS old_last, n.shard_year AS new_first,
+  CAST(levenshtein(upper(o.col), upper(n.col)) AS INTEGER) AS distance, o.ordinal = n.ordinal AS same_place,
+  o.prev = n.prev AND o.next = n.next AS same_neighbours
+FROM o, n WHERE o.col <> n.col AND o.shard_year < n.shard_year
+  AND (levenshtein(upper(o.col), upper(n.col)) <= 2 OR (o.prev = n.prev AND o.next = n.next)
+       OR (o.ordinal = n.ordinal AND (starts_with(upper(o.col), upper(n.col)) OR starts_with(upper(n.col), upper(o.col)))))"""))
+def q_rename_hints(spark, sf):
+    """X3 by place and name: pairs of coordinate columns renamed at once, a renamed column between the same neighbours, a moved one."""
+    years = fx.shard_inventory(spark, sf).select("shard_year").distinct()
+    names = [("CRN", 0.0, 0, 9999), ("DEC_LAT", 1.0, 0, 1995), ("DEC_LATITUDE", 1.0, 1996, 9999), ("DEC_LONG", 2.0, 0, 1995), ("DEC_LONGITUDE", 2.0, 1996, 9999),
+             ("COUNTY", 3.0, 0, 9999), ("SEV", 4.0, 0, 1994), ("INJURY_LEVEL", 4.0, 1995, 9999), ("HOUR", 5.0, 0, 9999), ("LANE_CNT", 6.0, 0, 1996),
+             ("NOTE", 6.5, 1997, 9999), ("LANE_COUNT", 7.0, 1997, 9999)]
+    listed = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(at).alias("at"), F.lit(a).alias("since"), F.lit(b).alias("until")) for c, at, a, b in names])
+    drifting = years.select("shard_year", F.inline(listed)).filter(F.col("shard_year").between(F.col("since"), F.col("until")))
+    order = Window.partitionBy("shard_year").orderBy("at")
+    inv = drifting.select("shard_year", "column", (F.row_number().over(order) - 1).alias("ordinal"))
+    return X.rename_hints(inv).drop("similarity")
+
+
 @register("low_precision_flag", O.with_(CW, f"""
 SELECT CRN, coalesce(({{lp}} < 4) OR ({{op}} < 4), false) AS low_precision FROM crash_weather"""
     .replace("{lp}", "CASE WHEN DEC_LATITUDE IS NULL THEN NULL WHEN contains(CAST(DEC_LATITUDE AS VARCHAR), '.') THEN length(split_part(CAST(DEC_LATITUDE AS VARCHAR), '.', -1)) ELSE 0 END")
@@ -99,7 +133,6 @@ SELECT d.CRN, d.CRASH_YEAR, d.CRASH_MONTH, d.DAY_OF_WEEK, round(w.temp_avg_c_wda
        round(w.precipitation_mm_wdavg, 6) AS precipitation_mm_wdavg, w.wx_days_wdavg
 FROM crash_dated_all d LEFT JOIN wx_wd w USING (CRASH_YEAR, CRASH_MONTH, DAY_OF_WEEK)"""))
 def q_weekday_multi_weather(spark, sf):
-    from pyspark.sql import functions as F
     wx = stages.weather_table(spark, sf).select("date", "temp_avg_c", "precipitation_mm")
     dated = T.reconstruct_dates(fx.crash(spark, sf))
     out = X.weekday_multi_weather(dated, W.weather_by_weekday(wx))

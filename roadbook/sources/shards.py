@@ -138,24 +138,75 @@ def _shard_of(path: str) -> str:
     return "/".join(parts[:-1]) if len(parts) > 1 and parts[-2].lower().endswith(".csv") else path
 
 
-def _by_header(spark: SparkSession, shards: dict) -> dict[tuple[str, ...], list]:
-    """Shard keys by header: the first line of one file per shard, read in jobs that are submitted together."""
-    items = sorted(shards.items())
+def _names(line: str) -> list[str]:
+    """Column names of a header line; a name that comes twice gets its position, as Spark's own reader does it."""
+    names = next(csv.reader([line.removeprefix("\ufeff")]), [])
+    return [f"{c}{i}" if names.count(c) > 1 or not c else c for i, c in enumerate(names)]
+
+
+def _first_lines(batches):
+    """(path, line): the first line of each file, read by the task; a null line where the task can't open the store."""
+    import io
+
+    import pandas as pd
+    import pyarrow as pa
+    from pyarrow import fs
+
+    for pdf in batches:
+        lines = []
+        for path in pdf["path"]:
+            uri = "file://" + path[5:] if path.startswith("file:/") and not path.startswith("file://") else path
+            try:
+                system, own = fs.FileSystem.from_uri(uri)
+            except (pa.ArrowInvalid, OSError, ImportError):
+                lines.append(None)
+                continue
+            with system.open_input_stream(own) as f:        # inflates by the file's ending
+                lines.append(io.TextIOWrapper(io.BufferedReader(f), encoding="utf-8", errors="replace", newline="").readline().rstrip("\r\n"))
+        yield pd.DataFrame({"path": pdf["path"], "line": pd.Series(lines, dtype=object)})
+
+
+def header_lines(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """First line by path: one job whose tasks read the beginning of each file, however many files there are.
+
+    Files in a store that tasks can't open by themselves are read by Spark's
+    text source, one small job each, 16 at a time.
+    """
+    if not paths:
+        return {}
+    tasks = min(len(paths), 8 * spark.sparkContext.defaultParallelism)
+    files = spark.createDataFrame([(p,) for p in sorted(paths)], "path string").repartition(tasks)
+    found = {r["path"]: r["line"] for r in files.mapInPandas(_first_lines, "path string, line string").collect()}     # one line per file
+    late = [p for p, line in found.items() if line is None]
+
+    def first(path):
+        row = spark.read.text(_glob_free(path)).first()
+        return row[0] if row else ""
+
+    with ThreadPoolExecutor(max_workers=max(1, min(16, len(late)))) as pool:
+        found.update(zip(late, pool.map(first, late), strict=True))
+    return found
 
-    def header(item):
-        line = spark.read.text(_glob_free(sorted(item[1])[0])).first()
-        names = next(csv.reader([line[0].removeprefix("\ufeff")])) if line else []
-        # a name that comes twice gets its position, as Spark's own reader does it
-        return tuple(f"{c}{i}" if names.count(c) > 1 or not c else c for i, c in enumerate(names))
 
+def _by_header(spark: SparkSession, shards: dict) -> dict[tuple[str, ...], list]:
+    """Shard keys by header: the first line of one file per shard."""
+    firsts = {key: sorted(paths)[0] for key, paths in sorted(shards.items())}
+    lines = header_lines(spark, list(firsts.values()))
     out: dict[tuple[str, ...], list] = {}
-    with ThreadPoolExecutor(max_workers=max(1, min(16, len(items)))) as pool:
-        for (key, _), cols in zip(items, pool.map(header, items), strict=True):
-            if cols:
-                out.setdefault(cols, []).append(key)
+    for key, path in firsts.items():
+        if cols := tuple(_names(lines[path])):
+            out.setdefault(cols, []).append(key)
     return out
 
 
+def header_inventory(spark: SparkSession, shard_files: DataFrame, year_col: str = "shard_year") -> DataFrame:
+    """(year, column, ordinal) of matched shard files: which columns stand where (X3); no data row is read."""
+    files = shard_files.groupBy("file_name", "year").agg(F.min("path").alias("path")).collect()      # one row per shard
+    lines = header_lines(spark, [r["path"] for r in files])
+    rows = {(int(r["year"]), c, i) for r in files for i, c in enumerate(_names(lines[r["path"]]))}
+    return spark.createDataFrame(sorted(rows), f"{year_col} int, column string, ordinal int")
+
+
 def read_text_shards(spark: SparkSession, shard_files: DataFrame, year_col: str = "shard_year",
                      null_tokens=tuple(NULL_TOKENS), multi_line: bool = True) -> tuple[DataFrame, DataFrame]:
     """Read matched shard files as text; returns (rows with ``shard_year``, inventory).
