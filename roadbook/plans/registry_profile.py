@@ -438,8 +438,6 @@ def q_unzip_shards(spark, sf):
 
 def _landed_archives(spark, sf):
     """The folder of archives written by the executors, each with a damaged second member where 3 divides the year."""
-    import os
-
     from roadbook.plans.registry_datasets import _scratch
     folder = _scratch(spark, "archives")
 
@@ -448,7 +446,8 @@ def _landed_archives(spark, sf):
         import zipfile
 
         import pandas as pd
-        from pyarrow import fs
+
+        from roadbook.sources.stores import located
         for pdf in batches:
             for name, content in zip(pdf["path"], pdf["content"], strict=True):
                 year = int(name.split("_")[1])
@@ -458,8 +457,7 @@ def _landed_archives(spark, sf):
                 raw = bytearray(data.getvalue())
                 if year % 3 == 0:
                     raw[raw.index(b"second")] ^= 1
-                uri = folder if "://" in folder else f"file://{os.path.abspath(folder)}"
-                system, own = fs.FileSystem.from_uri(uri)
+                system, own = located(folder)
                 system.create_dir(own)
                 with system.open_output_stream(f"{own}/{name}") as f:
                     f.write(bytes(raw))

@@ -25,6 +25,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadbook.sources.stores import located
+
 LINES_SCHEMA = "archive string, member string, line_no long, line string, error string"
 INDEX_SCHEMA = ("archive string, member string, header_offset long, compressed long, size long, method int, crc long, flags int, "
                 "error string")
@@ -77,10 +79,7 @@ def expand_content(archives: DataFrame) -> DataFrame:
 
 def opened(path: str):
     """A file of any supported store, for ranged reads."""
-    from pyarrow import fs
-
-    uri = "file://" + path[5:] if path.startswith("file:/") and not path.startswith("file://") else path
-    system, own = fs.FileSystem.from_uri(uri)
+    system, own = located(path)
     return system.open_input_file(own)
 
 

@@ -150,14 +150,14 @@ def _first_lines(batches):
 
     import pandas as pd
     import pyarrow as pa
-    from pyarrow import fs
+
+    from roadbook.sources.stores import located
 
     for pdf in batches:
         lines = []
         for path in pdf["path"]:
-            uri = "file://" + path[5:] if path.startswith("file:/") and not path.startswith("file://") else path
             try:
-                system, own = fs.FileSystem.from_uri(uri)
+                system, own = located(path)
             except (pa.ArrowInvalid, OSError, ImportError):
                 lines.append(None)
                 continue
