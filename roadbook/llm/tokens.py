@@ -32,6 +32,8 @@ MEMO = 250_000
 #: Fixed: Latin letters (without U+0130, whose lower case is two characters) and ASCII punctuation that
 #: starts neither a contraction (') nor a special string (<).
 LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
+#: Fixed: characters that are white space to Python and marks to the library.
+CONTROLS = "\x1c\x1d\x1e\x1f"
 PUNCTUATION = r"""!"#$%&()*+,\-./:;=>?@\[\\\]^_`{|}~"""
 
 
@@ -77,8 +79,7 @@ class ChunkEncoder:
         space = " ?" if self.mode == "byte_level" else ""
         self._simple = re.compile(f"({space}[{LETTERS}]+)([{PUNCTUATION}]*)").fullmatch
         self._two_spaces = re.compile(r"\s\s").search
-        # \x1c to \x1f are white space to Python only
-        self._run = re.compile(r"[.,](?<=(?:[^\w\s]|[_\x1c-\x1f]).) ").search
+        self._run = re.compile(r"[.,](?<=[^\w\s].) ").search
 
     def encode(self, text: str | None) -> bytes:
         """Ids of one text; null counts as empty."""
@@ -98,7 +99,8 @@ class ChunkEncoder:
             if "\u03a3" not in text:
                 text = lower     # the library lowers character by character; sigma differs
             text = text.replace("\n", " ")
-            if not self._run(text):     # no comma or full stop belongs to a run of marks
+            # no comma or full stop belongs to a run of marks; some marks are letters or white space to Python
+            if not (self._run(text) or "_, " in text or "_. " in text or any(c in text for c in CONTROLS)):
                 text = text.replace(", ", " , ").replace(". ", " . ")
             return map(self._chunks.__getitem__, text.split(" "))
         if self.mode == "byte_level" and not self._two_spaces(text) and not any(s in text for s in self.special):
