@@ -61,6 +61,12 @@ def harmonize_text_shards(df: DataFrame, inventory: DataFrame, year_col: str = "
     evidence = type_evidence(df, year_col, inventory)
     types = target_types(inventory_types(inventory, evidence, year_col), pandas_dtypes)
     decided = {r["column"]: r["target_type"] for r in types.collect()}   # one row per column
+    return cast_text_shards(df, decided, year_col, processing_date, year_out)
+
+
+def cast_text_shards(df: DataFrame, decided: dict[str, str], year_col: str = "shard_year",
+                     processing_date: str | None = None, year_out: str = "DATA_YEAR") -> DataFrame:
+    """Text shards cast to types that are decided already (columns without one stay text), with lineage, sorted."""
     cols = sorted(c for c in df.columns if c != year_col)
     out = df.select(F.col(year_col).cast("int").alias(year_out),
                     *[_cast_text(c, decided.get(c, "string")) for c in cols])

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from roadbook.operators import harmonize as H
 from roadbook.operators import profile as P
+from roadbook.operators import sketches as K
 from roadbook.plans import fixtures as fx
 from roadbook.plans import oracle as O
 from roadbook.plans.registry import register
@@ -223,6 +224,57 @@ def q_harmonize_all_years(spark, sf):
     return h.drop("PROCESSING_DATE")
 
 
+LATE = 1996       # the year whose shard gets late rows after the first run
+O.cte("shard_late", f"SELECT * FROM shard_text UNION ALL SELECT * REPLACE ('late' AS o_orderstatus) FROM shard_text WHERE shard_year = {LATE}")
+
+
+@register("harmonize_changed_years", O.with_(["shard_text", "shard_late"], f"""
+SELECT *, CASE WHEN DATA_YEAR = {LATE} THEN 'run-2' ELSE 'run-1' END AS PROCESSING_DATE
+FROM ({HARMONIZED.replace("FROM shard_text)", "FROM shard_late)")})"""))
+def q_harmonize_changed_years(spark, sf):
+    """Three runs over landed shards: all years, late rows of one year, nothing new."""
+    from roadbook.plans.registry_datasets import _scratch
+    from roadbook.sources import increments as I
+    root, years = _landed_shards(spark, sf)
+    out = _scratch(spark, "harmonized")
+    I.harmonize_changed(spark, root, "ORDERS", out, years, processing_date="run-1")
+    columns = [c for c in SHARD_COLS if c != "o_orderpriority"]         # of that year, as landed
+    late = fx.shard_text(spark, sf).filter(F.col(Y) == LATE).withColumn("o_orderstatus", F.lit("late")).select(*columns)
+    late.write.mode("append").option("header", True).option("escape", '"').csv(f"{root}/ORDERS_{LATE}.csv")
+    for day in ("run-2", "run-3"):
+        I.harmonize_changed(spark, root, "ORDERS", out, years, processing_date=day)
+    return I.read_harmonized(spark, out)
+
+
+def _all_years(spark, sf):
+    """One row of sketches per column from stored rows per shard and column."""
+    stored = materialize(K.shard_sketches(fx.shard_text(spark, sf), Y, fx.shard_inventory(spark, sf)), "sketches", partition_by=[Y])
+    return K.merged(stored, ["column"])
+
+
+O.cte("column_vc", 'SELECT "column", value, CAST(SUM(n) AS BIGINT) AS n FROM shard_vc GROUP BY ALL')
+O.cte("column_stats0", O.CTES["shard_stats0"].replace("shard_year, ", "").replace("shard_vc", "column_vc"))
+O.cte("column_stats", O.CTES["shard_stats"].replace("shard_year, ", "").replace("shard_stats0", "column_stats0"))
+ALL_YEARS = PROFILE[:4] + ["column_vc", "column_stats0", "column_stats"]
+
+
+@register("profile_all_years", O.with_(ALL_YEARS, """
+SELECT "column", rows, null_count, null_pct, CASE WHEN distinct_count < 20 THEN distinct_count END AS few_values, dtype, logical_type,
+       CASE WHEN dtype <> 'object' THEN _min END AS min, CASE WHEN dtype <> 'object' THEN _max END AS max FROM column_stats"""))
+def q_profile_all_years(spark, sf):
+    few = F.when(F.col("distinct_exact"), F.col("distinct_count")).alias("few_values")
+    return K.figures(_all_years(spark, sf)).select("column", "rows", "null_count", "null_pct", few, "dtype", "logical_type", "min", "max")
+
+
+@register("profile_top_values_all_years", O.with_(ALL_YEARS, """
+SELECT "column", value, n, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT v.*, row_number() OVER (PARTITION BY v."column" ORDER BY v.n DESC, v.value ASC) AS rank
+  FROM column_vc v JOIN column_stats s ON v."column" = s."column"
+  WHERE s.distinct_count < 20 AND v.value IS NOT NULL) WHERE rank <= 10"""))
+def q_profile_top_values_all_years(spark, sf):
+    return K.top_values(_all_years(spark, sf))
+
+
 @register("add_lineage", O.with_(["crash"], "SELECT CRN, 2024 AS DATA_YEAR, '2024-05-06T07:08:09' AS PROCESSING_DATE FROM crash"))
 def q_add_lineage(spark, sf):
     return H.add_lineage(fx.crash(spark, sf).select("CRN"), year=2024, processing_date="2024-05-06T07:08:09")

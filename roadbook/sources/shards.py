@@ -22,7 +22,7 @@ FILE_PATTERNS = ["{category}_PHILADELPHIA_{year}.csv", "{category}_{year}.csv",
 
 
 def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
-    """(path, file_name, length) of files under ``root`` matching ``glob``.
+    """(path, file_name, length, modified) of files under ``root`` matching ``glob``.
 
     A shard may be a single file or a folder of part files written by Spark
     and named like the file (``CRASH_2020.csv/part-*.csv``); ``file_name``
@@ -33,7 +33,7 @@ def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     parts = F.split("path", "/")
     own, parent = F.element_at(parts, -1), F.element_at(parts, -2)
     name = F.when(F.lower(parent).endswith(".csv"), parent).otherwise(own)
-    return df.select("path", name.alias("file_name"), "length")
+    return df.select("path", name.alias("file_name"), "length", F.col("modificationTime").alias("modified"))
 
 
 def year_from_name(name: Column | str, start: int = START_YEAR, end: int = END_YEAR) -> Column:

@@ -6,18 +6,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "overwrite") -> None:
+def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "overwrite",
+                  only_partitions: bool = False) -> None:
     """K1: stage output as Parquet (partitioned by year for the big tables).
 
     A partitioned write goes through a ``REBALANCE`` on the partition
     columns: adaptive execution then splits a skewed year (a year with a
     third of the rows gets many writer tasks) and merges small ones, so the
     output has few, evenly sized files per year instead of one file per task
-    and year.
+    and year. ``only_partitions`` replaces the partitions that ``df`` has rows
+    of and leaves the others as they are.
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     w = df.write.mode(mode)
+    if only_partitions:
+        w = w.option("partitionOverwriteMode", "dynamic")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

@@ -25,7 +25,8 @@ def _norm(v):
 
 
 KEYS = ["weather_pipeline", "geo_stats", "cyclist_focused", "pedestrian_focused", "full_integrated", "vehicle_summary",
-        "profile_dtype", "harmonize_all_years", "qc_checks", "val_completeness", "numeric_outliers", "rename_detection",
+        "profile_dtype", "harmonize_all_years", "qc_checks", "val_completeness", "numeric_outliers", "rename_detection", "harmonize_changed_years",
+        "profile_all_years", "profile_top_values_all_years",
         "schema_issues", "weekday_multi_weather", "date_rowwise"]
 
 
@@ -51,6 +52,8 @@ def test_every_query_has_an_oracle_or_is_listed():
 PLANS_WITH_JOBS = {"scan_category_csv", "scan_sample", "shard_discovery", "scan_observations_json", "sink_parquet", "sink_csv", "sink_json_report",
                    "sink_text_summary", "dataset_catalog", "dataset_run_summary", "harmonize_all_years", "harmonize_type_conflict",
                    "harmonize_type_conflict_strict", "cast_to_master", "numeric_outliers", "schema_removed",
+                   # these run or store over several years first
+                   "harmonize_changed_years", "profile_all_years", "profile_top_values_all_years",
                    # these land archives or pages, and gather their members' headers
                    "unzip_shards", "unzip_members", "observation_page_report", "observation_missing_pages", "observation_torn_pages"}
 
