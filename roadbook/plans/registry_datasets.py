@@ -11,7 +11,7 @@ from roadbook.operators.joins import join_suffixed
 from roadbook.plans import fixtures as fx
 from roadbook.plans import oracle as O
 from roadbook.plans import stages
-from roadbook.plans.registry import register
+from roadbook.plans.registry import ORACLE, register
 from roadbook.session import materialize
 
 CW = O.CRASH_WEATHER
@@ -415,6 +415,15 @@ def q_val_completeness(spark, sf):
     return V.val_completeness(stages.full(spark, sf))
 
 
+@register("val_completeness_footers", ORACLE["val_completeness"])
+def q_val_completeness_footers(spark, sf):
+    """V8 of the written dataset: no data page is read."""
+    from roadbook.sources import footers, sinks
+    path = _scratch(spark, "full-integrated")
+    sinks.write_parquet(stages.full(spark, sf), path, partition_by=["CRASH_YEAR"])
+    return footers.completeness(spark, path)
+
+
 O.cte("per_col", f"""
 SELECT name, non_null, {PCT.format(n="non_null", d="(SELECT COUNT(*) FROM full_integrated)")} AS pct
 FROM (UNPIVOT (SELECT COUNT(COLUMNS(*)) FROM full_integrated) ON COLUMNS(*) INTO NAME name VALUE non_null)
@@ -519,6 +528,19 @@ def q_sink_csv(spark, sf):
     return spark.read.option("header", True).option("inferSchema", False).csv(path)
 
 
+GIVEN = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark",
+         "labels", "conversations"]
+
+
+@register("dataset_catalog_footers", " UNION ALL ".join(
+    f"SELECT '{t}' AS dataset, COUNT(*) AS records, (SELECT COUNT(*) FROM (DESCRIBE {t}))::INTEGER AS fields, true AS has_size FROM {t}" for t in GIVEN))
+def q_dataset_catalog_footers(spark, sf):
+    """K5 of the given tables from their footers."""
+    from roadbook.sources import footers
+    tables = footers.catalog(spark, {t: f"{sf.rstrip('/')}/{t}.parquet" for t in GIVEN})
+    return tables.select("dataset", "records", F.col("fields").cast("int").alias("fields"), (F.col("size_bytes") > 0).alias("has_size"))
+
+
 @register("dataset_run_summary", O.with_(CW + ["person", "vehicle", "cycle", "roadway", "vsum1", "vsum2", "j_cycle",
                                                 "j_cyc_person", "cyclist", "j_ped_person", "pedestrian", "full_integrated"], """
 SELECT 'cyclist_focused' AS dataset, 'success' AS status, COUNT(*) AS rows, (SELECT COUNT(*) FROM (DESCRIBE cyclist))::INTEGER AS columns FROM cyclist
