@@ -50,16 +50,17 @@ def vehicle_summary(vehicle: DataFrame, cols=("VEH_TYPE", "VEH_ROLE_CD"), key: s
 
 
 def cyclist_dataset(crash_weather: DataFrame, cycle: DataFrame | None, person: DataFrame | None = None,
-                    vehicle: DataFrame | None = None, key: str = "CRN") -> DataFrame | None:
+                    vehicle: DataFrame | None = None, key: str = "CRN", split_rows: int | None = None) -> DataFrame | None:
     """Crashes with a cycle record, their cyclist persons and a vehicle summary.
 
-    Returns None when the CYCLE table is missing.
+    Returns None when the CYCLE table is missing. ``split_rows``: see
+    :func:`roadbook.operators.joins.split_inner_join`.
     """
     if cycle is None:
         return None
     out = join_suffixed(crash_weather, cycle, key, "inner", "_cycle")                       # J1
     if person is not None and "PERSON_TYPE" in person.columns:
-        out = join_suffixed(out, filter_cyclists(person), key, "left", "_person")           # J2
+        out = join_suffixed(out, filter_cyclists(person), key, "left", "_person", split_rows=split_rows)           # J2
     if vehicle is not None:
         out = join_suffixed(out, vehicle_summary(vehicle, ("VEH_TYPE", "VEH_ROLE_CD"), key), key,
                             "left", "_veh", fanout_safe=False)                                # J3, J4
@@ -67,25 +68,26 @@ def cyclist_dataset(crash_weather: DataFrame, cycle: DataFrame | None, person: D
 
 
 def pedestrian_dataset(crash_weather: DataFrame, person: DataFrame | None = None,
-                       vehicle: DataFrame | None = None, key: str = "CRN") -> DataFrame:
+                       vehicle: DataFrame | None = None, key: str = "CRN", split_rows: int | None = None) -> DataFrame:
     """Pedestrian crashes, their pedestrian persons and vehicle types."""
     out = filter_ped_count(crash_weather)                                                    # F7
     if person is not None and "PERSON_TYPE" in person.columns:
-        out = join_suffixed(out, filter_pedestrians(person), key, "left", "_person")       # J5
+        out = join_suffixed(out, filter_pedestrians(person), key, "left", "_person", split_rows=split_rows)       # J5
     if vehicle is not None:
         out = join_suffixed(out, vehicle_summary(vehicle, ("VEH_TYPE",), key), key, "left", "_veh",
                             fanout_safe=False)
     return out
 
 
-def full_integrated(crash_weather: DataFrame, roadway: DataFrame | None = None, key: str = "CRN") -> DataFrame:
+def full_integrated(crash_weather: DataFrame, roadway: DataFrame | None = None, key: str = "CRN",
+                    split_rows: int | None = None) -> DataFrame:
     """D3: weather-integrated crashes with their roadway rows (1:N fan-out kept).
 
     PERSON and VEHICLE stay separate tables (see :func:`reference_tables`).
     """
     if roadway is None:
         return crash_weather
-    return join_suffixed(crash_weather, roadway, key, "left", "_roadway")                    # J6
+    return join_suffixed(crash_weather, roadway, key, "left", "_roadway", split_rows=split_rows)        # J6
 
 
 def reference_tables(person: DataFrame | None, vehicle: DataFrame | None) -> dict[str, DataFrame]:
@@ -94,9 +96,9 @@ def reference_tables(person: DataFrame | None, vehicle: DataFrame | None) -> dic
 
 
 def join_on_crn_and_year(left: DataFrame, right: DataFrame, how: str = "left", suffix: str = "_r",
-                         key: str = "CRN", year: str = "DATA_YEAR") -> DataFrame:
+                         key: str = "CRN", year: str = "DATA_YEAR", split_rows: int | None = None) -> DataFrame:
     """The documented guard, joining on crash number *and* data year."""
-    return join_suffixed(left, right, [key, year], how, suffix)
+    return join_suffixed(left, right, [key, year], how, suffix, split_rows=split_rows)
 
 
 def crash_level(df: DataFrame, key: str = "CRN", counts: dict[str, str] | None = None,

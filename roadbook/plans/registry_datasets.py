@@ -96,6 +96,12 @@ def q_join_roadway(spark, sf):
     return join_suffixed(fx.crash(spark, sf).select("CRN", "CRASH_YEAR"), fx.roadway(spark, sf), "CRN", "left", "_roadway")
 
 
+@register("join_roadway_split", ORACLE["join_roadway"])
+def q_join_roadway_split(spark, sf):
+    """J6 with keys split by their number of rows (here from four rows on, so that both ways have work)."""
+    return join_suffixed(fx.crash(spark, sf).select("CRN", "CRASH_YEAR"), fx.roadway(spark, sf), "CRN", "left", "_roadway", split_rows=3)
+
+
 @register("suffix_collisions", O.with_(["crash", "roadway"], """
 SELECT c.*, r.* EXCLUDE (CRN, COUNTY), r.COUNTY AS COUNTY_roadway FROM crash c LEFT JOIN roadway r ON c.CRN = r.CRN"""))
 def q_suffix_collisions(spark, sf):
