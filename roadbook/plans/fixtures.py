@@ -192,6 +192,16 @@ def shard_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
                       & ~((F.col("column") == "o_old") & (F.col("shard_year") > 1997)))
 
 
+def patrol_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One concave polygon per supplier, (area_id, rings): a square with a notch cut into its upper side."""
+    k = F.col("s_suppkey")
+    x, y = F.lit(-75.30) + (k * 37 % 350).cast("double") / F.lit(1000.0), F.lit(39.85) + (k * 53 % 300).cast("double") / F.lit(1000.0)
+    side = F.lit(0.008) + (k % 7).cast("double") * F.lit(0.004)
+    corners = [F.struct((x + F.lit(u) * side).alias("lon"), (y + F.lit(v) * side).alias("lat"))
+               for u, v in ((0.0, 0.0), (1.0, 0.125), (0.875, 1.0), (0.5, 0.25), (0.125, 1.0))]
+    return table(spark, sf_dir, "supplier").select(k.alias("area_id"), F.array(F.array(*corners)).alias("rings"))
+
+
 def events_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as long (date, event_type, value, event_id) rows for the generic pivot."""
     e = table(spark, sf_dir, "events")

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from roadbook.operators import areas as A
 from roadbook.operators import dates as T
 from roadbook.operators import geo as G
 from roadbook.operators import weather as W
@@ -332,6 +333,39 @@ def q_geo_boundary(spark, sf):
     return G.filter_polygon(g).select("CRN", "DEC_LATITUDE", "DEC_LONGITUDE")
 
 
+O.cte("patrol_edges", """
+SELECT s_suppkey AS area_id, x + u1 * side AS ax, y + v1 * side AS ay, x + u2 * side AS bx, y + v2 * side AS by_
+FROM (SELECT s_suppkey, -75.30::DOUBLE + CAST(s_suppkey * 37 % 350 AS DOUBLE) / 1000.0::DOUBLE AS x,
+             39.85::DOUBLE + CAST(s_suppkey * 53 % 300 AS DOUBLE) / 1000.0::DOUBLE AS y,
+             0.008::DOUBLE + CAST(s_suppkey % 7 AS DOUBLE) * 0.004::DOUBLE AS side FROM supplier),
+     (VALUES (0.0::DOUBLE, 0.0::DOUBLE, 1.0::DOUBLE, 0.125::DOUBLE), (1.0, 0.125, 0.875, 1.0), (0.875, 1.0, 0.5, 0.25),
+             (0.5, 0.25, 0.125, 1.0), (0.125, 1.0, 0.0, 0.0)) c(u1, v1, u2, v2)
+""")
+O.cte("patrolled", """
+SELECT c.CRN, c.MAX_SEVERITY_LEVEL, e.area_id
+FROM crash c JOIN (SELECT area_id, CASE WHEN ay <= by_ THEN ax ELSE bx END AS x1, least(ay, by_) AS y1,
+                          CASE WHEN ay <= by_ THEN bx ELSE ax END AS x2, greatest(ay, by_) AS y2 FROM patrol_edges) e
+  ON c.DEC_LATITUDE >= e.y1 AND c.DEC_LATITUDE < e.y2
+ AND c.DEC_LONGITUDE < (e.x2 - e.x1) * (c.DEC_LATITUDE - e.y1) / (e.y2 - e.y1) + e.x1
+GROUP BY ALL HAVING COUNT(*) % 2 = 1
+""")
+
+
+@register("geo_areas", O.with_(["crash", "patrol_edges", "patrolled"], """
+SELECT CRN, DEC_LATITUDE, DEC_LONGITUDE FROM crash WHERE DEC_LATITUDE IS NULL OR CRN IN (SELECT CRN FROM patrolled)"""))
+def q_geo_areas(spark, sf):
+    """G7 with as many concave polygons as suppliers."""
+    cover = A.cell_cover(fx.patrol_areas(spark, sf))
+    return A.filter_areas(fx.crash(spark, sf), cover, boundary=False).select("CRN", "DEC_LATITUDE", "DEC_LONGITUDE")
+
+
+@register("area_polygons", O.with_(["crash", "patrol_edges", "patrolled"], """
+SELECT area_id, COUNT(*) AS crashes, MAX(MAX_SEVERITY_LEVEL) AS max_severity FROM patrolled GROUP BY 1"""))
+def q_area_polygons(spark, sf):
+    """X2 by polygon."""
+    return A.area_totals(fx.crash(spark, sf), A.cell_cover(fx.patrol_areas(spark, sf)))
+
+
 @register("geo_point", O.with_(["crash", "geo_in", "geo_rounded", "geo_flagged", "geo"], """
 SELECT CRN, CASE WHEN DEC_LATITUDE IS NOT NULL AND DEC_LONGITUDE IS NOT NULL THEN DEC_LONGITUDE END AS lon,
        CASE WHEN DEC_LATITUDE IS NOT NULL AND DEC_LONGITUDE IS NOT NULL THEN DEC_LATITUDE END AS lat,
