@@ -47,7 +47,7 @@ def _cast_text(c: str, t: str):
         return F.when(col.rlike(INT_RE), col.try_cast("bigint")).alias(c)
     if t == "double":
         return to_number(col).alias(c)
-    return col.cast("string").alias(c)
+    return col.cast("date" if t == "date" else "string").alias(c)
 
 
 def harmonize_text_shards(df: DataFrame, inventory: DataFrame, year_col: str = "shard_year",

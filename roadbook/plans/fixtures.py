@@ -183,6 +183,29 @@ def shard_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: How a shard of ``dated_text`` writes ``happened``, by its year modulo 4.
+DATE_STYLES = ["yyyy-MM-dd", "MM/dd/yyyy", "dd.MM.yyyy", "yyyyMMdd"]
+
+
+def dated_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Yearly ORDERS shards as text with date columns in several formats.
+
+    ``happened`` changes its format from year to year; ``reported`` is day first in
+    even years and blank in 1995; ``closed`` holds 30 February in one of 200 rows;
+    ``amount`` is a number, ``crn`` a key.
+    """
+    k, d = F.col("o_orderkey"), F.to_date("o_orderdate")
+    year = F.year(d)
+    happened = F.coalesce(*[F.when(year % 4 == i, F.date_format(d, f)) for i, f in enumerate(DATE_STYLES)])
+    return table(spark, sf_dir, "orders").select(
+        year.alias("shard_year"), k.cast("string").alias("crn"),
+        F.when(k % 17 == 0, F.lit(None)).when(k % 19 == 0, "").otherwise(happened).alias("happened"),
+        F.when(year == 1995, F.lit(" ")).when(year % 2 == 0, F.date_format(F.date_add(d, 1), "dd/MM/yyyy"))
+        .otherwise(F.concat(F.date_format(F.date_add(d, 1), "yyyy-MM-dd"), F.lit(" 08:30:00"))).alias("reported"),
+        F.when(k % 200 == 0, F.concat(year.cast("string"), F.lit("-02-30"))).otherwise(F.date_format(F.date_add(d, 2), "yyyy-MM-dd")).alias("closed"),
+        (k % 5000).cast("string").alias("amount"))
+
+
 def shard_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(shard_year, column) presence for the ORDERS shards, derived from the data's years."""
     years = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("shard_year")).distinct()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from roadbook.operators import date_types as DT
 from roadbook.operators import harmonize as H
 from roadbook.operators import profile as P
 from roadbook.operators import sketches as K
@@ -224,6 +225,55 @@ def q_harmonize_all_years(spark, sf):
     return h.drop("PROCESSING_DATE")
 
 
+DATED = ["crn", "happened", "reported", "closed", "amount"]
+O.cte("dated_text", """
+SELECT CAST(year(d) AS INTEGER) AS shard_year, CAST(o_orderkey AS VARCHAR) AS crn,
+       CASE WHEN o_orderkey % 17 = 0 THEN NULL WHEN o_orderkey % 19 = 0 THEN ''
+            WHEN year(d) % 4 = 0 THEN strftime(d, '%Y-%m-%d') WHEN year(d) % 4 = 1 THEN strftime(d, '%m/%d/%Y')
+            WHEN year(d) % 4 = 2 THEN strftime(d, '%d.%m.%Y') ELSE strftime(d, '%Y%m%d') END AS happened,
+       CASE WHEN year(d) = 1995 THEN ' ' WHEN year(d) % 2 = 0 THEN strftime(d + 1, '%d/%m/%Y')
+            ELSE strftime(d + 1, '%Y-%m-%d') || ' 08:30:00' END AS reported,
+       CASE WHEN o_orderkey % 200 = 0 THEN CAST(year(d) AS VARCHAR) || '-02-30' ELSE strftime(d + 2, '%Y-%m-%d') END AS closed,
+       CAST(o_orderkey % 5000 AS VARCHAR) AS amount
+FROM (SELECT *, CAST(o_orderdate AS DATE) AS d FROM orders)
+""")
+O.cte("dated_long", f"""
+SELECT shard_year, "column", trim(value) AS value FROM dated_text UNPIVOT INCLUDE NULLS (value FOR "column" IN ({", ".join(DATED)}))
+""")
+
+
+def _dated_inventory(spark, sf):
+    return fx.dated_text(spark, sf).select(Y, F.explode(F.array(*[F.lit(c) for c in DATED])).alias("column")).distinct()
+
+
+# strptime reads one-digit days, months and shorter years too, so texts are held to their shape first
+_SHAPES = [("yyyy-MM-dd", "[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}( .*)?", "%Y-%m-%d"), ("yyyy/MM/dd", "[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}( .*)?", "%Y/%m/%d"),
+           ("MM/dd/yyyy", "[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}( .*)?", "%m/%d/%Y"), ("dd/MM/yyyy", "[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}( .*)?", "%d/%m/%Y"),
+           ("MM-dd-yyyy", "[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}( .*)?", "%m-%d-%Y"), ("dd.MM.yyyy", "[0-9]{1,2}[.][0-9]{1,2}[.][0-9]{4}( .*)?", "%d.%m.%Y"),
+           ("yyyyMMdd", "(19|20)[0-9]{6}", "%Y%m%d")]
+
+
+@register("profile_date_formats", O.with_(["dated_text", "dated_long"], " UNION ALL ".join(f"""
+SELECT shard_year, "column", '{name}' AS format, COUNT(*) FILTER (WHERE value <> '') AS filled,
+       COUNT(*) FILTER (WHERE regexp_full_match(value, '{shape}') AND try_strptime(split_part(value, ' ', 1), '{parse}') IS NOT NULL) AS fits
+FROM dated_long GROUP BY 1, 2""" for name, shape, parse in _SHAPES)))
+def q_profile_date_formats(spark, sf):
+    """P5 on request: how many values of each shard and column are dates in each format."""
+    return DT.date_evidence(fx.dated_text(spark, sf), Y, _dated_inventory(spark, sf))
+
+
+@register("harmonize_dates", O.with_(["dated_text"], """
+SELECT shard_year AS DATA_YEAR, CAST(amount AS BIGINT) AS amount, closed, CAST(crn AS BIGINT) AS crn,
+       CAST(CASE shard_year % 4 WHEN 0 THEN try_strptime(happened, '%Y-%m-%d') WHEN 1 THEN try_strptime(happened, '%m/%d/%Y')
+            WHEN 2 THEN try_strptime(happened, '%d.%m.%Y') ELSE try_strptime(happened, '%Y%m%d') END AS DATE) AS happened,
+       CAST(CASE WHEN shard_year = 1995 THEN NULL WHEN shard_year % 2 = 0 THEN strptime(reported, '%d/%m/%Y')
+                 ELSE strptime(reported, '%Y-%m-%d %H:%M:%S') END AS DATE) AS reported
+FROM dated_text"""))
+def q_harmonize_dates(spark, sf):
+    """H2, H3 and H5 with dates: the format differs by shard; a column with a value that is no date stays text."""
+    return DT.harmonize_with_dates(fx.dated_text(spark, sf), _dated_inventory(spark, sf), Y).drop("PROCESSING_DATE")
+
+
 LATE = 1996       # the year whose shard gets late rows after the first run
 O.cte("shard_late", f"SELECT * FROM shard_text UNION ALL SELECT * REPLACE ('late' AS o_orderstatus) FROM shard_text WHERE shard_year = {LATE}")
 

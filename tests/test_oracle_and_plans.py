@@ -53,7 +53,7 @@ PLANS_WITH_JOBS = {"scan_category_csv", "scan_sample", "shard_discovery", "scan_
                    "sink_text_summary", "dataset_catalog", "dataset_run_summary", "harmonize_all_years", "harmonize_type_conflict",
                    "harmonize_type_conflict_strict", "cast_to_master", "numeric_outliers", "schema_removed",
                    # these run or store over several years first
-                   "harmonize_changed_years", "profile_all_years", "profile_top_values_all_years", "val_completeness_footers",
+                   "harmonize_changed_years", "harmonize_dates", "profile_all_years", "profile_top_values_all_years", "val_completeness_footers",
                    # these land archives or pages, and gather their members' headers
                    "unzip_shards", "unzip_members", "observation_page_report", "observation_missing_pages", "observation_torn_pages"}
 
