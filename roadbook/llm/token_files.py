@@ -153,6 +153,14 @@ class Coder:
             raise ValueError("damaged block: the ids' checksum differs")
         return out
 
+    def some(self, payload: bytes, at: int, n: int) -> np.ndarray:
+        """``n`` ids from place ``at``, decoded from the checkpoint before them to the one after."""
+        _, _, lanes, every, *_ = _HEAD.unpack_from(payload)
+        run = lanes * every          # ids from one checkpoint to the next
+        if not n:
+            return np.empty(0, np.uint32)
+        return self.decode(payload, at // run, -(-(at + n) // run))[at - at // run * run:][:n]
+
 
 # ---- writing ---------------------------------------------------------------
 
@@ -302,6 +310,44 @@ def read_fragments(spark: SparkSession, folder: str, keep_ids: bool = True) -> D
     return _placed(spark, folder).mapInArrow(_decode(read_table(spark, folder), keep_ids), schema)
 
 
+def _decode_some(freq: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = Coder(freq)
+        for b in batches:
+            for row in b.to_pylist():
+                rows = [{"part": row["part"], "ord": p["ord"], "doc_id": p["doc_id"], "at": row["base"] + row["first"] + p["at"],
+                         "pos": p["pos"], "ids": coder.some(row["payload"], p["at"], p["n"]).astype("<u4").tobytes()} for p in row["pieces"]]
+                yield pa.RecordBatch.from_pylist(rows, pa.schema([
+                    *[(c, pa.int32() if c == "part" else pa.int64()) for c in ("part", "ord", "doc_id", "at", "pos")], ("ids", pa.binary())]))
+    return run
+
+
+def read_documents(spark: SparkSession, folder: str, wanted: DataFrame) -> DataFrame:
+    """(doc_id, start, ids): the documents of the files whose doc_id is in ``wanted``, one row per document.
+
+    Payloads of blocks that hold none of them aren't decoded, and of the others only
+    from the checkpoint before a document to the one after it. A null doc_id is
+    found by a null; rows that share an id are rows of the result.
+    """
+    blocks = _placed(spark, folder)
+    inside = blocks.select("part", "block", F.arrays_zip("doc_ids", "doc_ords", "doc_pos", "doc_lens").alias("d"))
+    # where each document begins in its block: lengths before it
+    begins = F.expr("aggregate(d, array(0L), (s, x) -> array_append(s, element_at(s, -1) + x.doc_lens))")
+    each = inside.select("part", "block", F.inline(F.arrays_zip("d", F.slice(begins, F.lit(1), F.size("d")).alias("begin"))))
+    each = each.select("part", "block", F.col("d.doc_ids").alias("doc_id"), F.struct(
+        F.col("d.doc_ids").alias("doc_id"), F.col("d.doc_ords").alias("ord"), F.col("d.doc_pos").alias("pos"),
+        F.col("begin").alias("at"), F.col("d.doc_lens").alias("n")).alias("piece"))
+    ids = wanted.select(F.col(wanted.columns[0]).cast("long").alias("_want")).distinct()
+    found = each.join(ids, F.col("doc_id").eqNullSafe(F.col("_want")), "left_semi")
+    found = found.groupBy("part", "block").agg(F.collect_list("piece").alias("pieces"))      # at most a block's documents
+    pieces = blocks.join(found, ["part", "block"]).select("part", "block", "base", "first", "payload", "pieces")
+    read = pieces.mapInArrow(_decode_some(read_table(spark, folder)), "part int, ord long, doc_id long, at long, pos long, ids binary")
+    whole = read.groupBy("part", "ord").agg(F.first("doc_id").alias("doc_id"), F.min("at").alias("start"),
+                                            F.array_sort(F.collect_list(F.struct("pos", "ids"))).alias("p"))
+    joined = F.aggregate("p", F.lit(b""), lambda s, x: F.concat(s, x["ids"]))
+    return whole.select("doc_id", "start", joined.alias("ids"))
+
+
 def _times(a: int, b: int) -> int:
     """Product of two polynomials modulo that of crc32 (highest power in the lowest bit)."""
     out = 0

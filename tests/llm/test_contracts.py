@@ -5,6 +5,7 @@ import re
 import struct
 import zlib
 
+import numpy as np
 import pytest
 
 from roadbook.llm import queries
@@ -170,3 +171,73 @@ def test_op10(spark, folder):
         want.append((d, len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in t or ""), dup, len(hit), failed))
     assert [r[:7] for r in found] == sorted(want, key=str)
     assert all(isinstance(r[7], bool) and not (r[6] and r[7]) for r in found)
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def test_op8(spark, folder):
+    """Documents with text and id: same class exactly where links of five-word Jaccard 0.8 or more join them."""
+    df = queries.QUERIES["op8_near_dup"](spark, folder)
+    assert dict(df.dtypes)["doc_id"] == "bigint" and dict(df.dtypes)["class_id"] == "bigint"
+    found = [(r.doc_id, r.class_id) for r in df.collect()]
+    single = {d: t for d, t, _, _ in rows() if d is not None and d != 3}          # 3 is shared by unlike texts
+    sets = {}
+    for d, t in single.items():
+        w = words(t)
+        s = {tuple(w[i:i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set())
+        sets[d] = s
+    parent = {d: d for d in sets}
+
+    def root(d):
+        while parent[d] != d:
+            d = parent[d]
+        return d
+
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and sets[b] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                parent[max(root(a), root(b))] = min(root(a), root(b))
+    of = dict(found)
+    assert set(of) >= set(sets)
+    lettered = [d for d in sets if sets[d]]
+    for a in lettered:
+        for b in lettered:
+            assert (of[a] == of[b]) == (root(a) == root(b)), (a, b)
+
+
+def test_op4(spark, tmp_path):
+    rng = np.random.default_rng(11)
+    vectors = [rng.normal(size=8).astype(np.float32).tolist() for _ in range(60)]
+    data = [(k, v, 1, "clash") for k, v in enumerate(vectors)]
+    data += [(60, vectors[3], 1, "x"), (80, vectors[3], 1, "x"), (100, None, 1, "x"), (120, [0.0] * 8, 1, "x"), (140, [float("nan")] * 8, 1, "x"),
+             (160, [None] + [1.0] * 7, 1, "x"), (61, [float("inf")] * 8, 1, "x")]
+    path = str(tmp_path / "in")
+    spark.createDataFrame(data, "vec_id long, embedding array<float>, label int, score string").write.parquet(f"{path}/embeddings.parquet")
+    df = queries.QUERIES["op4_vector_search"](spark, path)
+    types = dict(df.dtypes)
+    assert [types[c] for c in ("query_id", "rank", "vec_id", "score")] == ["bigint", "int", "bigint", "double"]
+    ok = {k: np.array(v, np.float32).astype(float) for k, v, _, _ in data if k < 60 or k in (60, 80)}
+    by = {}
+    for r in df.collect():
+        by.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    assert set(by) == {k for k in ok if k % 20 == 0}
+    hit = total = 0
+    for q, found in by.items():
+        found.sort()
+        assert [r for r, _, _ in found] == list(range(1, 21))
+        assert [(-s, v) for _, v, s in found] == sorted((-s, v) for _, v, s in found) and q not in {v for _, v, _ in found}
+        for _, v, s in found:
+            assert abs(s - float(ok[q] @ ok[v])) < 1e-12
+        best = [v for _, v in sorted((-float(ok[q] @ y), v) for v, y in ok.items() if v != q)[:20]]
+        hit, total = hit + len(set(best) & {v for _, v, _ in found}), total + 20
+    assert hit >= 0.9 * total
+
+
+def test_op7(spark, folder):
+    df = queries.QUERIES["op7_quality_model"](spark, folder)
+    found = df.collect()
+    assert sorted((r.doc_id for r in found), key=str) == sorted((d for d, *_ in rows()), key=str)
+    again = {(r.doc_id, i): r for i, r in enumerate(sorted(queries.QUERIES["op7_quality_model"](spark, folder).collect(), key=str))}
+    assert [str(r) for r in again.values()] == sorted(str(r) for r in found)

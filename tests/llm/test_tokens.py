@@ -118,6 +118,37 @@ def test_files_round_trip(spark):
     assert len(b"".join(r.ids for r in parts)) == 4 * start
 
 
+def test_some_documents_from_their_checkpoints(spark):
+    path = tokenizer_path("word_bpe_49k.json")
+    texts = [*ODD, "long text here. " * 60_000, *[f"text {i} of many words " * (i % 50) for i in range(300)]]
+    folder = scratch(spark, "files")
+    token_files.write_token_files(token_files.tokenized(frame(spark, texts), path, 49_408), folder, 49_408)
+    want, start = {}, 0
+    for i, t in enumerate(texts):
+        ids = np.frombuffer(encoder(path).encode(t) + b"\x02\0\0\0", "<u4")
+        want[i] = (start, ids.tobytes())
+        start += len(ids)
+    asked = [0, len(ODD), len(ODD) + 7, len(texts) - 1, len(texts) + 5, len(ODD), None]
+    wanted = spark.createDataFrame([(i,) for i in asked], "k long")
+    got = {r.doc_id: (r.start, bytes(r.ids)) for r in token_files.read_documents(spark, folder, wanted).collect()}
+    assert got == {i: want[i] for i in set(asked) if i in want}
+    everything = {r.doc_id: (r.start, bytes(r.ids)) for r in token_files.read_documents(spark, folder, frame(spark, texts)).collect()}
+    assert everything == want
+    assert token_files.read_documents(spark, folder, wanted.limit(0)).count() == 0
+
+
+def test_reading_starts_at_a_checkpoint():
+    ids = np.arange(70_000, dtype=np.uint32) % 997
+    coder = token_files.Coder(token_files.quantised(np.bincount(ids)))
+    payload, calls = coder.encode(ids), []
+    real = coder.decode
+    coder.decode = lambda p, first=0, stop=None: calls.append((first, stop)) or real(p, first, stop)
+    run = token_files.LANES * token_files.CHECK
+    for at, n in ((run + 10, 30), (run - 5, 10), (0, 3), (69_990, 10), (5, 0)):
+        assert (coder.some(payload, at, n) == ids[at:at + n]).all()
+    assert calls == [(1, 2), (0, 2), (0, 1), (1, 2)]
+
+
 def test_files_of_nothing_and_of_equal_ids(spark):
     path = tokenizer_path("word_bpe_49k.json")
     for texts, ids in (([], []), (["b", "a", "a", None], [None, 4, 4, None])):
