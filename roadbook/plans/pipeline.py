@@ -25,11 +25,12 @@ from roadbook.sources import sinks
 
 
 def run_all(spark: SparkSession, sf_dir: str, out_dir: str | None = None, landed: str | None = None, category: str = "CRASH",
-            years=None) -> dict[str, DataFrame]:
+            years=None, kept: str | None = None) -> dict[str, DataFrame]:
     """Run stages 3-5 on the fixture tables; returns the final DataFrames (and writes them, as Parquet and CSV, when ``out_dir``).
 
     ``landed`` is a folder of yearly CSV shards of ``category``: stages 2-3
-    (profile, harmonize) then run over it as well.
+    (profile, harmonize) then run over it as well. ``kept`` is a folder that holds
+    the harmonized years between runs: only new and changed shards are read then.
     """
     weather = materialize(stages.weather_table(spark, sf_dir), "weather_daily")
     geo = stages.crash_geographic(spark, sf_dir)
@@ -42,7 +43,8 @@ def run_all(spark: SparkSession, sf_dir: str, out_dir: str | None = None, landed
         **{k: v for k, v in D.reference_tables(person, vehicle).items()},
     }
     if landed:
-        outputs[category.lower()] = profile_and_harmonize(spark, landed, category, years)["harmonized"]
+        curated = profile_and_update(spark, landed, category, kept, years) if kept else profile_and_harmonize(spark, landed, category, years)
+        outputs[category.lower()] = curated["harmonized"]
     reports = {
         "geographic_stats": geo_stats(fx.crash(spark, sf_dir)),
         "weather_stats": match_stats(crash_weather, weather),
@@ -107,3 +109,35 @@ def profile_and_harmonize(spark: SparkSession, root: str, category: str, years,
         "schema_issues": P.schema_issues(inv_types, category),
         "harmonized": harmonize_text_shards(text, inventory, pandas_dtypes=pandas_dtypes),
     }
+
+
+def profile_and_update(spark: SparkSession, root: str, category: str, kept: str, years=None, pandas_dtypes: bool = False,
+                       processing_date: str | None = None) -> dict[str, DataFrame]:
+    """Stages 2-3 on what changed since the last run on ``kept``; the same tables as ``profile_and_harmonize``, and ``changes``.
+
+    Shards of new and changed years are read, the others' rows and profile
+    figures come from ``kept``. Distinct counts of 20 and more are estimates
+    (``distinct_exact`` says which); nulls, types, ranges and top values are exact.
+    ``changes`` has a row per year: new, changed, retyped, same or gone.
+    """
+    from roadbook.operators import profile as P
+    from roadbook.operators import sketches as K
+    from roadbook.sources import increments as I
+    from roadbook.sources import shards as S
+
+    states = I.harmonize_changed(spark, root, category, kept, years, pandas_dtypes, processing_date)
+    files = S.list_files(spark, root, "*.csv")
+    sketches = I.read_sketches(spark, kept).drop("target_type")
+    stats = K.figures(sketches)
+    inventory = sketches.select("shard_year", "column")
+    return {
+        "files": S.match_shards(files, [category], years),
+        "missing": S.missing_shards(files, [category], years),
+        "quarantine": S.quarantine(files, [category], years),
+        "column_stats": stats,
+        "top_values": K.top_values(sketches),
+        "schema_matrix": P.schema_matrix(inventory),
+        "schema_issues": P.schema_issues(P.inventory_types(inventory, stats), category),
+        "harmonized": I.read_harmonized(spark, kept),
+        "changes": spark.createDataFrame(sorted(states.items()), "shard_year int, state string"),
+    }

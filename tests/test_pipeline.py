@@ -46,3 +46,35 @@ def test_profile_and_harmonize_scale_mode_agrees_on_small_columns(spark, tmpdir_
     b = {(r.shard_year, r.column): (r.distinct_count, r.null_count, r.dtype)
          for r in approx["column_stats"].filter(approx["column_stats"].column.isin(small)).collect()}
     assert a == b and a
+
+
+def test_updated_years_equal_a_full_run(spark, tmpdir_path):
+    from roadbook.plans.pipeline import profile_and_harmonize, profile_and_update
+    from tests.test_sources_streaming import _write_shards
+    landed, kept, years = os.path.join(tmpdir_path, "landed"), os.path.join(tmpdir_path, "kept"), range(1994, 2002)
+    os.mkdir(landed)
+    _write_shards(spark, landed)
+
+    def compare(states):
+        out = profile_and_update(spark, landed, "CRASH", kept, years, processing_date="x")
+        assert {r.shard_year: r.state for r in out["changes"].collect()} == states
+        full = profile_and_harmonize(spark, landed, "CRASH", years)
+        assert set(out) - set(full) == {"changes"}
+        for name in ("files", "missing", "quarantine", "schema_matrix", "schema_issues", "top_values"):
+            cols = sorted(full[name].columns)
+            assert sorted(map(str, out[name].select(*cols).collect())) == sorted(map(str, full[name].select(*cols).collect())), name
+        exact = ["shard_year", "column", "rows", "null_count", "null_pct", "dtype", "logical_type", "min", "max"]
+        assert sorted(map(str, out["column_stats"].select(*exact).collect())) == sorted(map(str, full["column_stats"].select(*exact).collect()))
+        a, b = out["harmonized"].drop("PROCESSING_DATE"), full["harmonized"].drop("PROCESSING_DATE")
+        assert dict(a.dtypes) == dict(b.dtypes)
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.select(*a.columns).collect()))
+
+    found = sorted(r.year for r in profile_and_harmonize(spark, landed, "CRASH", years)["files"].collect())
+    compare(dict.fromkeys(found, "new"))
+    compare(dict.fromkeys(found, "same"))
+    late = sorted(f for f in os.listdir(landed) if str(found[1]) in f and f.endswith(".csv"))[0]
+    with open(os.path.join(landed, late)) as f:
+        lines = f.read().splitlines()
+    with open(os.path.join(landed, late), "a") as f:
+        f.write(lines[1] + "\n")
+    compare({y: "changed" if y == found[1] else "same" for y in found})
