@@ -112,3 +112,59 @@ def test_points_meet_cells_by_an_equi_join(spark):
     plan = registry.QUERIES["area_polygons"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "HashJoin" in plan or "SortMergeJoin" in plan
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def crowd(rng):
+    """Points at all densities: even ones, one crowded block, one very crowded corner and one place with many points."""
+    xy = [(rng.uniform(-75.1, -75), rng.uniform(39.9, 40)) for _ in range(600)]
+    xy += [(rng.uniform(-75.05, -75.04), rng.uniform(39.95, 39.96)) for _ in range(600)]
+    xy += [(rng.uniform(-75.0448, -75.0447), rng.uniform(39.9533, 39.9534)) for _ in range(400)] + [(-75.0447, 39.9533)] * 300
+    return [(i, y, x, rng.choice([None, 1, 2, 3, 4])) for i, (x, y) in enumerate(xy)] + [(-1, None, -75.0, 9), (-2, 39.95, float("nan"), 9)]
+
+
+@pytest.mark.parametrize("crowded", [3, 40, 256])
+def test_totals_at_all_densities(spark, monkeypatch, crowded):
+    monkeypatch.setattr(A, "CROWD", crowded)
+    rng = random.Random(11)
+    points = crowd(rng)
+    areas = [(f"a{k}", [star(rng, rng.uniform(-75.07, -75.02), rng.uniform(39.94, 39.97), rng.choice([0.0002, 0.004, 0.03]), rng.randint(3, 20))
+                        for _ in range(rng.randint(1, 2))]) for k in range(20)]
+    # areas with edges within the most crowded corner
+    areas += [(f"b{k}", [star(rng, -75.04475, 39.95335, 0.00008 * (k + 1), 9)]) for k in range(5)] + [("far", [star(rng, 10, 10, 0.1, 5)])]
+    want = {}
+    for a, rings in areas:
+        inside = [s for _, y, x, s in points if y is not None and x == x and odd(rings, x, y)]
+        if inside:
+            want[a] = (len(inside), max((s for s in inside if s is not None), default=None))
+    assert len(want) > 10
+    df = spark.createDataFrame(points, "pid long, DEC_LATITUDE double, DEC_LONGITUDE double, MAX_SEVERITY_LEVEL int")
+    got = A.area_totals(df, A.cell_cover(spark.createDataFrame(areas, AREAS)))
+    assert dict(got.dtypes) == {"area_id": "string", "crashes": "bigint", "max_severity": "int"}
+    assert {r.area_id: (r.crashes, r.max_severity) for r in got.collect()} == want
+
+
+def test_totals_do_not_pair_points_with_areas(spark):
+    """Rows that the join of ``area_totals`` meets: 20 large areas over 4,000 points, 1,500 of them at one place."""
+    rng = random.Random(2)
+    xy = [(rng.uniform(-75.1, -75), rng.uniform(39.9, 40)) for _ in range(500)] + [(-75.043, 39.951)] * 1500
+    xy += [(rng.uniform(-75.06, -75.05), rng.uniform(39.95, 39.96)) for _ in range(2000)]
+    df = spark.createDataFrame([(i, y, x, 1) for i, (x, y) in enumerate(xy)], "pid long, DEC_LATITUDE double, DEC_LONGITUDE double, MAX_SEVERITY_LEVEL int")
+    areas = [(f"a{k}", [star(rng, -75.05, 39.95, 0.05, 12)]) for k in range(20)]
+    cover = A.cell_cover(spark.createDataFrame(areas, AREAS))
+    totals = A.area_totals(df, cover)
+    pairs = A.locate(df, cover).count()
+    totals.collect()
+
+    def joined(plan):
+        found = [plan] if "Join" in plan.nodeName() and "INNER" in plan.toString().split("\n")[0].upper() else []
+        if plan.nodeName() == "AdaptiveSparkPlan":
+            return joined(plan.executedPlan())
+        if plan.nodeName().endswith("QueryStage"):
+            return joined(plan.plan())
+        kids = plan.children()
+        return found + [x for i in range(kids.size()) for x in joined(kids.apply(i))]
+
+    joins = joined(totals._jdf.queryExecution().executedPlan())
+    assert joins
+    rows = sum(j.metrics().apply("numOutputRows").value() for j in joins)
+    assert pairs > 20_000 and rows < pairs / 5
