@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from roadbook.functions.dates import safe_date
 from roadbook.operators.joins import join_small
-from roadbook.operators.profile import inventory_types, type_evidence, unpivot_text
+from roadbook.operators.profile import inventory_types, listed, type_evidence, unpivot_text
 
 _TIME = r"(?:[T ]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?: ?[AaPp][Mm])?(?:Z|[+-]\d{2}:?\d{2})?)?"
 #: name: (pattern, places of year, month and day among its groups), in order of preference.
@@ -48,9 +48,7 @@ def date_evidence(df: DataFrame, year_col: str = "shard_year", inventory: DataFr
 
     One aggregate keyed by (year, column), combined before its shuffle.
     """
-    long = unpivot_text(df, [year_col])
-    if inventory is not None:
-        long = join_small(long, inventory.select(year_col, "column").distinct(), [year_col, "column"], "left_semi")
+    long = listed(unpivot_text(df, [year_col]), inventory, year_col)
     v = F.col("value")
     counts = long.groupBy(year_col, "column").agg(
         F.count_if(F.trim(v) != "").alias("filled"), *[F.count_if(date_in(v, f).isNotNull()).alias(f"_{i}") for i, f in enumerate(FORMATS)])

@@ -26,15 +26,29 @@ def unpivot_text(df: DataFrame, id_cols: list[str], value_cols: list[str] | None
     return df.select(*id_cols, F.inline(entries))
 
 
+def listed(long: DataFrame, inventory: DataFrame | None, year_col: str = "shard_year") -> DataFrame:
+    """The unpivoted rows whose (year, column) an inventory has; all of them without one.
+
+    An inventory is one row per shard and column, whatever table it comes from,
+    so every task gets it: a shuffle would deal all values by these few keys.
+    """
+    if inventory is None:
+        return long
+    return join_small(long, F.broadcast(inventory.select(year_col, "column").distinct()), [year_col, "column"], "left_semi")
+
+
 def value_counts(df: DataFrame, year_col: str = "shard_year", inventory: DataFrame | None = None) -> DataFrame:
     """(year, column, value, n) over all shards; NULL values are one group.
 
     With an inventory, only (year, column) pairs present in that shard count.
+    Values are counted in each task before they are shuffled, and a task holds
+    all its distinct ones; so rows are dealt to the session's number of shuffle
+    partitions first, as a split of a Parquet file can hold millions of keys.
     """
-    long = unpivot_text(df, [year_col])
-    if inventory is not None:
-        inv = inventory.select(F.col(year_col), F.col("column")).distinct()
-        long = join_small(long, inv, [year_col, "column"], "left_semi")
+    # a fixed number of partitions: adaptive execution would merge them by their compressed bytes
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartition(parts, *[F.col(f"`{c}`") for c in df.columns])
+    long = listed(unpivot_text(dealt, [year_col]), inventory, year_col)
     return long.groupBy(year_col, "column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -80,10 +94,7 @@ def type_evidence(df: DataFrame, year_col: str = "shard_year", inventory: DataFr
     many distinct values the data has. This is what nulls, ranges and type
     resolution need; only distinct counts and top values count values.
     """
-    long = unpivot_text(df, [year_col])
-    if inventory is not None:
-        inv = inventory.select(F.col(year_col), F.col("column")).distinct()
-        long = join_small(long, inv, [year_col, "column"], "left_semi")
+    long = listed(unpivot_text(df, [year_col]), inventory, year_col)
     return long.groupBy(year_col, "column").agg(*_evidence(F.col("value"))).select(*_figures(year_col))
 
 
@@ -109,7 +120,8 @@ def top_values(vc: DataFrame, stats: DataFrame, year_col: str = "shard_year",
     ``max_distinct`` rows because low-cardinality columns are selected first.
     """
     small = stats.filter(F.col("distinct_count") < max_distinct).select(year_col, "column")
-    cand = join_small(vc.filter(F.col("value").isNotNull()), small, [year_col, "column"], "left_semi")
+    # at most one row per shard and column: sent to every task, it also keeps other columns out of the count
+    cand = join_small(vc.filter(F.col("value").isNotNull()), F.broadcast(small), [year_col, "column"], "left_semi")
     w = Window.partitionBy(year_col, "column").orderBy(F.desc("n"), F.asc("value"))
     return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 
@@ -194,14 +206,11 @@ def profile_shards(df: DataFrame, year_col: str = "shard_year", inventory: DataF
         vc = value_counts(df, year_col, inventory)
         stats = column_stats(vc, year_col)
         return stats, top_values(vc, stats, year_col)
-    long = unpivot_text(df, [year_col])
-    if inventory is not None:
-        inv = inventory.select(F.col(year_col), F.col("column")).distinct()
-        long = join_small(long, inv, [year_col, "column"], "left_semi")
+    long = listed(unpivot_text(df, [year_col]), inventory, year_col)
     v = F.col("value")
     base = long.groupBy(year_col, "column").agg(*_evidence(v), F.approx_count_distinct(v).alias("approx_distinct"))
     cand = base.filter(F.col("approx_distinct") < TOP_VALUES_MAX_DISTINCT * candidate_margin).select(year_col, "column")
-    small_long = join_small(long, cand, [year_col, "column"], "left_semi")
+    small_long = join_small(long, F.broadcast(cand), [year_col, "column"], "left_semi")
     vc = small_long.groupBy(year_col, "column", "value").agg(F.count(F.lit(1)).alias("n"))
     exact_small = vc.filter(F.col("value").isNotNull()).groupBy(year_col, "column").agg(
         F.count(F.lit(1)).alias("_exact_distinct"))

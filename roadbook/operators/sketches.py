@@ -17,8 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadbook.constants import TOP_VALUES_MAX_DISTINCT, TOP_VALUES_N
-from roadbook.operators.joins import join_small
-from roadbook.operators.profile import _dtype_exprs, _evidence, unpivot_text
+from roadbook.operators.profile import _dtype_exprs, _evidence, listed, unpivot_text
 
 #: HyperLogLog registers (2^12): a relative standard error of about 1.6 %; a few hundred values are counted exactly.
 LG_K = 12
@@ -30,16 +29,13 @@ COUNTS = ["rows", "null_count", "_n_int", "_n_num", "_n_padded"]
 
 def shard_sketches(df: DataFrame, year_col: str = "shard_year", inventory: DataFrame | None = None) -> DataFrame:
     """(year, column, counts, range, ``distinct_sketch``, ``top_sketch``): one pass, combined before the shuffle."""
-    long = unpivot_text(df, [year_col])
-    if inventory is not None:
-        listed = inventory.select(year_col, "column").distinct()
-        long = join_small(long, listed, [year_col, "column"], "left_semi")
+    long = listed(unpivot_text(df, [year_col]), inventory, year_col)
     value = F.col("value")
     out = long.groupBy(year_col, "column").agg(
         *_evidence(value), F.hll_sketch_agg(value, F.lit(LG_K)).alias("distinct_sketch"),
         F.expr(f"approx_top_k_accumulate(value, {TRACKED}) FILTER (WHERE value IS NOT NULL)").alias("top_sketch"))
     if inventory is not None:
-        out = listed.join(out, [year_col, "column"], "left").fillna(0, COUNTS)
+        out = inventory.select(year_col, "column").distinct().join(out, [year_col, "column"], "left").fillna(0, COUNTS)
     return out
 
 
