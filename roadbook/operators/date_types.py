@@ -18,19 +18,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadbook.functions.dates import safe_date
 from roadbook.operators.joins import join_small
 from roadbook.operators.profile import inventory_types, listed, type_evidence, unpivot_text
 
 _TIME = r"(?:[T ]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?: ?[AaPp][Mm])?(?:Z|[+-]\d{2}:?\d{2})?)?"
 #: name: (pattern, places of year, month and day among its groups), in order of preference.
 FORMATS = {
-    "yyyy-MM-dd": (rf"^\s*(\d{{4}})-(\d{{1,2}})-(\d{{1,2}}){_TIME}\s*$", (1, 2, 3)),
-    "yyyy/MM/dd": (rf"^\s*(\d{{4}})/(\d{{1,2}})/(\d{{1,2}}){_TIME}\s*$", (1, 2, 3)),
-    "MM/dd/yyyy": (rf"^\s*(\d{{1,2}})/(\d{{1,2}})/(\d{{4}}){_TIME}\s*$", (3, 1, 2)),
-    "dd/MM/yyyy": (rf"^\s*(\d{{1,2}})/(\d{{1,2}})/(\d{{4}}){_TIME}\s*$", (3, 2, 1)),
-    "MM-dd-yyyy": (rf"^\s*(\d{{1,2}})-(\d{{1,2}})-(\d{{4}}){_TIME}\s*$", (3, 1, 2)),
-    "dd.MM.yyyy": (rf"^\s*(\d{{1,2}})\.(\d{{1,2}})\.(\d{{4}}){_TIME}\s*$", (3, 2, 1)),
+    "yyyy-MM-dd": (rf"^\s*((?!0000)\d{{4}})-(\d{{1,2}})-(\d{{1,2}}){_TIME}\s*$", (1, 2, 3)),
+    "yyyy/MM/dd": (rf"^\s*((?!0000)\d{{4}})/(\d{{1,2}})/(\d{{1,2}}){_TIME}\s*$", (1, 2, 3)),
+    "MM/dd/yyyy": (rf"^\s*(\d{{1,2}})/(\d{{1,2}})/((?!0000)\d{{4}}){_TIME}\s*$", (3, 1, 2)),
+    "dd/MM/yyyy": (rf"^\s*(\d{{1,2}})/(\d{{1,2}})/((?!0000)\d{{4}}){_TIME}\s*$", (3, 2, 1)),
+    "MM-dd-yyyy": (rf"^\s*(\d{{1,2}})-(\d{{1,2}})-((?!0000)\d{{4}}){_TIME}\s*$", (3, 1, 2)),
+    "dd.MM.yyyy": (rf"^\s*(\d{{1,2}})\.(\d{{1,2}})\.((?!0000)\d{{4}}){_TIME}\s*$", (3, 2, 1)),
     "yyyyMMdd": (r"^\s*((?:19|20)\d{2})(\d{2})(\d{2})\s*$", (1, 2, 3)),
 }
 
@@ -39,8 +38,8 @@ def date_in(value: str | Column, name: str) -> Column:
     """The date that a text holds in the format ``name``; null if it holds none."""
     v = F.col(value) if isinstance(value, str) else value
     pattern, places = FORMATS[name]
-    parts = [F.regexp_extract(v, pattern, k).try_cast("int") for k in places]
-    return F.when(v.rlike(pattern), safe_date(*parts))
+    # the parts in one go, as year-month-day: extracted one by one, each of their uses would run the pattern again
+    return F.when(v.rlike(pattern), F.regexp_replace(v, pattern, "-".join(f"${k}" for k in places)).try_cast("date"))
 
 
 def date_evidence(df: DataFrame, year_col: str = "shard_year", inventory: DataFrame | None = None) -> DataFrame:

@@ -80,3 +80,11 @@ def test_no_rows_and_no_dates(spark):
     assert dict(DT.harmonize_with_dates(numbers, inv.where("column = 'n'")).dtypes)["n"] == "string"
     assert DT.cast_dates(spark.createDataFrame([(1, "2001-01-01")], "shard_year int, d string"), {"d": {2: "yyyy-MM-dd"}}).first().d is None
     assert isinstance(DT.cast_dates(spark.createDataFrame([(2, "2001-01-01")], "shard_year int, d string"), {"d": {2: "yyyy-MM-dd"}}).first().d, date)
+
+
+@pytest.mark.parametrize("name", list(DT.FORMATS))
+def test_a_pattern_runs_twice_per_value(spark, name):
+    """Once to see whether a text fits, once for its parts; each part's uses ran it again before."""
+    p = spark.range(1).select(F.col("id").cast("string").alias("t")).select(DT.date_in("t", name).alias("d"))
+    text = p._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("RLIKE") + text.count("regexp_") == 2
