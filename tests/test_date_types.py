@@ -88,3 +88,9 @@ def test_a_pattern_runs_twice_per_value(spark, name):
     p = spark.range(1).select(F.col("id").cast("string").alias("t")).select(DT.date_in("t", name).alias("d"))
     text = p._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("RLIKE") + text.count("regexp_") == 2
+
+
+def test_casts_run_two_patterns_per_format(spark):
+    df = spark.range(1).select(F.col("id").cast("int").alias("shard_year"), F.col("id").cast("string").alias("d"))
+    p = DT.cast_dates(df, {"d": {1: "yyyy-MM-dd", 2: "MM/dd/yyyy", 3: "dd.MM.yyyy"}})._jdf.queryExecution().optimizedPlan().toString()
+    assert p.count("RLIKE") + p.count("regexp_") == 6
