@@ -3,9 +3,9 @@
 Input is the text of many yearly shards in one DataFrame (all columns as
 strings, the way a CSV reader without inference returns them) plus an
 inventory of which (shard, column) pairs exist. Everything is computed from
-one unpivot and one shuffle keyed by (shard, column, value): hot values
-collapse in the map-side partial aggregate, and per-column figures are a
-second, tiny aggregation.
+one unpivot and one shuffle keyed by (shard, column, value), after rows are
+dealt evenly: hot values collapse in the map-side partial aggregate, and
+per-column figures are a second, tiny aggregation.
 """
 
 from __future__ import annotations
