@@ -22,24 +22,34 @@ from roadbook.operators.joins import join_small
 from roadbook.operators.profile import inventory_types, listed, type_evidence, unpivot_text
 
 _TIME = r"(?:[T ]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?: ?[AaPp][Mm])?(?:Z|[+-]\d{2}:?\d{2})?)?"
+# no month above 12 and no day above 31: the cast of such a date builds an exception for each value
+_Y, _M, _D = r"((?!0000)\d{4})", r"(1[0-2]|0?[1-9])", r"(3[01]|[12]\d|0?[1-9])"
 #: name: (pattern, places of year, month and day among its groups), in order of preference.
 FORMATS = {
-    "yyyy-MM-dd": (rf"^\s*((?!0000)\d{{4}})-(\d{{1,2}})-(\d{{1,2}}){_TIME}\s*$", (1, 2, 3)),
-    "yyyy/MM/dd": (rf"^\s*((?!0000)\d{{4}})/(\d{{1,2}})/(\d{{1,2}}){_TIME}\s*$", (1, 2, 3)),
-    "MM/dd/yyyy": (rf"^\s*(\d{{1,2}})/(\d{{1,2}})/((?!0000)\d{{4}}){_TIME}\s*$", (3, 1, 2)),
-    "dd/MM/yyyy": (rf"^\s*(\d{{1,2}})/(\d{{1,2}})/((?!0000)\d{{4}}){_TIME}\s*$", (3, 2, 1)),
-    "MM-dd-yyyy": (rf"^\s*(\d{{1,2}})-(\d{{1,2}})-((?!0000)\d{{4}}){_TIME}\s*$", (3, 1, 2)),
-    "dd.MM.yyyy": (rf"^\s*(\d{{1,2}})\.(\d{{1,2}})\.((?!0000)\d{{4}}){_TIME}\s*$", (3, 2, 1)),
-    "yyyyMMdd": (r"^\s*((?:19|20)\d{2})(\d{2})(\d{2})\s*$", (1, 2, 3)),
+    "yyyy-MM-dd": (rf"^\s*{_Y}-{_M}-{_D}{_TIME}\s*$", (1, 2, 3)),
+    "yyyy/MM/dd": (rf"^\s*{_Y}/{_M}/{_D}{_TIME}\s*$", (1, 2, 3)),
+    "MM/dd/yyyy": (rf"^\s*{_M}/{_D}/{_Y}{_TIME}\s*$", (3, 1, 2)),
+    "dd/MM/yyyy": (rf"^\s*{_D}/{_M}/{_Y}{_TIME}\s*$", (3, 2, 1)),
+    "MM-dd-yyyy": (rf"^\s*{_M}-{_D}-{_Y}{_TIME}\s*$", (3, 1, 2)),
+    "dd.MM.yyyy": (rf"^\s*{_D}\.{_M}\.{_Y}{_TIME}\s*$", (3, 2, 1)),
+    "yyyyMMdd": (r"^\s*((?:19|20)\d{2})(1[0-2]|0[1-9])(3[01]|[12]\d|0[1-9])\s*$", (1, 2, 3)),
 }
 
 
+def _may_hold(v: Column, name: str) -> Column:
+    """True for every text that holds a date in the format; a search by bytes that spares most others the pattern."""
+    if mark := name.strip("yMd")[:1]:
+        at = F.instr(F.ltrim(v, F.lit(" \t\n\x0b\f\r")), mark)      # what \s takes
+        return at == 5 if name.startswith("y") else at.isin(2, 3)
+    return (F.length(v) >= len(name)) & ~(v.contains("-") | v.contains("/") | v.contains("."))
+
+
 def date_in(value: str | Column, name: str) -> Column:
     """The date that a text holds in the format ``name``; null if it holds none."""
     v = F.col(value) if isinstance(value, str) else value
     pattern, places = FORMATS[name]
     # the parts in one go, as year-month-day: extracted one by one, each of their uses would run the pattern again
-    return F.when(v.rlike(pattern), F.regexp_replace(v, pattern, "-".join(f"${k}" for k in places)).try_cast("date"))
+    return F.when(_may_hold(v, name) & v.rlike(pattern), F.regexp_replace(v, pattern, "-".join(f"${k}" for k in places)).try_cast("date"))
 
 
 def date_evidence(df: DataFrame, year_col: str = "shard_year", inventory: DataFrame | None = None) -> DataFrame:

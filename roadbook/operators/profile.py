@@ -19,6 +19,16 @@ from roadbook.functions.numeric import INT_RE, NUMBER_RE, PADDED_RE, to_number
 from roadbook.operators.joins import join_small
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """The rows dealt to the session's number of shuffle partitions, whatever their files' splits.
+
+    One task reads a Parquet row group, so a table of a single one gives all that follows to one task.
+    The number is fixed: adaptive execution would merge partitions by their compressed bytes.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(parts, *[F.col(f"`{c}`") for c in df.columns])
+
+
 def unpivot_text(df: DataFrame, id_cols: list[str], value_cols: list[str] | None = None) -> DataFrame:
     """(ids..., column, value) with every value as text."""
     cols = [c for c in (value_cols or df.columns) if c not in id_cols]
@@ -45,10 +55,7 @@ def value_counts(df: DataFrame, year_col: str = "shard_year", inventory: DataFra
     all its distinct ones; so rows are dealt to the session's number of shuffle
     partitions first, as a split of a Parquet file can hold millions of keys.
     """
-    # a fixed number of partitions: adaptive execution would merge them by their compressed bytes
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = df.repartition(parts, *[F.col(f"`{c}`") for c in df.columns])
-    long = listed(unpivot_text(dealt, [year_col]), inventory, year_col)
+    long = listed(unpivot_text(dealt(df), [year_col]), inventory, year_col)
     return long.groupBy(year_col, "column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadbook.operators.profile import dealt
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -192,12 +194,13 @@ def dated_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ``happened`` changes its format from year to year; ``reported`` is day first in
     even years and blank in 1995; ``closed`` holds 30 February in one of 200 rows;
-    ``amount`` is a number, ``crn`` a key.
+    ``amount`` is a number, ``crn`` a key. The two columns they are made of are dealt
+    to all tasks before they become text.
     """
     k, d = F.col("o_orderkey"), F.to_date("o_orderdate")
     year = F.year(d)
     happened = F.coalesce(*[F.when(year % 4 == i, F.date_format(d, f)) for i, f in enumerate(DATE_STYLES)])
-    return table(spark, sf_dir, "orders").select(
+    return dealt(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")).select(
         year.alias("shard_year"), k.cast("string").alias("crn"),
         F.when(k % 17 == 0, F.lit(None)).when(k % 19 == 0, "").otherwise(happened).alias("happened"),
         F.when(year == 1995, F.lit(" ")).when(year % 2 == 0, F.date_format(F.date_add(d, 1), "dd/MM/yyyy"))

@@ -243,7 +243,8 @@ SELECT shard_year, "column", trim(value) AS value FROM dated_text UNPIVOT INCLUD
 
 
 def _dated_inventory(spark, sf):
-    return fx.dated_text(spark, sf).select(Y, F.explode(F.array(*[F.lit(c) for c in DATED])).alias("column")).distinct()
+    years = fx.table(spark, sf, "orders").select(F.year("o_orderdate").alias(Y)).distinct()
+    return years.select(Y, F.explode(F.array(*[F.lit(c) for c in DATED])).alias("column"))
 
 
 # strptime reads one-digit days, months and shorter years too, so texts are held to their shape first

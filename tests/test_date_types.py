@@ -94,3 +94,32 @@ def test_casts_run_two_patterns_per_format(spark):
     df = spark.range(1).select(F.col("id").cast("int").alias("shard_year"), F.col("id").cast("string").alias("d"))
     p = DT.cast_dates(df, {"d": {1: "yyyy-MM-dd", 2: "MM/dd/yyyy", 3: "dd.MM.yyyy"}})._jdf.queryExecution().optimizedPlan().toString()
     assert p.count("RLIKE") + p.count("regexp_") == 6
+
+
+def test_text_of_one_row_group_is_made_by_many_tasks(spark, tmp_path):
+    """A Parquet row group is read by one task, and all work on its texts was that task's too."""
+    from roadbook.plans import fixtures as fx
+
+    spark.range(4000).selectExpr("id o_orderkey", "timestamp_seconds(700000000 + id * 50000) o_orderdate").coalesce(1).write.parquet(
+        str(tmp_path / "orders.parquet"))
+    df = fx.dated_text(spark, str(tmp_path))
+    tasks = df.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert len(tasks) == int(spark.conf.get("spark.sql.shuffle.partitions")) > 1
+    assert max(r["count"] for r in tasks) < 2 * 4000 / len(tasks) and df.select("crn").distinct().count() == 4000
+
+
+@pytest.mark.parametrize("name", list(DT.FORMATS))
+def test_no_date_is_kept_from_its_pattern(spark, name):
+    more = [f"{s}{t}{s}" for t in TEXTS if t for s in ("\t", " \n", "\x0b", "\f\r", "    ")] + ["1-2-2011", "01-2-2011", "2011-1-2", "1/2/2011", "1.2.2011 1:02"]
+    df = spark.createDataFrame([(t,) for t in TEXTS + more], "t string")
+    kept = df.where(F.col("t").rlike(DT.FORMATS[name][0]) & ~F.coalesce(DT._may_hold(F.col("t"), name), F.lit(False)))
+    assert kept.collect() == []
+
+
+@pytest.mark.parametrize("name", list(DT.FORMATS))
+def test_months_above_12_are_not_cast(spark, name):
+    """Their cast builds and drops an exception for each value; half the days of the other order were such."""
+    year, month, day = name.replace("yyyy", "2011"), "MM", "dd"
+    texts = [(year.replace(month, m).replace(day, d),) for m, d in (("13", "01"), ("00", "01"), ("01", "32"), ("01", "00"), ("12", "31"), ("01", "01"))]
+    fit = [r.t for r in spark.createDataFrame(texts, "t string").where(F.col("t").rlike(DT.FORMATS[name][0])).collect()]
+    assert sorted(fit) == sorted(t for t, in texts[4:])
